@@ -16,13 +16,18 @@ from indicatormart.functions.numbers import year_from_name
 from indicatormart.functions.periods import month_date, spelled_month_number
 
 
+def _quoted(names: Sequence[str]):
+    """Column objects for names that may hold dots, blanks or slashes."""
+    return [F.col(f"`{c}`") for c in names]
+
+
 def unpivot_years(df: DataFrame, ids: Sequence[str], year_cols: Sequence[str],
                   value_col: str = "value", year_col: str = "year",
                   drop_nulls: bool = True, value_type: str = "double") -> DataFrame:
     """One row per (ids, year) from a column per year; the year is the digits
     of the column name.  ``drop_nulls`` removes NULL cells (NaN is kept)."""
     src = df.select(*ids, *[F.col(f"`{c}`").cast(value_type).alias(c) for c in year_cols])
-    long = src.unpivot(list(ids), list(year_cols), "__year_col", value_col)
+    long = src.unpivot(_quoted(ids), _quoted(year_cols), "__year_col", value_col)
     if drop_nulls:
         long = long.filter(F.col(value_col).isNotNull())
     return long.withColumn(year_col, year_from_name("__year_col")).drop("__year_col") \
@@ -34,7 +39,7 @@ def unpivot_columns(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name
     """Generic wide -> long; NULL cells are kept unless ``drop_nulls``."""
     src = df.select(*ids, *[(F.col(f"`{c}`").cast(value_type) if value_type else F.col(f"`{c}`")).alias(c)
                             for c in cols])
-    long = src.unpivot(list(ids), list(cols), name_col, value_col)
+    long = src.unpivot(_quoted(ids), _quoted(cols), name_col, value_col)
     if drop_nulls:
         long = long.filter(F.col(value_col).isNotNull())
     return long

@@ -10,16 +10,17 @@ from pyspark.sql.types import StructType
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType | None = None,
-                   glob: str | None = None, column: str = "payload") -> DataFrame:
+                   glob: str | None = None, column: str = "payload", multi_line: bool = True) -> DataFrame:
     """Whole JSON documents, one row each, in a single column ``column``.
 
     With ``schema`` (the document's top-level struct) the fields are typed at
     read time and wrapped into one struct column.  Without it the document is
     kept as VARIANT (``singleVariantColumn``).  ``glob`` picks files by name
-    pattern.  A multi-line document is read by one task; the rows it expands
-    into are spread by the following ``explode``.
+    pattern.  ``multi_line=True`` reads one (pretty-printed) document per
+    file, each file in one task; ``multi_line=False`` reads JSON Lines (one
+    document per line), which splits large files across tasks.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multi_line)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if schema is None:

@@ -32,9 +32,10 @@ def publish(df: DataFrame, name: str, kind: str = "view", database: str | None =
             path: str | None = None) -> DataFrame:
     """Publish a model: ``view`` (lazy temp view) or ``table`` (full replace).
 
-    ``database`` is created if absent and used verbatim.  A table with
-    ``path`` is written there as parquet and read back; otherwise it is saved
-    to the catalog.  Returns the published relation.
+    For a table, ``database`` is created if absent and used verbatim; with
+    ``path`` the table is external (data under that shared folder), else it
+    is managed by the catalog's warehouse directory.  Returns the published
+    relation, read back from the catalog.
     """
     spark = df.sparkSession
     if kind == "view":
@@ -42,16 +43,14 @@ def publish(df: DataFrame, name: str, kind: str = "view", database: str | None =
         return spark.table(name)
     if kind != "table":
         raise ValueError("kind must be 'view' or 'table'")
-    if path is not None:
-        df.write.mode("overwrite").parquet(path)
-        out = spark.read.parquet(path)
-        out.createOrReplaceTempView(name)
-        return out
-    qualified = name
+    qualified = f"`{name}`"
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         qualified = f"`{database}`.`{name}`"
-    df.write.mode("overwrite").format("parquet").saveAsTable(qualified)
+    writer = df.write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(qualified)
     return spark.table(qualified)
 
 

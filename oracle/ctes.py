@@ -85,7 +85,7 @@ SELECT ' ' || nm || ' ' AS unit_name, CASE WHEN o_orderkey % 10 = 0 THEN 'Sjukhu
             WHEN o_orderpriority = '2-HIGH' THEN 'Ambulanslarm per invånare – prio1-larm'
             ELSE 'Väntetid ' || o_orderpriority END AS indicator_name_raw,
        CASE o_orderkey % 3 WHEN 0 THEN '' WHEN 1 THEN 'dagar' ELSE 'procent' END AS unit_raw,
-       trim(CASE WHEN o_orderkey % 89 = 3 THEN CAST(yr AS VARCHAR) || '-13'
+       (CASE WHEN o_orderkey % 89 = 3 THEN CAST(yr AS VARCHAR) || '-13'
                  WHEN o_orderkey % 97 = 1 THEN CAST(yr AS VARCHAR) || '-Q1'
                  WHEN (k + yr) % 3 = 0 THEN ' ' || CAST(yr AS VARCHAR)
                  WHEN (k + yr) % 3 = 1 AND o_orderkey % 4 = 0 THEN CAST(yr AS VARCHAR)
@@ -97,12 +97,12 @@ SELECT ' ' || nm || ' ' AS unit_name, CASE WHEN o_orderkey % 10 = 0 THEN 'Sjukhu
 FROM onat"""
 
 CTE["de_parsed"] = r"""
-SELECT *,
-  CASE WHEN regexp_full_match(period_raw, '[0-9]{4}-[0-9]{2}') THEN 'MONTH'
-       WHEN regexp_full_match(period_raw, '[0-9]{4}') THEN 'YEAR' ELSE 'UNKNOWN' END AS period_granularity,
-  TRY_CAST(NULLIF(regexp_extract(period_raw, '^[0-9]{4}'), '') AS INTEGER) AS year,
-  CASE WHEN regexp_full_match(period_raw, '[0-9]{4}-[0-9]{2}')
-       THEN CAST(try_strptime(period_raw, '%Y-%m') AS DATE) END AS period_month,
+SELECT * REPLACE (trim(period_raw) AS period_raw),
+  CASE WHEN regexp_full_match(trim(period_raw), '[0-9]{4}-[0-9]{2}') THEN 'MONTH'
+       WHEN regexp_full_match(trim(period_raw), '[0-9]{4}') THEN 'YEAR' ELSE 'UNKNOWN' END AS period_granularity,
+  TRY_CAST(NULLIF(regexp_extract(trim(period_raw), '^[0-9]{4}'), '') AS INTEGER) AS year,
+  CASE WHEN regexp_full_match(trim(period_raw), '[0-9]{4}-[0-9]{2}')
+       THEN CAST(try_strptime(trim(period_raw), '%Y-%m') AS DATE) END AS period_month,
   TRY_CAST(replace(regexp_replace(value_raw, '[^0-9.,-]', '', 'g'), ',', '.') AS DOUBLE) AS value,
   TRY_CAST(regexp_replace(numerator_raw, '[^0-9.-]', '', 'g') AS DOUBLE) AS numerator,
   TRY_CAST(regexp_replace(denominator_raw, '[^0-9.-]', '', 'g') AS DOUBLE) AS denominator
