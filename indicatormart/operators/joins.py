@@ -11,6 +11,7 @@ become a map lookup expression and need no join at all.
 
 from __future__ import annotations
 
+import weakref
 from itertools import chain
 from typing import Iterable, Sequence
 
@@ -24,14 +25,33 @@ from indicatormart.functions.keys import surrogate_key
 DEFAULT_BROADCAST_ROWS = 2_000_000
 
 
-def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` if it provably has <= ``max_rows`` rows.
+_SMALL: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
+
+
+def is_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
+    """True if ``dim`` provably has at most ``max_rows`` rows.
 
     The check reads at most ``max_rows + 1`` rows (a bounded job); on
     materialized dimensions (parquet) it is answered from file metadata.
+    The answer is remembered per DataFrame, so a dimension reused by many
+    joins is checked once.
+    """
+    seen = _SMALL.setdefault(dim, {})
+    if max_rows not in seen:
+        seen[max_rows] = dim.limit(max_rows + 1).count() <= max_rows
+    return seen[max_rows]
+
+
+def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                      base: DataFrame | None = None) -> DataFrame:
+    """``broadcast(dim)`` when the size check passes, else ``dim`` unchanged
+    (the optimizer then plans a shuffle join; AQE may still broadcast it
+    after measuring the shuffled side, or split skewed partitions).
+
+    ``base`` is a frame with at least as many rows as ``dim`` (``dim`` is a
+    projection/filter of it) whose check result can be reused.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    return F.broadcast(dim) if is_small(base if base is not None else dim, max_rows) else dim
 
 
 def _keys(df: DataFrame, exprs: Sequence[ColumnOrName], prefix: str) -> tuple[DataFrame, list[str]]:
@@ -67,7 +87,7 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on: Sequence[ColumnOrName],
     for a, b in zip(fkeys, dkeys):
         c = f[a] == d[b]
         cond = c if cond is None else cond & c
-    joined = f.join(checked_broadcast(d, max_broadcast_rows), cond, how)
+    joined = f.join(checked_broadcast(d, max_broadcast_rows, base=dim), cond, how)
     return joined.drop(*fkeys, *dkeys)
 
 

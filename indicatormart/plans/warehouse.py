@@ -51,12 +51,14 @@ MODELS = STAGING + REFERENCE + MARTS
 
 class Warehouse:
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], taxonomy: DataFrame,
-                 options: Options | None = None, materialize_dims: bool = True):
+                 options: Options | None = None, materialize_dims: bool = True,
+                 materialize_facts: bool = False):
         self.spark = spark
         self.raw = dict(raw)
         self.taxonomy = taxonomy
         self.options = options or Options()
         self.materialize_dims = materialize_dims
+        self.materialize_facts = materialize_facts
 
     def model(self, name: str) -> DataFrame:
         if name not in MODELS:
@@ -66,6 +68,10 @@ class Warehouse:
     def _dim(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name) if self.materialize_dims else df
 
+    def _fact(self, df: DataFrame, name: str) -> DataFrame:
+        """Facts are REF tables too; written once when the whole layer is built."""
+        return materialize(df, name) if self.materialize_facts else df
+
     # staging
     @cached_property
     def stg_beds_intl(self): return S.stg_beds_intl(self.raw["BEDS_INTL_RAW"])
@@ -119,40 +125,41 @@ class Warehouse:
 
     # facts
     @cached_property
-    def fct_beds_intl_y(self): return R.fct_beds_intl_y(self.stg_beds_intl, self.dim_indicator)
+    def fct_beds_intl_y(self):
+        return self._fact(R.fct_beds_intl_y(self.stg_beds_intl, self.dim_indicator), "fct_beds_intl_y")
     @cached_property
     def fct_capacity_yearly(self):
-        return R.fct_capacity_yearly(self.stg_beds_region, self.stg_medical_personnel, self.stg_population,
-                                     self.stg_net_cost, self.dim_region, self.dim_indicator)
+        return self._fact(R.fct_capacity_yearly(self.stg_beds_region, self.stg_medical_personnel, self.stg_population,
+                                     self.stg_net_cost, self.dim_region, self.dim_indicator), "fct_capacity_yearly")
     @cached_property
     def fct_ed_time_by_diagnosis_m(self):
-        return R.fct_ed_time_by_diagnosis_m(self.stg_tid_diagnos, self.dim_region, self.dim_indicator)
+        return self._fact(R.fct_ed_time_by_diagnosis_m(self.stg_tid_diagnos, self.dim_region, self.dim_indicator), "fct_ed_time_by_diagnosis_m")
     @cached_property
     def fct_health_exp_gdp_intl_y(self):
-        return R.fct_health_exp_gdp_intl_y(self.stg_health_exp_gdp_intl, self.dim_indicator)
+        return self._fact(R.fct_health_exp_gdp_intl_y(self.stg_health_exp_gdp_intl, self.dim_indicator), "fct_health_exp_gdp_intl_y")
     @cached_property
     def fct_kolada_y(self):
-        return R.fct_kolada_y(self.stg_kolada, self.dim_region, self.dim_gender, self.dim_indicator,
-                              self.options.kpi_aliases)
+        return self._fact(R.fct_kolada_y(self.stg_kolada, self.dim_region, self.dim_gender, self.dim_indicator,
+                              self.options.kpi_aliases), "fct_kolada_y")
     @cached_property
     def fct_overcrowding_monthly(self):
-        return R.fct_overcrowding_monthly(self.stg_overcrowding, self.dim_region, self.dim_indicator,
-                                          self.options.overcrowding_aliases)
+        return self._fact(R.fct_overcrowding_monthly(self.stg_overcrowding, self.dim_region, self.dim_indicator,
+                                          self.options.overcrowding_aliases), "fct_overcrowding_monthly")
     @cached_property
     def fct_performance_monthly(self):
-        return R.fct_performance_monthly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator)
+        return self._fact(R.fct_performance_monthly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator), "fct_performance_monthly")
     @cached_property
     def fct_performance_yearly(self):
-        return R.fct_performance_yearly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator)
+        return self._fact(R.fct_performance_yearly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator), "fct_performance_yearly")
     @cached_property
     def ref_physicians_per_1000_y(self):
-        return R.ref_physicians_per_1000_y(self.stg_physicians_per1000, self.dim_region, self.dim_indicator)
+        return self._fact(R.ref_physicians_per_1000_y(self.stg_physicians_per1000, self.dim_region, self.dim_indicator), "ref_physicians_per_1000_y")
     @cached_property
     def fct_physicians_per_1000_y(self): return R.fct_physicians_per_1000_y(self.ref_physicians_per_1000_y)
     @cached_property
     def fct_visits_by_gender_age_m(self):
-        return R.fct_visits_by_gender_age_m(self.stg_tid_konalder, self.dim_region, self.dim_gender,
-                                            self.dim_age_group, self.dim_indicator, self.options.visits_aliases)
+        return self._fact(R.fct_visits_by_gender_age_m(self.stg_tid_konalder, self.dim_region, self.dim_gender,
+                                            self.dim_age_group, self.dim_indicator, self.options.visits_aliases), "fct_visits_by_gender_age_m")
 
     # marts
     @cached_property

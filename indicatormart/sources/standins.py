@@ -341,9 +341,36 @@ def standin_taxonomy_path() -> str:
     return os.path.join(os.path.dirname(os.path.dirname(__file__)), "seeds", "standin_taxonomy.csv")
 
 
-def standin_warehouse(spark: SparkSession, sf_dir: str, materialize_dims: bool = True):
-    """The full model graph over stand-ins of one test-data directory."""
+_LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_WAREHOUSES: dict[tuple[str, str, bool, bool], object] = {}
+
+
+def landed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The 14 raw extracts written once per session as parquet under the
+    shared checkpoint folder (the RAW layer the staging models read)."""
+    from indicatormart.sources.sinks import materialize
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        _LANDED[key] = {name: materialize(df, f"raw_{name.lower()}")
+                        for name, df in StandIns(spark, sf_dir).all().items()}
+    return _LANDED[key]
+
+
+def standin_warehouse(spark: SparkSession, sf_dir: str, materialize_dims: bool = True,
+                      materialize_facts: bool = False, land_raw: bool = True):
+    """The full model graph over stand-ins of one test-data directory.
+
+    With ``land_raw`` the raw extracts are landed once and the graph is
+    shared by later calls with the same session, directory and options.
+    """
     from indicatormart.plans.warehouse import Warehouse
     from indicatormart.sources.readers import load_seed
+    key = (spark.sparkContext.applicationId, sf_dir, materialize_dims, materialize_facts)
+    if land_raw and key in _WAREHOUSES:
+        return _WAREHOUSES[key]
     tax = load_seed(spark, standin_taxonomy_path(), S.TAXONOMY_SCHEMA)
-    return Warehouse(spark, StandIns(spark, sf_dir).all(), tax, standin_options(), materialize_dims)
+    raw = landed_sources(spark, sf_dir) if land_raw else StandIns(spark, sf_dir).all()
+    wh = Warehouse(spark, raw, tax, standin_options(), materialize_dims, materialize_facts)
+    if land_raw:
+        _WAREHOUSES[key] = wh
+    return wh
