@@ -30,7 +30,7 @@ from indicatormart.plans.warehouse import MODELS
 from indicatormart.sources import readers as RD
 from indicatormart.sources import schemas as S
 from indicatormart.sources import sinks as SK
-from indicatormart.sources.standins import StandIns, standin_warehouse
+from indicatormart.sources.standins import StandIns, landed_sources, standin_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A landed raw extract (written once per session)."""
+    return landed_sources(spark, sf_dir)[name]
+
+
 def _model(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return standin_warehouse(spark, sf_dir).model(name)
@@ -62,7 +67,7 @@ def model_queries() -> dict[str, Query]:
 def read_documents(spark, sf_dir):
     """PXWeb documents written as JSON Lines next to decoy files, read back
     through a name pattern with a typed schema, then flattened."""
-    docs = StandIns(spark, sf_dir).population_docs()
+    docs = _raw(spark, sf_dir, "SCB_POPULATION_RAW")
     path = SK.scratch_path(spark, "pxweb")
     docs.select(F.col("payload.*")).write.mode("overwrite").json(path)
     docs.select(F.to_json("payload").alias("value")).write.mode("append").text(path)  # *.txt decoys
@@ -94,7 +99,7 @@ DATAEXPORT_RENAMES = {
 
 @query
 def rename_columns(spark, sf_dir):
-    return RD.rename_columns(StandIns(spark, sf_dir).dataexport(), DATAEXPORT_RENAMES)
+    return RD.rename_columns(_raw(spark, sf_dir, "DATAEXPORT_RAW"), DATAEXPORT_RENAMES)
 
 
 @query
@@ -140,12 +145,12 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def export_region_geojson(spark, sf_dir):
-    return standin_warehouse(spark, sf_dir, materialize_dims=False).dim_region_geojson
+    return standin_warehouse(spark, sf_dir).dim_region_geojson
 
 
 @query
 def load_audit(spark, sf_dir):
-    stg = standin_warehouse(spark, sf_dir, materialize_dims=False).stg_kolada
+    stg = standin_warehouse(spark, sf_dir).stg_kolada
     return RD.load_audit(stg, ["source_indicator_code"], "region_name")
 
 
@@ -159,7 +164,7 @@ def tag_source(spark, sf_dir):
 
 @query
 def drop_aggregate_rows(spark, sf_dir):
-    raw = StandIns(spark, sf_dir).medical_personnel().select(
+    raw = _raw(spark, sf_dir, "MEDICAL_PERSONNEL_RAW").select(
         F.col("År").alias("year"), F.col("Område").alias("area"), F.col(f"`{S.PERSONNEL_VALUE_COL}`").alias("value"))
     return PR.drop_aggregate_rows(raw, "area", names=["Riket"], contains_lower=["sjukvårdsregion"],
                                   ilike_prefixes=["alla regioner"], keep_nulls=False)
@@ -202,7 +207,7 @@ def classify_roles(spark, sf_dir):
 
 @query
 def normalize_gender(spark, sf_dir):
-    raw = StandIns(spark, sf_dir).kolada()
+    raw = _raw(spark, sf_dir, "KOLADA_RAW")
     return raw.groupBy(F.col("Kön").alias("gender_raw"), T.normalize_gender("Kön").alias("gender")) \
               .agg(F.count(F.lit(1)).alias("n"))
 
@@ -243,7 +248,7 @@ def resolve_key_name(spark, sf_dir):
 
 @query
 def alias_map(spark, sf_dir):
-    stg = standin_warehouse(spark, sf_dir, materialize_dims=False).stg_kolada
+    stg = standin_warehouse(spark, sf_dir).stg_kolada
     names = stg.select(F.trim("region_name").alias("region_name")).distinct()
     norm = names.withColumn("name_norm", T.upper_pattern_norm("region_name"))
     return J.apply_alias(norm, "name_norm", [("NATION_23", "NATION_3"), ("NATION_2", "NATION_20")],
@@ -262,7 +267,7 @@ def resolve_indicator(spark, sf_dir):
 
 @query
 def derive_dim(spark, sf_dir):
-    stg = standin_warehouse(spark, sf_dir, materialize_dims=False).stg_tid_diagnos
+    stg = standin_warehouse(spark, sf_dir).stg_tid_diagnos
     dim = J.derive_dim(stg, ["diagnosgrupp"], "diagnosis_key")
     f = J.lookup(stg, dim, [F.col("diagnosgrupp")], [F.col("diagnosgrupp")], ["diagnosis_key"])
     return f.select("diagnosgrupp", "diagnosis_key", "period_month", "value")
@@ -307,36 +312,35 @@ def calendar_rollup(spark, sf_dir):
 
 @query
 def unpivot_drop_nulls(spark, sf_dir):
-    raw = StandIns(spark, sf_dir).kolada()
+    raw = _raw(spark, sf_dir, "KOLADA_RAW")
     years = [c for c in raw.columns if c.isdigit()]
     return R.unpivot_years(raw, ["Område", "Kön", "NYCKELTALSID"], years)
 
 
 @query
 def unpivot_keep_nulls(spark, sf_dir):
-    si = StandIns(spark, sf_dir)
-    raw = si.overcrowding()
+    raw = _raw(spark, sf_dir, "OVERCROWDING_RAW")
     cols = [c for c in raw.columns if c != S.OVERCROWDING_CATEGORY]
     return R.unpivot_columns(raw, [S.OVERCROWDING_CATEGORY], cols, "region_col", "value")
 
 
 @query
 def melt_measures(spark, sf_dir):
-    raw = StandIns(spark, sf_dir).expenditure_gdp()
+    raw = _raw(spark, sf_dir, "EXPENDITURE_GDP_RAW")
     from indicatormart.plans.staging import EXPENDITURE_MEASURES
     return R.melt_measures(raw.withColumnRenamed("Year", "year"), ["year"], EXPENDITURE_MEASURES)
 
 
 @query
 def explode_features(spark, sf_dir):
-    feats = D.explode_features(StandIns(spark, sf_dir).geo_docs())
+    feats = D.explode_features(_raw(spark, sf_dir, "GEO_LAN_REGIONS_RAW"))
     return feats.select(F.col("props.scb_lan_code_2").alias("code"),
                         F.col("props.region_name_official").alias("name"), "geom")
 
 
 @query
 def flatten_pxweb(spark, sf_dir):
-    return D.flatten_pxweb(StandIns(spark, sf_dir).population_docs(),
+    return D.flatten_pxweb(_raw(spark, sf_dir, "SCB_POPULATION_RAW"),
                            {"region_code_raw": "Region", "year_raw": "Tid"})
 
 
@@ -380,7 +384,7 @@ def stack_headers(spark, sf_dir):
 
 @query
 def pivot_metrics(spark, sf_dir):
-    stg = standin_warehouse(spark, sf_dir, materialize_dims=False).stg_tid_konalder
+    stg = standin_warehouse(spark, sf_dir).stg_tid_konalder
     return R.pivot_metrics(stg, ["region_name", "gender", "age_group", "period_date"], "indicator_name", "value",
                            ["Antal besök", "Median tid till läkare i minuter"], agg="min")
 
@@ -423,7 +427,7 @@ def select_codes(spark, sf_dir):
 
 @query
 def explode_series(spark, sf_dir):
-    stg = standin_warehouse(spark, sf_dir, materialize_dims=False).stg_kolada
+    stg = standin_warehouse(spark, sf_dir).stg_kolada
     points = stg.groupBy(F.col("source_indicator_code").alias("kpi_id"), F.col("region_name").alias("region_id"),
                          F.col("year").alias("period"), "gender").agg(F.max("value").alias("value"))
     series = points.groupBy("kpi_id", "region_id").agg(
@@ -437,7 +441,7 @@ def explode_series(spark, sf_dir):
 
 @query
 def sum_by_grain(spark, sf_dir):
-    stg = standin_warehouse(spark, sf_dir, materialize_dims=False).stg_medical_personnel
+    stg = standin_warehouse(spark, sf_dir).stg_medical_personnel
     return sum_by(stg, ["region_name", "year", "source_system", "source_indicator_code"], "value")
 
 
@@ -455,7 +459,7 @@ def avg_of_medians(spark, sf_dir):
 
 @query
 def min_max_dates(spark, sf_dir):
-    wh = standin_warehouse(spark, sf_dir, materialize_dims=False)
+    wh = standin_warehouse(spark, sf_dir)
     srcs = [(wh.stg_dataexport, "period_month"), (wh.stg_overcrowding, "period_month"),
             (wh.stg_tid_konalder, "period_date"), (wh.stg_tid_diagnos, "period_month")]
     parts = [G.date_bounds(df, c).select(F.lit(i).alias("src"), "lo", "hi") for i, (df, c) in enumerate(srcs)]
@@ -470,14 +474,14 @@ def min_max_dates(spark, sf_dir):
 
 @query
 def check_min_distinct(spark, sf_dir):
-    wh = standin_warehouse(spark, sf_dir, materialize_dims=False)
+    wh = standin_warehouse(spark, sf_dir)
     return Q.run_checks([Q.check_min_distinct(wh.dim_region, "dim_region", "region_code_2", 21),
                          Q.check_min_distinct(wh.stg_population, "stg_population", "region_code_str", 30)])
 
 
 @query
 def per_1000_ratio(spark, sf_dir):
-    wh = standin_warehouse(spark, sf_dir, materialize_dims=False)
+    wh = standin_warehouse(spark, sf_dir)
     staff = sum_by(wh.stg_medical_personnel, ["region_name", "year"], "value", out="staff")
     pop = wh.stg_population.select(F.concat(F.lit("NATION_"), F.col("region_code").cast("string")).alias("region_name"),
                                    "year", "population")
@@ -489,7 +493,7 @@ def per_1000_ratio(spark, sf_dir):
 # ---------------------------------------------------------------- windows / order
 
 def _de_parsed(spark, sf_dir) -> DataFrame:
-    raw = RD.rename_columns(StandIns(spark, sf_dir).dataexport(), DATAEXPORT_RENAMES)
+    raw = RD.rename_columns(_raw(spark, sf_dir, "DATAEXPORT_RAW"), DATAEXPORT_RENAMES)
     raw = raw.filter(F.col("unit_type") == "Region").withColumn("period_raw", F.trim("period_raw"))
     return raw.withColumns({"period_granularity": P.period_granularity("period_raw"),
                             "year": P.period_year("period_raw"),
@@ -507,7 +511,7 @@ def prefer_finer_grain(spark, sf_dir):
 
 @query
 def dedupe_registry(spark, sf_dir):
-    wh = standin_warehouse(spark, sf_dir, materialize_dims=False)
+    wh = standin_warehouse(spark, sf_dir)
     base = REF.indicator_union(wh.staging())
     return G.dedupe(base, ["source_system", "source_indicator_code"],
                     [F.col("indicator_name").asc_nulls_last(), F.col("unit").asc_nulls_last(),
@@ -531,7 +535,7 @@ def month_spine(spark, sf_dir):
 
 @query
 def ordered_output(spark, sf_dir):
-    stg = standin_warehouse(spark, sf_dir, materialize_dims=False).stg_beds_intl
+    stg = standin_warehouse(spark, sf_dir).stg_beds_intl
     return stg.orderBy(F.col("country_name").asc_nulls_last(), F.col("year").asc_nulls_last())
 
 
@@ -565,7 +569,7 @@ def label_sort_key(spark, sf_dir):
 
 @query
 def union_facts(spark, sf_dir):
-    wh = standin_warehouse(spark, sf_dir, materialize_dims=False)
+    wh = standin_warehouse(spark, sf_dir)
     cols = ["source_system", "source_indicator_code", "year", "value"]
     return union_all([wh.stg_net_cost.select(*cols), wh.stg_kolada.select(*cols),
                       wh.stg_beds_intl.select(*cols), wh.stg_expenditure_gdp.select(*cols)])
@@ -575,7 +579,7 @@ def union_facts(spark, sf_dir):
 
 @query
 def text_basics(spark, sf_dir):
-    raw = StandIns(spark, sf_dir).net_cost()
+    raw = _raw(spark, sf_dir, "NET_COST_RAW")
     return raw.select(
         F.trim("Enhetstyp").alias("unit_type"),
         T.trim_lower("Enhetsnamn").alias("name_lower"),
@@ -589,22 +593,21 @@ def text_basics(spark, sf_dir):
 
 @query
 def slug_codes(spark, sf_dir):
-    si = StandIns(spark, sf_dir)
-    names = si.stat_diagnos().select(F.col("Metric").alias("name")).unionByName(
-        si.net_cost().select(T.first_non_blank("Titel", "Diagramrubrik").alias("name"))).unionByName(
-        si.medical_personnel().select(F.col("Grupp").alias("name"))).distinct()
+    names = _raw(spark, sf_dir, "STAT_DIAGNOS_RAW").select(F.col("Metric").alias("name")).unionByName(
+        _raw(spark, sf_dir, "NET_COST_RAW").select(T.first_non_blank("Titel", "Diagramrubrik").alias("name"))
+    ).unionByName(_raw(spark, sf_dir, "MEDICAL_PERSONNEL_RAW").select(F.col("Grupp").alias("name"))).distinct()
     return names.select("name", T.slug("name").alias("slug"), T.snake("name").alias("snake"),
                         T.letter_s_runs("name").alias("s_runs"))
 
 
 @query
 def entity_name_clean(spark, sf_dir):
-    si = StandIns(spark, sf_dir)
+    oc_cols = [c for c in _raw(spark, sf_dir, "OVERCROWDING_RAW").columns if c != S.OVERCROWDING_CATEGORY]
     names = union_all([
-        si.kolada().select(F.col("Område").alias("name")),
-        si.medical_personnel().select(F.col("Område").alias("name")),
-        si.stat_kon_alder().select(F.col("Region/landsting/akutmottagning").alias("name")),
-        spark.createDataFrame([(c,) for c in si.overcrowding_columns()], "name string"),
+        _raw(spark, sf_dir, "KOLADA_RAW").select(F.col("Område").alias("name")),
+        _raw(spark, sf_dir, "MEDICAL_PERSONNEL_RAW").select(F.col("Område").alias("name")),
+        _raw(spark, sf_dir, "STAT_KON_ALDER_RAW").select(F.col("Region/landsting/akutmottagning").alias("name")),
+        spark.range(1).select(F.explode(F.array(*[F.lit(c) for c in oc_cols])).alias("name")),
     ]).distinct()
     return names.select(
         "name",
@@ -617,7 +620,7 @@ def entity_name_clean(spark, sf_dir):
 
 @query
 def parse_decimal(spark, sf_dir):
-    raw = RD.rename_columns(StandIns(spark, sf_dir).dataexport(), DATAEXPORT_RENAMES)
+    raw = RD.rename_columns(_raw(spark, sf_dir, "DATAEXPORT_RAW"), DATAEXPORT_RENAMES)
     return raw.select("unit_code", "value_raw", "numerator_raw",
                       N.parse_decimal("value_raw").alias("value"),
                       N.parse_decimal("numerator_raw", comma="strip").alias("numerator"),
@@ -626,7 +629,7 @@ def parse_decimal(spark, sf_dir):
 
 @query
 def parse_int_round(spark, sf_dir):
-    raw = StandIns(spark, sf_dir).health_intl()
+    raw = _raw(spark, sf_dir, "HEALTH_EXPENDITURE_INTL_RAW")
     return raw.select("OBS_VALUE", "TIME_PERIOD",
                       N.parse_int_round(F.replace(F.col("OBS_VALUE"), F.lit(","), F.lit("."))).alias("obs_int"),
                       N.parse_int_round("TIME_PERIOD").alias("year"))
@@ -634,7 +637,7 @@ def parse_int_round(spark, sf_dir):
 
 @query
 def parse_period(spark, sf_dir):
-    raw = RD.rename_columns(StandIns(spark, sf_dir).dataexport(), DATAEXPORT_RENAMES)
+    raw = RD.rename_columns(_raw(spark, sf_dir, "DATAEXPORT_RAW"), DATAEXPORT_RENAMES)
     p = F.trim("period_raw")
     g, y, m = P.period_granularity(p), P.period_year(p), P.period_month(p)
     return raw.select("unit_code", "period_raw", g.alias("period_granularity"), y.alias("year"),
@@ -644,7 +647,7 @@ def parse_period(spark, sf_dir):
 
 @query
 def parse_named_month(spark, sf_dir):
-    raw = StandIns(spark, sf_dir).overcrowding().select(S.OVERCROWDING_CATEGORY)
+    raw = _raw(spark, sf_dir, "OVERCROWDING_RAW").select(S.OVERCROWDING_CATEGORY)
     cat = F.col(S.OVERCROWDING_CATEGORY)
     no, yr = P.named_month_number(cat), P.named_month_year(cat)
     short = F.concat(F.substring(cat, 1, 3), F.lit("."))
@@ -696,7 +699,7 @@ def check_unique(spark, sf_dir):
 
 @query
 def check_accepted(spark, sf_dir):
-    wh = standin_warehouse(spark, sf_dir, materialize_dims=False)
+    wh = standin_warehouse(spark, sf_dir)
     return Q.check_columns(wh.stg_dataexport, "stg_dataexport",
                            accepted={"gender": ["F", "M", "ALL"], "period_granularity": ["MONTH", "YEAR"]},
                            severity={"period_granularity": "warn"})

@@ -76,7 +76,9 @@ def dim_region_geojson(dim: DataFrame) -> DataFrame:
 
 
 def dim_gender(spark: SparkSession) -> DataFrame:
-    base = spark.createDataFrame(list(GENDERS), "gender_code string, gender_name string")
+    """Fixed three-row dimension, built as a JVM-side literal."""
+    rows = F.array(*[F.struct(F.lit(c).alias("gender_code"), F.lit(n).alias("gender_name")) for c, n in GENDERS])
+    base = spark.range(1).select(F.inline(rows))
     return base.select(K.surrogate_key("gender_code").alias("gender_key"), "gender_code", "gender_name")
 
 
@@ -97,7 +99,7 @@ def dim_date(stg_dataexport: DataFrame, stg_overcrowding: DataFrame, stg_tid_kon
                        strict_nulls=strict_nulls)
 
 
-def _registry_rows(df: DataFrame, granularity: str, system=None, code=None, name=None,
+def _registry_rows(df: DataFrame, granularity, system=None, code=None, name=None,
                    unit: str | None = "unit") -> DataFrame:
     def col_or_lit(v, default):
         if v is None:
@@ -108,7 +110,7 @@ def _registry_rows(df: DataFrame, granularity: str, system=None, code=None, name
         col_or_lit(code, "source_indicator_code").cast("string").alias("source_indicator_code"),
         col_or_lit(name, "indicator_name").cast("string").alias("indicator_name"),
         (F.col(unit) if unit else F.lit(None)).cast("string").alias("unit"),
-        F.lit(granularity).alias("default_granularity"))
+        (granularity if not isinstance(granularity, str) else F.lit(granularity)).alias("default_granularity"))
 
 
 def _constant_row(df: DataFrame, system: str, code: str, name: str, unit: str | None) -> DataFrame:
@@ -121,13 +123,13 @@ def _constant_row(df: DataFrame, system: str, code: str, name: str, unit: str |
 
 def indicator_union(stg: dict[str, DataFrame]) -> DataFrame:
     """UNION (distinct) of every source's indicators with their default grain."""
-    de = stg["stg_dataexport"]
+    de = stg["stg_dataexport"].filter(F.col("period_granularity").isin("MONTH", "YEAR"))
     branches = [
-        _registry_rows(de.filter(F.col("period_granularity") == "MONTH"), "MONTH"),
+        # MONTH rows register as MONTH, YEAR rows as YEAR: one scan for both branches
+        _registry_rows(de, F.col("period_granularity")),
         _registry_rows(stg["stg_overcrowding"], "MONTH", unit=None),
         _registry_rows(stg["stg_tid_konalder"], "MONTH", unit=None),
         _registry_rows(stg["stg_tid_diagnos"], "MONTH"),
-        _registry_rows(de.filter(F.col("period_granularity") == "YEAR"), "YEAR"),
         _registry_rows(stg["stg_beds_region"], "YEAR", system=F.lit("BEDS_REGION"), code="indicator_code",
                        unit=None),
         _registry_rows(stg["stg_beds_intl"], "YEAR"),

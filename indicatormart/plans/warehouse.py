@@ -5,7 +5,9 @@ model as a lazily built attribute; nothing runs until an action.  The
 dimensions (REF tables) are small and reused by many facts, so they are
 materialized once as parquet under the shared checkpoint folder: that runs
 their upstream plan once, cuts lineage, and lets the size-checked broadcast
-read the row count from file metadata.
+read the row count from file metadata.  ``stg_dataexport`` (the one staging
+model with a shuffle, read by four models) is written once too; facts are
+written when ``materialize_facts`` (a full REF-layer build).
 """
 
 from __future__ import annotations
@@ -52,19 +54,26 @@ MODELS = STAGING + REFERENCE + MARTS
 class Warehouse:
     def __init__(self, spark: SparkSession, raw: Mapping[str, DataFrame], taxonomy: DataFrame,
                  options: Options | None = None, materialize_dims: bool = True,
-                 materialize_facts: bool = False):
+                 materialize_facts: bool = False,
+                 materialize_staging: Sequence[str] = ("stg_dataexport",)):
         self.spark = spark
         self.raw = dict(raw)
         self.taxonomy = taxonomy
         self.options = options or Options()
         self.materialize_dims = materialize_dims
         self.materialize_facts = materialize_facts
+        self.materialize_staging = tuple(materialize_staging)
 
     def model(self, name: str) -> DataFrame:
         if name not in MODELS:
             raise KeyError(name)
         return getattr(self, name)
 
+    def _stg(self, df: DataFrame, name: str) -> DataFrame:
+        """Staging models are views; the ones listed in ``materialize_staging``
+        (shuffle-heavy and read by several models) are written once instead."""
+        return materialize(df, name) if name in self.materialize_staging else df
+
     def _dim(self, df: DataFrame, name: str) -> DataFrame:
         return materialize(df, name) if self.materialize_dims else df
 
@@ -78,7 +87,7 @@ class Warehouse:
     @cached_property
     def stg_beds_region(self): return S.stg_beds_region(self.raw["BEDS_REGION_RAW"])
     @cached_property
-    def stg_dataexport(self): return S.stg_dataexport(self.raw["DATAEXPORT_RAW"])
+    def stg_dataexport(self): return self._stg(S.stg_dataexport(self.raw["DATAEXPORT_RAW"]), "stg_dataexport")
     @cached_property
     def stg_dim_region(self): return S.stg_dim_region(self.raw["GEO_LAN_REGIONS_RAW"])
     @cached_property
