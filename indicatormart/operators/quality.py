@@ -16,6 +16,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from indicatormart.operators.joins import checked_broadcast
+
 RESULT_COLUMNS = ("table_name", "check_name", "column_name", "failures", "severity", "status")
 
 
@@ -90,12 +92,13 @@ def check_relationship(df: DataFrame, table: str, col: str, parent: DataFrame, p
                        severity: str = "error") -> DataFrame:
     """Child rows whose non-NULL key has no parent row (left anti join).
 
-    The parent key set is de-duplicated first; the anti join is planned by
-    the optimizer (broadcast when the parent side is measured small).
+    The parent key set is de-duplicated first and broadcast when the parent
+    is proven small; otherwise the anti join shuffles (AQE splits a hot
+    child key).
     """
     keys = parent.select(F.col(parent_col).alias("__pk")).filter(F.col("__pk").isNotNull()).distinct()
     child = df.select(F.col(col).alias("__ck")).filter(F.col("__ck").isNotNull())
-    orphans = child.join(keys, child["__ck"] == keys["__pk"], "left_anti")
+    orphans = child.join(checked_broadcast(keys, base=parent), child["__ck"] == keys["__pk"], "left_anti")
     return _result(orphans.agg(F.count(F.lit(1)).alias("n")), table, "relationships", col, F.col("n"), severity)
 
 

@@ -107,7 +107,7 @@ def inline_table(spark, sf_dir):
     labels = RD.inline_table(spark, [("F", "Kvinnor"), ("O", "Män"), ("P", "Totalt")],
                              "status string, gender_label string")
     o = _t(spark, sf_dir, "orders")
-    j = o.join(F.broadcast(labels), o.o_orderstatus == labels.status, "left")
+    j = o.join(F.broadcast(labels), o.o_orderstatus == labels.status, "left")  # 3-row literal
     return j.groupBy("gender_label").agg(F.count(F.lit(1)).alias("n_orders"))
 
 
@@ -233,7 +233,7 @@ def resolve_key_code(spark, sf_dir):
 @query
 def resolve_key_name(spark, sf_dir):
     wh = standin_warehouse(spark, sf_dir)
-    c = _t(spark, sf_dir, "customer").join(F.broadcast(_t(spark, sf_dir, "nation")),
+    c = _t(spark, sf_dir, "customer").join(J.checked_broadcast(_t(spark, sf_dir, "nation")),
                                            F.col("c_nationkey") == F.col("n_nationkey"))
     spelled = (F.when(F.col("c_custkey") % 3 == 0, F.col("n_name"))
                 .when(F.col("c_custkey") % 3 == 1, F.lower("n_name"))

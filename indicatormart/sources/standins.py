@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicatormart.functions.periods import SWEDISH_MONTHS
+from indicatormart.operators.joins import checked_broadcast
 from indicatormart.sources import schemas as S
 
 # Years laid out as columns of the wide KPI extract.
@@ -74,7 +75,7 @@ class StandIns:
         c = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
         n = self.table("nation").select(F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey"))
         return (o.join(c, o.o_custkey == c.c_custkey)
-                 .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+                 .join(checked_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
                  .withColumns({"k": F.col("c_nationkey"), "nm": F.col("n_name"),
                                "yr": F.year("o_orderdate"), "mo": F.month("o_orderdate")}))
 
@@ -85,8 +86,8 @@ class StandIns:
                                            "l_returnflag", "l_linestatus", "l_shipdate")
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
         n = self.table("nation").select("n_nationkey", "n_name")
-        return (li.join(F.broadcast(s), li.l_suppkey == s.s_suppkey)
-                  .join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+        return (li.join(checked_broadcast(s), li.l_suppkey == s.s_suppkey)
+                  .join(checked_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
                   .withColumns({"k": F.col("s_nationkey"), "nm": F.col("n_name"),
                                 "yr": F.year("l_shipdate")}))
 
@@ -302,7 +303,7 @@ class StandIns:
     def physicians(self) -> DataFrame:
         c = self.table("customer").select("c_custkey", "c_nationkey", "c_acctbal")
         n = self.table("nation").select("n_nationkey", "n_name")
-        j = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
+        j = c.join(checked_broadcast(n), c.c_nationkey == n.n_nationkey)
         return j.select(
             F.when(F.col("c_custkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name")).alias("REGION_NAME"),
             (F.lit(1995) + F.col("c_custkey") % 7).cast("string").alias("YEAR"),
@@ -312,8 +313,8 @@ class StandIns:
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
         n = self.table("nation").select("n_nationkey", "n_regionkey")
         r = self.table("region").select("r_regionkey", "r_name")
-        j = (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
-              .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")))
+        j = (s.join(checked_broadcast(n), s.s_nationkey == n.n_nationkey)
+              .join(checked_broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")))
         obs = F.concat((F.col("s_suppkey") % 100).cast("string"), F.lit(","),
                        F.lpad(((F.col("s_suppkey") * 7) % 1000).cast("string"), 3, "0"))
         return j.select(
