@@ -112,3 +112,47 @@ def check_min_distinct(df: DataFrame, table: str, col: str, minimum: int, severi
 def run_checks(results: Sequence[DataFrame]) -> DataFrame:
     """Stack check results into one report."""
     return reduce(DataFrame.unionByName, results)
+
+
+def check_model(df: DataFrame, table: str, not_null: Sequence[str] = (), warn_not_null: Sequence[str] = (),
+                accepted: dict[str, Sequence[str]] | None = None,
+                relationships: dict[str, tuple[DataFrame, str]] | None = None,
+                unique: Sequence[str] = (), combinations: Sequence[Sequence[str]] = ()) -> DataFrame:
+    """Every declared test of one model, with one scan for the column tests.
+
+    not_null (error / warn), accepted_values and relationships are counted in
+    a single aggregate: each parent's DISTINCT key set is left-joined first
+    (one match at most per row, broadcast when proven small), so a miss is a
+    NULL flag.  unique and unique_combination_of_columns need one grouped
+    pass each (map-side partial counts).
+    """
+    accepted = accepted or {}
+    relationships = relationships or {}
+    d = df
+    flags = {}
+    for i, (col, (parent, parent_col)) in enumerate(relationships.items()):
+        keys = parent.select(F.col(parent_col).alias(f"__pk{i}")).filter(F.col(f"__pk{i}").isNotNull()).distinct()
+        d = d.join(checked_broadcast(keys, base=parent), d[col] == keys[f"__pk{i}"], "left")
+        flags[col] = f"__pk{i}"
+    specs = []   # (check, column, failure expression, severity)
+    for c in not_null:
+        specs.append(("not_null", c, F.count_if(F.col(c).isNull()), "error"))
+    for c in warn_not_null:
+        specs.append(("not_null", c, F.count_if(F.col(c).isNull()), "warn"))
+    for c, values in accepted.items():
+        bad = F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values), F.col(c))
+        specs.append(("accepted_values", c, F.count_distinct(bad), "error"))
+    for c, flag in flags.items():
+        specs.append(("relationships", c, F.count_if(F.col(c).isNotNull() & F.col(flag).isNull()), "error"))
+    parts = []
+    if specs:
+        one = d.agg(*[e.alias(f"__f{i}") for i, (_, _, e, _) in enumerate(specs)])
+        rows = F.array(*[F.struct(F.lit(chk).alias("check_name"), F.lit(col).alias("column_name"),
+                                  F.col(f"__f{i}").cast("bigint").alias("failures"), F.lit(sev).alias("severity"))
+                         for i, (chk, col, _, sev) in enumerate(specs)])
+        parts.append(one.select(F.inline(rows)).select(
+            F.lit(table).alias("table_name"), "check_name", "column_name", "failures", "severity",
+            _status(F.col("failures"), F.col("severity")).alias("status")))
+    parts += [check_unique(df, table, c) for c in unique]
+    parts += [check_unique_combination(df, table, list(cols)) for cols in combinations]
+    return run_checks(parts)

@@ -724,8 +724,46 @@ def check_unique_combination(spark, sf_dir):
                                    ["region_key", "date_key", "gender_key", "indicator_key"])])
 
 
+@query
+def declared_checks_staging(spark, sf_dir):
+    from indicatormart.plans.checks import staging_checks
+    return staging_checks(standin_warehouse(spark, sf_dir))
+
+
+@query
+def declared_checks_reference(spark, sf_dir):
+    from indicatormart.plans.checks import reference_checks
+    return reference_checks(standin_warehouse(spark, sf_dir))
+
+
+@query
+def fct_intl_y(spark, sf_dir):
+    """Both international facts on one key shape (country, date key, indicator, value)."""
+    wh = standin_warehouse(spark, sf_dir)
+    beds = wh.fct_beds_intl_y.select("country_name", P.year_key("year").alias("date_key"), "indicator_key", "value")
+    return union_all([beds, wh.fct_health_exp_gdp_intl_y.select("country_name", "date_key", "indicator_key", "value")])
+
+
+@query
+def mart_intl_y(spark, sf_dir):
+    wh = standin_warehouse(spark, sf_dir)
+    return union_all([wh.mart_beds_intl_y, wh.mart_health_exp_gdp_intl_y])
+
+
+# SURVEY §7.3 names of the staging shapes -> the models that have them.
+SHAPE_ALIASES = {
+    "stg_mixed_grain": "stg_dataexport",
+    "stg_wide_years": "stg_kolada",
+    "stg_wide_regions": "stg_overcrowding",
+    "stg_measures": "stg_expenditure_gdp",
+    "stg_document": "stg_population",
+    "indicator_registry": "dim_indicator",
+}
+
+
 def all_queries() -> dict[str, Query]:
     out = model_queries()
     out.update(QUERIES)
-    out["indicator_registry"] = out["dim_indicator"]
+    for alias, model in SHAPE_ALIASES.items():
+        out[alias] = out[model]
     return out

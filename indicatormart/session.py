@@ -55,9 +55,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a local one only if unset."""
+    """Return the session's checkpoint folder.
+
+    A local temporary folder is created only for local sessions (tests,
+    single-machine runs).  A cluster session without ``spark.checkpoint.dir``
+    is an error: written tables must live in a folder every executor sees.
+    """
     current = checkpoint_dir(spark)
     if not current:
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                               "distributed file system) before building models on a cluster")
         current = tempfile.mkdtemp(prefix="indicatormart-ckpt-")
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(current)

@@ -403,7 +403,46 @@ def operator_queries() -> dict[str, str]:
     return q
 
 
+def _declared_sql(tests: dict) -> str:
+    parts = []
+    for model, spec in tests.items():
+        for c in spec.get("not_null", ()):
+            parts.append(_check(model, "not_null", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS n FROM {model}",
+                                "error"))
+        for c in spec.get("warn", ()):
+            parts.append(_check(model, "not_null", c, f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS n FROM {model}",
+                                "warn"))
+        for c, values in (spec.get("accepted") or {}).items():
+            vals = ", ".join(f"'{v}'" for v in values)
+            parts.append(_check(model, "accepted_values", c,
+                                f"SELECT count(DISTINCT {c}) AS n FROM {model} WHERE {c} NOT IN ({vals})", "error"))
+        for c, (parent, pcol) in (spec.get("relationships") or {}).items():
+            parts.append(_check(model, "relationships", c,
+                                f"SELECT count(*) AS n FROM {model} ch WHERE ch.{c} IS NOT NULL AND NOT EXISTS "
+                                f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = ch.{c})", "error"))
+        for c in spec.get("unique", ()):
+            parts.append(_check(model, "unique", c,
+                                f"SELECT count(*) AS n FROM (SELECT {c} FROM {model} WHERE {c} IS NOT NULL "
+                                f"GROUP BY {c} HAVING count(*) > 1) d", "error"))
+        for cols in spec.get("combinations", ()):
+            cl = ", ".join(cols)
+            parts.append(_check(model, "unique_combination_of_columns", ",".join(cols),
+                                f"SELECT count(*) AS n FROM (SELECT 1 FROM {model} GROUP BY {cl} "
+                                f"HAVING count(*) > 1) d", "error"))
+    return with_ctes("\nUNION ALL\n".join(parts))
+
+
 def oracle_queries() -> dict[str, str]:
+    from indicatormart.plans.checks import REFERENCE_TESTS, STAGING_TESTS
+    from indicatormart.plans.entries import SHAPE_ALIASES
     out = {name: model_sql(name) for name in MODEL_NAMES}
     out.update(operator_queries())
+    out["declared_checks_staging"] = _declared_sql(STAGING_TESTS)
+    out["declared_checks_reference"] = _declared_sql(REFERENCE_TESTS)
+    out["fct_intl_y"] = with_ctes("""
+        SELECT country_name, CAST(year * 10000 + 101 AS INTEGER) AS date_key, indicator_key, value FROM fct_beds_intl_y
+        UNION ALL SELECT country_name, date_key, indicator_key, value FROM fct_health_exp_gdp_intl_y""")
+    out["mart_intl_y"] = with_ctes("SELECT * FROM mart_beds_intl_y UNION ALL SELECT * FROM mart_health_exp_gdp_intl_y")
+    for alias, model in SHAPE_ALIASES.items():
+        out[alias] = out[model]
     return out
