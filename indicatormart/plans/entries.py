@@ -30,7 +30,7 @@ from indicatormart.plans.warehouse import MODELS
 from indicatormart.sources import readers as RD
 from indicatormart.sources import schemas as S
 from indicatormart.sources import sinks as SK
-from indicatormart.sources.standins import StandIns, landed_sources, standin_warehouse
+from indicatormart.sources.standins import StandIns, landed_sources, month_name, standin_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -358,7 +358,7 @@ def spreadsheet(spark, sf_dir) -> DataFrame:
         for metric in ("Antal", "Summa"):
             headers.append(f"{y}/{SWEDISH_MONTHS[int(mo) - 1][:3]}./{metric}")
     head = F.concat(F.year("o_orderdate").cast("string"), F.lit("/"),
-                    F.substring(REF_month_name(F.month("o_orderdate")), 1, 3), F.lit("./"))
+                    F.substring(month_name(F.month("o_orderdate")), 1, 3), F.lit("./"))
     long = o.select(F.col("nm").alias("Region"), F.col("c_mktsegment").alias("Segment"), head.alias("h"),
                     "o_totalprice")
     counts = long.select("Region", "Segment", F.concat("h", F.lit("Antal")).alias("header"),
@@ -370,13 +370,6 @@ def spreadsheet(spark, sf_dir) -> DataFrame:
         F.sum(F.col("v").cast("decimal(18,2)")).cast("double"))
 
 
-def REF_month_name(m):
-    from itertools import chain
-    from indicatormart.functions.periods import SWEDISH_MONTHS
-    mp = F.create_map(*chain.from_iterable((F.lit(i + 1), F.lit(n)) for i, n in enumerate(SWEDISH_MONTHS)))
-    return mp[m]
-
-
 @query
 def stack_headers(spark, sf_dir):
     return R.stack_headers(spreadsheet(spark, sf_dir), ["Region", "Segment"])

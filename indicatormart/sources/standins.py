@@ -40,7 +40,8 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _month_name(m):
+def month_name(m):
+    """Swedish month name of a month number column."""
     mp = F.create_map(*chain.from_iterable((F.lit(i + 1), F.lit(n)) for i, n in enumerate(SWEDISH_MONTHS)))
     return mp[m]
 
@@ -192,7 +193,7 @@ class StandIns:
                     .when(F.col("k") % 3 == 0, F.concat(F.lit("Region "), "nm"))
                     .when(F.col("k") % 3 == 1, F.concat("nm", F.lit(" län")))
                     .otherwise(F.col("nm")))
-        cat = F.concat(_month_name(F.col("mo")), F.lit(" "), F.col("yr").cast("string"))
+        cat = F.concat(month_name(F.col("mo")), F.lit(" "), F.col("yr").cast("string"))
         cols = self.overcrowding_columns()
         wide = (o.select(cat.alias(S.OVERCROWDING_CATEGORY), colname.alias("__col"))
                  .groupBy(S.OVERCROWDING_CATEGORY).pivot("__col", cols).agg(F.sum(F.lit(1)).cast("string")))
@@ -266,7 +267,7 @@ class StandIns:
 
     def _ed_common(self, o: DataFrame):
         period = F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "MM"), "yyyy-MM-dd")
-        return {"Year": F.col("yr").cast("string"), "Month": _month_name(F.col("mo")), "PERIOD": period}
+        return {"Year": F.col("yr").cast("string"), "Month": month_name(F.col("mo")), "PERIOD": period}
 
     def stat_kon_alder(self) -> DataFrame:
         o = self.orders_by_nation()
