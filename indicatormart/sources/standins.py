@@ -365,9 +365,16 @@ def landed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         si = StandIns(spark, sf_dir)
+        # Raw tables arrive as many files; the test tables are single-row-group files, so the
+        # landed copies are spread over one file per core to give later scans parallel splits.
+        n = max(1, spark.sparkContext.defaultParallelism)
+
+        def land(df: DataFrame, name: str) -> DataFrame:
+            return materialize(df.repartition(n), name)
+
         # the two base joins feed ten extracts: write them once, derive from the files
-        si.land_bases(materialize)
-        _LANDED[key] = {name: materialize(df, f"raw_{name.lower()}") for name, df in si.all().items()}
+        si.land_bases(land)
+        _LANDED[key] = {name: land(df, f"raw_{name.lower()}") for name, df in si.all().items()}
     return _LANDED[key]
 
 
