@@ -136,39 +136,59 @@ class Warehouse:
     @cached_property
     def fct_beds_intl_y(self):
         return self._fact(R.fct_beds_intl_y(self.stg_beds_intl, self.dim_indicator), "fct_beds_intl_y")
+
     @cached_property
     def fct_capacity_yearly(self):
-        return self._fact(R.fct_capacity_yearly(self.stg_beds_region, self.stg_medical_personnel, self.stg_population,
-                                     self.stg_net_cost, self.dim_region, self.dim_indicator), "fct_capacity_yearly")
+        f = R.fct_capacity_yearly(self.stg_beds_region, self.stg_medical_personnel, self.stg_population,
+                                  self.stg_net_cost, self.dim_region, self.dim_indicator)
+        return self._fact(f, "fct_capacity_yearly")
+
     @cached_property
     def fct_ed_time_by_diagnosis_m(self):
-        return self._fact(R.fct_ed_time_by_diagnosis_m(self.stg_tid_diagnos, self.dim_region, self.dim_indicator), "fct_ed_time_by_diagnosis_m")
+        f = R.fct_ed_time_by_diagnosis_m(self.stg_tid_diagnos, self.dim_region, self.dim_indicator)
+        return self._fact(f, "fct_ed_time_by_diagnosis_m")
+
     @cached_property
     def fct_health_exp_gdp_intl_y(self):
-        return self._fact(R.fct_health_exp_gdp_intl_y(self.stg_health_exp_gdp_intl, self.dim_indicator), "fct_health_exp_gdp_intl_y")
+        f = R.fct_health_exp_gdp_intl_y(self.stg_health_exp_gdp_intl, self.dim_indicator)
+        return self._fact(f, "fct_health_exp_gdp_intl_y")
+
     @cached_property
     def fct_kolada_y(self):
-        return self._fact(R.fct_kolada_y(self.stg_kolada, self.dim_region, self.dim_gender, self.dim_indicator,
-                              self.options.kpi_aliases), "fct_kolada_y")
+        f = R.fct_kolada_y(self.stg_kolada, self.dim_region, self.dim_gender, self.dim_indicator,
+                           self.options.kpi_aliases)
+        return self._fact(f, "fct_kolada_y")
+
     @cached_property
     def fct_overcrowding_monthly(self):
-        return self._fact(R.fct_overcrowding_monthly(self.stg_overcrowding, self.dim_region, self.dim_indicator,
-                                          self.options.overcrowding_aliases), "fct_overcrowding_monthly")
+        f = R.fct_overcrowding_monthly(self.stg_overcrowding, self.dim_region, self.dim_indicator,
+                                       self.options.overcrowding_aliases)
+        return self._fact(f, "fct_overcrowding_monthly")
+
     @cached_property
     def fct_performance_monthly(self):
-        return self._fact(R.fct_performance_monthly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator), "fct_performance_monthly")
+        f = R.fct_performance_monthly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator)
+        return self._fact(f, "fct_performance_monthly")
+
     @cached_property
     def fct_performance_yearly(self):
-        return self._fact(R.fct_performance_yearly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator), "fct_performance_yearly")
+        f = R.fct_performance_yearly(self.stg_dataexport, self.dim_region, self.dim_gender, self.dim_indicator)
+        return self._fact(f, "fct_performance_yearly")
+
     @cached_property
     def ref_physicians_per_1000_y(self):
-        return self._fact(R.ref_physicians_per_1000_y(self.stg_physicians_per1000, self.dim_region, self.dim_indicator), "ref_physicians_per_1000_y")
+        f = R.ref_physicians_per_1000_y(self.stg_physicians_per1000, self.dim_region, self.dim_indicator)
+        return self._fact(f, "ref_physicians_per_1000_y")
+
     @cached_property
-    def fct_physicians_per_1000_y(self): return R.fct_physicians_per_1000_y(self.ref_physicians_per_1000_y)
+    def fct_physicians_per_1000_y(self):
+        return R.fct_physicians_per_1000_y(self.ref_physicians_per_1000_y)
+
     @cached_property
     def fct_visits_by_gender_age_m(self):
-        return self._fact(R.fct_visits_by_gender_age_m(self.stg_tid_konalder, self.dim_region, self.dim_gender,
-                                            self.dim_age_group, self.dim_indicator, self.options.visits_aliases), "fct_visits_by_gender_age_m")
+        f = R.fct_visits_by_gender_age_m(self.stg_tid_konalder, self.dim_region, self.dim_gender,
+                                         self.dim_age_group, self.dim_indicator, self.options.visits_aliases)
+        return self._fact(f, "fct_visits_by_gender_age_m")
 
     # marts
     @cached_property

@@ -154,3 +154,16 @@ def test_select_codes_and_best_match(spark):
     assert [r.id for r in best.collect()] == [2]
     renamed = SEL.canonicalize_columns(df.withColumnRenamed("y", "the_year"), {"code": ["C"], "year": ["YEAR"]})
     assert renamed.columns == ["code", "year"]   # exact (any case) first, then containment
+
+
+def test_read_documents_typed_and_variant(spark, tmp_path):
+    import json
+    from indicatormart.sources.readers import read_documents
+    doc = {"columns": [{"code": "Tid"}, {"code": "Region"}], "data": [{"key": ["2024", "01"], "values": ["5"]}]}
+    (tmp_path / "a.json").write_text(json.dumps(doc, indent=2))
+    (tmp_path / "b.txt").write_text("not a document")
+    typed = read_documents(spark, str(tmp_path), schema=S.PXWEB_SCHEMA, glob="*.json")
+    assert rows(D.flatten_pxweb(typed, {"r": "Region", "y": "Tid"})) == [("01", "2024", "5")]
+    var = read_documents(spark, str(tmp_path), glob="*.json")
+    code = var.select(F.variant_get(F.col("payload"), "$.data[0].key[1]", "string").alias("c")).first().c
+    assert code == "01"
