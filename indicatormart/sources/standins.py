@@ -358,9 +358,14 @@ _LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _WAREHOUSES: dict[tuple[str, str], object] = {}
 
 
+# Extracts that aggregate their inputs are written; the others are narrow projections of the
+# landed base joins (or of small tables) and stay lazy.
+AGGREGATED_EXTRACTS = ("SCB_POPULATION_RAW", "OVERCROWDING_RAW", "EXPENDITURE_GDP_RAW")
+
+
 def landed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The 14 raw extracts written once per session as parquet under the
-    shared checkpoint folder (the RAW layer the staging models read)."""
+    """The 14 raw extracts over base joins written once per session as parquet
+    under the shared checkpoint folder (the RAW layer the staging models read)."""
     from indicatormart.sources.sinks import materialize
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
@@ -374,7 +379,8 @@ def landed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
         # the two base joins feed ten extracts: write them once, derive from the files
         si.land_bases(land)
-        _LANDED[key] = {name: land(df, f"raw_{name.lower()}") for name, df in si.all().items()}
+        _LANDED[key] = {name: (land(df, f"raw_{name.lower()}") if name in AGGREGATED_EXTRACTS else df)
+                        for name, df in si.all().items()}
     return _LANDED[key]
 
 
