@@ -16,13 +16,19 @@ from pyspark.sql.types import StringType
 from indicatormart.functions._util import as_col, ColumnOrName
 
 
-def explode_features(df: DataFrame, payload: str = "payload") -> DataFrame:
+def _spread(df: DataFrame, n: int | None) -> DataFrame:
+    """Round-robin the exploded rows over ``n`` partitions (one large document
+    is read by one task; its rows need not stay there)."""
+    return df.repartition(n) if n else df
+
+
+def explode_features(df: DataFrame, payload: str = "payload", spread: int | None = None) -> DataFrame:
     """GeoJSON FeatureCollection -> one row per feature: ``props``, ``geom``.
 
     ``geom`` is the geometry as GeoJSON text (a string geometry is kept as is).
     Documents without features produce no rows.
     """
-    feats = df.select(F.explode(F.col(f"{payload}.features")).alias("f"))
+    feats = _spread(df.select(F.explode(F.col(f"{payload}.features")).alias("f")), spread)
     geom_type = feats.schema["f"].dataType["geometry"].dataType
     geom = F.col("f.geometry") if isinstance(geom_type, StringType) else F.to_json(F.col("f.geometry"))
     return feats.select(F.col("f.properties").alias("props"), geom.alias("geom"))
@@ -35,7 +41,7 @@ def key_position(columns: Column, code: str) -> Column:
 
 
 def flatten_pxweb(df: DataFrame, codes: dict[str, str], payload: str = "payload",
-                  value_index: int = 0, value_col: str = "obs_raw") -> DataFrame:
+                  value_index: int = 0, value_col: str = "obs_raw", spread: int | None = None) -> DataFrame:
     """PXWeb matrix (``columns[]``, ``data[{key[], values[]}]``) -> rows.
 
     ``codes`` maps output column -> variable code; each key position is looked
@@ -43,8 +49,8 @@ def flatten_pxweb(df: DataFrame, codes: dict[str, str], payload: str = "payload"
     documents).  Missing codes or short keys give NULL, not an error.
     """
     positions = {out: key_position(F.col(f"{payload}.columns"), code) for out, code in codes.items()}
-    base = df.select(*[p.alias(f"__pos_{out}") for out, p in positions.items()],
-                     F.explode(F.col(f"{payload}.data")).alias("d"))
+    base = _spread(df.select(*[p.alias(f"__pos_{out}") for out, p in positions.items()],
+                             F.explode(F.col(f"{payload}.data")).alias("d")), spread)
     outs = [F.get(F.col("d.key"), F.col(f"__pos_{out}") - 1).cast("string").alias(out) for out in codes]
     return base.select(*outs, F.get(F.col("d.values"), F.lit(value_index)).cast("string").alias(value_col))
 

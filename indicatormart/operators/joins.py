@@ -21,8 +21,11 @@ from pyspark.sql import functions as F
 from indicatormart.functions._util import as_col, ColumnOrName
 from indicatormart.functions.keys import surrogate_key
 
-# A dimension with at most this many rows is broadcast to every task.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+# A dimension with at most this many rows is broadcast to every task.  Lookups
+# project the dimension to its key and the taken columns first, so 500k rows
+# stay in the tens of MB; the dimensions of this warehouse hold tens to
+# thousands of rows (regions, genders, age groups, months, indicators).
+DEFAULT_BROADCAST_ROWS = 500_000
 
 
 _SMALL: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
@@ -106,6 +109,22 @@ def resolve_key(fact: DataFrame, dim: DataFrame, fact_col: ColumnOrName, dim_col
                   how="left" if keep_unmatched else "inner")
 
 
+def constant_lookup(dim: DataFrame, match: dict[str, object], take: str) -> Column:
+    """``take`` of the single ``dim`` row whose columns equal constants (NULL if
+    none), as a scalar subquery: looked up once per query, no join at all.
+
+    For facts whose lookup keys are constants (a source that tags every row
+    with one system and code); an equi-join on literals would be folded into
+    a filter and planned as a nested-loop join.  ``dim`` must be unique on the
+    matched columns (a second match raises).
+    """
+    cond = None
+    for c, v in match.items():
+        e = F.col(c) == F.lit(v)
+        cond = e if cond is None else cond & e
+    return dim.filter(cond).select(take).scalar()
+
+
 def resolve_indicator(fact: DataFrame, dim: DataFrame, system_col: ColumnOrName = "source_system",
                       code_col: ColumnOrName = "source_indicator_code", normalize: bool = False,
                       out: str = "indicator_key") -> DataFrame:

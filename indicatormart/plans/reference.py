@@ -18,6 +18,7 @@ from indicatormart.functions import text as T
 from indicatormart.operators import joins as J
 from indicatormart.operators.grain import dedupe, month_spine
 from indicatormart.operators.setops import union_all, union_distinct
+from indicatormart.plans.staging import BEDS_INTL_TAG, HEALTH_EXP_TAG, OVERCROWDING_TAG, PHYSICIANS_TAG
 from indicatormart.sources.sinks import export_region_geojson
 
 # The gender dimension (code, name).
@@ -137,10 +138,8 @@ def indicator_union(stg: dict[str, DataFrame]) -> DataFrame:
         _constant_row(stg["stg_population"], "SCB", "POPULATION", "Population", None),
         _registry_rows(stg["stg_net_cost"], "YEAR"),
         _registry_rows(stg["stg_kolada"], "YEAR", unit=None),
-        _constant_row(stg["stg_physicians_per1000"], "OECD_HEALTH", "PHYSICIANS_PER_1000",
-                      "Doctors per 1000 inhabitants", "Per 1000 inhabitants"),
-        _constant_row(stg["stg_health_exp_gdp_intl"], "OECD_HEALTH", "HEALTH_EXPENDITURE_PCT_GDP",
-                      "Health expenditure (% of GDP)", "% of GDP"),
+        _constant_row(stg["stg_physicians_per1000"], *PHYSICIANS_TAG, "Per 1000 inhabitants"),
+        _constant_row(stg["stg_health_exp_gdp_intl"], *HEALTH_EXP_TAG, "% of GDP"),
         _registry_rows(stg["stg_expenditure_gdp"], "YEAR"),
     ]
     return union_distinct(branches)
@@ -171,10 +170,16 @@ def dim_indicator(stg: dict[str, DataFrame], taxonomy: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- facts
 
+def tagged_indicator_key(dim_ind: DataFrame, tag: Sequence[str]):
+    """Indicator key of a single-indicator source (its rows all carry ``tag``):
+    one scalar lookup in the registry, which is unique on (system, code)."""
+    return J.constant_lookup(dim_ind, {"source_system": tag[0], "source_indicator_code": tag[1]}, "indicator_key")
+
+
 def fct_beds_intl_y(stg_beds_intl: DataFrame, dim_ind: DataFrame) -> DataFrame:
-    f = J.resolve_indicator(stg_beds_intl, dim_ind)
-    return f.select("country_name", F.col("year").cast("int").alias("year"), "indicator_key",
-                    F.col("value").cast("double").alias("value"), "unit")
+    return stg_beds_intl.select("country_name", F.col("year").cast("int").alias("year"),
+                                tagged_indicator_key(dim_ind, BEDS_INTL_TAG).alias("indicator_key"),
+                                F.col("value").cast("double").alias("value"), "unit")
 
 
 def fct_capacity_yearly(stg_beds_region: DataFrame, stg_medical_personnel: DataFrame,
@@ -223,9 +228,9 @@ def fct_ed_time_by_diagnosis_m(stg_tid_diagnos: DataFrame, dim_reg: DataFrame, d
 
 
 def fct_health_exp_gdp_intl_y(stg_health: DataFrame, dim_ind: DataFrame) -> DataFrame:
-    f = J.resolve_indicator(stg_health, dim_ind)
-    return f.select("country_name", P.year_key("year").alias("date_key"), "indicator_key", "value") \
-            .filter(F.col("date_key").isNotNull())
+    return stg_health.select("country_name", P.year_key("year").alias("date_key"),
+                             tagged_indicator_key(dim_ind, HEALTH_EXP_TAG).alias("indicator_key"), "value") \
+                     .filter(F.col("date_key").isNotNull())
 
 
 def _name_resolved(src: DataFrame, dim_reg: DataFrame, aliases: Sequence[tuple[str, str]]) -> DataFrame:
@@ -261,8 +266,8 @@ def fct_overcrowding_monthly(stg_overcrowding: DataFrame, dim_reg: DataFrame, di
     s = stg_overcrowding.withColumn(
         "__name_norm", T.region_name_norm(J.alias_lookup("region_name", aliases, case_insensitive=True)))
     f = J.lookup(s, dim_reg, [F.col("__name_norm")], [T.region_name_norm("region_name")], ["region_key"])
-    f = J.resolve_indicator(f, dim_ind)
-    return f.select("region_key", P.month_key("period_month").alias("date_key"), "indicator_key",
+    return f.select("region_key", P.month_key("period_month").alias("date_key"),
+                    tagged_indicator_key(dim_ind, OVERCROWDING_TAG).alias("indicator_key"),
                     F.col("value").cast("double").alias("value"))
 
 
@@ -294,14 +299,14 @@ def fct_performance_yearly(stg_dataexport: DataFrame, dim_reg: DataFrame, dim_ge
 def ref_physicians_per_1000_y(stg_physicians: DataFrame, dim_reg: DataFrame, dim_ind: DataFrame) -> DataFrame:
     s = stg_physicians.select(
         "region_name", "year", F.col("value").cast("double").alias("value"),
-        F.lit("OECD_HEALTH").alias("source_system"),
-        F.lit("PHYSICIANS_PER_1000").alias("source_indicator_code"),
-        F.lit("Doctors per 1000 inhabitants").alias("indicator_name"),
+        F.lit(PHYSICIANS_TAG[0]).alias("source_system"),
+        F.lit(PHYSICIANS_TAG[1]).alias("source_indicator_code"),
+        F.lit(PHYSICIANS_TAG[2]).alias("indicator_name"),
         F.lit("Per 1000 inhabitants").alias("unit"))
     m = J.resolve_key(s, dim_reg, "region_name", "region_name", "region_key", normalize=F.upper,
                       keep_unmatched=False)
-    m = m.withColumn("date_key", P.year_key("year"))
-    m = J.resolve_indicator(m, dim_ind)
+    m = m.withColumns({"date_key": P.year_key("year"),
+                       "indicator_key": tagged_indicator_key(dim_ind, PHYSICIANS_TAG)})
     return m.select("region_key", "date_key", "year", "indicator_key", "value", "source_system",
                     "source_indicator_code", "indicator_name", "unit")
 

@@ -43,6 +43,12 @@ EXPENDITURE_MEASURES = (
     ("BNP relationstal, procent", "health_exp_share_pct", "Hälso-/sjukvård som andel av BNP", "percent"),
 )
 
+# Lineage tags (system, code, name) of the single-indicator sources.
+BEDS_INTL_TAG = ("OECD_HEALTH", "beds_per_1000_population", "Hospital beds per 1,000 inhabitants")
+HEALTH_EXP_TAG = ("OECD_HEALTH", "HEALTH_EXPENDITURE_PCT_GDP", "Health expenditure (% of GDP)")
+OVERCROWDING_TAG = ("OVERCROWDING", "displaced_patients", "Overcrowding & displaced patients")
+PHYSICIANS_TAG = ("OECD_HEALTH", "PHYSICIANS_PER_1000", "Doctors per 1000 inhabitants")
+
 # Wide-by-region column needing a special name.
 OVERCROWDING_SPECIAL_NAMES = {"Västra Götalandsregionen": "Västra Götaland"}
 
@@ -55,9 +61,9 @@ def stg_beds_intl(raw: DataFrame) -> DataFrame:
                 F.trim(_c("REF_AREA")).alias("country_code"),
                 F.trim(_c("Reference area")).alias("country_name"),
                 N.strict_int(_c("TIME_PERIOD")).alias("year"),
-                F.lit("OECD_HEALTH").alias("source_system"),
-                F.lit("beds_per_1000_population").alias("source_indicator_code"),
-                F.lit("Hospital beds per 1,000 inhabitants").alias("indicator_name"),
+                F.lit(BEDS_INTL_TAG[0]).alias("source_system"),
+                F.lit(BEDS_INTL_TAG[1]).alias("source_indicator_code"),
+                F.lit(BEDS_INTL_TAG[2]).alias("indicator_name"),
                 T.blank_to_null(_c("Unit of measure")).alias("unit"),
                 N.strict_double(_c("OBS_VALUE")).alias("value"))
             .filter(F.col("year").isNotNull()))
@@ -158,9 +164,9 @@ def stg_health_exp_gdp_intl(raw: DataFrame) -> DataFrame:
     )
     return PR.require(src, "country_name", "year").select(
         "country_name", "year", "value",
-        F.lit("OECD_HEALTH").alias("source_system"),
-        F.lit("HEALTH_EXPENDITURE_PCT_GDP").alias("source_indicator_code"),
-        F.lit("Health expenditure (% of GDP)").alias("indicator_name"),
+        F.lit(HEALTH_EXP_TAG[0]).alias("source_system"),
+        F.lit(HEALTH_EXP_TAG[1]).alias("source_indicator_code"),
+        F.lit(HEALTH_EXP_TAG[2]).alias("indicator_name"),
         "unit",
     )
 
@@ -270,9 +276,9 @@ def stg_overcrowding(raw: DataFrame, region_cols: Sequence[str] | None = None,
     )
     return PR.require(cleaned, "year", "month_no", "period_month", "region_name", "value").select(
         "year", "month_no", "period_month", "region_name", "value",
-        F.lit("OVERCROWDING").alias("source_system"),
-        F.lit("displaced_patients").alias("source_indicator_code"),
-        F.lit("Overcrowding & displaced patients").alias("indicator_name"),
+        F.lit(OVERCROWDING_TAG[0]).alias("source_system"),
+        F.lit(OVERCROWDING_TAG[1]).alias("source_indicator_code"),
+        F.lit(OVERCROWDING_TAG[2]).alias("indicator_name"),
         F.lit("MONTH").alias("period_granularity"),
         F.lit("ALL").alias("gender"),
     )
