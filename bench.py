@@ -7,7 +7,8 @@ and prints ONE JSON line.  Timings per key:
 * reference layer: each dimension and fact table is built once and written
   (as the modelled warehouse materializes its REF tables), staging included;
 * marts: each mart computed from the written REF tables (noop sink);
-* operators: a set of operator queries run from the raw tables.
+* operators: a set of operator queries run from the raw tables, and the declared data tests
+  run over the built warehouse.
 
 ``value`` is the sum of all timings (one untimed warm-up job runs first).
 """
@@ -27,7 +28,8 @@ from indicatormart.plans.warehouse import MARTS, REFERENCE  # noqa: E402
 from indicatormart.sources.standins import landed_sources, standin_warehouse  # noqa: E402
 
 OPERATOR_KEYS = ("prefer_finer_grain", "dedupe_grain", "stack_headers", "pivot_metrics", "best_match",
-                 "month_spine", "resolve_key_name", "unpivot_drop_nulls", "check_unique_combination")
+                 "month_spine", "resolve_key_name", "unpivot_drop_nulls", "check_unique_combination",
+                 "declared_checks_staging", "declared_checks_reference")
 
 
 def _run(df) -> None:
