@@ -69,6 +69,13 @@ class Warehouse:
             raise KeyError(name)
         return getattr(self, name)
 
+    def use(self, name: str, df: DataFrame) -> None:
+        """Serve model ``name`` from ``df`` (e.g. its published table) for every
+        model built after this call."""
+        if name not in MODELS:
+            raise KeyError(name)
+        self.__dict__[name] = df
+
     def _stg(self, df: DataFrame, name: str) -> DataFrame:
         """Staging models are views; the ones listed in ``materialize_staging``
         (shuffle-heavy and read by several models) are written once instead."""

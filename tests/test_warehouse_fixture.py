@@ -133,3 +133,11 @@ def test_declared_checks(wh):
     assert ref[("dim_region", "unique", "region_key")] == "pass"
     assert ref[("fct_kolada_y", "unique_combination_of_columns", "region_key,year,gender_key,indicator_key")] == "pass"
     assert len(stg) == 34 and len(ref) == 81
+
+
+def test_build_publishes_every_model(spark, wh, tmp_path):
+    from indicatormart.plans.build import build_warehouse
+    out = build_warehouse(wh, str(tmp_path / "lake"), ref_database="im_fixture_ref")
+    assert len(out) == len(MODELS)
+    assert spark.table("im_fixture_ref.fct_kolada_y").count() == 6
+    assert spark.sql("SELECT count(*) AS n FROM mart_resources_yearly").first().n > 0
