@@ -177,20 +177,24 @@ def year_columns(df: DataFrame) -> list[str]:
 
 
 def stg_kolada(raw: DataFrame, year_cols: Sequence[str] | None = None) -> DataFrame:
-    """Wide KPI table: one column per year -> rows, NULL cells dropped."""
+    """Wide KPI table: one column per year -> rows, NULL cells dropped.
+
+    The region name is cleaned (and aggregate rows dropped) on the wide row,
+    before the unpivot multiplies rows by the number of year columns.
+    """
     years = list(year_cols) if year_cols is not None else year_columns(raw)
+    region = F.when(_c("Område").ilike("Alla regioner%"), NULL_STR()).otherwise(T.clean_kpi_region(_c("Område")))
     prepared = raw.select(
         _c("Område").alias("region_name_raw"),
+        region.alias("region_name"),
         _c("Kön").alias("gender_raw"),
         _c("NYCKELTALSID").alias("indicator_code"),
         _c("NYCKELTAL").alias("indicator_name"),
         *[N.strict_double(_c(y)).alias(y) for y in years],
-    )
-    long = R.unpivot_years(prepared, ["region_name_raw", "gender_raw", "indicator_code", "indicator_name"],
-                           years)
-    region = F.when(F.col("region_name_raw").ilike("Alla regioner%"), NULL_STR()) \
-              .otherwise(T.clean_kpi_region("region_name_raw"))
-    return long.withColumn("region_name", region).filter(F.col("region_name").isNotNull()).select(
+    ).filter(F.col("region_name").isNotNull())
+    long = R.unpivot_years(prepared, ["region_name_raw", "region_name", "gender_raw", "indicator_code",
+                                      "indicator_name"], years)
+    return long.select(
         "region_name_raw", "region_name", "year",
         F.lit("KOLADA").alias("source_system"),
         T.trim_lower("indicator_code").alias("source_indicator_code"),
