@@ -154,7 +154,7 @@ def export_region_geojson(spark, sf_dir):
 @query
 def load_audit(spark, sf_dir):
     stg = standin_warehouse(spark, sf_dir).stg_kolada
-    return RD.load_audit(stg, ["source_indicator_code"], "region_name")
+    return RD.load_audit(stg, ["source_indicator_code"], "region_name", as_of=F.max("year"))
 
 
 # ---------------------------------------------------------------- predicates

@@ -58,11 +58,16 @@ def rename_columns(df: DataFrame, mapping: dict[str, str], keep_others: bool = F
     return df.select(*cols)
 
 
-def load_audit(df: DataFrame, series_cols: Sequence[str], region_col: str) -> DataFrame:
-    """One-row load record: rows, distinct series, distinct regions, load time."""
+def load_audit(df: DataFrame, series_cols: Sequence[str], region_col: str, as_of=None) -> DataFrame:
+    """One-row load record: rows, distinct series, distinct regions, load stamp.
+
+    The stamp is the load time (``current_timestamp()``) unless ``as_of`` gives
+    an aggregate over the data (e.g. ``F.max("year")``) for a reproducible record.
+    """
+    stamp = F.current_timestamp() if as_of is None else as_of
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_distinct(*[F.col(c) for c in series_cols]).alias("series_count"),
         F.count_distinct(F.col(region_col)).alias("region_count"),
-        F.current_timestamp().alias("loaded_at"),
+        stamp.alias("loaded_at"),
     )

@@ -79,6 +79,10 @@ def operator_queries() -> dict[str, str]:
                              FROM customer GROUP BY c_nationkey"""
     q["csv_roundtrip"] = "SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem"
     q["export_region_geojson"] = model_sql("dim_region_geojson")
+    q["load_audit"] = with_ctes("""
+        SELECT count(*) AS row_count, count(DISTINCT source_indicator_code) AS series_count,
+               count(DISTINCT region_name) AS region_count, max(year) AS loaded_at
+        FROM stg_kolada""")
     # predicates
     q["tag_source"] = """SELECT o_orderkey, 'TPCH' AS source_system, 'orders' AS source_indicator_code,
                                 'Orders' AS indicator_name, 'MONTH' AS period_granularity FROM orders"""
