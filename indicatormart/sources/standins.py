@@ -58,6 +58,7 @@ class StandIns:
         self.spark = spark
         self.sf_dir = sf_dir
         self._bases: dict[str, DataFrame] = {}
+        self._tables: dict[str, DataFrame] = {}
 
     def land_bases(self, write) -> None:
         """Replace the order and line base joins by written copies (``write``
@@ -66,7 +67,10 @@ class StandIns:
                        "lines": write(self.lines_by_nation(), "base_lines")}
 
     def table(self, name: str) -> DataFrame:
-        return _t(self.spark, self.sf_dir, name)
+        """One DataFrame per table, so a size check on it is made once."""
+        if name not in self._tables:
+            self._tables[name] = _t(self.spark, self.sf_dir, name)
+        return self._tables[name]
 
     def orders_by_nation(self) -> DataFrame:
         if "orders" in self._bases:
@@ -74,9 +78,10 @@ class StandIns:
         o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                         "o_orderdate", "o_orderpriority")
         c = self.table("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-        n = self.table("nation").select(F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey"))
+        nation = self.table("nation")
+        n = nation.select(F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey"))
         return (o.join(c, o.o_custkey == c.c_custkey)
-                 .join(checked_broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+                 .join(checked_broadcast(n, base=nation), F.col("c_nationkey") == F.col("n_nationkey"))
                  .withColumns({"k": F.col("c_nationkey"), "nm": F.col("n_name"),
                                "yr": F.year("o_orderdate"), "mo": F.month("o_orderdate")}))
 
@@ -85,10 +90,11 @@ class StandIns:
             return self._bases["lines"]
         li = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity",
                                            "l_returnflag", "l_linestatus", "l_shipdate")
-        s = self.table("supplier").select("s_suppkey", "s_nationkey")
-        n = self.table("nation").select("n_nationkey", "n_name")
-        return (li.join(checked_broadcast(s), li.l_suppkey == s.s_suppkey)
-                  .join(checked_broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"))
+        supplier, nation = self.table("supplier"), self.table("nation")
+        s = supplier.select("s_suppkey", "s_nationkey")
+        n = nation.select("n_nationkey", "n_name")
+        return (li.join(checked_broadcast(s, base=supplier), li.l_suppkey == s.s_suppkey)
+                  .join(checked_broadcast(n, base=nation), F.col("s_nationkey") == F.col("n_nationkey"))
                   .withColumns({"k": F.col("s_nationkey"), "nm": F.col("n_name"),
                                 "yr": F.year("l_shipdate")}))
 
@@ -304,7 +310,7 @@ class StandIns:
     def physicians(self) -> DataFrame:
         c = self.table("customer").select("c_custkey", "c_nationkey", "c_acctbal")
         n = self.table("nation").select("n_nationkey", "n_name")
-        j = c.join(checked_broadcast(n), c.c_nationkey == n.n_nationkey)
+        j = c.join(checked_broadcast(n, base=self.table("nation")), c.c_nationkey == n.n_nationkey)
         return j.select(
             F.when(F.col("c_custkey") % 2 == 0, F.lower("n_name")).otherwise(F.col("n_name")).alias("REGION_NAME"),
             (F.lit(1995) + F.col("c_custkey") % 7).cast("string").alias("YEAR"),
@@ -314,8 +320,8 @@ class StandIns:
         s = self.table("supplier").select("s_suppkey", "s_nationkey")
         n = self.table("nation").select("n_nationkey", "n_regionkey")
         r = self.table("region").select("r_regionkey", "r_name")
-        j = (s.join(checked_broadcast(n), s.s_nationkey == n.n_nationkey)
-              .join(checked_broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")))
+        j = (s.join(checked_broadcast(n, base=self.table("nation")), s.s_nationkey == n.n_nationkey)
+              .join(checked_broadcast(r, base=self.table("region")), F.col("n_regionkey") == F.col("r_regionkey")))
         obs = F.concat((F.col("s_suppkey") % 100).cast("string"), F.lit(","),
                        F.lpad(((F.col("s_suppkey") * 7) % 1000).cast("string"), 3, "0"))
         return j.select(
