@@ -104,3 +104,14 @@ def test_safe_ratio_and_strict_least(spark):
     assert [r.o for r in df.select(N.safe_ratio("n", "d").alias("o")).collect()] == [None, None, 2500.0]
     df2 = spark.createDataFrame([(1, None), (1, 2)], "a int, b int")
     assert [r.o for r in df2.select(P.least_strict("a", "b").alias("o")).collect()] == [None, 1]
+
+
+def test_strict_casts_fail_on_bad_input_under_ansi(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+    assert col_values(spark, N.strict_int, ["12.5", "7"]) == [13, 7]
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        col_values(spark, N.strict_int, ["abc"])
+    with pytest.raises((PySparkException, Py4JJavaError)):
+        col_values(spark, N.strict_double, ["1,5"])

@@ -167,3 +167,12 @@ def test_read_documents_typed_and_variant(spark, tmp_path):
     var = read_documents(spark, str(tmp_path), glob="*.json")
     code = var.select(F.variant_get(F.col("payload"), "$.data[0].key[1]", "string").alias("c")).first().c
     assert code == "01"
+
+
+def test_registry_calendar_strict_nulls(spark):
+    from indicatormart.plans import reference as REF
+    a = spark.createDataFrame([(dt.date(2024, 1, 5),)], "period_month date")
+    b = spark.createDataFrame([(dt.date(2024, 3, 1),)], "period_date date")
+    empty = spark.createDataFrame([], "period_month date")
+    assert REF.dim_date(a, empty, b, a).count() == 3
+    assert REF.dim_date(a, empty, b, a, strict_nulls=True).count() == 0   # one empty source empties it
