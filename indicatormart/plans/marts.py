@@ -20,7 +20,7 @@ from indicatormart.operators.predicates import classify, filter_topic
 from indicatormart.operators.reshape import pivot_roles
 from indicatormart.operators.setops import union_all
 
-# Care-guarantee KPI codes (median days) shown in the yearly access mart.
+# Waiting-time guarantee KPI codes (median days) shown in the yearly access mart.
 ACCESS_KPI_CODES = ("n79241", "n79240", "n79242", "n79243")
 
 # Whole-string patterns used to classify indicators.

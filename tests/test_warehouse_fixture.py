@@ -97,7 +97,7 @@ def test_name_resolution_with_default_aliases(wh):
                                   ("Västra Götaland", 2024, 7.0)])
     overc = sorted((names.get(r.region_key), r.value) for r in wh.fct_overcrowding_monthly.collect())
     assert overc == [("Jönköping", 3.0), ("Stockholm", 5.0), ("Södermanland", 2.0), ("Västra Götaland", 9.0)]
-    assert wh.mart_access_yearly.count() == 6   # all four care-guarantee codes are WAITING_TIME in the seed
+    assert wh.mart_access_yearly.count() == 6   # all four guarantee codes are WAITING_TIME in the seed
 
 
 def test_resources_mart(wh):
