@@ -1,5 +1,5 @@
-"""The data tests declared for the models, run as Spark jobs (``dbt test``-style
-runtime checks over a built warehouse)."""
+"""The data tests declared for the models, run as Spark jobs over a built
+warehouse (the test step that follows a build)."""
 
 from __future__ import annotations
 
