@@ -11,7 +11,7 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType, VariantType
 
 from indicatormart.functions._util import as_col, ColumnOrName
 
@@ -22,12 +22,39 @@ def _spread(df: DataFrame, n: int | None) -> DataFrame:
     return df.repartition(n) if n else df
 
 
+def is_variant(df: DataFrame, col: str) -> bool:
+    """True when ``col`` holds VARIANT (a document read without a schema)."""
+    return isinstance(df.schema[col].dataType, VariantType)
+
+
+def typed(df: DataFrame, payload: str, schema: StructType) -> DataFrame:
+    """A VARIANT payload cast to ``schema`` (missing or mistyped fields -> NULL);
+    a struct payload is returned unchanged."""
+    if not is_variant(df, payload):
+        return df
+    return df.withColumn(payload, F.try_variant_get(F.col(payload), "$", schema.simpleString()))
+
+
+def prop(df: DataFrame, props: str, name: str, to: str = "string") -> Column:
+    """Field ``name`` of a properties column that is a struct or a VARIANT."""
+    if is_variant(df, props):
+        return F.try_variant_get(F.col(props), f"$.{name}", to)
+    return F.col(f"{props}.{name}").cast(to)
+
+
 def explode_features(df: DataFrame, payload: str = "payload", spread: int | None = None) -> DataFrame:
     """GeoJSON FeatureCollection -> one row per feature: ``props``, ``geom``.
 
     ``geom`` is the geometry as GeoJSON text (a string geometry is kept as is).
-    Documents without features produce no rows.
+    Documents without features produce no rows.  A VARIANT payload keeps
+    ``props`` as VARIANT (any property set) and serialises the geometry from
+    VARIANT (object keys then come out sorted).
     """
+    if is_variant(df, payload):
+        feats = df.select(F.explode(F.try_variant_get(F.col(payload), "$.features", "array<variant>")).alias("f"))
+        feats = _spread(feats, spread)
+        return feats.select(F.try_variant_get(F.col("f"), "$.properties", "variant").alias("props"),
+                            F.to_json(F.try_variant_get(F.col("f"), "$.geometry", "variant")).alias("geom"))
     feats = _spread(df.select(F.explode(F.col(f"{payload}.features")).alias("f")), spread)
     geom_type = feats.schema["f"].dataType["geometry"].dataType
     geom = F.col("f.geometry") if isinstance(geom_type, StringType) else F.to_json(F.col("f.geometry"))
@@ -46,8 +73,11 @@ def flatten_pxweb(df: DataFrame, codes: dict[str, str], payload: str = "payload"
 
     ``codes`` maps output column -> variable code; each key position is looked
     up in the same document's ``columns`` (so column order may differ between
-    documents).  Missing codes or short keys give NULL, not an error.
+    documents).  Missing codes or short keys give NULL, not an error.  A
+    VARIANT payload is cast to the matrix shape first.
     """
+    from indicatormart.sources.schemas import PXWEB_SCHEMA
+    df = typed(df, payload, PXWEB_SCHEMA)
     positions = {out: key_position(F.col(f"{payload}.columns"), code) for out, code in codes.items()}
     base = _spread(df.select(*[p.alias(f"__pos_{out}") for out, p in positions.items()],
                              F.explode(F.col(f"{payload}.data")).alias("d")), spread)

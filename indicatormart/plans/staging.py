@@ -128,8 +128,8 @@ def stg_dataexport(raw: DataFrame) -> DataFrame:
 def stg_dim_region(docs: DataFrame, payload: str = "payload") -> DataFrame:
     """GeoJSON region features -> code, two-digit code, names, geometry text."""
     feats = D.explode_features(docs, payload).filter(F.col("props").isNotNull())
-    code = F.col("props.scb_lan_code_2").cast("string")
-    name = F.trim(F.col("props.region_name_official").cast("string"))
+    code = D.prop(feats, "props", "scb_lan_code_2")
+    name = F.trim(D.prop(feats, "props", "region_name_official"))
     return feats.select(
         N.parse_int_round(code).alias("region_code_int"),
         F.lpad(code, 2, "0").alias("region_code_2"),

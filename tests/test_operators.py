@@ -176,3 +176,25 @@ def test_registry_calendar_strict_nulls(spark):
     empty = spark.createDataFrame([], "period_month date")
     assert REF.dim_date(a, empty, b, a).count() == 3
     assert REF.dim_date(a, empty, b, a, strict_nulls=True).count() == 0   # one empty source empties it
+
+
+def test_variant_documents_flatten_like_typed(spark, tmp_path):
+    import json
+    from indicatormart.plans import staging as STG
+    from indicatormart.sources.readers import read_documents
+    geo = {"type": "FeatureCollection", "features": [
+        {"type": "Feature", "properties": {"scb_lan_code_2": "1", "region_name_official": "Stockholms", "extra": 1},
+         "geometry": {"type": "Point", "coordinates": [18, 59]}}]}
+    pop = {"columns": [{"code": "Tid"}, {"code": "Region"}], "data": [{"key": ["2024", "01"], "values": ["12.5"]}]}
+    (tmp_path / "geo").mkdir()
+    (tmp_path / "pop").mkdir()
+    (tmp_path / "geo" / "g.json").write_text(json.dumps(geo, indent=1))
+    (tmp_path / "pop" / "p.json").write_text(json.dumps(pop, indent=1))
+    g_var = STG.stg_dim_region(read_documents(spark, str(tmp_path / "geo")))
+    g_typ = STG.stg_dim_region(read_documents(spark, str(tmp_path / "geo"), schema=S.GEOJSON_SCHEMA))
+    drop_geom = lambda df: rows(df.drop("geom"))
+    assert drop_geom(g_var) == drop_geom(g_typ) == [(1, "01", "Stockholms", "Stockholm")]
+    assert json.loads(g_var.first().geom) == json.loads(g_typ.first().geom) == geo["features"][0]["geometry"]
+    p_var = STG.stg_population(read_documents(spark, str(tmp_path / "pop")))
+    p_typ = STG.stg_population(read_documents(spark, str(tmp_path / "pop"), schema=S.PXWEB_SCHEMA))
+    assert rows(p_var) == rows(p_typ) == [(1, "01", 2024, 13, "ALL", None)]
