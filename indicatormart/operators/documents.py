@@ -99,7 +99,10 @@ def variant_path(c: ColumnOrName, path: str, to: str = "string") -> Column:
 def explode_series(df: DataFrame, payload: str = "payload",
                    series_fields: Sequence[str] = ("kpi_id", "region_id")) -> DataFrame:
     """Series document ``{data: [{kpi_id, region_id, values: [...]}]}`` -> one
-    row per value: the series fields plus every field of the value struct."""
+    row per value: the series fields plus every field of the value struct.
+    A VARIANT payload is cast to the series shape first."""
+    from indicatormart.sources.schemas import SERIES_SCHEMA
+    df = typed(df, payload, SERIES_SCHEMA)
     s = df.select(F.explode(F.col(f"{payload}.data")).alias("s"))
     v = s.select(*[F.col(f"s.{f}").alias(f) for f in series_fields],
                  F.explode(F.col("s.values")).alias("v"))
