@@ -77,18 +77,16 @@ def test_stg_tid_diagnos_codes_and_units(spark):
 
 
 def test_registry_one_row_per_code_month_first(spark):
-    def stg(cols, data):
-        return spark.createDataFrame(data, cols)
-    empty = {n: None for n in ()}
-    reg = R._registry_rows
-    base = stg("source_system string, source_indicator_code string, indicator_name string, unit string, "
-               "period_granularity string",
-               [("DATAEXPORT", "x1", "Name", "dagar", "MONTH"), ("DATAEXPORT", "x1", "Name", "dagar", "YEAR")])
-    one = R.dedupe(reg(base, F.col("period_granularity")), ["source_system", "source_indicator_code"],
+    """One code with both grains (and a NULL unit) -> exactly one registry row, MONTH by the tiebreak."""
+    base = spark.createDataFrame(
+        [("DATAEXPORT", "x1", "Name", "dagar", "MONTH"), ("DATAEXPORT", "x1", "Name", "dagar", "YEAR"),
+         ("DATAEXPORT", "x1", "Name", None, "MONTH")],
+        "source_system string, source_indicator_code string, indicator_name string, unit string, "
+        "period_granularity string")
+    one = R.dedupe(R._registry_rows(base, F.col("period_granularity")), ["source_system", "source_indicator_code"],
                    [F.col("indicator_name").asc_nulls_last(), F.col("unit").asc_nulls_last(),
                     F.col("default_granularity").asc_nulls_last()])
-    assert rows(one, "default_granularity") == [("MONTH",)]
-    assert empty == {}
+    assert rows(one, "unit", "default_granularity") == [("dagar", "MONTH")]
 
 
 def test_resource_roles_whole_string(spark):
