@@ -9,9 +9,8 @@ pytestmark = pytest.mark.skipif(not os.path.exists(f"{SF}/orders.parquet"), reas
 
 def _plan(spark, key):
     from __spark_entry__ import queries
-    df = queries()[key](spark, SF)
-    df.write.format("noop").mode("overwrite").save()
-    return df._jdf.queryExecution().executedPlan().toString()
+    from tools.plan_audit import final_plan
+    return final_plan(queries()[key](spark, SF))
 
 
 @pytest.mark.parametrize("key", ["fct_kolada_y", "fct_capacity_yearly", "fct_overcrowding_monthly",
