@@ -46,17 +46,51 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = _context(spark)
+    if sc is not None:
+        sc.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session, None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None) or None
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def session_id(spark: SparkSession) -> str:
+    """A key identifying the running application (for per-session caches)."""
+    sc = _context(spark)
+    if sc is not None:
+        return sc.applicationId
+    return _conf(spark, "spark.app.id") or f"session-{id(spark)}"
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return max(1, sc.defaultParallelism)
+    return max(1, int(_conf(spark, "spark.default.parallelism") or 8))
+
+
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder for checkpoints and written scratch tables, if any."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    return spark.conf.get("spark.checkpoint.dir", None) or None
+    sc = _context(spark)
+    current = sc.getCheckpointDir() if sc is not None else None
+    return current or _conf(spark, "spark.checkpoint.dir") or _LOCAL_DIRS.get(session_id(spark))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -67,12 +101,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     is an error: written tables must live in a folder every executor sees.
     """
     current = checkpoint_dir(spark)
+    sc = _context(spark)
     if not current:
-        master = spark.sparkContext.master or ""
+        master = (sc.master if sc is not None else _conf(spark, "spark.master")) or ""
         if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
                                "distributed file system) before building models on a cluster")
         current = tempfile.mkdtemp(prefix="indicatormart-ckpt-")
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(current)
-    return spark.sparkContext.getCheckpointDir() or current
+        _LOCAL_DIRS[session_id(spark)] = current
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+        return sc.getCheckpointDir() or current
+    return current

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from indicatormart.functions.periods import SWEDISH_MONTHS
 from indicatormart.operators.joins import checked_broadcast
+from indicatormart.session import default_parallelism, session_id
 from indicatormart.sources import schemas as S
 
 # Years laid out as columns of the wide KPI extract.
@@ -373,12 +374,12 @@ def landed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The 14 raw extracts over base joins written once per session as parquet
     under the shared checkpoint folder (the RAW layer the staging models read)."""
     from indicatormart.sources.sinks import materialize
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_id(spark), sf_dir)
     if key not in _LANDED:
         si = StandIns(spark, sf_dir)
         # Raw tables arrive as many files; the test tables are single-row-group files, so the
         # landed copies are spread over one file per core to give later scans parallel splits.
-        n = max(1, spark.sparkContext.defaultParallelism)
+        n = default_parallelism(spark)
 
         def land(df: DataFrame, name: str) -> DataFrame:
             return materialize(df.repartition(n), name)
@@ -400,7 +401,7 @@ def standin_warehouse(spark: SparkSession, sf_dir: str, materialize_dims: bool =
     """
     from indicatormart.plans.warehouse import Warehouse
     from indicatormart.sources.readers import load_seed
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (session_id(spark), sf_dir)
     if land_raw and key in _WAREHOUSES:
         return _WAREHOUSES[key]
     tax = load_seed(spark, standin_taxonomy_path(), S.TAXONOMY_SCHEMA)
