@@ -1,14 +1,18 @@
-"""queries() against oracle_sql() through DuckDB on the sf0.001 tables."""
+"""Every queries() key against its oracle_sql() through DuckDB on the sf0.001 tables
+(rows, column names, column types, order-insensitive value hash)."""
 import os
 
 import pytest
 
 SF = "/root/testdata/sf0.001"
-KEYS = ["stg_dataexport", "stg_kolada", "stg_overcrowding", "stg_population", "dim_indicator", "dim_date",
-        "fct_kolada_y", "fct_capacity_yearly", "fct_visits_by_gender_age_m", "mart_pressure_monthly",
-        "mart_regional_explorer_monthly_long", "mart_resources_yearly", "prefer_finer_grain", "stack_headers",
-        "select_codes", "best_match", "check_unique_combination", "entity_name_clean", "read_documents",
-        "csv_roundtrip"]
+
+
+def _keys():
+    from __spark_entry__ import oracle_sql
+    return sorted(oracle_sql())
+
+
+KEYS = _keys()
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +39,12 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(df.columns) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(df.columns, srows) == digest(dcols, drows)
+    from tools.check_oracle import SPARK_TO_DUCK
+    rel = duck.sql(oracle_sql()[key])
+    dtypes = dict(zip(rel.columns, (str(t) for t in rel.types)))
+    for f in df.schema.fields:
+        t = f.dataType.simpleString()
+        assert SPARK_TO_DUCK.get(t, t.upper()) == dtypes[f.name], (f.name, t, dtypes[f.name])
 
 
 def test_entry_and_contract(spark):
