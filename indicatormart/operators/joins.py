@@ -69,13 +69,15 @@ def _keys(df: DataFrame, exprs: Sequence[ColumnOrName], prefix: str) -> tuple[Da
 def lookup(fact: DataFrame, dim: DataFrame, fact_on: Sequence[ColumnOrName],
            dim_on: Sequence[ColumnOrName], take: Sequence[str] | dict[str, str],
            how: str = "left", extra_condition: Column | None = None,
-           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS, size_base: DataFrame | None = None) -> DataFrame:
     """Equi-join ``fact`` to ``dim`` on expressions and bring back ``take``.
 
     ``take`` is a list of dim columns, or a mapping ``{dim_col: output_name}``.
     ``how="left"`` keeps unmatched facts with NULLs; ``how="inner"`` drops them.
     ``extra_condition`` (on dim columns only) becomes part of the ON clause, so
-    with a left join it limits matches without filtering facts.
+    with a left join it limits matches without filtering facts.  ``size_base``
+    is a frame ``dim`` was filtered/projected from; its (memoized) size check
+    stands for ``dim``'s.
     """
     if len(fact_on) != len(dim_on):
         raise ValueError("fact_on and dim_on must have the same length")
@@ -90,7 +92,8 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on: Sequence[ColumnOrName],
     for a, b in zip(fkeys, dkeys):
         c = f[a] == d[b]
         cond = c if cond is None else cond & c
-    joined = f.join(checked_broadcast(d, max_broadcast_rows, base=dim), cond, how)
+    joined = f.join(checked_broadcast(d, max_broadcast_rows, base=size_base if size_base is not None else dim),
+                    cond, how)
     return joined.drop(*fkeys, *dkeys)
 
 

@@ -35,10 +35,12 @@ def NULL_STR():
     return F.lit(None).cast("string")
 
 
-def _with_indicator(fact: DataFrame, dim_ind: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
-    """Fact joined to indicator columns by key (inner drops NULL keys)."""
+def _with_indicator(fact: DataFrame, dim_ind: DataFrame, cols: Sequence[str], how: str = "inner",
+                    size_base: DataFrame | None = None) -> DataFrame:
+    """Fact joined to indicator columns by key (inner drops NULL keys).
+    ``size_base``: the registry a derived indicator frame was filtered from."""
     return J.lookup(fact, dim_ind, [F.col("indicator_key")], [F.col("indicator_key")],
-                    {c: f"d_{c}" for c in cols}, how=how)
+                    {c: f"d_{c}" for c in cols}, how=how, size_base=size_base)
 
 
 def mart_access_monthly(fct_perf_m: DataFrame, dim_ind: DataFrame) -> DataFrame:
@@ -151,10 +153,11 @@ def mart_pressure_monthly(fct_overc: DataFrame, fct_visits: DataFrame, fct_diag:
                          gender.alias("gender_key"), age.alias("age_key"), diag.alias("diagnosis_group"),
                          F.col("value").cast("double").alias("value"))
 
-    overc = _with_indicator(fct_overc, press, cols).filter(F.lower("d_source_indicator_code").like("%displaced%"))
+    overc = _with_indicator(fct_overc, press, cols, size_base=dim_ind) \
+        .filter(F.lower("d_source_indicator_code").like("%displaced%"))
     overc = out(overc, F.col("d_unit"), "COUNT", NULL_STR(), NULL_STR(), NULL_STR())
 
-    v = _with_indicator(fct_visits.drop("unit"), press, cols)
+    v = _with_indicator(fct_visits.drop("unit"), press, cols, size_base=dim_ind)
     code = F.lower("d_source_indicator_code")
     label = F.lower(F.concat(F.col("d_source_indicator_code"), F.lit(" "), F.col("d_indicator_name")))
     branches = F.filter(F.array(
@@ -172,7 +175,7 @@ def mart_pressure_monthly(fct_overc: DataFrame, fct_visits: DataFrame, fct_diag:
                       F.lit("MONTHLY").alias("grain"), "gender_key", "age_key",
                       NULL_STR().alias("diagnosis_group"), F.col("value").cast("double").alias("value"))
 
-    diag = _with_indicator(fct_diag.drop("unit"), press, cols)
+    diag = _with_indicator(fct_diag.drop("unit"), press, cols, size_base=dim_ind)
     diag = out(diag, F.coalesce("d_unit", F.lit("minuter")), "MINUTES", NULL_STR(), NULL_STR(),
                F.col("diagnosgrupp").cast("string"))
     return union_all([overc, visits, diag])
@@ -223,7 +226,7 @@ def mart_regional_explorer_monthly_long(fct_perf_m: DataFrame, fct_overc: DataFr
                          value.cast("double").alias("value"))
 
     def monthly(fact, topic):
-        f = _with_indicator(fact, di, cols).filter(F.col("d_topic") == topic)
+        f = _with_indicator(fact, di, cols, size_base=dim_ind).filter(F.col("d_topic") == topic)
         return shape(f, F.col("date_key"), null_int, "MONTH", F.col("d_topic"), F.col("d_polarity"),
                      F.col("d_source_indicator_code"), F.col("d_indicator_name"), F.col("value"))
 
@@ -238,7 +241,7 @@ def mart_regional_explorer_monthly_long(fct_perf_m: DataFrame, fct_overc: DataFr
     yearly_topics = ["CAPACITY", "COST", "WAITING_TIME", "DEMAND"]
 
     def yearly(fact):
-        f = _with_indicator(fact, di, cols).filter(F.col("d_topic").isin(*yearly_topics))
+        f = _with_indicator(fact, di, cols, size_base=dim_ind).filter(F.col("d_topic").isin(*yearly_topics))
         return shape(f, null_int, F.col("year").cast("int"), "YEAR", F.col("d_topic"), F.col("d_polarity"),
                      F.col("d_source_indicator_code"), F.col("d_indicator_name"), F.col("value"))
 
@@ -292,10 +295,12 @@ def mart_resources_yearly(fct_cap: DataFrame, fct_perf_y: DataFrame, fct_overc:
                           dim_dt: DataFrame, dim_ind: DataFrame) -> DataFrame:
     """Resources by region and year with per-1,000-inhabitant ratios."""
     roles = resource_roles(dim_ind)
-    cap = J.lookup(fct_cap, roles, [F.col("indicator_key")], [F.col("indicator_key")], ["role"], how="inner") \
+    cap = J.lookup(fct_cap, roles, [F.col("indicator_key")], [F.col("indicator_key")], ["role"], how="inner",
+                   size_base=dim_ind) \
            .filter(F.col("role").isNotNull()) \
            .select("region_key", "year", "role", F.col("value").cast("double").alias("value"))
-    amb = J.lookup(fct_perf_y, roles, [F.col("indicator_key")], [F.col("indicator_key")], ["role"], how="inner") \
+    amb = J.lookup(fct_perf_y, roles, [F.col("indicator_key")], [F.col("indicator_key")], ["role"], how="inner",
+                   size_base=dim_ind) \
            .filter(F.col("role").isin("AMBULANCE_COUNT", "AMBULANCE_TIME_MIN")) \
            .select("region_key", "year", "role", F.col("value").cast("double").alias("value"))
     ov = J.lookup(fct_overc, dim_dt, [F.col("date_key")], [F.col("date_key")], {"year": "cal_year"},
