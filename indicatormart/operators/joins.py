@@ -57,15 +57,6 @@ def checked_broadcast(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
     return F.broadcast(dim) if is_small(base if base is not None else dim, max_rows) else dim
 
 
-def _keys(df: DataFrame, exprs: Sequence[ColumnOrName], prefix: str) -> tuple[DataFrame, list[str]]:
-    names = []
-    for i, e in enumerate(exprs):
-        name = f"__{prefix}{i}"
-        df = df.withColumn(name, as_col(e))
-        names.append(name)
-    return df, names
-
-
 def lookup(fact: DataFrame, dim: DataFrame, fact_on: Sequence[ColumnOrName],
            dim_on: Sequence[ColumnOrName], take: Sequence[str] | dict[str, str],
            how: str = "left", extra_condition: Column | None = None,
@@ -82,18 +73,18 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on: Sequence[ColumnOrName],
     if len(fact_on) != len(dim_on):
         raise ValueError("fact_on and dim_on must have the same length")
     mapping = dict(take) if isinstance(take, dict) else {c: c for c in take}
-    d = dim
-    if extra_condition is not None:
-        d = d.filter(extra_condition)
-    d, dkeys = _keys(d, dim_on, "dk")
-    d = d.select(*dkeys, *[F.col(src).alias(dst) for src, dst in mapping.items()])
-    f, fkeys = _keys(fact, fact_on, "fk")
+    fkeys = [f"__fk{i}" for i in range(len(fact_on))]
+    dkeys = [f"__dk{i}" for i in range(len(dim_on))]
+    d = dim if extra_condition is None else dim.filter(extra_condition)
+    d = d.select(*[as_col(e).alias(k) for e, k in zip(dim_on, dkeys)],
+                 *[F.col(src).alias(dst) for src, dst in mapping.items()])
+    f = fact.select("*", *[as_col(e).alias(k) for e, k in zip(fact_on, fkeys)])
     cond = None
     for a, b in zip(fkeys, dkeys):
         c = f[a] == d[b]
         cond = c if cond is None else cond & c
-    joined = f.join(checked_broadcast(d, max_broadcast_rows, base=size_base if size_base is not None else dim),
-                    cond, how)
+    base = size_base if size_base is not None else dim
+    joined = f.join(checked_broadcast(d, max_broadcast_rows, base=base), cond, how)
     return joined.drop(*fkeys, *dkeys)
 
 

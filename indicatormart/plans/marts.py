@@ -188,23 +188,24 @@ def explorer_indicators(dim_ind: DataFrame) -> DataFrame:
 
 
 
-def demand_visits(fct_visits: DataFrame, di: DataFrame) -> DataFrame:
+def demand_visits(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | None = None) -> DataFrame:
     """Visits summed per region-month.  The DEMAND test sits in the LEFT
     join's ON clause: rows of other topics are kept and summed under
     VISITS_TOTAL."""
     cols = ["topic", "polarity", "source_indicator_code", "indicator_name"]
     dv = J.lookup(fct_visits, di, [F.col("indicator_key")], [F.col("indicator_key")],
-                  {c: f"d_{c}" for c in cols}, how="left", extra_condition=F.col("topic") == "DEMAND")
+                  {c: f"d_{c}" for c in cols}, how="left", extra_condition=F.col("topic") == "DEMAND",
+                  size_base=size_base)
     return dv.groupBy("region_key", "date_key",
                       F.coalesce("d_source_indicator_code", F.lit("VISITS_TOTAL")).alias("metric_code"),
                       F.coalesce("d_indicator_name", F.lit("ED visits (total)")).alias("indicator_name")) \
              .agg(F.sum("value").alias("value"))
 
 
-def median_times(fct_visits: DataFrame, di: DataFrame) -> DataFrame:
+def median_times(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | None = None) -> DataFrame:
     """Unweighted average of the PRESSURE medians per region-month."""
     cols = ["topic", "source_indicator_code", "indicator_name"]
-    pv = _with_indicator(fct_visits, di, cols).filter(F.col("d_topic") == "PRESSURE")
+    pv = _with_indicator(fct_visits, di, cols, size_base=size_base).filter(F.col("d_topic") == "PRESSURE")
     return pv.groupBy("region_key", "date_key", F.col("d_source_indicator_code").alias("metric_code"),
                       F.col("d_indicator_name").alias("indicator_name")).agg(F.avg("value").alias("value"))
 
@@ -233,9 +234,9 @@ def mart_regional_explorer_monthly_long(fct_perf_m: DataFrame, fct_overc: DataFr
     m_wait = monthly(fct_perf_m, "WAITING_TIME")
     m_overc = monthly(fct_overc, "PRESSURE")
 
-    m_demand = shape(demand_visits(fct_visits, di), F.col("date_key"), null_int, "MONTH", F.lit("DEMAND"),
+    m_demand = shape(demand_visits(fct_visits, di, dim_ind), F.col("date_key"), null_int, "MONTH", F.lit("DEMAND"),
                      F.lit("NEUTRAL"), F.col("metric_code"), F.col("indicator_name"), F.col("value"))
-    m_doctime = shape(median_times(fct_visits, di), F.col("date_key"), null_int, "MONTH", F.lit("PRESSURE"),
+    m_doctime = shape(median_times(fct_visits, di, dim_ind), F.col("date_key"), null_int, "MONTH", F.lit("PRESSURE"),
                       F.lit("NEG"), F.col("metric_code"), F.col("indicator_name"), F.col("value"))
 
     yearly_topics = ["CAPACITY", "COST", "WAITING_TIME", "DEMAND"]
