@@ -15,7 +15,9 @@ def read_documents(spark: SparkSession, path: str, schema: StructType | None = N
 
     With ``schema`` (the document's top-level struct) the fields are typed at
     read time and wrapped into one struct column.  Without it the document is
-    kept as VARIANT (``singleVariantColumn``).  ``glob`` picks files by name
+    kept as VARIANT (``singleVariantColumn``); a file whose top level is an
+    array then stays one document (outer array kept), while the typed read
+    turns each array element into a row.  ``glob`` picks files by name
     pattern.  ``multi_line=True`` reads one (pretty-printed) document per
     file, each file in one task; ``multi_line=False`` reads JSON Lines (one
     document per line), which splits large files across tasks.

@@ -66,3 +66,9 @@ def test_check_model_fuses_column_tests(spark):
     assert rep == {("not_null", "k"): (1, "fail"), ("not_null", "v"): (1, "warn"),
                    ("accepted_values", "g"): (1, "fail"), ("relationships", "k"): (1, "fail"),
                    ("unique", "k"): (1, "fail"), ("unique_combination_of_columns", "k,g"): (1, "fail")}
+
+
+def test_variant_read_keeps_outer_array(spark, tmp_path):
+    (tmp_path / "arr.json").write_text('[{"a": 1}, {"a": 2}]')
+    v = RD.read_documents(spark, str(tmp_path))
+    assert [r.j for r in v.select(F.to_json("payload").alias("j")).collect()] == ['[{"a":1},{"a":2}]']
