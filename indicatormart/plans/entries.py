@@ -376,6 +376,16 @@ def stack_headers(spark, sf_dir):
     return R.stack_headers(spreadsheet(spark, sf_dir), ["Region", "Segment"])
 
 
+@query
+def tidy_sheet(spark, sf_dir):
+    """The sheet stacked to long rows, its ids standardised, pivoted back per metric."""
+    from indicatormart.plans.tidy import tidy_sheet as tidy
+    sheet = spreadsheet(spark, sf_dir).withColumnsRenamed({"Region": "Region/landsting",
+                                                            "Segment": "Diagnosgrupp"})
+    _, wide = tidy(sheet, ["Antal", "Summa"])
+    return wide
+
+
 @query
 def pivot_metrics(spark, sf_dir):
     stg = standin_warehouse(spark, sf_dir).stg_tid_konalder

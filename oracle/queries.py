@@ -190,6 +190,10 @@ def operator_queries() -> dict[str, str]:
               UNION ALL
               SELECT nm, c_mktsegment, yr, mo, 'Summa', {_dollar_sum('o_totalprice')}
               FROM onat GROUP BY nm, c_mktsegment, yr, mo) x""")
+    q["tidy_sheet"] = with_ctes(f"""
+        SELECT nm AS "Region", c_mktsegment AS "Diagnosgrupp", make_date(yr, mo, 1) AS "Period",
+               {_dollar_sum('1.0')} AS "Antal", {_dollar_sum('o_totalprice')} AS "Summa"
+        FROM onat GROUP BY nm, c_mktsegment, yr, mo""")
     q["pivot_metrics"] = with_ctes("""
         SELECT region_name, gender, age_group, period_date,
                min(CASE WHEN indicator_name = 'Antal besök' THEN value END) AS "Antal besök",

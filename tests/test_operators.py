@@ -198,3 +198,17 @@ def test_variant_documents_flatten_like_typed(spark, tmp_path):
     p_var = STG.stg_population(read_documents(spark, str(tmp_path / "pop")))
     p_typ = STG.stg_population(read_documents(spark, str(tmp_path / "pop"), schema=S.PXWEB_SCHEMA))
     assert rows(p_var) == rows(p_typ) == [(1, "01", 2024, 13, "ALL", None)]
+
+
+def test_tidy_sheet_long_and_wide(spark):
+    from indicatormart.plans.tidy import tidy_sheet
+    sheet = spark.createDataFrame(
+        [("Region A", "Kvinnor", 5.0, 40.0, None), ("Region B", "Män", None, 30.0, 7.0)],
+        "`Region/landsting/akutmottagning` string, `Kön` string, `2024/jan/Antal besök` double, "
+        "`2024/jan/Median` double, `2024/feb./Antal besök` double")
+    long, wide = tidy_sheet(sheet, ["Antal besök", "Median"])
+    assert long.columns == ["Region", "Kon", "Year", "Month", "Metric", "Value", "Period"]
+    assert long.count() == 4
+    got = {(r.Region, r.Kon, r.Period.month): (r["Antal besök"], r.Median) for r in wide.collect()}
+    assert got == {("Region A", "Kvinnor", 1): (5.0, 40.0), ("Region B", "Män", 1): (None, 30.0),
+                   ("Region B", "Män", 2): (7.0, None)}
