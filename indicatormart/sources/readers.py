@@ -31,10 +31,23 @@ def read_documents(spark: SparkSession, path: str, schema: StructType | None = N
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(column))
 
 
-def load_table(spark: SparkSession, source: str, fmt: str = "parquet") -> DataFrame:
-    """A named raw source: a catalog table name or a file path."""
+def load_table(spark: SparkSession, source: str, fmt: str = "parquet", schema: StructType | str | None = None,
+               options: dict | None = None) -> DataFrame:
+    """A named raw source: a catalog table name or a file path.
+
+    File extracts can take an explicit ``schema`` (raw measures as strings,
+    e.g. ``schemas.string_schema(cols)``) and reader ``options`` such as
+    ``{"header": True}`` for CSV; no schema inference is done for CSV.
+    """
     if "/" in source or source.endswith(f".{fmt}"):
-        return spark.read.format(fmt).load(source)
+        reader = spark.read.format(fmt)
+        if schema is not None:
+            reader = reader.schema(schema)
+        elif fmt == "csv":
+            reader = reader.option("inferSchema", False)
+        for k, v in (options or {}).items():
+            reader = reader.option(k, v)
+        return reader.load(source)
     return spark.table(source)
 
 

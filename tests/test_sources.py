@@ -72,3 +72,11 @@ def test_variant_read_keeps_outer_array(spark, tmp_path):
     (tmp_path / "arr.json").write_text('[{"a": 1}, {"a": 2}]')
     v = RD.read_documents(spark, str(tmp_path))
     assert [r.j for r in v.select(F.to_json("payload").alias("j")).collect()] == ['[{"a":1},{"a":2}]']
+
+
+def test_load_table_csv_with_string_schema(spark, tmp_path):
+    p = tmp_path / "raw.csv"
+    p.write_text("Område,Kön,2024\nRegion Skåne,K,\"1,5\"\n", encoding="utf-8")
+    df = RD.load_table(spark, str(p), fmt="csv", schema=S.string_schema(["Område", "Kön", "2024"]),
+                       options={"header": True})
+    assert rows(df) == [("Region Skåne", "K", "1,5")]
