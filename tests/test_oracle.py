@@ -47,6 +47,7 @@ def test_query_matches_oracle(spark, duck, key):
         assert SPARK_TO_DUCK.get(t, t.upper()) == dtypes[f.name], (f.name, t, dtypes[f.name])
 
 
+@pytest.mark.skipif(not os.path.exists(f"{SF}/orders.parquet"), reason="test tables not present")
 def test_entry_and_contract(spark):
     import __spark_entry__ as E
     out = E.entry(spark)
