@@ -12,6 +12,10 @@ from indicatormart.functions._util import as_col, ColumnOrName
 NULL_SENTINEL = "_dbt_utils_surrogate_key_null_"
 KEY_SEPARATOR = "-"
 
+# Leading-number pattern of sort labels and the default sort key.
+LEADING_NUMBER_RE = r"^[0-9]+"
+DEFAULT_SORT_KEY = 999
+
 
 def surrogate_key(*cols: ColumnOrName) -> Column:
     """md5 over the string forms of ``cols`` joined by '-', NULLs replaced."""
@@ -22,7 +26,7 @@ def surrogate_key(*cols: ColumnOrName) -> Column:
     return F.md5(joined)
 
 
-def label_sort_key(c: ColumnOrName, default: int = 999) -> Column:
+def label_sort_key(c: ColumnOrName, default: int = DEFAULT_SORT_KEY) -> Column:
     """Leading digits of a label as an int ('18-29' -> 18), else ``default``."""
-    lead = F.regexp_substr(as_col(c), F.lit("^[0-9]+")).try_cast("int")
+    lead = F.regexp_substr(as_col(c), F.lit(LEADING_NUMBER_RE)).try_cast("int")
     return F.coalesce(lead, F.lit(default))

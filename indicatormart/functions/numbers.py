@@ -12,6 +12,11 @@ from pyspark.sql import functions as F
 
 from indicatormart.functions._util import as_col, ColumnOrName
 
+# Characters kept when numbers are read from text.
+KEEP_DECIMAL_COMMA_RE = r"[^0-9.,-]"
+KEEP_NO_COMMA_RE = r"[^0-9.-]"
+DIGITS_ONLY_RE = r"[^0-9]"
+
 
 def parse_decimal(c: ColumnOrName, comma: str = "dot") -> Column:
     """Keep digits, '.', ',' and '-', then parse as double.
@@ -21,9 +26,9 @@ def parse_decimal(c: ColumnOrName, comma: str = "dot") -> Column:
     """
     s = as_col(c).cast("string")
     if comma == "dot":
-        s = F.replace(F.regexp_replace(s, r"[^0-9.,-]", ""), F.lit(","), F.lit("."))
+        s = F.replace(F.regexp_replace(s, KEEP_DECIMAL_COMMA_RE, ""), F.lit(","), F.lit("."))
     elif comma == "strip":
-        s = F.regexp_replace(s, r"[^0-9.-]", "")
+        s = F.regexp_replace(s, KEEP_NO_COMMA_RE, "")
     else:
         raise ValueError("comma must be 'dot' or 'strip'")
     return s.try_cast("double")
@@ -59,7 +64,7 @@ def strict_double(c: ColumnOrName) -> Column:
 
 def year_from_name(c: ColumnOrName) -> Column:
     """Digits of a column name like 'y2021' -> 2021."""
-    return F.regexp_replace(as_col(c), r"[^0-9]", "").try_cast("int")
+    return F.regexp_replace(as_col(c), DIGITS_ONLY_RE, "").try_cast("int")
 
 
 def safe_ratio(num: ColumnOrName, den: ColumnOrName, scale: float = 1000.0) -> Column:

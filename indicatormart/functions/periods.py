@@ -21,8 +21,12 @@ MONTH_SPELLINGS = {
     "okt": 10, "oktober": 10, "nov": 11, "november": 11, "dec": 12, "december": 12,
 }
 
+# Period text patterns.
 MONTH_RE = r"[0-9]{4}-[0-9]{2}"
 YEAR_RE = r"[0-9]{4}"
+LEADING_YEAR_RE = r"^[0-9]{4}"
+ANY_YEAR_RE = r"[0-9]{4}"
+TWO_DIGITS_RE = r"[0-9]{2}"
 
 
 def full_match(c: ColumnOrName, pattern: str) -> Column:
@@ -40,7 +44,7 @@ def period_granularity(c: ColumnOrName) -> Column:
 
 def period_year(c: ColumnOrName) -> Column:
     """Leading four digits as int, NULL if the text does not start with them."""
-    return F.regexp_substr(as_col(c), F.lit("^[0-9]{4}")).try_cast("int")
+    return F.regexp_substr(as_col(c), F.lit(LEADING_YEAR_RE)).try_cast("int")
 
 
 def period_month(c: ColumnOrName) -> Column:
@@ -75,7 +79,7 @@ def named_month_number(c: ColumnOrName) -> Column:
 
 def named_month_year(c: ColumnOrName) -> Column:
     """First four-digit run as the year."""
-    return F.regexp_substr(as_col(c), F.lit("[0-9]{4}")).try_cast("int")
+    return F.regexp_substr(as_col(c), F.lit(ANY_YEAR_RE)).try_cast("int")
 
 
 def spelled_month_number(c: ColumnOrName) -> Column:
@@ -83,7 +87,7 @@ def spelled_month_number(c: ColumnOrName) -> Column:
     key = F.replace(F.lower(F.trim(as_col(c).cast("string"))), F.lit("."), F.lit(""))
     mapping = F.create_map(*chain.from_iterable(
         (F.lit(k), F.lit(v)) for k, v in MONTH_SPELLINGS.items()))
-    digits = F.regexp_substr(as_col(c).cast("string"), F.lit("[0-9]{2}")).try_cast("int")
+    digits = F.regexp_substr(as_col(c).cast("string"), F.lit(TWO_DIGITS_RE)).try_cast("int")
     return F.coalesce(mapping[key], digits)
 
 

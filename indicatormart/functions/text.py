@@ -20,6 +20,19 @@ MALE_SPELLINGS = ("m", "man", "män")
 FEMALE_WORDS = ("kvinnor", "kvinna")
 MALE_WORDS = ("män", "man")
 
+# Cleaning patterns of the sources (Java regex; (?iu) = Unicode case folding).
+SLUG_RE = r"[^A-Za-z0-9]+"
+BLANK_RUN_RE = r"\s+"
+LETTER_S_RUN_RE = "s+"
+TRAILING_S_RE = "s$"
+TRAILING_S_ANY_CASE_RE = "(?iu)s$"
+REGION_PREFIX_ANY_CASE_RE = r"(?iu)^region(en)?\s+"
+LAN_SUFFIX_ANY_CASE_RE = r"(?iu)\s+län\s*$"
+REGION_PREFIX_RE = r"^Region\s+"
+LAN_SUFFIX_RE = r"\s+län$"
+UPPER_REGION_PREFIX_RE = r"^\s*REGION\s+"
+UPPER_LAN_SUFFIX_RE = r"\s+LÄN\s*$"
+
 
 def trim_lower(c: ColumnOrName) -> Column:
     return F.lower(F.trim(as_col(c)))
@@ -50,12 +63,12 @@ def initcap_words(c: ColumnOrName) -> Column:
 
 def slug(c: ColumnOrName) -> Column:
     """Runs of anything but ASCII letters/digits -> '_', lower case (ä -> '_')."""
-    return F.lower(F.regexp_replace(as_col(c), r"[^A-Za-z0-9]+", "_"))
+    return F.lower(F.regexp_replace(as_col(c), SLUG_RE, "_"))
 
 
 def snake(c: ColumnOrName) -> Column:
     """Runs of blanks -> '_', lower case."""
-    return F.lower(F.regexp_replace(as_col(c), r"\s+", "_"))
+    return F.lower(F.regexp_replace(as_col(c), BLANK_RUN_RE, "_"))
 
 
 def letter_s_runs(c: ColumnOrName) -> Column:
@@ -64,22 +77,22 @@ def letter_s_runs(c: ColumnOrName) -> Column:
     Reproduces a source pattern written as ``'\\s+'`` with a single backslash:
     the dialect drops the unknown escape, so the pattern is ``s+``.
     """
-    return F.lower(F.regexp_replace(as_col(c), "s+", "_"))
+    return F.lower(F.regexp_replace(as_col(c), LETTER_S_RUN_RE, "_"))
 
 
 def drop_trailing_s(c: ColumnOrName, ignore_case: bool = False) -> Column:
     """Remove ONE trailing ``s`` (``S`` too when ``ignore_case``)."""
-    return F.regexp_replace(as_col(c), "(?iu)s$" if ignore_case else "s$", "")
+    return F.regexp_replace(as_col(c), TRAILING_S_ANY_CASE_RE if ignore_case else TRAILING_S_RE, "")
 
 
 def strip_region_prefix(c: ColumnOrName) -> Column:
     """Drop a leading 'Region ' / 'Regionen ' (any case) after trimming."""
-    return F.regexp_replace(F.trim(as_col(c)), r"(?iu)^region(en)?\s+", "")
+    return F.regexp_replace(F.trim(as_col(c)), REGION_PREFIX_ANY_CASE_RE, "")
 
 
 def strip_lan_suffix(c: ColumnOrName) -> Column:
     """Drop a trailing ' län' (any case, Unicode-aware)."""
-    return F.regexp_replace(as_col(c), r"(?iu)\s+län\s*$", "")
+    return F.regexp_replace(as_col(c), LAN_SUFFIX_ANY_CASE_RE, "")
 
 
 def clean_kpi_region(c: ColumnOrName) -> Column:
@@ -96,7 +109,7 @@ def clean_column_region(c: ColumnOrName, special: dict[str, str] | None = None)
     """Wide-by-region column names: special cases first, else strip the
     case-sensitive 'Region ' prefix and ' län' suffix."""
     col = as_col(c)
-    stripped = F.regexp_replace(F.regexp_replace(col, r"^Region\s+", ""), r"\s+län$", "")
+    stripped = F.regexp_replace(F.regexp_replace(col, REGION_PREFIX_RE, ""), LAN_SUFFIX_RE, "")
     out = None
     for raw, good in (special or {}).items():
         out = (F.when(col == F.lit(raw), F.lit(good)) if out is None
@@ -107,9 +120,9 @@ def clean_column_region(c: ColumnOrName, special: dict[str, str] | None = None)
 def region_name_norm(c: ColumnOrName) -> Column:
     """Join key for names: trim, strip 'Region ' / ' län' (case-sensitive),
     collapse blank runs, upper."""
-    col = F.regexp_replace(F.trim(as_col(c)), r"^Region\s+", "")
-    col = F.regexp_replace(col, r"\s+län$", "")
-    return F.upper(F.regexp_replace(col, r"\s+", " "))
+    col = F.regexp_replace(F.trim(as_col(c)), REGION_PREFIX_RE, "")
+    col = F.regexp_replace(col, LAN_SUFFIX_RE, "")
+    return F.upper(F.regexp_replace(col, BLANK_RUN_RE, " "))
 
 
 def upper_pattern_norm(c: ColumnOrName) -> Column:
@@ -118,14 +131,14 @@ def upper_pattern_norm(c: ColumnOrName) -> Column:
     The patterns are case-sensitive and applied before ``upper``, so on
     mixed-case input they do nothing; the alias map does the real work.
     """
-    col = F.regexp_replace(as_col(c), r"^\s*REGION\s+", "")
-    col = F.regexp_replace(col, r"\s+LÄN\s*$", "")
+    col = F.regexp_replace(as_col(c), UPPER_REGION_PREFIX_RE, "")
+    col = F.regexp_replace(col, UPPER_LAN_SUFFIX_RE, "")
     return F.upper(col)
 
 
 def collapse_upper(c: ColumnOrName) -> Column:
     """UPPER(TRIM(c)) with blank runs collapsed to one blank."""
-    return F.regexp_replace(F.upper(F.trim(as_col(c))), r"\s+", " ")
+    return F.regexp_replace(F.upper(F.trim(as_col(c))), BLANK_RUN_RE, " ")
 
 
 def normalize_gender(c: ColumnOrName, short_codes: bool = True, trim: bool = True) -> Column:

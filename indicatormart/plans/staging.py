@@ -43,6 +43,26 @@ EXPENDITURE_MEASURES = (
     ("BNP relationstal, procent", "health_exp_share_pct", "Hälso-/sjukvård som andel av BNP", "percent"),
 )
 
+# Source system tags of the multi-indicator sources.
+SYS_KOLADA = "KOLADA"
+SYS_DATAEXPORT = "DATAEXPORT"
+SYS_PERSONNEL = "MEDICAL_PERSONNEL"
+SYS_NET_COST = "NET_COST"
+SYS_NATIONAL = "SCB_NATIONAL"
+SYS_DIAGNOS = "STAT_DIAGNOS"
+SYS_KON_ALDER = "STAT_KON_ALDER"
+
+# Rows that name an aggregate rather than a region, and the national region name.
+ALL_REGIONS_PREFIX = "Alla regioner"
+NATIONAL_AREA = "Riket"
+HEALTHCARE_REGION_WORD = "sjukvårdsregion"
+NATIONAL_NAMES = ("riket", "sverige")
+NATIONAL_REGION_NAME = "Sverige"
+REGION_UNIT_TYPE = "Region"
+
+# Unit of a diagnosis metric from its lower-cased name (first LIKE wins).
+DIAGNOS_UNIT_RULES = (("%minut%", "minuter"), ("%antal%", "antal"))
+
 # Lineage tags (system, code, name) of the single-indicator sources.
 BEDS_INTL_TAG = ("OECD_HEALTH", "beds_per_1000_population", "Hospital beds per 1,000 inhabitants")
 HEALTH_EXP_TAG = ("OECD_HEALTH", "HEALTH_EXPENDITURE_PCT_GDP", "Health expenditure (% of GDP)")
@@ -85,7 +105,7 @@ def stg_beds_region(raw: DataFrame) -> DataFrame:
 def stg_dataexport(raw: DataFrame) -> DataFrame:
     """Mixed-grain regional indicators; a YEAR row is dropped when the same
     region, indicator, year and raw gender spelling has MONTH rows."""
-    base = raw.filter(_c("ENHETSTYP") == F.lit("Region")).select(
+    base = raw.filter(_c("ENHETSTYP") == F.lit(REGION_UNIT_TYPE)).select(
         _c("ENHETSNAMN").alias("unit_name"),
         _c("REGIONSKOD").alias("region_code_raw"),
         _c("ENHETSKOD").alias("unit_code"),
@@ -114,7 +134,7 @@ def stg_dataexport(raw: DataFrame) -> DataFrame:
         "period_granularity",
         P.period_filter_date("period_granularity", "period_month", "year").alias("period_filter_date"),
         P.period_filter_label("period_granularity", "period_month", "year").alias("period_filter_label"),
-        F.lit("DATAEXPORT").alias("source_system"),
+        F.lit(SYS_DATAEXPORT).alias("source_system"),
         T.trim_lower("indicator_code").alias("source_indicator_code"),
         F.trim("indicator_name_raw").alias("indicator_name"),
         "value",
@@ -145,11 +165,11 @@ def stg_expenditure_gdp(raw: DataFrame) -> DataFrame:
                                                      *[_c(m[0]) for m in EXPENDITURE_MEASURES])
     long = R.melt_measures(src, ["year"], EXPENDITURE_MEASURES)
     return long.filter(F.col("value").isNotNull()).select(
-        F.lit("Sverige").alias("region_name"),
+        F.lit(NATIONAL_REGION_NAME).alias("region_name"),
         "year",
         P.year_start("year").alias("period_date"),
         F.lit("YEAR").alias("period_granularity"),
-        F.lit("SCB_NATIONAL").alias("source_system"),
+        F.lit(SYS_NATIONAL).alias("source_system"),
         "source_indicator_code", "indicator_name", "unit", "value",
     )
 
@@ -183,7 +203,8 @@ def stg_kolada(raw: DataFrame, year_cols: Sequence[str] | None = None) -> DataFr
     before the unpivot multiplies rows by the number of year columns.
     """
     years = list(year_cols) if year_cols is not None else year_columns(raw)
-    region = F.when(_c("Område").ilike("Alla regioner%"), NULL_STR()).otherwise(T.clean_kpi_region(_c("Område")))
+    region = F.when(_c("Område").ilike(ALL_REGIONS_PREFIX + "%"), NULL_STR()) \
+              .otherwise(T.clean_kpi_region(_c("Område")))
     prepared = raw.select(
         _c("Område").alias("region_name_raw"),
         region.alias("region_name"),
@@ -196,7 +217,7 @@ def stg_kolada(raw: DataFrame, year_cols: Sequence[str] | None = None) -> DataFr
                                       "indicator_name"], years)
     return long.select(
         "region_name_raw", "region_name", "year",
-        F.lit("KOLADA").alias("source_system"),
+        F.lit(SYS_KOLADA).alias("source_system"),
         T.trim_lower("indicator_code").alias("source_indicator_code"),
         F.trim("indicator_name").alias("indicator_name"),
         "value",
@@ -213,7 +234,7 @@ def stg_medical_personnel(raw: DataFrame) -> DataFrame:
         F.trim(_c("Kön")).alias("gender_raw"),
         N.strict_double(_c(S.PERSONNEL_VALUE_COL)).alias("value"),
     )
-    kept = PR.drop_aggregate_rows(src, "area_raw", names=["Riket"], contains_lower=["sjukvårdsregion"],
+    kept = PR.drop_aggregate_rows(src, "area_raw", names=[NATIONAL_AREA], contains_lower=[HEALTHCARE_REGION_WORD],
                                   keep_nulls=False)
     typed = kept.select(
         "year",
@@ -227,14 +248,14 @@ def stg_medical_personnel(raw: DataFrame) -> DataFrame:
         "region_name", "year", "value",
         NULL_DATE().alias("period_month"),
         F.lit("YEAR").alias("period_granularity"),
-        F.lit("MEDICAL_PERSONNEL").alias("source_system"),
+        F.lit(SYS_PERSONNEL).alias("source_system"),
         "source_indicator_code", "indicator_name", "gender",
     )
 
 
 def stg_net_cost(raw: DataFrame) -> DataFrame:
     """Regional net cost per inhabitant (yearly)."""
-    src = raw.filter(F.trim(_c("Enhetstyp")) == F.lit("Region")).select(
+    src = raw.filter(F.trim(_c("Enhetstyp")) == F.lit(REGION_UNIT_TYPE)).select(
         F.trim(_c("Enhetsnamn")).alias("region_name"),
         N.parse_int_round(_c("Regionskod")).alias("region_code"),
         F.trim(_c("Kön/Totalt")).alias("gender_raw"),
@@ -248,7 +269,7 @@ def stg_net_cost(raw: DataFrame) -> DataFrame:
         "region_code", "region_name", "year", "value",
         NULL_DATE().alias("period_month"),
         F.lit("YEAR").alias("period_granularity"),
-        F.lit("NET_COST").alias("source_system"),
+        F.lit(SYS_NET_COST).alias("source_system"),
         T.slug("indicator_name").alias("source_indicator_code"),
         "indicator_name",
         T.normalize_gender("gender_raw", trim=False).alias("gender"),
@@ -328,16 +349,16 @@ def stg_tid_diagnos(raw: DataFrame) -> DataFrame:
         "region_name", "year",
         P.month_date("year", F.month("period_date")).alias("period_month"),
         F.lit("MONTH").alias("period_granularity"),
-        F.lit("STAT_DIAGNOS").alias("source_system"),
+        F.lit(SYS_DIAGNOS).alias("source_system"),
         T.letter_s_runs("indicator_name").alias("source_indicator_code"),
         "indicator_name", "diagnosgrupp", "value",
         F.lit("ALL").alias("gender"),
         NULL_STR().alias("age_group"),
-        PR.classify([(low.like("%minut%"), "minuter"), (low.like("%antal%"), "antal")]).alias("unit"),
+        PR.classify([(low.like(p), unit) for p, unit in DIAGNOS_UNIT_RULES]).alias("unit"),
     )
     # NULL region names are kept: the national rows are dropped through coalesce(lower(name), '')
     return labeled.filter(F.col("year").isNotNull()
-                          & ~F.coalesce(F.lower("region_name"), F.lit("")).isin("riket", "sverige"))
+                          & ~F.coalesce(F.lower("region_name"), F.lit("")).isin(*NATIONAL_NAMES))
 
 
 def stg_tid_konalder(raw: DataFrame) -> DataFrame:
@@ -356,7 +377,7 @@ def stg_tid_konalder(raw: DataFrame) -> DataFrame:
         "year",
         F.month("period_date").alias("month_number"),
         "month_name", "period_date",
-        F.lit("STAT_KON_ALDER").alias("source_system"),
+        F.lit(SYS_KON_ALDER).alias("source_system"),
         F.col("metric_name").alias("indicator_name"),
         T.snake("metric_name").alias("source_indicator_code"),
         "region_name", "gender", "age_group", "value",
