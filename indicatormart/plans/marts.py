@@ -31,6 +31,22 @@ NURSES_PATTERN = "(sjuksköterska|sjukskoterska|röntgensjuksköterska|rontgensj
 AMBULANCE_TIME_PATTERN = "responstid för ambulans vid prio 1-larm"
 AMBULANCE_COUNT_PATTERN = "ambulanslarm per invånare – prio1-larm|ambulanslarm per invånare - prio1-larm"
 
+# LIKE patterns on lower-cased indicator names / codes.
+AMBULANCE_NAME_LIKE = "%responstid för ambulans%"
+AMBULANCE_CODE_LIKE = "%ambulans%"
+DOCTOR_TIME_CODE_LIKE = "%median_tid_till_läkare%"
+DISPLACED_CODE_LIKE = "%displaced%"
+VISITS_CODE_LIKE = "%besök%"
+
+# Defaults and labels of the marts.
+BEDS_INTL_DEFAULTS = ("Hospital beds per 1,000 inhabitants", "CAPACITY", "Per 1 000 inhabitants")
+HEALTH_EXP_DEFAULTS = ("Health expenditure (% of GDP)", "COST", "% of GDP")
+PHYSICIANS_DEFAULTS = ("Doctors per 1000 inhabitants", "CAPACITY", "Per 1000 inhabitants")
+DEFAULT_SOURCE_SYSTEM = "OECD_HEALTH"
+VISITS_TOTAL = ("VISITS_TOTAL", "ED visits (total)")
+EXPLORER_YEARLY_TOPICS = ("CAPACITY", "COST", "WAITING_TIME", "DEMAND")
+
+
 def NULL_STR():
     return F.lit(None).cast("string")
 
@@ -71,7 +87,7 @@ def _intl(fact: DataFrame, dim_ind: DataFrame, name: str, topic: str, unit: str)
     return f.withColumns({
         "indicator_name": F.coalesce("d_indicator_name", F.lit(name)),
         "topic": F.coalesce("d_topic", F.lit(topic)),
-        "source_system": F.coalesce("d_source_system", F.lit("OECD_HEALTH")),
+        "source_system": F.coalesce("d_source_system", F.lit(DEFAULT_SOURCE_SYSTEM)),
         "unit": F.lit(unit),
     })
 
@@ -81,7 +97,7 @@ def mart_beds_intl_y(fct_beds_intl: DataFrame, dim_ind: DataFrame) -> DataFrame:
     view contributes no column and cannot fan out (date_key is unique), so it
     is left out."""
     f = fct_beds_intl.withColumn("date_key", P.year_key("year"))
-    f = _intl(f, dim_ind, "Hospital beds per 1,000 inhabitants", "CAPACITY", "Per 1 000 inhabitants")
+    f = _intl(f, dim_ind, *BEDS_INTL_DEFAULTS)
     return f.select("country_name", "date_key", "year", "indicator_key", "indicator_name", "topic",
                     "source_system", "value", "unit")
 
@@ -90,14 +106,14 @@ def mart_health_exp_gdp_intl_y(fct_health: DataFrame, dim_dt: DataFrame, dim_ind
     """Health expenditure with defaults; ``year`` comes from the calendar, so
     it is NULL for years outside the monthly sources' span."""
     f = J.lookup(fct_health, dim_dt, [F.col("date_key")], [F.col("date_key")], ["year"])
-    f = _intl(f, dim_ind, "Health expenditure (% of GDP)", "COST", "% of GDP")
+    f = _intl(f, dim_ind, *HEALTH_EXP_DEFAULTS)
     return f.select("country_name", "date_key", "year", "indicator_key", "indicator_name", "topic",
                     "source_system", "value", "unit")
 
 
 def mart_physicians_per_1000_y(fct_phys: DataFrame, dim_reg: DataFrame, dim_ind: DataFrame) -> DataFrame:
     f = J.lookup(fct_phys, dim_reg, [F.col("region_key")], [F.col("region_key")], ["region_name"])
-    f = _intl(f, dim_ind, "Doctors per 1000 inhabitants", "CAPACITY", "Per 1000 inhabitants")
+    f = _intl(f, dim_ind, *PHYSICIANS_DEFAULTS)
     return f.select("region_key", "region_name", "date_key", "year", "indicator_key", "indicator_name",
                     "topic", "source_system", "value", "unit")
 
@@ -106,8 +122,8 @@ def mart_emergency_yearly(fct_perf_y: DataFrame, dim_ind: DataFrame) -> DataFram
     """Ambulance indicators; every match is labelled MINUTES."""
     cols = ["source_system", "source_indicator_code", "indicator_name", "unit"]
     f = _with_indicator(fct_perf_y.drop("unit"), dim_ind, cols)
-    f = f.filter(F.lower("d_indicator_name").like("%responstid för ambulans%")
-                 | F.lower("d_source_indicator_code").like("%ambulans%"))
+    f = f.filter(F.lower("d_indicator_name").like(AMBULANCE_NAME_LIKE)
+                 | F.lower("d_source_indicator_code").like(AMBULANCE_CODE_LIKE))
     return f.select("region_key", "year",
                     F.col("d_source_system").alias("source_system"),
                     F.col("d_source_indicator_code").alias("source_indicator_code"),
@@ -121,9 +137,9 @@ def pressure_indicators(dim_ind: DataFrame) -> DataFrame:
     code = F.lower("source_indicator_code")
     label = F.lower(F.concat(F.col("source_indicator_code"), F.lit(" "), F.col("indicator_name")))
     unit = F.coalesce(F.col("unit"), classify([
-        (code.like("%median_tid_till_läkare%"), "minuter"),
-        (code.like("%displaced%"), "antal"),
-        (code.like("%besök%"), "antal")]))
+        (code.like(DOCTOR_TIME_CODE_LIKE), "minuter"),
+        (code.like(DISPLACED_CODE_LIKE), "antal"),
+        (code.like(VISITS_CODE_LIKE), "antal")]))
     keep = (F.upper(F.coalesce("topic", F.lit(""))) == "PRESSURE") | (
         F.upper("source_system").isin("STAT_KON_ALDER", "STAT_DIAGNOS")
         & F.coalesce(P.full_match(label, VISITS_PATTERN), F.lit(False)))
@@ -154,7 +170,7 @@ def mart_pressure_monthly(fct_overc: DataFrame, fct_visits: DataFrame, fct_diag:
                          F.col("value").cast("double").alias("value"))
 
     overc = _with_indicator(fct_overc, press, cols, size_base=dim_ind) \
-        .filter(F.lower("d_source_indicator_code").like("%displaced%"))
+        .filter(F.lower("d_source_indicator_code").like(DISPLACED_CODE_LIKE))
     overc = out(overc, F.col("d_unit"), "COUNT", NULL_STR(), NULL_STR(), NULL_STR())
 
     v = _with_indicator(fct_visits.drop("unit"), press, cols, size_base=dim_ind)
@@ -162,7 +178,7 @@ def mart_pressure_monthly(fct_overc: DataFrame, fct_visits: DataFrame, fct_diag:
     label = F.lower(F.concat(F.col("d_source_indicator_code"), F.lit(" "), F.col("d_indicator_name")))
     branches = F.filter(F.array(
         F.struct(F.lit("MINUTES").alias("kind"), F.col("d_unit").alias("unit"),
-                 F.coalesce(code.like("%median_tid_till_läkare%"), F.lit(False)).alias("hit")),
+                 F.coalesce(code.like(DOCTOR_TIME_CODE_LIKE), F.lit(False)).alias("hit")),
         F.struct(F.lit("VISITS").alias("kind"), F.coalesce("d_unit", F.lit("antal")).alias("unit"),
                  F.coalesce(P.full_match(label, VISITS_PATTERN), F.lit(False)).alias("hit"))),
         lambda b: b["hit"])
@@ -197,8 +213,8 @@ def demand_visits(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | N
                   {c: f"d_{c}" for c in cols}, how="left", extra_condition=F.col("topic") == "DEMAND",
                   size_base=size_base)
     return dv.groupBy("region_key", "date_key",
-                      F.coalesce("d_source_indicator_code", F.lit("VISITS_TOTAL")).alias("metric_code"),
-                      F.coalesce("d_indicator_name", F.lit("ED visits (total)")).alias("indicator_name")) \
+                      F.coalesce("d_source_indicator_code", F.lit(VISITS_TOTAL[0])).alias("metric_code"),
+                      F.coalesce("d_indicator_name", F.lit(VISITS_TOTAL[1])).alias("indicator_name")) \
              .agg(F.sum("value").alias("value"))
 
 
@@ -239,7 +255,7 @@ def mart_regional_explorer_monthly_long(fct_perf_m: DataFrame, fct_overc: DataFr
     m_doctime = shape(median_times(fct_visits, di, dim_ind), F.col("date_key"), null_int, "MONTH", F.lit("PRESSURE"),
                       F.lit("NEG"), F.col("metric_code"), F.col("indicator_name"), F.col("value"))
 
-    yearly_topics = ["CAPACITY", "COST", "WAITING_TIME", "DEMAND"]
+    yearly_topics = list(EXPLORER_YEARLY_TOPICS)
 
     def yearly(fact):
         f = _with_indicator(fact, di, cols, size_base=dim_ind).filter(F.col("d_topic").isin(*yearly_topics))

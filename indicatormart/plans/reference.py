@@ -21,6 +21,14 @@ from indicatormart.operators.setops import union_all, union_distinct
 from indicatormart.plans.staging import BEDS_INTL_TAG, HEALTH_EXP_TAG, OVERCROWDING_TAG, PHYSICIANS_TAG
 from indicatormart.sources.sinks import export_region_geojson
 
+# Metric types of the capacity fact and the registry rows of sources without tags.
+METRIC_BEDS = "BEDS_PER_1000"
+METRIC_STAFF = "STAFF_HEADCOUNT"
+METRIC_POPULATION = "POPULATION"
+METRIC_NET_COST = "NET_COST_SEK"
+BEDS_REGION_SYSTEM = "BEDS_REGION"
+POPULATION_TAG = ("SCB", "POPULATION", "Population")
+
 # The gender dimension (code, name).
 GENDERS = (("F", "Kvinna"), ("M", "Man"), ("ALL", "Alla"))
 
@@ -131,11 +139,11 @@ def indicator_union(stg: dict[str, DataFrame]) -> DataFrame:
         _registry_rows(stg["stg_overcrowding"], "MONTH", unit=None),
         _registry_rows(stg["stg_tid_konalder"], "MONTH", unit=None),
         _registry_rows(stg["stg_tid_diagnos"], "MONTH"),
-        _registry_rows(stg["stg_beds_region"], "YEAR", system=F.lit("BEDS_REGION"), code="indicator_code",
+        _registry_rows(stg["stg_beds_region"], "YEAR", system=F.lit(BEDS_REGION_SYSTEM), code="indicator_code",
                        unit=None),
         _registry_rows(stg["stg_beds_intl"], "YEAR"),
         _registry_rows(stg["stg_medical_personnel"], "YEAR", unit=None),
-        _constant_row(stg["stg_population"], "SCB", "POPULATION", "Population", None),
+        _constant_row(stg["stg_population"], *POPULATION_TAG, None),
         _registry_rows(stg["stg_net_cost"], "YEAR"),
         _registry_rows(stg["stg_kolada"], "YEAR", unit=None),
         _constant_row(stg["stg_physicians_per1000"], *PHYSICIANS_TAG, "Per 1000 inhabitants"),
@@ -190,22 +198,22 @@ def fct_capacity_yearly(stg_beds_region: DataFrame, stg_medical_personnel: DataF
         return J.resolve_key(df, dim_reg, code_col, "region_code_int", "region_key")
 
     beds = by_code(stg_beds_region, "region_code").select(
-        "region_key", F.col("year").cast("int").alias("year"), F.lit("BEDS_PER_1000").alias("metric_type"),
-        F.lit("BEDS_REGION").alias("src_system"), F.col("indicator_code").alias("src_code"),
+        "region_key", F.col("year").cast("int").alias("year"), F.lit(METRIC_BEDS).alias("metric_type"),
+        F.lit(BEDS_REGION_SYSTEM).alias("src_system"), F.col("indicator_code").alias("src_code"),
         F.col("value").cast("double").alias("value"), F.lit(None).cast("string").alias("unit"))
     staff_rows = J.resolve_key(stg_medical_personnel.filter(F.col("value").isNotNull()), dim_reg,
                                "region_name", "region_name", "region_key")
     staff = staff_rows.groupBy("region_key", "year", "source_system", "source_indicator_code").agg(
         F.sum("value").cast("double").alias("value")).select(
-        "region_key", F.col("year").cast("int").alias("year"), F.lit("STAFF_HEADCOUNT").alias("metric_type"),
+        "region_key", F.col("year").cast("int").alias("year"), F.lit(METRIC_STAFF).alias("metric_type"),
         F.col("source_system").alias("src_system"), F.col("source_indicator_code").alias("src_code"),
         "value", F.lit(None).cast("string").alias("unit"))
     pop = by_code(stg_population, "region_code").select(
-        "region_key", F.col("year").cast("int").alias("year"), F.lit("POPULATION").alias("metric_type"),
-        F.lit("SCB").alias("src_system"), F.lit("POPULATION").alias("src_code"),
+        "region_key", F.col("year").cast("int").alias("year"), F.lit(METRIC_POPULATION).alias("metric_type"),
+        F.lit(POPULATION_TAG[0]).alias("src_system"), F.lit(POPULATION_TAG[1]).alias("src_code"),
         F.col("population").cast("double").alias("value"), F.lit(None).cast("string").alias("unit"))
     cost = by_code(stg_net_cost, "region_code").select(
-        "region_key", F.col("year").cast("int").alias("year"), F.lit("NET_COST_SEK").alias("metric_type"),
+        "region_key", F.col("year").cast("int").alias("year"), F.lit(METRIC_NET_COST).alias("metric_type"),
         F.col("source_system").alias("src_system"), F.col("source_indicator_code").alias("src_code"),
         F.col("value").cast("double").alias("value"), "unit")
     unioned = union_all([beds, staff, pop, cost])
