@@ -80,6 +80,7 @@ def read_documents(spark, sf_dir):
 
 @query
 def load_table(spark, sf_dir):
+    """S3 + P6: a named raw table scan with an equality filter pushed to the scan."""
     o = RD.load_table(spark, f"{sf_dir}/orders.parquet")
     return o.filter(F.col("o_orderstatus") == "F").select(
         "o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"))
@@ -87,6 +88,7 @@ def load_table(spark, sf_dir):
 
 @query
 def load_seed(spark, sf_dir):
+    """A CSV seed with a header and an explicit schema."""
     path = SK.scratch_path(spark, "seed")
     SK.write_csv(_t(spark, sf_dir, "nation"), path)
     return RD.load_seed(spark, path, "n_nationkey int, n_name string, n_regionkey int")
@@ -102,11 +104,13 @@ DATAEXPORT_RENAMES = {
 
 @query
 def rename_columns(spark, sf_dir):
+    """S5 + P1: awkward raw column names (slashes, non-ASCII) to canonical names."""
     return RD.rename_columns(_raw(spark, sf_dir, "DATAEXPORT_RAW"), DATAEXPORT_RENAMES)
 
 
 @query
 def inline_table(spark, sf_dir):
+    """A literal relation joined to the orders."""
     labels = RD.inline_table(spark, [("F", "Kvinnor"), ("O", "Män"), ("P", "Totalt")],
                              "status string, gender_label string")
     o = _t(spark, sf_dir, "orders")
@@ -116,6 +120,7 @@ def inline_table(spark, sf_dir):
 
 @query
 def publish_view(spark, sf_dir):
+    """A model published as a temp view and queried by name."""
     o = _t(spark, sf_dir, "orders")
     SK.publish(o, "im_orders", kind="view")
     return spark.sql("""SELECT o_orderstatus, count(*) AS n_orders,
@@ -125,6 +130,7 @@ def publish_view(spark, sf_dir):
 
 @query
 def publish_table(spark, sf_dir):
+    """S9 + S10: a table written to a shared path and registered in its own database."""
     c = _t(spark, sf_dir, "customer")
     per_nation = c.groupBy("c_nationkey").agg(
         F.count(F.lit(1)).alias("n_customers"),
@@ -135,6 +141,7 @@ def publish_table(spark, sf_dir):
 
 @query
 def csv_roundtrip(spark, sf_dir):
+    """S12 + F21: CSV sink and all-string read back with strict casts."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice",
                                                "l_returnflag")
     path = SK.scratch_path(spark, "lineitem_csv")
@@ -148,11 +155,13 @@ def csv_roundtrip(spark, sf_dir):
 
 @query
 def export_region_geojson(spark, sf_dir):
+    """S11 + F37 + F5: region shapes as GeoJSON text with two-digit codes."""
     return standin_warehouse(spark, sf_dir).dim_region_geojson
 
 
 @query
 def load_audit(spark, sf_dir):
+    """A one-row load record (rows, series, regions, as-of stamp)."""
     stg = standin_warehouse(spark, sf_dir).stg_kolada
     return RD.load_audit(stg, ["source_indicator_code"], "region_name", as_of=F.max("year"))
 
@@ -161,12 +170,14 @@ def load_audit(spark, sf_dir):
 
 @query
 def tag_source(spark, sf_dir):
+    """Constant lineage columns."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey")
     return PR.tag_source(o, system="TPCH", code="orders", name="Orders", grain="MONTH")
 
 
 @query
 def drop_aggregate_rows(spark, sf_dir):
+    """P7 + P12: national and health-care-region rows dropped (exact, contains, ILIKE)."""
     raw = _raw(spark, sf_dir, "MEDICAL_PERSONNEL_RAW").select(
         F.col("År").alias("year"), F.col("Område").alias("area"), F.col(f"`{S.PERSONNEL_VALUE_COL}`").alias("value"))
     return PR.drop_aggregate_rows(raw, "area", names=["Riket"], contains_lower=["sjukvårdsregion"],
@@ -175,6 +186,7 @@ def drop_aggregate_rows(spark, sf_dir):
 
 @query
 def required_fields(spark, sf_dir):
+    """Required-field filter (NULL-only, NaN kept)."""
     o = _t(spark, sf_dir, "orders").select(
         "o_orderkey",
         F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("priority"),
@@ -184,6 +196,7 @@ def required_fields(spark, sf_dir):
 
 @query
 def code_filter(spark, sf_dir):
+    """P9 + P11: IN list and LIKE with a live '_' wildcard."""
     o = _t(spark, sf_dir, "orders")
     return o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") | PR.like_any("o_orderpriority", ["_-LOW"])) \
             .select("o_orderkey", "o_orderpriority")
@@ -191,6 +204,7 @@ def code_filter(spark, sf_dir):
 
 @query
 def full_match(spark, sf_dir):
+    """Whole-string regex match next to Spark's substring rlike."""
     p = _t(spark, sf_dir, "part")
     low = F.lower("p_type")
     return p.select("p_partkey", P.full_match(low, "(medium|small)").alias("is_full"),
@@ -200,16 +214,19 @@ def full_match(spark, sf_dir):
 
 @query
 def filter_topic(spark, sf_dir):
+    """Topic filter with a NULL guard."""
     return PR.filter_topic(standin_warehouse(spark, sf_dir).dim_indicator, ["WAITING_TIME"])
 
 
 @query
 def classify_roles(spark, sf_dir):
+    """P15 + F35: first-match CASE classification of indicators into resource roles."""
     return M.resource_roles(standin_warehouse(spark, sf_dir).dim_indicator)
 
 
 @query
 def normalize_gender(spark, sf_dir):
+    """Gender spellings to F / M / ALL."""
     raw = _raw(spark, sf_dir, "KOLADA_RAW")
     return raw.groupBy(F.col("Kön").alias("gender_raw"), T.normalize_gender("Kön").alias("gender")) \
               .agg(F.count(F.lit(1)).alias("n"))
@@ -219,6 +236,7 @@ def normalize_gender(spark, sf_dir):
 
 @query
 def resolve_key_code(spark, sf_dir):
+    """J1 + J8 + J9: facts to region, gender and age keys by code or label (broadcast lookups)."""
     wh = standin_warehouse(spark, sf_dir)
     o = _t(spark, sf_dir, "orders").join(_t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     o = o.select("o_orderkey", "c_nationkey",
@@ -235,6 +253,7 @@ def resolve_key_code(spark, sf_dir):
 
 @query
 def resolve_key_name(spark, sf_dir):
+    """J2 + J3 + J4 + F14: region keys by exact, upper-cased and normalized names."""
     wh = standin_warehouse(spark, sf_dir)
     c = _t(spark, sf_dir, "customer").join(J.checked_broadcast(_t(spark, sf_dir, "nation")),
                                            F.col("c_nationkey") == F.col("n_nationkey"))
@@ -251,6 +270,7 @@ def resolve_key_name(spark, sf_dir):
 
 @query
 def alias_map(spark, sf_dir):
+    """J5 + F15: upper-case-pattern normalizer and a literal alias map (no join)."""
     stg = standin_warehouse(spark, sf_dir).stg_kolada
     names = stg.select(F.trim("region_name").alias("region_name")).distinct()
     norm = names.withColumn("name_norm", T.upper_pattern_norm("region_name"))
@@ -260,6 +280,7 @@ def alias_map(spark, sf_dir):
 
 @query
 def resolve_indicator(spark, sf_dir):
+    """J6 + J7: indicator keys by exact and by upper(trim()) matching."""
     wh = standin_warehouse(spark, sf_dir)
     f = wh.stg_dataexport.select("region_code", "unit_code", "year", "period_month", "source_system",
                                  F.upper("source_indicator_code").alias("source_indicator_code"))
@@ -270,6 +291,7 @@ def resolve_indicator(spark, sf_dir):
 
 @query
 def derive_dim(spark, sf_dir):
+    """J10 + A8: a dimension derived with DISTINCT and a surrogate key, then looked up."""
     stg = standin_warehouse(spark, sf_dir).stg_tid_diagnos
     dim = J.derive_dim(stg, ["diagnosgrupp"], "diagnosis_key")
     f = J.lookup(stg, dim, [F.col("diagnosgrupp")], [F.col("diagnosgrupp")], ["diagnosis_key"])
@@ -278,6 +300,7 @@ def derive_dim(spark, sf_dir):
 
 @query
 def inner_indicator(spark, sf_dir):
+    """Inner fact-indicator join (NULL keys dropped)."""
     wh = standin_warehouse(spark, sf_dir)
     f = J.lookup(wh.fct_performance_yearly, wh.dim_indicator, [F.col("indicator_key")], [F.col("indicator_key")],
                  ["source_indicator_code", "topic"], how="inner")
@@ -286,6 +309,7 @@ def inner_indicator(spark, sf_dir):
 
 @query
 def dims_with_defaults(spark, sf_dir):
+    """J12 + F36: left lookups with coalesce defaults."""
     wh = standin_warehouse(spark, sf_dir)
     f = J.lookup(wh.stg_physicians_per1000, wh.dim_region, [F.col("region_name")], [F.col("region_name")],
                  {"region_key": "region_key", "region_code_2": "region_code_2"})
@@ -295,6 +319,7 @@ def dims_with_defaults(spark, sf_dir):
 
 @query
 def left_on_predicate(spark, sf_dir):
+    """A topic predicate inside a LEFT join's ON clause."""
     wh = standin_warehouse(spark, sf_dir)
     di = M.explorer_indicators(wh.dim_indicator)
     f = J.lookup(wh.fct_visits_by_gender_age_m, di, [F.col("indicator_key")], [F.col("indicator_key")],
@@ -305,6 +330,7 @@ def left_on_predicate(spark, sf_dir):
 
 @query
 def calendar_rollup(spark, sf_dir):
+    """J14 + A4: monthly facts rolled up to years through the calendar."""
     wh = standin_warehouse(spark, sf_dir)
     f = J.lookup(wh.fct_overcrowding_monthly, wh.dim_date, [F.col("date_key")], [F.col("date_key")],
                  ["year"], how="inner")
@@ -315,6 +341,7 @@ def calendar_rollup(spark, sf_dir):
 
 @query
 def unpivot_drop_nulls(spark, sf_dir):
+    """C1 + F22: wide year columns to rows, NULL cells dropped, year from the name."""
     raw = _raw(spark, sf_dir, "KOLADA_RAW")
     years = [c for c in raw.columns if c.isdigit()]
     return R.unpivot_years(raw, ["Område", "Kön", "NYCKELTALSID"], years)
@@ -322,6 +349,7 @@ def unpivot_drop_nulls(spark, sf_dir):
 
 @query
 def unpivot_keep_nulls(spark, sf_dir):
+    """Wide region columns to rows, NULL cells kept."""
     raw = _raw(spark, sf_dir, "OVERCROWDING_RAW")
     cols = [c for c in raw.columns if c != S.OVERCROWDING_CATEGORY]
     return R.unpivot_columns(raw, [S.OVERCROWDING_CATEGORY], cols, "region_col", "value")
@@ -329,12 +357,14 @@ def unpivot_keep_nulls(spark, sf_dir):
 
 @query
 def melt_measures(spark, sf_dir):
+    """Three measure columns to rows with per-measure metadata, one scan."""
     raw = _raw(spark, sf_dir, "EXPENDITURE_GDP_RAW")
     return R.melt_measures(raw.withColumnRenamed("Year", "year"), ["year"], EXPENDITURE_MEASURES)
 
 
 @query
 def explode_features(spark, sf_dir):
+    """C4 + J16: GeoJSON features to rows."""
     feats = D.explode_features(_raw(spark, sf_dir, "GEO_LAN_REGIONS_RAW"))
     return feats.select(F.col("props.scb_lan_code_2").alias("code"),
                         F.col("props.region_name_official").alias("name"), "geom")
@@ -342,6 +372,7 @@ def explode_features(spark, sf_dir):
 
 @query
 def flatten_pxweb(spark, sf_dir):
+    """C5 + A7 + J15: PXWeb matrices to rows, key positions found per document."""
     return D.flatten_pxweb(_raw(spark, sf_dir, "SCB_POPULATION_RAW"),
                            {"region_code_raw": "Region", "year_raw": "Tid"})
 
@@ -373,6 +404,7 @@ def spreadsheet(spark, sf_dir) -> DataFrame:
 
 @query
 def stack_headers(spark, sf_dir):
+    """C6 + J18: 'Year/Month/Metric' headers stacked to long rows with a period."""
     return R.stack_headers(spreadsheet(spark, sf_dir), ["Region", "Segment"])
 
 
@@ -388,6 +420,7 @@ def tidy_sheet(spark, sf_dir):
 
 @query
 def pivot_metrics(spark, sf_dir):
+    """Long metrics pivoted to one column each."""
     stg = standin_warehouse(spark, sf_dir).stg_tid_konalder
     return R.pivot_metrics(stg, ["region_name", "gender", "age_group", "period_date"], "indicator_name", "value",
                            ["Antal besök", "Median tid till läkare i minuter"], agg="min")
@@ -395,6 +428,7 @@ def pivot_metrics(spark, sf_dir):
 
 @query
 def pivot_roles(spark, sf_dir):
+    """C8 + A5: conditional aggregates per role."""
     li = StandIns(spark, sf_dir).lines_by_nation()
     spec = {"max_a": ("max", ["A"]), "sum_n": ("sum", ["N"]), "sum_a_n": ("sum", ["A", "N"]),
             "max_r": ("max", ["R"])}
@@ -403,6 +437,7 @@ def pivot_roles(spark, sf_dir):
 
 @query
 def json_path(spark, sf_dir):
+    """JSON path access on a string column, also through VARIANT."""
     e = _t(spark, sf_dir, "events")
     return e.select("event_id", D.json_path("props", "$.k", "int").alias("k_json"),
                     D.variant_path("props", "$.k", "int").alias("k_variant"))
@@ -410,6 +445,7 @@ def json_path(spark, sf_dir):
 
 @query
 def canonicalize_columns(spark, sf_dir):
+    """C10 + C11: columns found by candidate names (exact, then contains)."""
     o = _t(spark, sf_dir, "orders")
     out = SEL.canonicalize_columns(o, {"order_id": ["O_ORDERKEY"], "customer": ["custkey"],
                                        "priority": ["PRIORITY"]})
@@ -424,6 +460,7 @@ WANTED_YEARS = ("2020", "2021", "2022", "2023", "2024", "2025")
 
 @query
 def select_codes(spark, sf_dir):
+    """Wanted codes, else the last N codes."""
     rows = StandIns(spark, sf_dir).population_rows().select("code", "year", "obs")
     rows = SEL.select_codes(rows, "code", WANTED_REGIONS)
     return SEL.select_codes(rows, "year", WANTED_YEARS, fallback_last=6)
@@ -431,6 +468,7 @@ def select_codes(spark, sf_dir):
 
 @query
 def explode_series(spark, sf_dir):
+    """Series documents to one row per value."""
     stg = standin_warehouse(spark, sf_dir).stg_kolada
     points = stg.groupBy(F.col("source_indicator_code").alias("kpi_id"), F.col("region_name").alias("region_id"),
                          F.col("year").alias("period"), "gender").agg(F.max("value").alias("value"))
@@ -445,24 +483,28 @@ def explode_series(spark, sf_dir):
 
 @query
 def sum_by_grain(spark, sf_dir):
+    """A1: sums by grain (NULL keys form a group)."""
     stg = standin_warehouse(spark, sf_dir).stg_medical_personnel
     return sum_by(stg, ["region_name", "year", "source_system", "source_indicator_code"], "value")
 
 
 @query
 def demand_totals(spark, sf_dir):
+    """A2: visits summed per region-month, other topics under VISITS_TOTAL."""
     wh = standin_warehouse(spark, sf_dir)
     return M.demand_visits(wh.fct_visits_by_gender_age_m, M.explorer_indicators(wh.dim_indicator))
 
 
 @query
 def avg_of_medians(spark, sf_dir):
+    """A3: unweighted average of medians."""
     wh = standin_warehouse(spark, sf_dir)
     return M.median_times(wh.fct_visits_by_gender_age_m, M.explorer_indicators(wh.dim_indicator))
 
 
 @query
 def min_max_dates(spark, sf_dir):
+    """A6 + F33: month bounds over several sources, NULL-skipping and strict."""
     wh = standin_warehouse(spark, sf_dir)
     srcs = [(wh.stg_dataexport, "period_month"), (wh.stg_overcrowding, "period_month"),
             (wh.stg_tid_konalder, "period_date"), (wh.stg_tid_diagnos, "period_month")]
@@ -478,6 +520,7 @@ def min_max_dates(spark, sf_dir):
 
 @query
 def check_min_distinct(spark, sf_dir):
+    """A9 + Q6: cardinality warning checks."""
     wh = standin_warehouse(spark, sf_dir)
     return Q.run_checks([Q.check_min_distinct(wh.dim_region, "dim_region", "region_code_2", 21),
                          Q.check_min_distinct(wh.stg_population, "stg_population", "region_code_str", 30)])
@@ -485,6 +528,7 @@ def check_min_distinct(spark, sf_dir):
 
 @query
 def per_1000_ratio(spark, sf_dir):
+    """A10: guarded per-1,000 ratio (no division by zero)."""
     wh = standin_warehouse(spark, sf_dir)
     staff = sum_by(wh.stg_medical_personnel, ["region_name", "year"], "value", out="staff")
     pop = wh.stg_population.select(F.concat(F.lit("NATION_"), F.col("region_code").cast("string")).alias("region_name"),
@@ -506,6 +550,7 @@ def _de_parsed(spark, sf_dir) -> DataFrame:
 
 @query
 def prefer_finer_grain(spark, sf_dir):
+    """W1 + P10: YEAR rows dropped where MONTH rows exist for the same key."""
     d = _de_parsed(spark, sf_dir)
     kept = G.prefer_finer_grain(d, [F.col("region_code_raw"), T.trim_lower("indicator_code"), F.col("year"),
                                     T.trim_upper("gender_raw")])
@@ -515,6 +560,7 @@ def prefer_finer_grain(spark, sf_dir):
 
 @query
 def dedupe_registry(spark, sf_dir):
+    """One registry row per (system, code), deterministic order."""
     wh = standin_warehouse(spark, sf_dir)
     base = REF.indicator_union(wh.staging())
     return G.dedupe(base, ["source_system", "source_indicator_code"],
@@ -524,6 +570,7 @@ def dedupe_registry(spark, sf_dir):
 
 @query
 def dedupe_grain(spark, sf_dir):
+    """One row per non-unique key, ordered by every other column."""
     li = _t(spark, sf_dir, "lineitem")
     order = [F.col(c).asc_nulls_last() for c in ("l_partkey", "l_suppkey")] + [F.col("l_quantity").desc()] + \
             [F.col(c).asc_nulls_last() for c in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag",
@@ -533,12 +580,14 @@ def dedupe_grain(spark, sf_dir):
 
 @query
 def month_spine(spark, sf_dir):
+    """W3 + S7 + J17 + F32: month calendar between the first and last month."""
     return G.month_spine([(_t(spark, sf_dir, "orders"), "o_orderdate"),
                           (_t(spark, sf_dir, "lineitem"), "l_shipdate")])
 
 
 @query
 def ordered_output(spark, sf_dir):
+    """O1: ORDER BY at the sink only."""
     stg = standin_warehouse(spark, sf_dir).stg_beds_intl
     return stg.orderBy(F.col("country_name").asc_nulls_last(), F.col("year").asc_nulls_last())
 
@@ -554,6 +603,7 @@ BEST_MATCH_FAMILIES = {
 
 @query
 def best_match(spark, sf_dir):
+    """O2: best keyword match per family over whole texts."""
     d = _t(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     best = SEL.best_match(d, "lang", "text", "doc_id", BEST_MATCH_FAMILIES)
     return best.select("lang", "doc_id", "hits")
@@ -561,6 +611,7 @@ def best_match(spark, sf_dir):
 
 @query
 def label_sort_key(spark, sf_dir):
+    """O3 + F16: numeric sort key from a label's leading digits."""
     c = _t(spark, sf_dir, "customer")
     label = (F.when(F.col("c_custkey") % 4 == 0, F.lit("Totalt"))
               .when(F.col("c_custkey") % 4 == 1, F.lit("80+"))
@@ -573,6 +624,7 @@ def label_sort_key(spark, sf_dir):
 
 @query
 def union_facts(spark, sf_dir):
+    """UNION ALL of fact families."""
     wh = standin_warehouse(spark, sf_dir)
     cols = ["source_system", "source_indicator_code", "year", "value"]
     return union_all([wh.stg_net_cost.select(*cols), wh.stg_kolada.select(*cols),
@@ -583,6 +635,7 @@ def union_facts(spark, sf_dir):
 
 @query
 def text_basics(spark, sf_dir):
+    """F1-F4 + F6: trim/case, initcap, blank to NULL, fallback title, NULL-propagating concat."""
     raw = _raw(spark, sf_dir, "NET_COST_RAW")
     return raw.select(
         F.trim("Enhetstyp").alias("unit_type"),
@@ -597,6 +650,7 @@ def text_basics(spark, sf_dir):
 
 @query
 def slug_codes(spark, sf_dir):
+    """Slug, blank-run and letter-s-run codes."""
     names = _raw(spark, sf_dir, "STAT_DIAGNOS_RAW").select(F.col("Metric").alias("name")).unionByName(
         _raw(spark, sf_dir, "NET_COST_RAW").select(T.first_non_blank("Titel", "Diagramrubrik").alias("name"))
     ).unionByName(_raw(spark, sf_dir, "MEDICAL_PERSONNEL_RAW").select(F.col("Grupp").alias("name"))).distinct()
@@ -606,6 +660,7 @@ def slug_codes(spark, sf_dir):
 
 @query
 def entity_name_clean(spark, sf_dir):
+    """F10-F13 + F38: the region-name cleaners over every spelling in the extracts."""
     oc_cols = [c for c in _raw(spark, sf_dir, "OVERCROWDING_RAW").columns if c != S.OVERCROWDING_CATEGORY]
     names = union_all([
         _raw(spark, sf_dir, "KOLADA_RAW").select(F.col("Område").alias("name")),
@@ -624,6 +679,7 @@ def entity_name_clean(spark, sf_dir):
 
 @query
 def parse_decimal(spark, sf_dir):
+    """Decimal comma, stripped comma and two-place decimals."""
     raw = RD.rename_columns(_raw(spark, sf_dir, "DATAEXPORT_RAW"), DATAEXPORT_RENAMES)
     return raw.select("unit_code", "value_raw", "numerator_raw",
                       N.parse_decimal("value_raw").alias("value"),
@@ -633,6 +689,7 @@ def parse_decimal(spark, sf_dir):
 
 @query
 def parse_int_round(spark, sf_dir):
+    """safe integer parsing, half away from zero."""
     raw = _raw(spark, sf_dir, "HEALTH_EXPENDITURE_INTL_RAW")
     return raw.select("OBS_VALUE", "TIME_PERIOD",
                       N.parse_int_round(F.replace(F.col("OBS_VALUE"), F.lit(","), F.lit("."))).alias("obs_int"),
@@ -641,6 +698,7 @@ def parse_int_round(spark, sf_dir):
 
 @query
 def parse_period(spark, sf_dir):
+    """F23 + F27: period grain, year, month and unified date/label."""
     raw = RD.rename_columns(_raw(spark, sf_dir, "DATAEXPORT_RAW"), DATAEXPORT_RENAMES)
     p = F.trim("period_raw")
     g, y, m = P.period_granularity(p), P.period_year(p), P.period_month(p)
@@ -651,6 +709,7 @@ def parse_period(spark, sf_dir):
 
 @query
 def parse_named_month(spark, sf_dir):
+    """Swedish month names (long and short) to dates."""
     raw = _raw(spark, sf_dir, "OVERCROWDING_RAW").select(S.OVERCROWDING_CATEGORY)
     cat = F.col(S.OVERCROWDING_CATEGORY)
     no, yr = P.named_month_number(cat), P.named_month_year(cat)
@@ -662,6 +721,7 @@ def parse_named_month(spark, sf_dir):
 
 @query
 def date_parts(spark, sf_dir):
+    """F25 + F26 + F28 + F31: date, month, month start, year and labels."""
     o = _t(spark, sf_dir, "orders")
     d = F.to_date(F.date_format("o_orderdate", "yyyy-MM-dd"))
     return o.select("o_orderkey", d.alias("order_date"), F.month(d).alias("month_no"),
@@ -671,6 +731,7 @@ def date_parts(spark, sf_dir):
 
 @query
 def period_keys(spark, sf_dir):
+    """F29 + F30: YYYYMMDD month keys and YYYY0101 year keys."""
     o = _t(spark, sf_dir, "orders")
     return o.select("o_orderkey", P.month_key("o_orderdate").alias("date_key"),
                     P.year_key(F.year("o_orderdate")).alias("year_key"))
@@ -678,6 +739,7 @@ def period_keys(spark, sf_dir):
 
 @query
 def surrogate_key(spark, sf_dir):
+    """md5 surrogate keys with the NULL stand-in."""
     c = _t(spark, sf_dir, "customer")
     seg = F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment"))
     return c.select("c_custkey", K.surrogate_key("c_custkey").alias("key_one"),
@@ -688,6 +750,7 @@ def surrogate_key(spark, sf_dir):
 
 @query
 def check_not_null(spark, sf_dir):
+    """Q1 + Q7: fused not-null checks with severities."""
     wh = standin_warehouse(spark, sf_dir)
     return Q.check_columns(wh.fct_capacity_yearly, "fct_capacity_yearly",
                            not_null=["region_key", "year", "metric_type", "indicator_key", "value"],
@@ -696,6 +759,7 @@ def check_not_null(spark, sf_dir):
 
 @query
 def check_unique(spark, sf_dir):
+    """Q2: uniqueness checks."""
     wh = standin_warehouse(spark, sf_dir)
     return Q.run_checks([Q.check_unique(wh.dim_region, "dim_region", "region_key"),
                          Q.check_unique(wh.stg_dataexport, "stg_dataexport", "unit_code")])
@@ -703,6 +767,7 @@ def check_unique(spark, sf_dir):
 
 @query
 def check_accepted(spark, sf_dir):
+    """Q3: accepted-values checks."""
     wh = standin_warehouse(spark, sf_dir)
     return Q.check_columns(wh.stg_dataexport, "stg_dataexport",
                            accepted={"gender": ["F", "M", "ALL"], "period_granularity": ["MONTH", "YEAR"]},
@@ -711,6 +776,7 @@ def check_accepted(spark, sf_dir):
 
 @query
 def check_relationship(spark, sf_dir):
+    """Q4: relationship (anti-join) checks."""
     wh = standin_warehouse(spark, sf_dir)
     return Q.run_checks([
         Q.check_relationship(wh.fct_capacity_yearly, "fct_capacity_yearly", "region_key", wh.dim_region, "region_key"),
@@ -720,6 +786,7 @@ def check_relationship(spark, sf_dir):
 
 @query
 def check_unique_combination(spark, sf_dir):
+    """Q5: grain (unique combination) checks."""
     wh = standin_warehouse(spark, sf_dir)
     return Q.run_checks([
         Q.check_unique_combination(wh.fct_kolada_y, "fct_kolada_y", ["region_key", "year", "gender_key",
@@ -730,11 +797,13 @@ def check_unique_combination(spark, sf_dir):
 
 @query
 def declared_checks_staging(spark, sf_dir):
+    """Q1-Q7: every declared test of the staging models."""
     return staging_checks(standin_warehouse(spark, sf_dir))
 
 
 @query
 def declared_checks_reference(spark, sf_dir):
+    """Q1-Q7: every declared test of the dimension and fact models."""
     return reference_checks(standin_warehouse(spark, sf_dir))
 
 
