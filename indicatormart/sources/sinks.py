@@ -29,13 +29,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 
 
 def publish(df: DataFrame, name: str, kind: str = "view", database: str | None = None,
-            path: str | None = None) -> DataFrame:
+            path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
     """Publish a model: ``view`` (lazy temp view) or ``table`` (full replace).
 
     For a table, ``database`` is created if absent and used verbatim; with
     ``path`` the table is external (data under that shared folder), else it
-    is managed by the catalog's warehouse directory.  Returns the published
-    relation, read back from the catalog.
+    is managed by the catalog's warehouse directory.  ``partition_by`` lays the
+    table out by those columns (e.g. ``["year"]``) so readers filtering on them
+    prune whole directories.  Returns the published relation, read back from
+    the catalog.
     """
     spark = df.sparkSession
     if kind == "view":
@@ -48,6 +50,8 @@ def publish(df: DataFrame, name: str, kind: str = "view", database: str | None =
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
         qualified = f"`{database}`.`{name}`"
     writer = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if path is not None:
         writer = writer.option("path", path)
     writer.saveAsTable(qualified)

@@ -137,7 +137,12 @@ def test_declared_checks(wh):
 
 def test_build_publishes_every_model(spark, wh, tmp_path):
     from indicatormart.plans.build import build_warehouse
-    out = build_warehouse(wh, str(tmp_path / "lake"), ref_database="im_fixture_ref")
+    out = build_warehouse(wh, str(tmp_path / "lake"), ref_database="im_fixture_ref",
+                          partitions={"fct_kolada_y": ["year"]})
     assert len(out) == len(MODELS)
-    assert spark.table("im_fixture_ref.fct_kolada_y").count() == 6
+    kpi = spark.table("im_fixture_ref.fct_kolada_y")
+    assert kpi.count() == 6
+    pruned = kpi.filter("year = 2024")
+    assert pruned.count() == 3
+    assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString()
     assert spark.sql("SELECT count(*) AS n FROM mart_resources_yearly").first().n > 0
