@@ -11,6 +11,8 @@ and prints ONE JSON line.  Timings per key:
   run over the built warehouse.
 
 ``value`` is the sum of all timings (one untimed warm-up job runs first).
+Set ``BENCH_EVENT_LOG_DIR`` to a scratch folder to record Spark's event log;
+``tools/event_log_report.py`` then attributes stage time to each key.
 """
 
 from __future__ import annotations
@@ -39,8 +41,11 @@ def _run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                      extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
+    extra = {"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")   # optional: a scratch folder for the event log
+    if event_dir:
+        extra.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), extra=extra)
     timings: dict[str, float] = {}
     # untimed warm-up: JVM class loading and code generation of the first job
     spark.range(1000).selectExpr("sum(id)").collect()
