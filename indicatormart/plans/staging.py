@@ -199,20 +199,21 @@ def year_columns(df: DataFrame) -> list[str]:
 def stg_kolada(raw: DataFrame, year_cols: Sequence[str] | None = None) -> DataFrame:
     """Wide KPI table: one column per year -> rows, NULL cells dropped.
 
-    The region name is cleaned (and aggregate rows dropped) on the wide row,
-    before the unpivot multiplies rows by the number of year columns.
+    Aggregate rows ('Alla regioner…') and NULL areas are dropped on the raw
+    column (the cleaned name is NULL exactly for those), so the region-name
+    regexes run only where the name is used, and once per wide row rather
+    than once per year column.
     """
     years = list(year_cols) if year_cols is not None else year_columns(raw)
-    region = F.when(_c("Område").ilike(ALL_REGIONS_PREFIX + "%"), NULL_STR()) \
-              .otherwise(T.clean_kpi_region(_c("Område")))
-    prepared = raw.select(
-        _c("Område").alias("region_name_raw"),
-        region.alias("region_name"),
+    area = _c("Område")
+    prepared = raw.filter(area.isNotNull() & ~area.ilike(ALL_REGIONS_PREFIX + "%")).select(
+        area.alias("region_name_raw"),
+        T.clean_kpi_region(area).alias("region_name"),
         _c("Kön").alias("gender_raw"),
         _c("NYCKELTALSID").alias("indicator_code"),
         _c("NYCKELTAL").alias("indicator_name"),
         *[N.strict_double(_c(y)).alias(y) for y in years],
-    ).filter(F.col("region_name").isNotNull())
+    )
     long = R.unpivot_years(prepared, ["region_name_raw", "region_name", "gender_raw", "indicator_code",
                                       "indicator_name"], years)
     return long.select(
@@ -244,7 +245,9 @@ def stg_medical_personnel(raw: DataFrame) -> DataFrame:
         T.slug("profession_group").alias("source_indicator_code"),
         "value",
     )
-    return PR.require(typed, "year", "region_name", "value").select(
+    # region_name is never NULL here (the raw area is), so only year and value are tested:
+    # the name regexes then run only where the name is used.
+    return PR.require(typed, "year", "value").select(
         "region_name", "year", "value",
         NULL_DATE().alias("period_month"),
         F.lit("YEAR").alias("period_granularity"),
@@ -299,7 +302,9 @@ def stg_overcrowding(raw: DataFrame, region_cols: Sequence[str] | None = None,
         T.clean_column_region(F.trim("region_col"), special).alias("region_name"),
         "value",
     )
-    return PR.require(cleaned, "year", "month_no", "period_month", "region_name", "value").select(
+    # region_name comes from a column name and is never NULL: not tested, so the name
+    # regexes run only where the name is used
+    return PR.require(cleaned, "year", "month_no", "period_month", "value").select(
         "year", "month_no", "period_month", "region_name", "value",
         F.lit(OVERCROWDING_TAG[0]).alias("source_system"),
         F.lit(OVERCROWDING_TAG[1]).alias("source_indicator_code"),
