@@ -76,8 +76,12 @@ def main() -> None:
         timings[name] = round(time.perf_counter() - t0, 3)
 
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
+    subtotal = lambda keys: round(sum(timings[k] for k in keys), 3)
     print(json.dumps({"metric": "warehouse_build_and_serve_seconds", "value": round(sum(timings.values()), 3),
-                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus}))
+                      "unit": "sec", "queries": timings, "sf": sf, "cpus": cpus,
+                      "harness_seconds": subtotal(["raw_landing"]),
+                      "model_seconds": subtotal(list(REFERENCE) + list(MARTS)),
+                      "operator_seconds": subtotal(OPERATOR_KEYS)}))
     spark.stop()
 
 
