@@ -28,10 +28,12 @@ def prefer_finer_grain(df: DataFrame, keys: Sequence[ColumnOrName], grain_col: s
     d = df.withColumns({n: as_col(k) for n, k in zip(names, keys)})
     g = F.col(grain_col)
     fine_keys = d.filter(g == F.lit(fine)).select(*names).distinct()
-    coarse_rows = d.filter(g == F.lit(coarse))
+    # Under three-valued logic a NULL grain behaves like the coarse grain here:
+    # NOT (NULL AND has_fine) drops the row exactly when the group has fine rows.
+    coarse_rows = d.filter(g.isNull() | (g == F.lit(coarse)))
     cond = reduce(lambda a, b: a & b, [coarse_rows[n].eqNullSafe(fine_keys[n]) for n in names])
     kept = coarse_rows.join(fine_keys, cond, "left_anti")
-    others = d.filter(g.isNull() | (g != F.lit(coarse)))
+    others = d.filter(g.isNotNull() & (g != F.lit(coarse)))
     return others.unionByName(kept).drop(*names)
 
 

@@ -25,11 +25,13 @@ def test_prefer_finer_grain_rules(spark):
         ("4", "a", 2024, None, "MONTH", 8.0),
         ("5", "a", 2024, "K", "YEAR", 9.0),          # no monthly -> kept
         ("5", "a", 2024, "K", "UNKNOWN", 10.0),
+        ("1", "a", 2024, "Kvinnor", None, 11.0),     # NULL grain, group has months -> NOT(NULL) drops it
+        ("5", "a", 2024, "K", None, 12.0),           # NULL grain, no months -> kept
     ]
     df = spark.createDataFrame(data, "r string, c string, y int, g string, grain string, v double")
     out = G.prefer_finer_grain(df, ["r", "c", "y", F.upper(F.trim("g"))], grain_col="grain")
     kept = sorted(r.v for r in out.select("v").collect() if r.v is not None)
-    assert kept == [2.0, 5.0, 6.0, 8.0, 9.0, 10.0]
+    assert kept == [2.0, 5.0, 6.0, 8.0, 9.0, 10.0, 12.0]
     assert out.filter(F.col("v").isNull()).count() == 1
     # idempotent
     again = G.prefer_finer_grain(out, ["r", "c", "y", F.upper(F.trim("g"))], grain_col="grain")
