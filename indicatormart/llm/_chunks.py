@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from indicatormart.llm import _words
 from indicatormart.llm._tables import partitions, written
 
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 8 << 20
 FLAG, NO_ID = 1, 2
 CHUNK_SCHEMA = "chunk long, ids binary, flags binary, sizes binary, words binary, codes binary"
 

@@ -17,13 +17,14 @@ import pyarrow as pa
 from indicatormart.llm._tables import _mix
 
 #: Bytes that are looked at together; bounds the memory of a task however long a text is.
-PIECE = 1 << 21
+PIECE = 1 << 18
 
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_BLANKS = [9, 10, 11, 12, 13, 32]
 _SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_SPACE[_BLANKS] = True
 _BYTE = np.random.default_rng(20240607).integers(0, 2**64, 256, dtype=np.uint64) | np.uint64(1)
+_BYTE[65:91] = _BYTE[97:123]    # A-Z count as a-z
+_BYTE[_BLANKS] = 0
 _STEP = 0xD1342543DE82EF95
 
 
@@ -103,25 +104,25 @@ def words_of(texts: Texts) -> Words:
 
 
 def _piece(raw: np.ndarray, edges: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    solid = ~_SPACE[raw]
+    solid = (raw > 13) & (raw != 32) | (raw < 9)
     first = solid.copy()
     first[1:] &= ~solid[:-1]
     inner = edges[(edges >= 0) & (edges < len(raw))]
     first[inner] = solid[inner]             # a text's first byte starts a word even if the last text ended in one
-    last = solid.copy()
+    last = solid
     last[:-1] &= ~solid[1:] | first[1:]
     start, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     if not len(start):
         return start, end, np.zeros(0, np.uint64)
     size = end - start
-    at = np.cumsum(size) - size
-    code = _BYTE[_LOWER[raw[solid]]]
     powers = np.full(int(size.max()), _STEP, np.uint64)
     powers[0] = 1
     np.multiply.accumulate(powers, out=powers)
-    inside = np.arange(len(code), dtype=np.int64) - np.repeat(at, size)
-    code *= powers[inside]
-    total = np.add.reduceat(code, at) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    low = int(start[0])
+    inside = np.arange(low, len(raw)) - np.repeat(start, np.diff(np.append(start, len(raw))))
+    code = np.take(_BYTE, raw[low:])        # blanks after a word count zero
+    code *= np.take(powers, inside, mode="clip")
+    total = np.add.reduceat(code, start - low) + size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return start + base, end + base, _mix(total)
 
 
