@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +52,21 @@ def connected_components(edges: DataFrame, left: str, right: str) -> DataFrame:
     roots = now.select("b").distinct()
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(
         roots.select(F.col("b").alias("node"), F.col("b").alias("root")))
+
+
+def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Merge the labels of linked positions in place; a label is the least position of its component."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        low = np.minimum(x, y)
+        np.minimum.at(label, x, low)
+        np.minimum.at(label, y, low)
+        while True:
+            up = label[label]
+            if np.array_equal(up, label):
+                break
+            label[:] = up

@@ -11,8 +11,8 @@ from indicatormart.sources.sinks import scratch_path
 #: Most rows of a lookup side that may be broadcast (ids and a few numbers per row, so a few MB).
 BROADCAST_ROWS = 200_000
 
-#: Bits of a Bloom filter: 1 MB, whatever the number of keys.
-BLOOM_BITS = 1 << 23
+#: Most bits of a Bloom filter: 16 MB, whatever the number of keys.
+BLOOM_BITS = 1 << 27
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -67,18 +67,24 @@ def mix(keys: np.ndarray, seed: int = 0) -> np.ndarray:
     return _mix(keys + np.uint64((seed * _GOLDEN + _GOLDEN) % 2**64))
 
 
-def _slots(keys: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    x = mix(keys, 7)
+def _slots(keys: np.ndarray, bits: int) -> list[np.ndarray]:
+    one, two = mix(keys, 7), mix(keys, 17)
     mask = np.uint64(bits - 1)
-    return (x & mask).astype(np.int64), ((x >> np.uint64(32)) & mask).astype(np.int64)
+    return [((one + np.uint64(i) * two) & mask).astype(np.int64) for i in range(3)]
 
 
-def bloom_of(keys: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray:
-    """Bit array (uint8 of 0 and 1, packed) holding every long in ``column``.
+def bloom_of(keys: DataFrame, column: str, max_bits: int = BLOOM_BITS) -> np.ndarray:
+    """Bits (packed in uint8) of a Bloom filter of every long in ``column`` of a written table.
 
-    Built by ``bit_or`` over words of 64 bits, so the driver gets at most
-    ``bits / 64`` rows.  False positives only; a full filter passes everything.
+    16 bits per key, but never more than ``max_bits``: a fuller filter lets
+    more false keys pass, and no true key is ever missed.  Words of 64 bits are
+    combined by ``bit_or``, so the driver gets at most ``max_bits / 64`` rows.
     """
+    bits = 1 << 16
+    n = keys.count()
+    while bits < max_bits and bits < 16 * n:
+        bits *= 2
+
     def positions(batches):
         import pyarrow as pa
         for batch in batches:
@@ -90,13 +96,14 @@ def bloom_of(keys: DataFrame, column: str, bits: int = BLOOM_BITS) -> np.ndarray
             yield pa.record_batch({"w": pa.array(word, pa.int64()), "b": pa.array(value.view(np.int64), pa.int64())})
 
     rows = (keys.select(F.col(column).cast("long").alias(column)).where(F.col(column).isNotNull())
-            .mapInArrow(positions, "w long, b long").groupBy("w").agg(F.expr("bit_or(b)").alias("b")).collect())
+            .mapInArrow(positions, "w long, b long").groupBy("w").agg(F.expr("bit_or(b)").alias("b")).toArrow())
     out = np.zeros(bits // 64, np.uint64)
-    for r in rows:
-        out[r.w] = np.array([r.b], np.int64).view(np.uint64)[0]
-    return np.unpackbits(out.view(np.uint8), bitorder="little").astype(bool) if len(rows) else np.zeros(bits, bool)
+    out[rows["w"].to_numpy()] = rows["b"].to_numpy().view(np.uint64)
+    return out.view(np.uint8)
 
 
-def in_bloom(filled: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    one, two = _slots(keys, len(filled))
-    return filled[one] & filled[two]
+def in_bloom(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    found = np.ones(len(keys), bool)
+    for at in _slots(keys, len(bits) * 8):
+        found &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+    return found

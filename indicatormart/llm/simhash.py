@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indicatormart.llm._components import connected_components
+from indicatormart.llm._components import connected_components, unite
 from indicatormart.llm._tables import partitions, same, small, written
 
 HASH_SEED = 42
@@ -136,23 +136,6 @@ def visits(nodes: list[tuple], points: np.ndarray, radius: int) -> Iterator[tupl
         todo.append((outside, who[far], own[far] & (d[far] > m)))
 
 
-def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
-    while True:
-        x, y = label[a], label[b]
-        apart = x != y
-        if not apart.any():
-            return
-        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
-        low = np.minimum(x, y)
-        np.minimum.at(label, x, low)
-        np.minimum.at(label, y, low)
-        while True:
-            up = label[label]
-            if np.array_equal(up, label):
-                break
-            label[:] = up
-
-
 def link(own: np.ndarray, visitors: np.ndarray, radius: int) -> np.ndarray:
     """Labels over ``own`` then ``visitors``: points linked by pairs with an owned point share a label."""
     points = np.concatenate([own, visitors])
@@ -173,7 +156,7 @@ def link(own: np.ndarray, visitors: np.ndarray, radius: int) -> np.ndarray:
         for at in range(0, len(asks), rows):
             some = asks[at:at + rows]
             q, k = np.nonzero(np.bitwise_count(points[some][:, None] ^ points[mine][None, :]) <= radius)
-            _unite(label, some[q], mine[k])
+            unite(label, some[q], mine[k])
     return label
 
 
