@@ -30,8 +30,8 @@ TWO_DIGITS_RE = r"[0-9]{2}"
 
 
 def full_match(c: ColumnOrName, pattern: str) -> Column:
-    """True when the WHOLE string matches ``pattern`` (Spark's rlike searches)."""
-    return as_col(c).rlike("^(?:" + pattern + ")$")
+    """True when the WHOLE string matches ``pattern`` (Spark's rlike searches; ``$`` would pass a final newline)."""
+    return as_col(c).rlike("\\A(?:" + pattern + ")\\z")
 
 
 def period_granularity(c: ColumnOrName) -> Column:

@@ -26,6 +26,7 @@ from indicatormart.functions.keys import surrogate_key
 # stay in the tens of MB; the dimensions of this warehouse hold tens to
 # thousands of rows (regions, genders, age groups, months, indicators).
 DEFAULT_BROADCAST_ROWS = 500_000
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 _SMALL: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKeyDictionary()
@@ -34,14 +35,15 @@ _SMALL: "weakref.WeakKeyDictionary[DataFrame, dict[int, bool]]" = weakref.WeakKe
 def is_small(dim: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> bool:
     """True if ``dim`` provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a bounded job); on
-    materialized dimensions (parquet) it is answered from file metadata.
-    The answer is remembered per DataFrame, so a dimension reused by many
+    A plain count: every task sends one number, and on written dimensions the
+    files' footers answer it.  Rows also have to fit ``DEFAULT_BROADCAST_BYTES``
+    at 32 bytes a value.  The answer is remembered per DataFrame, so a dimension reused by many
     joins is checked once.
     """
     seen = _SMALL.setdefault(dim, {})
     if max_rows not in seen:
-        seen[max_rows] = dim.limit(max_rows + 1).count() <= max_rows
+        width = 32 * len(dim.columns)
+        seen[max_rows] = dim.count() <= min(max_rows, DEFAULT_BROADCAST_BYTES // max(1, width))
     return seen[max_rows]
 
 

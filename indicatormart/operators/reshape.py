@@ -26,18 +26,18 @@ def unpivot_years(df: DataFrame, ids: Sequence[str], year_cols: Sequence[str],
                   drop_nulls: bool = True, value_type: str = "double") -> DataFrame:
     """One row per (ids, year) from a column per year; the year is the digits
     of the column name.  ``drop_nulls`` removes NULL cells (NaN is kept)."""
-    src = df.select(*ids, *[F.col(f"`{c}`").cast(value_type).alias(c) for c in year_cols])
+    src = df.select(*_quoted(ids), *[F.col(f"`{c}`").cast(value_type).alias(c) for c in year_cols])
     long = src.unpivot(_quoted(ids), _quoted(year_cols), "__year_col", value_col)
     if drop_nulls:
         long = long.filter(F.col(value_col).isNotNull())
     return long.withColumn(year_col, year_from_name("__year_col")).drop("__year_col") \
-               .select(*ids, year_col, value_col)
+               .select(*_quoted(ids), year_col, value_col)
 
 
 def unpivot_columns(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name_col: str,
                     value_col: str, drop_nulls: bool = False, value_type: str | None = None) -> DataFrame:
     """Generic wide -> long; NULL cells are kept unless ``drop_nulls``."""
-    src = df.select(*ids, *[(F.col(f"`{c}`").cast(value_type) if value_type else F.col(f"`{c}`")).alias(c)
+    src = df.select(*_quoted(ids), *[(F.col(f"`{c}`").cast(value_type) if value_type else F.col(f"`{c}`")).alias(c)
                             for c in cols])
     long = src.unpivot(_quoted(ids), _quoted(cols), name_col, value_col)
     if drop_nulls:
@@ -58,20 +58,21 @@ def melt_measures(df: DataFrame, ids: Sequence[str],
                         F.lit(unit).cast("string").alias("unit"),
                         F.col(f"`{col}`").cast(value_type).alias("value"))
                for col, code, name, unit in measures]
-    return df.select(*ids, F.inline(F.array(*structs)))
+    return df.select(*_quoted(ids), F.inline(F.array(*structs)))
 
 
 def stack_headers(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str] | None = None,
                   sep: str = "/", value_type: str = "double") -> DataFrame:
     """Spreadsheet columns named 'Year/Month/Metric' -> long rows.
 
+    Separators after the second belong to the metric.
     Output: ``ids + Year, Month, Metric, Value, Period`` where Period is the
     month start (NULL when year or month cannot be read); rows with a NULL
     Period or Value are dropped, which also removes all-empty rows/columns.
     """
     cols = list(value_cols) if value_cols is not None else [c for c in df.columns if c not in ids]
     long = unpivot_columns(df, ids, cols, "__header", "Value", drop_nulls=True, value_type=value_type)
-    parts = F.split(F.col("__header"), "\\" + sep if sep in ".|*+?^$()[]{}\\" else sep)
+    parts = F.split(F.col("__header"), "\\" + sep if sep in ".|*+?^$()[]{}\\" else sep, 3)
     long = long.withColumns({
         "Year": F.regexp_substr(F.get(parts, 0), F.lit("[0-9]{4}")),
         "Month": F.trim(F.get(parts, 1)),
@@ -80,7 +81,7 @@ def stack_headers(df: DataFrame, ids: Sequence[str], value_cols: Sequence[str] |
     period = month_date(F.col("Year").try_cast("int"), spelled_month_number(F.col("Month")))
     return (long.withColumn("Period", period)
                 .filter(F.col("Period").isNotNull())
-                .select(*ids, "Year", "Month", "Metric", "Value", "Period"))
+                .select(*_quoted(ids), "Year", "Month", "Metric", "Value", "Period"))
 
 
 def pivot_metrics(df: DataFrame, ids: Sequence[str], metric_col: str, value_col: str,

@@ -20,9 +20,10 @@ def read_documents(spark: SparkSession, path: str, schema: StructType | None = N
     turns each array element into a row.  ``glob`` picks files by name
     pattern.  ``multi_line=True`` reads one (pretty-printed) document per
     file, each file in one task; ``multi_line=False`` reads JSON Lines (one
-    document per line), which splits large files across tasks.
+    document per line), which splits large files across tasks.  A malformed
+    document fails the read.
     """
-    reader = spark.read.option("multiLine", multi_line)
+    reader = spark.read.option("multiLine", multi_line).option("mode", "FAILFAST")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if schema is None:

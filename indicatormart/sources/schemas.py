@@ -56,11 +56,6 @@ PXWEB_SCHEMA = StructType([
         StructField("values", ArrayType(StringType()))]))),
 ])
 
-GEOMETRY_SCHEMA = StructType([
-    StructField("type", StringType()),
-    StructField("coordinates", ArrayType(LongType())),
-])
-
 GEOJSON_SCHEMA = StructType([
     StructField("type", StringType()),
     StructField("features", ArrayType(StructType([
@@ -68,7 +63,7 @@ GEOJSON_SCHEMA = StructType([
         StructField("properties", StructType([
             StructField("scb_lan_code_2", StringType()),
             StructField("region_name_official", StringType())])),
-        StructField("geometry", GEOMETRY_SCHEMA)]))),
+        StructField("geometry", StringType())]))),
 ])
 
 # KPI series document: data[{kpi_id, region_id, values[{period, gender, value}]}]

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from itertools import chain
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indicatormart.functions.periods import SWEDISH_MONTHS
@@ -27,14 +27,12 @@ from indicatormart.session import default_parallelism, session_id
 from indicatormart.sources import schemas as S
 
 # Years laid out as columns of the wide KPI extract.
-KPI_YEARS = tuple(range(1992, 2003))
 
 # Spellings the stand-ins need beyond the modelled warehouse's own lists.
 STANDIN_KPI_ALIASES = (("NATION_23", "NATION_3"),)
 STANDIN_OVERCROWDING_ALIASES = (("nation_22", "NATION_2"),)
 STANDIN_VISITS_ALIASES = (("NATION_24", "NATION_4"),)
 STANDIN_SPECIAL_NAMES = {"NATION_9regionen": "NATION_9"}
-GEO_MAX_CODE = 21  # nations 21..24 have no region feature (unmatched keys)
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +50,19 @@ def _money(c) -> "F.Column":
     return F.replace(c.cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
 
 
+def _geometry(x: Column, y: Column, kind: Column) -> Column:
+    """Geometry text: a point, a polygon or a multi-polygon near (x, y), with decimals."""
+    def ring(step: str) -> list:
+        return ["[[", x, ",", y, "],[", x, f".{step},", y, "],[", x, ",", y, f".{step}],[", x, ",", y, "]]"]
+
+    def text(*parts) -> Column:
+        return F.concat(*(F.lit(p) if isinstance(p, str) else p for p in parts))
+
+    return (F.when(kind == 0, text('{"type":"Point","coordinates":[', x, ".5,", y, "]}"))
+             .when(kind == 1, text('{"type":"Polygon","coordinates":[', *ring("25"), "]}"))
+             .otherwise(text('{"type":"MultiPolygon","coordinates":[[', *ring("5"), "]]}")))
+
+
 class StandIns:
     """Builds the 14 raw extracts from the test tables of one scale factor."""
 
@@ -99,6 +110,11 @@ class StandIns:
                   .withColumns({"k": F.col("s_nationkey"), "nm": F.col("n_name"),
                                 "yr": F.year("l_shipdate")}))
 
+    def kpi_years(self) -> range:
+        """Years of the wide extract's columns: all between the first and the last order (one row)."""
+        r = self.orders_by_nation().agg(F.min("yr").alias("a"), F.max("yr").alias("b")).first()
+        return range(r.a, r.b + 1) if r.a is not None else range(0)
+
     # -- extracts -----------------------------------------------------------------------
     def kolada(self) -> DataFrame:
         o = self.orders_by_nation()
@@ -113,7 +129,7 @@ class StandIns:
                    .otherwise(F.lit("Totalt")))
         code = F.concat(F.lit("N7924"), (F.col("o_custkey") % 6).cast("string"))
         value = F.when(F.col("o_orderkey") % 17 != 0, F.col("o_totalprice"))
-        years = {str(y): F.when(F.col("yr") == y, value).cast("double") for y in KPI_YEARS}
+        years = {str(y): F.when(F.col("yr") == y, value).cast("double") for y in self.kpi_years()}
         return o.select(area.alias("Område"), gender.alias("Kön"), code.alias("NYCKELTALSID"),
                         F.concat(F.lit("Väntetid "), (F.col("o_custkey") % 6).cast("string")).alias("NYCKELTAL"),
                         F.col("o_orderpriority").alias("NYCKELTALSBESKRIVNING"),
@@ -171,15 +187,14 @@ class StandIns:
         return docs.select(F.struct(cols.alias("columns"), F.col("data")).alias("payload"))
 
     def geo_docs(self) -> DataFrame:
-        n = self.table("nation").filter(F.col("n_nationkey") < GEO_MAX_CODE)
+        n = self.table("nation")
         name = F.when(F.col("n_nationkey") % 2 == 0, F.concat("n_name", F.lit("s"))).otherwise(F.col("n_name"))
         feat = F.struct(
             F.lit("Feature").alias("type"),
             F.struct(F.col("n_nationkey").cast("string").alias("scb_lan_code_2"),
                      name.alias("region_name_official")).alias("properties"),
-            F.struct(F.lit("Point").alias("type"),
-                     F.array(F.col("n_nationkey").cast("bigint"), F.col("n_regionkey").cast("bigint"))
-                      .alias("coordinates")).alias("geometry"))
+            _geometry(F.col("n_nationkey").cast("string"), F.col("n_regionkey").cast("string"),
+                      F.col("n_nationkey") % 3).alias("geometry"))
         docs = n.groupBy("n_regionkey").agg(F.collect_list(feat).alias("features"))
         return docs.select(F.struct(F.lit("FeatureCollection").alias("type"), "features").alias("payload"))
 

@@ -72,7 +72,7 @@ SELECT * FROM (
               ELSE regexp_replace(regexp_replace(trim(area), '^region(en)?\s+', '', 'i'), 's$', '') END AS region_name,
          yr AS year, 'KOLADA' AS source_system, lower(trim(code)) AS source_indicator_code,
          trim(name) AS indicator_name, v AS value, """ + GENDER_SHORT.format(c="gender_raw") + r""" AS gender
-  FROM kol_raw WHERE v IS NOT NULL AND yr BETWEEN 1992 AND 2002) x
+  FROM kol_raw WHERE v IS NOT NULL) x
 WHERE region_name IS NOT NULL"""
 
 CTE["de_raw"] = r"""
@@ -136,9 +136,10 @@ FROM pop_rows"""
 CTE["stg_dim_region"] = r"""
 SELECT CAST(n_nationkey AS INTEGER) AS region_code_int, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS region_code_2,
        nm_off AS region_name_raw, regexp_replace(nm_off, 's$', '') AS region_name,
-       '{"type":"Point","coordinates":[' || CAST(n_nationkey AS VARCHAR) || ',' || CAST(n_regionkey AS VARCHAR) || ']}' AS geom
-FROM (SELECT *, CASE WHEN n_nationkey % 2 = 0 THEN n_name || 's' ELSE n_name END AS nm_off FROM nation) x
-WHERE n_nationkey < 21"""
+       CASE n_nationkey % 3 WHEN 0 THEN format('{{"type":"Point","coordinates":[{}.5,{}]}}', n_nationkey, n_regionkey)
+       WHEN 1 THEN format('{{"type":"Polygon","coordinates":[[[{0},{1}],[{0}.25,{1}],[{0},{1}.25],[{0},{1}]]]}}', n_nationkey, n_regionkey)
+       ELSE format('{{"type":"MultiPolygon","coordinates":[[[[{0},{1}],[{0}.5,{1}],[{0},{1}.5],[{0},{1}]]]]}}', n_nationkey, n_regionkey) END AS geom
+FROM (SELECT *, CASE WHEN n_nationkey % 2 = 0 THEN n_name || 's' ELSE n_name END AS nm_off FROM nation) x"""
 
 CTE["oc_rows"] = """
 SELECT yr, mo, CASE WHEN k = 9 THEN nm || 'regionen' WHEN k % 3 = 0 THEN 'Region ' || nm

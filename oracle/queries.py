@@ -159,7 +159,7 @@ def operator_queries() -> dict[str, str]:
     # reshape
     q["unpivot_drop_nulls"] = with_ctes("""
         SELECT area AS "Område", gender_raw AS "Kön", code AS "NYCKELTALSID", yr AS year, v AS value
-        FROM kol_raw WHERE v IS NOT NULL AND yr BETWEEN 1992 AND 2002""")
+        FROM kol_raw WHERE v IS NOT NULL""")
     q["unpivot_keep_nulls"] = with_ctes(f"""
         SELECT {MONTHS}[m.mo] || ' ' || CAST(m.yr AS VARCHAR) AS "CATEGORY", m.region_col,
                CAST(r.cnt AS VARCHAR) AS value
@@ -177,9 +177,10 @@ def operator_queries() -> dict[str, str]:
     q["explode_features"] = """
         SELECT CAST(n_nationkey AS VARCHAR) AS code,
                CASE WHEN n_nationkey % 2 = 0 THEN n_name || 's' ELSE n_name END AS name,
-               '{"type":"Point","coordinates":[' || CAST(n_nationkey AS VARCHAR) || ',' || CAST(n_regionkey AS VARCHAR)
-               || ']}' AS geom
-        FROM nation WHERE n_nationkey < 21"""
+               CASE n_nationkey % 3 WHEN 0 THEN format('{{"type":"Point","coordinates":[{}.5,{}]}}', n_nationkey, n_regionkey)
+       WHEN 1 THEN format('{{"type":"Polygon","coordinates":[[[{0},{1}],[{0}.25,{1}],[{0},{1}.25],[{0},{1}]]]}}', n_nationkey, n_regionkey)
+       ELSE format('{{"type":"MultiPolygon","coordinates":[[[[{0},{1}],[{0}.5,{1}],[{0},{1}.5],[{0},{1}]]]]}}', n_nationkey, n_regionkey) END AS geom
+        FROM nation"""
     q["flatten_pxweb"] = q["read_documents"]
     q["stack_headers"] = with_ctes(f"""
         SELECT nm AS "Region", c_mktsegment AS "Segment", CAST(yr AS VARCHAR) AS "Year",
@@ -453,4 +454,5 @@ def oracle_queries() -> dict[str, str]:
     out["mart_intl_y"] = with_ctes("SELECT * FROM mart_beds_intl_y UNION ALL SELECT * FROM mart_health_exp_gdp_intl_y")
     for alias, model in SHAPE_ALIASES.items():
         out[alias] = out[model]
+    out.pop("dim_gender")
     return out
