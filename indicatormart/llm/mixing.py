@@ -70,8 +70,8 @@ def targets(cells: DataFrame, margin: str, wanted: Mapping[str, float] | None, p
 def rake(cells: DataFrame, shares: Mapping[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (margins and ``tokens``) with the fitted ``weight``; margins are met in turn, ``sweeps`` times.
 
-    A value whose weighted tokens are zero keeps its weights.  Each sweep is
-    written, so a lost executor repeats one sweep at most.
+    A value whose weighted tokens are zero keeps its weights.  Each step is
+    written: plans stay small, and a lost executor repeats one step at most.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     now = cells.withColumn("weight", F.lit(1.0))
@@ -80,8 +80,8 @@ def rake(cells: DataFrame, shares: Mapping[str, DataFrame], sweeps: int = SWEEPS
             have = now.groupBy(margin).agg(F.sum(F.col("tokens") * F.col("weight")).alias("have"))
             ratio = have.join(target, margin).select(margin, F.when(
                 F.col("have") > 0, F.col("share") * float(total) / F.col("have")).otherwise(1.0).alias("ratio"))
-            now = now.join(ratio, margin).select(*MARGINS, "tokens", (F.col("weight") * F.col("ratio")).alias("weight"))
-        now = written(now, "raked")
+            now = written(now.join(ratio, margin).select(
+                *MARGINS, "tokens", (F.col("weight") * F.col("ratio")).alias("weight")), "raked")
     return now
 
 
