@@ -181,7 +181,7 @@ def _chain_chunk(key, left, right):
         if len(doc) else np.zeros(0, np.int64)
     offset = chunk.offset
     rows = []
-    for lo, hi in zip(start, np.append(start[1:], len(doc)), strict=True):
+    for lo, hi in zip(start, np.append(start[1:], len(doc))[:len(start)], strict=True):
         d = int(doc[lo])
         for path in chains(x[lo:hi], y[lo:hi]):
             b, a = x[lo:hi][path], y[lo:hi][path]
