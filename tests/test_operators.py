@@ -113,7 +113,7 @@ def test_flatten_pxweb_column_order_is_per_document(spark):
 def test_explode_features(spark):
     doc = {"type": "FeatureCollection", "features": [
         {"type": "Feature", "properties": {"scb_lan_code_2": "1", "region_name_official": "Stockholms"},
-         "geometry": {"type": "Point", "coordinates": [1, 2]}}]}
+         "geometry": '{"type":"Point","coordinates":[1,2]}'}]}
     df = spark.createDataFrame([(doc,)], S.StructType([S.StructField("payload", S.GEOJSON_SCHEMA)]))
     out = D.explode_features(df).select("props.scb_lan_code_2", "geom")
     assert rows(out) == [("1", '{"type":"Point","coordinates":[1,2]}')]
