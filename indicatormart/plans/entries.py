@@ -33,7 +33,7 @@ from indicatormart.plans.warehouse import MODELS
 from indicatormart.sources import readers as RD
 from indicatormart.sources import schemas as S
 from indicatormart.sources import sinks as SK
-from indicatormart.sources.standins import StandIns, landed_sources, month_name, standin_warehouse
+from indicatormart.sources.standins import StandIns, landed_sources, landed_standins, month_name, standin_warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,6 +78,27 @@ def read_documents(spark, sf_dir):
     return D.flatten_pxweb(back, {"region_code_raw": "Region", "year_raw": "Tid"})
 
 
+def _one_document_per_file(docs: DataFrame, path: str) -> None:
+    docs.select(F.to_json("payload").alias("value")).write.option("maxRecordsPerFile", 1).text(path)
+
+
+@query
+def read_whole_documents(spark, sf_dir):
+    """One document per file, read whole with a typed schema."""
+    path = SK.scratch_path(spark, "pxweb_files")
+    _one_document_per_file(_raw(spark, sf_dir, "SCB_POPULATION_RAW"), path)
+    back = RD.read_documents(spark, path, schema=S.PXWEB_SCHEMA)
+    return D.flatten_pxweb(back, {"region_code_raw": "Region", "year_raw": "Tid"})
+
+
+@query
+def read_variant_documents(spark, sf_dir):
+    """One document per file, read whole without a schema (VARIANT)."""
+    path = SK.scratch_path(spark, "pxweb_variant")
+    _one_document_per_file(_raw(spark, sf_dir, "SCB_POPULATION_RAW"), path)
+    return D.flatten_pxweb(RD.read_documents(spark, path), {"region_code_raw": "Region", "year_raw": "Tid"})
+
+
 @query
 def load_table(spark, sf_dir):
     """S3 + P6: a named raw table scan with an equality filter pushed to the scan."""
@@ -381,25 +402,24 @@ def spreadsheet(spark, sf_dir) -> DataFrame:
     """A wide sheet: one row per (nation, segment), one column per
     'year/month/metric' header.  Header values are the calendar months of
     the data (bounded), listed for the pivot."""
-    o = StandIns(spark, sf_dir).orders_by_nation()
-    months = [r.m for r in o.select(F.date_format(F.trunc(F.col("o_orderdate").cast("date"), "MM"), "yyyy-MM")
-                                    .alias("m")).distinct().orderBy("m").collect()]
+    o = landed_standins(spark, sf_dir).orders_by_nation()
+    monthly = SK.materialize(
+        o.groupBy(F.col("nm").alias("Region"), F.col("c_mktsegment").alias("Segment"),
+                  F.date_format(F.col("o_orderdate").cast("date"), "yyyy-MM").alias("m"))
+         .agg(F.count(F.lit(1)).cast("decimal(28,2)").alias("n"),
+              F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("total")), "sheet_months")
+    months = [r.m for r in monthly.select("m").distinct().orderBy("m").collect()]
     headers = []
     for m in months:
         y, mo = m.split("-")
         for metric in ("Antal", "Summa"):
             headers.append(f"{y}/{SWEDISH_MONTHS[int(mo) - 1][:3]}./{metric}")
-    head = F.concat(F.year("o_orderdate").cast("string"), F.lit("/"),
-                    F.substring(month_name(F.month("o_orderdate")), 1, 3), F.lit("./"))
-    long = o.select(F.col("nm").alias("Region"), F.col("c_mktsegment").alias("Segment"), head.alias("h"),
-                    "o_totalprice")
-    counts = long.select("Region", "Segment", F.concat("h", F.lit("Antal")).alias("header"),
-                         F.lit(1.0).alias("v"))
-    sums = long.select("Region", "Segment", F.concat("h", F.lit("Summa")).alias("header"),
-                       F.col("o_totalprice").alias("v"))
-    both = counts.unionByName(sums)
-    return both.groupBy("Region", "Segment").pivot("header", headers).agg(
-        F.sum(F.col("v").cast("decimal(18,2)")).cast("double"))
+    head = F.concat(F.substring("m", 1, 4), F.lit("/"),
+                    F.substring(month_name(F.substring("m", 6, 2).cast("int")), 1, 3), F.lit("./"))
+    cells = F.inline(F.array(F.struct(F.concat(head, F.lit("Antal")).alias("header"), F.col("n").alias("v")),
+                             F.struct(F.concat(head, F.lit("Summa")).alias("header"), F.col("total").alias("v"))))
+    return monthly.select("Region", "Segment", cells).groupBy("Region", "Segment").pivot("header", headers).agg(
+        F.sum("v").cast("double"))
 
 
 @query
@@ -461,7 +481,8 @@ WANTED_YEARS = ("2020", "2021", "2022", "2023", "2024", "2025")
 @query
 def select_codes(spark, sf_dir):
     """Wanted codes, else the last N codes."""
-    rows = StandIns(spark, sf_dir).population_rows().select("code", "year", "obs")
+    rows = SK.materialize(landed_standins(spark, sf_dir).population_rows().select("code", "year", "obs"),
+                          "population_codes")
     rows = SEL.select_codes(rows, "code", WANTED_REGIONS)
     return SEL.select_codes(rows, "year", WANTED_YEARS, fallback_last=6)
 
@@ -495,6 +516,23 @@ def demand_totals(spark, sf_dir):
     return M.demand_visits(wh.fct_visits_by_gender_age_m, M.explorer_indicators(wh.dim_indicator))
 
 
+@query
+def explorer_strict(spark, sf_dir):
+    """The explorer mart counting only visits of DEMAND indicators as demand."""
+    wh = standin_warehouse(spark, sf_dir)
+    return M.mart_regional_explorer_monthly_long(
+        wh.fct_performance_monthly, wh.fct_overcrowding_monthly, wh.fct_visits_by_gender_age_m,
+        wh.fct_capacity_yearly, wh.fct_performance_yearly, wh.fct_kolada_y, wh.dim_indicator, strict=True)
+
+
+@query
+def pressure_strict(spark, sf_dir):
+    """The pressure mart without visit counts in the minutes of the diagnosis branch."""
+    wh = standin_warehouse(spark, sf_dir)
+    return M.mart_pressure_monthly(wh.fct_overcrowding_monthly, wh.fct_visits_by_gender_age_m,
+                                   wh.fct_ed_time_by_diagnosis_m, wh.dim_indicator, strict=True)
+
+
 @query
 def avg_of_medians(spark, sf_dir):
     """A3: unweighted average of medians."""

@@ -148,14 +148,14 @@ def pressure_indicators(dim_ind: DataFrame) -> DataFrame:
 
 
 def mart_pressure_monthly(fct_overc: DataFrame, fct_visits: DataFrame, fct_diag: DataFrame,
-                          dim_ind: DataFrame) -> DataFrame:
+                          dim_ind: DataFrame, strict: bool = False) -> DataFrame:
     """Monthly pressure: displaced patients, median time to doctor and visit
     counts by gender/age, and times by diagnosis.
 
     The two branches over the visits fact share one scan and one join: each
     joined row is emitted once per branch it qualifies for (UNION ALL
     multiplicity).  The diagnosis branch has no indicator filter, so visit
-    counts there are labelled MINUTES too.
+    counts there are labelled MINUTES too; ``strict`` leaves them out.
     """
     press = pressure_indicators(dim_ind)
     cols = ["source_system", "source_indicator_code", "indicator_name", "unit"]
@@ -192,6 +192,8 @@ def mart_pressure_monthly(fct_overc: DataFrame, fct_visits: DataFrame, fct_diag:
                       NULL_STR().alias("diagnosis_group"), F.col("value").cast("double").alias("value"))
 
     diag = _with_indicator(fct_diag.drop("unit"), press, cols, size_base=dim_ind)
+    if strict:
+        diag = diag.filter(~F.coalesce(P.full_match(label, VISITS_PATTERN), F.lit(False)))
     diag = out(diag, F.coalesce("d_unit", F.lit("minuter")), "MINUTES", NULL_STR(), NULL_STR(),
                F.col("diagnosgrupp").cast("string"))
     return union_all([overc, visits, diag])
@@ -226,12 +228,42 @@ def median_times(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | No
                       F.col("d_indicator_name").alias("indicator_name")).agg(F.avg("value").alias("value"))
 
 
+def visit_metrics(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | None = None,
+                  strict: bool = False) -> DataFrame:
+    """Demand sums and PRESSURE averages of the visits in one join and one aggregate.
+
+    Every row counts towards DEMAND: under its own indicator if that has the
+    topic, else under VISITS_TOTAL (``strict`` leaves the latter out).  PRESSURE
+    rows also count towards the averages.
+    """
+    cols = ["topic", "source_indicator_code", "indicator_name"]
+    v = J.lookup(fct_visits, di, [F.col("indicator_key")], [F.col("indicator_key")], {c: f"d_{c}" for c in cols},
+                 how="left", size_base=size_base)
+    of_topic = F.coalesce(F.col("d_topic") == "DEMAND", F.lit(False))
+    code, name = F.col("d_source_indicator_code"), F.col("d_indicator_name")
+
+    def metric(theme, polarity, keep, code, name):
+        return F.when(keep, F.struct(F.lit(theme).alias("theme"), F.lit(polarity).alias("polarity"),
+                                     code.alias("metric_code"), name.alias("indicator_name")))
+
+    metrics = F.array_compact(F.array(
+        metric("DEMAND", "NEUTRAL", of_topic if strict else F.lit(True),
+               F.coalesce(F.when(of_topic, code), F.lit(VISITS_TOTAL[0])),
+               F.coalesce(F.when(of_topic, name), F.lit(VISITS_TOTAL[1]))),
+        metric("PRESSURE", "NEG", F.col("d_topic") == "PRESSURE", code, name)))
+    v = v.select("region_key", "date_key", "value", F.explode(metrics).alias("m")) \
+         .select("region_key", "date_key", "value", "m.*")
+    total, mean = F.sum("value").cast("double"), F.avg("value").cast("double")
+    return v.groupBy("region_key", "date_key", "theme", "polarity", "metric_code", "indicator_name") \
+            .agg(F.when(F.col("theme") == "DEMAND", total).otherwise(mean).alias("value"))
+
+
 def mart_regional_explorer_monthly_long(fct_perf_m: DataFrame, fct_overc: DataFrame, fct_visits: DataFrame,
                                         fct_cap: DataFrame, fct_perf_y: DataFrame, fct_kolada: DataFrame,
-                                        dim_ind: DataFrame) -> DataFrame:
+                                        dim_ind: DataFrame, strict: bool = False) -> DataFrame:
     """Long explorer: monthly waiting time, pressure and demand, yearly
-    capacity/cost.  DEMAND visits use a LEFT join whose topic test sits in
-    the ON clause: non-DEMAND rows are kept and summed under VISITS_TOTAL."""
+    capacity/cost.  Visits of other topics are summed under VISITS_TOTAL;
+    ``strict`` counts visits of DEMAND indicators only."""
     di = explorer_indicators(dim_ind)
     cols = ["topic", "polarity", "source_indicator_code", "indicator_name"]
     null_int = F.lit(None).cast("int")
@@ -250,10 +282,8 @@ def mart_regional_explorer_monthly_long(fct_perf_m: DataFrame, fct_overc: DataFr
     m_wait = monthly(fct_perf_m, "WAITING_TIME")
     m_overc = monthly(fct_overc, "PRESSURE")
 
-    m_demand = shape(demand_visits(fct_visits, di, dim_ind), F.col("date_key"), null_int, "MONTH", F.lit("DEMAND"),
-                     F.lit("NEUTRAL"), F.col("metric_code"), F.col("indicator_name"), F.col("value"))
-    m_doctime = shape(median_times(fct_visits, di, dim_ind), F.col("date_key"), null_int, "MONTH", F.lit("PRESSURE"),
-                      F.lit("NEG"), F.col("metric_code"), F.col("indicator_name"), F.col("value"))
+    m_visits = shape(visit_metrics(fct_visits, di, dim_ind, strict), F.col("date_key"), null_int, "MONTH",
+                     F.col("theme"), F.col("polarity"), F.col("metric_code"), F.col("indicator_name"), F.col("value"))
 
     yearly_topics = list(EXPLORER_YEARLY_TOPICS)
 
@@ -262,7 +292,7 @@ def mart_regional_explorer_monthly_long(fct_perf_m: DataFrame, fct_overc: DataFr
         return shape(f, null_int, F.col("year").cast("int"), "YEAR", F.col("d_topic"), F.col("d_polarity"),
                      F.col("d_source_indicator_code"), F.col("d_indicator_name"), F.col("value"))
 
-    return union_all([m_wait, m_overc, m_demand, m_doctime, yearly(fct_cap), yearly(fct_perf_y),
+    return union_all([m_wait, m_overc, m_visits, yearly(fct_cap), yearly(fct_perf_y),
                       yearly(fct_kolada)])
 
 

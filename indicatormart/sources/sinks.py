@@ -16,15 +16,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/indicatormart/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+def drop_at_exit(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder when the session's JVM ends (classic sessions)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return
+    target = sc._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(target)
+
+
+def materialize(df: DataFrame, name: str = "table", max_file_rows: int = 0) -> DataFrame:
     """Write ``df`` as parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor recomputes from the written files, not
     from the raw sources), runs the upstream plan once, and gives later joins
-    exact file-size statistics.
+    exact file-size statistics.  ``max_file_rows`` splits larger partitions
+    into several files.  The folder goes when the session ends.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("maxRecordsPerFile", max_file_rows).parquet(path)
+    drop_at_exit(df.sparkSession, path)
     return df.sparkSession.read.parquet(path)
 
 

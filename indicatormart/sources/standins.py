@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from indicatormart.functions.periods import SWEDISH_MONTHS
 from indicatormart.operators.joins import checked_broadcast
-from indicatormart.session import default_parallelism, session_id
+from indicatormart.session import session_id
 from indicatormart.sources import schemas as S
 
 # Years laid out as columns of the wide KPI extract.
@@ -377,7 +377,8 @@ def standin_taxonomy_path() -> str:
 
 
 _LANDED: dict[tuple[str, str], dict[str, DataFrame]] = {}
-_WAREHOUSES: dict[tuple[str, str], object] = {}
+_LANDED_BASES: dict[tuple[str, str], StandIns] = {}
+_WAREHOUSES: dict[tuple, object] = {}
 
 
 # Extracts that aggregate their inputs are written; the others are narrow projections of the
@@ -385,23 +386,30 @@ _WAREHOUSES: dict[tuple[str, str], object] = {}
 AGGREGATED_EXTRACTS = ("SCB_POPULATION_RAW", "OVERCROWDING_RAW", "EXPENDITURE_GDP_RAW")
 
 
+#: Most rows of a landed file, so that later scans of one written partition still split.
+LANDED_FILE_ROWS = 4_000_000
+
+
+def landed_standins(spark: SparkSession, sf_dir: str) -> StandIns:
+    """The stand-ins over base joins written once per session; their file count follows the data."""
+    from indicatormart.sources.sinks import materialize
+    key = (session_id(spark), sf_dir)
+    if key not in _LANDED_BASES:
+        si = StandIns(spark, sf_dir)
+        # the two base joins feed ten extracts: write them once, derive from the files
+        si.land_bases(lambda df, name: materialize(df, name, max_file_rows=LANDED_FILE_ROWS))
+        _LANDED_BASES[key] = si
+    return _LANDED_BASES[key]
+
+
 def landed_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The 14 raw extracts over base joins written once per session as parquet
     under the shared checkpoint folder (the RAW layer the staging models read)."""
     from indicatormart.sources.sinks import materialize
     key = (session_id(spark), sf_dir)
     if key not in _LANDED:
-        si = StandIns(spark, sf_dir)
-        # Raw tables arrive as many files; the test tables are single-row-group files, so the
-        # landed copies are spread over one file per core to give later scans parallel splits.
-        n = default_parallelism(spark)
-
-        def land(df: DataFrame, name: str) -> DataFrame:
-            return materialize(df.repartition(n), name)
-
-        # the two base joins feed ten extracts: write them once, derive from the files
-        si.land_bases(land)
-        _LANDED[key] = {name: (land(df, f"raw_{name.lower()}") if name in AGGREGATED_EXTRACTS else df)
+        si = landed_standins(spark, sf_dir)
+        _LANDED[key] = {name: (materialize(df, f"raw_{name.lower()}") if name in AGGREGATED_EXTRACTS else df)
                         for name, df in si.all().items()}
     return _LANDED[key]
 
@@ -411,12 +419,11 @@ def standin_warehouse(spark: SparkSession, sf_dir: str, materialize_dims: bool =
     """The full model graph over stand-ins of one test-data directory.
 
     With ``land_raw`` the raw extracts are landed once and the graph is
-    shared by later calls with the same session and directory (the first
-    call's materialization flags apply; results do not depend on them).
+    shared by later calls with the same arguments.
     """
     from indicatormart.plans.warehouse import Warehouse
     from indicatormart.sources.readers import load_seed
-    key = (session_id(spark), sf_dir)
+    key = (session_id(spark), sf_dir, materialize_dims, materialize_facts)
     if land_raw and key in _WAREHOUSES:
         return _WAREHOUSES[key]
     tax = load_seed(spark, standin_taxonomy_path(), S.TAXONOMY_SCHEMA)

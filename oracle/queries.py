@@ -102,7 +102,7 @@ def operator_queries() -> dict[str, str]:
                regexp_full_match(lower(p_brand), 'brand#[0-9]+') AS brand_full
         FROM part"""
     q["filter_topic"] = with_ctes("SELECT * FROM dim_indicator WHERE coalesce(topic, '') = 'WAITING_TIME'")
-    q["classify_roles"] = with_ctes("SELECT indicator_key, role FROM roles")
+    q["classify_roles"] = with_ctes("SELECT indicator_key, role FROM dim_indicator LEFT JOIN indicator_role USING (indicator_key)")
     q["normalize_gender"] = with_ctes(f"""
         SELECT gender_raw, {GENDER_SHORT.format(c='gender_raw')} AS gender, count(*) AS n
         FROM kol_raw GROUP BY 1, 2""")
@@ -181,7 +181,14 @@ def operator_queries() -> dict[str, str]:
        WHEN 1 THEN format('{{"type":"Polygon","coordinates":[[[{0},{1}],[{0}.25,{1}],[{0},{1}.25],[{0},{1}]]]}}', n_nationkey, n_regionkey)
        ELSE format('{{"type":"MultiPolygon","coordinates":[[[[{0},{1}],[{0}.5,{1}],[{0},{1}.5],[{0},{1}]]]]}}', n_nationkey, n_regionkey) END AS geom
         FROM nation"""
-    q["flatten_pxweb"] = q["read_documents"]
+    q["flatten_pxweb"] = q["read_whole_documents"] = q["read_variant_documents"] = q["read_documents"]
+    q["explorer_strict"] = with_ctes("""
+        SELECT * FROM mart_regional_explorer_monthly_long
+        WHERE NOT (theme = 'DEMAND' AND time_grain = 'MONTH' AND metric_code = 'VISITS_TOTAL')""")
+    q["pressure_strict"] = with_ctes("""
+        SELECT * FROM mart_pressure_monthly
+        WHERE diagnosis_group IS NULL
+           OR NOT regexp_full_match(lower(source_indicator_code || ' ' || indicator_name), 'antal.*bes(ö|o)k|bes_k')""")
     q["stack_headers"] = with_ctes(f"""
         SELECT nm AS "Region", c_mktsegment AS "Segment", CAST(yr AS VARCHAR) AS "Year",
                substr({MONTHS}[mo], 1, 3) || '.' AS "Month", metric AS "Metric", value AS "Value",
