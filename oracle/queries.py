@@ -186,9 +186,11 @@ def operator_queries() -> dict[str, str]:
         SELECT * FROM mart_regional_explorer_monthly_long
         WHERE NOT (theme = 'DEMAND' AND time_grain = 'MONTH' AND metric_code = 'VISITS_TOTAL')""")
     q["pressure_strict"] = with_ctes("""
-        SELECT * FROM mart_pressure_monthly
-        WHERE diagnosis_group IS NULL
-           OR NOT regexp_full_match(lower(source_indicator_code || ' ' || indicator_name), 'antal.*bes(ö|o)k|bes_k')""")
+        SELECT region_key, date_key, source_system, source_indicator_code, indicator_name,
+               coalesce(unit, default_unit) AS unit, metric_kind, 'MONTHLY' AS grain, gender_key, age_key,
+               diagnosis_group, value
+        FROM pressure_feed JOIN pressure_rule USING (feed) JOIN pressure_marks USING (indicator_key)
+        WHERE list_contains(marks, mark) AND NOT (feed = 'diagnosis' AND list_contains(marks, 'visits'))""")
     q["stack_headers"] = with_ctes(f"""
         SELECT nm AS "Region", c_mktsegment AS "Segment", CAST(yr AS VARCHAR) AS "Year",
                substr({MONTHS}[mo], 1, 3) || '.' AS "Month", metric AS "Metric", value AS "Value",
