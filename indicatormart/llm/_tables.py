@@ -50,6 +50,19 @@ def same(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)
 
 
+def same_row(docs: DataFrame, id_col: str, text_col: str, keys: DataFrame) -> Column:
+    """Join condition of ``docs`` and its keys ``(k_id, k_text)``; columns of ``docs`` may bear these names too."""
+    return same(docs[id_col].cast("long"), keys["k_id"]) & (F.xxhash64(docs[text_col]) == keys["k_text"])
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` bears it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # -- Bloom filters: fixed size, so they are broadcast whatever the corpus ----------------------
 
 def _mix(keys: np.ndarray) -> np.ndarray:

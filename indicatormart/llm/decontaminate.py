@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicatormart.llm._containment import CONTAINMENT, SHINGLE, banded, document_hits, item_sets, union
-from indicatormart.llm._tables import same, small, written
+from indicatormart.llm._tables import same_row, small, written
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -47,5 +47,5 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs`` that hold no item, with all their columns."""
     bad = written(contaminated(docs, items, id_col, text_col, **options).select(
         F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_text")).distinct(), "contaminated")
-    here = same(docs[id_col].cast("long"), F.col("k_id")) & (F.xxhash64(docs[text_col]) == F.col("k_text"))
-    return docs.join(small(bad), here, "left_anti")
+    bad = small(bad)
+    return docs.join(bad, same_row(docs, id_col, text_col, bad), "left_anti")

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from indicatormart.llm import _words
 from indicatormart.llm._chunks import Ragged, by_part, freeze, thaw
 from indicatormart.llm._components import unite
-from indicatormart.llm._tables import bloom_of, in_bloom, mix, partitions, same, small, written
+from indicatormart.llm._tables import bloom_of, in_bloom, mix, partitions, same_row, small, unused, written
 
 THRESHOLD = 0.8
 #: Buckets of the word counts; they are broadcast as 4 MB.
@@ -507,18 +507,19 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     gone = written(gone.groupBy(F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_text")).agg(
         F.array_sort(F.collect_set("line_no")).alias("k_lines")), "dropped_lines")
     total = gone.agg(F.sum(F.size("k_lines"))).first()[0] or 0
-    here = same(docs[id_col].cast("long"), F.col("k_id")) & (F.xxhash64(docs[text_col]) == F.col("k_text"))
-    joined = docs.join(small(gone) if total <= 1_000_000 else gone, here, "left")
-    left = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda x, i: ~F.array_contains(F.col("k_lines"), i)), "\n")
-    changed = F.col("k_lines").isNotNull()
+    gone = small(gone) if total <= 1_000_000 else gone
+    joined = docs.join(gone, same_row(docs, id_col, text_col, gone), "left")
+    left = F.array_join(F.filter(F.split(docs[text_col], "\n"), lambda x, i: ~F.array_contains(gone["k_lines"], i)), "\n")
+    changed = gone["k_lines"].isNotNull()
     text = F.when(changed, left).otherwise(docs[text_col])
-    out = joined.withColumn("__text", text)
+    new = unused(joined, "new_text")
+    out = joined.withColumn(new, text)
     columns = []
     for name, kind in docs.dtypes:
         if name == text_col:
-            columns.append(F.col("__text").alias(name))
+            columns.append(F.col(new).alias(name))
         elif name == length_col:
-            columns.append(F.when(changed, F.length("__text")).otherwise(docs[name]).cast(kind).alias(name))
+            columns.append(F.when(changed, F.length(new)).otherwise(docs[name]).cast(kind).alias(name))
         else:
             columns.append(docs[name])
     return out.select(*columns)

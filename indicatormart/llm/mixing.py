@@ -136,9 +136,9 @@ def keep_sample(docs: DataFrame, wanted: Mapping[str, Mapping[str, float]] | Non
     """The sampled rows of ``docs`` with all their columns."""
     _, cells = mixture(docs, wanted, budget, id_col, text_col, source_col, lang_col, topics, **options)
     cells = small(cells.select(*(F.col(m).alias(f"k_{m}") for m in MARGINS), F.col("probability").alias("k_p")))
-    here = ((_value(docs[source_col]) == F.col("k_source")) & (_value(docs[lang_col]) == F.col("k_lang"))
-            & (topic_of(docs[text_col], topics) == F.col("k_topic"))
-            & (draw(docs[id_col].cast("long"), seed) < F.col("k_p")))
+    here = ((_value(docs[source_col]) == cells["k_source"]) & (_value(docs[lang_col]) == cells["k_lang"])
+            & (topic_of(docs[text_col], topics) == cells["k_topic"])
+            & (draw(docs[id_col].cast("long"), seed) < cells["k_p"]))
     return docs.join(cells, here, "left_semi")
 
 

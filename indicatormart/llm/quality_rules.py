@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicatormart.llm._native import count_of, words
-from indicatormart.llm._tables import same, small, written
+from indicatormart.llm._tables import same_row, small, written
 
 
 class Rule(NamedTuple):
@@ -191,5 +191,5 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *
     verdict = judge(docs, id_col, text_col, **options)
     out = written(verdict.where(~F.col("kept")).select(F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_text"))
                   .distinct(), "rejected")
-    here = same(docs[id_col].cast("long"), F.col("k_id")) & (F.xxhash64(docs[text_col]) == F.col("k_text"))
-    return docs.join(small(out), here, "left_anti")
+    out = small(out)
+    return docs.join(out, same_row(docs, id_col, text_col, out), "left_anti")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicatormart.llm._components import connected_components, unite
-from indicatormart.llm._tables import partitions, same, small, written
+from indicatormart.llm._tables import partitions, same, same_row, small, written
 
 HASH_SEED = 42
 
@@ -245,12 +245,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     marked = written(per_row.join(best, same(F.col("doc_id"), F.col("k_id")) & (F.col("text_key") == F.col("k_text")),
                                   "left").select(F.col("doc_id").alias("k_id"), F.col("text_key").alias("k_text"),
                                                  "n", F.coalesce("won", F.lit(False)).alias("won")), "marked")
-    here = same(docs[id_col].cast("long"), F.col("k_id")) & (F.xxhash64(docs[text_col]) == F.col("k_text"))
-    out = docs.join(small(marked.where("not won").select("k_id", "k_text")), here, "left_anti")
+    lost = small(marked.where("not won").select("k_id", "k_text"))
+    out = docs.join(lost, same_row(docs, id_col, text_col, lost), "left_anti")
     tied = marked.where("won and n > 1").select("k_id", "k_text")
     if tied.isEmpty():
         return out
     tied = small(tied)
-    once = out.join(tied, here, "left_semi").withColumn("__text_key", F.xxhash64(text_col)) \
-        .dropDuplicates([id_col, "__text_key"]).drop("__text_key")
+    here = same_row(docs, id_col, text_col, tied)
+    once = out.join(tied, here, "left_semi").dropDuplicates([id_col, text_col])
     return out.join(tied, here, "left_anti").unionByName(once)
