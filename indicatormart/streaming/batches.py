@@ -1,4 +1,4 @@
-"""Apply a staging model to a file stream, publishing each micro-batch."""
+"""Apply a staging model to a file stream, publishing exactly once."""
 
 from __future__ import annotations
 
@@ -9,13 +9,12 @@ from pyspark.sql import DataFrame
 
 def stage_stream(stream: DataFrame, model: Callable[[DataFrame], DataFrame], path: str,
                  checkpoint: str, trigger_once: bool = True):
-    """Run ``model`` on every micro-batch of ``stream`` and append the result
-    as parquet under ``path``.  ``checkpoint`` must be a shared folder (the
-    stream's progress log), e.g. under ``spark.checkpoint.dir``."""
-    def _write(batch: DataFrame, _epoch: int) -> None:
-        model(batch).write.mode("append").parquet(path)
-
-    writer = stream.writeStream.foreachBatch(_write).option("checkpointLocation", checkpoint)
+    """Run the stateless ``model`` on ``stream`` and append its rows as parquet
+    under ``path``.  The file sink logs the files of each micro-batch, so a
+    retried batch is not read twice.  ``checkpoint`` must be a shared folder
+    (the stream's progress log), e.g. under ``spark.checkpoint.dir``."""
+    writer = (model(stream).writeStream.format("parquet").outputMode("append")
+              .option("path", path).option("checkpointLocation", checkpoint))
     if trigger_once:
         writer = writer.trigger(availableNow=True)
     return writer.start()
