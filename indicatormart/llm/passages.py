@@ -1,15 +1,16 @@
 """Passages that repeat across documents, exact or fuzzy: seeds, collinear chains, alignment.
 
-1.  Seeds: of every ``WINDOW`` consecutive k-mers of words the one of least
-    hash (so a shared run of ``WINDOW + K - 1`` words shares a seed).  The n-th
-    occurrence of a k-mer in a document matches the n-th in another.
-2.  Every seed is linked to the first document (smallest id) that holds it: a
-    chunk of documents sends each seed once and gets that document and position
-    back, so a passage in very many documents costs one link each, and no pairs
-    within a group are made.
+1.  Seeds: every k-mer of ``K`` words, at all its positions.  Of 20 words of
+    which 16 are equal, 4 or more in a row are, so no such window is without one.
+2.  A k-mer that two documents hold is sent with its surroundings: the 16 words
+    on both sides, as 16-bit hashes.  Equal surroundings are one class.  The part
+    that owns the k-mer links each class to the smallest document whose
+    surroundings agree with it in a window of ``MIN_STRETCH`` words around the
+    seed (a share of ``IDENTITY``), after trying every holder before it.
 3.  The links between two documents are chained in order in both, with a cost
     for the gaps; a Fenwick tree gives the best chain before each link.
-4.  Chains are aligned word by word and stretched at both ends.
+4.  Chains are aligned word by word and stretched at both ends.  If a chain
+    fails, the windows of its links remain.
 5.  Aligned stretches of a document that touch or overlap form a passage,
     whichever earlier documents they come from; passages of ``MIN_WORDS``
     words or more are the result.
@@ -21,91 +22,255 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicatormart.llm._chunks import NO_ID, Chunk, by_part, freeze, parts_for, read_chunk, requests, thaw, tokenise
+from indicatormart.llm._chunks import NO_ID, Chunk, by_part, freeze, parts_for, read_chunk, thaw, tokenise
 from indicatormart.llm._tables import bloom_of, in_bloom, mix, written
 
-K = 5
-WINDOW = 16
+K = 4
 #: Cost of a word in a gap, on either side; a seed is worth ``K``.
 GAP = 0.05
 IDENTITY = 0.8
 MIN_STRETCH = 20
 MIN_WORDS = 50
+#: Words on each side of a seed that a window of ``MIN_STRETCH`` words may take in.
+SIDE = MIN_STRETCH - K
+#: Equal words that such a window needs besides its seed.
+EQUAL = int(np.ceil(IDENTITY * MIN_STRETCH - 1e-9)) - K
 #: Words beyond a chain's ends that the alignment may take in.
 STRETCH = 64
 #: Words between stretches of one passage.
 JOIN = 3
+#: Holders of a k-mer that are tried one after another; beyond, only those that share a rare word around it.
+STEPS = 64
 
 
 # -- seeds -------------------------------------------------------------------------------------
 
-def seeds(words: np.ndarray, offset: np.ndarray, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(document, position, key)`` of the seeds of consecutive documents, in order."""
-    none = np.zeros(0, np.int64)
-    n = len(words) - k + 1
-    if n < window:
-        return none, none, np.zeros(0, np.uint64)
+def kmers(chunk: Chunk, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(document, place, key)`` of every k-mer of the chunk's documents that have an id, in order."""
+    words = chunk.words[chunk.codes]
+    n = max(0, len(words) - k + 1)
     total = np.zeros(n, np.uint64)
     for j in range(k):
         total += words[j:j + n] * np.uint64((0x9E3779B97F4A7C15 * (2 * j + 1)) % 2**64)
-    kmer = mix(total, 11)
-    doc = np.repeat(np.arange(len(offset) - 1), np.diff(offset))
-    picks = []
-    views = np.lib.stride_tricks.sliding_window_view(kmer, window)
-    for at in range(0, len(views), 1 << 16):
-        block = views[at:at + (1 << 16)]
-        first = np.arange(at, at + len(block))
-        whole = doc[first] == doc[first + window + k - 2]
-        picks.append(np.unique((first + block.argmin(1))[whole]))
-    pick = np.unique(np.concatenate(picks))
-    owner, value = doc[pick], kmer[pick]
-    order = np.lexsort((value, owner))
-    new = np.ones(len(order), bool)
-    new[1:] = (owner[order][1:] != owner[order][:-1]) | (value[order][1:] != value[order][:-1])
-    start = np.flatnonzero(new)
-    nth = np.empty(len(order), np.uint64)
-    nth[order] = np.arange(len(order)) - np.repeat(start, np.diff(np.append(start, len(order))))
-    return owner, pick - offset[owner], mix(value ^ mix(nth, 12), 13)
+    doc = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)
+    at = np.flatnonzero((doc[:n] == doc[k - 1:]) & ((chunk.flags[doc[:n]] & NO_ID) == 0))
+    return doc[at], at, mix(total[at], 11)
+
+
+def surroundings(chunk: Chunk, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """16-bit hashes of the ``SIDE`` words before each k-mer (nearest first) and after it; 0 beyond the text."""
+    short = np.maximum(mix(chunk.words, 14) >> np.uint64(48), np.uint64(1)).astype(np.uint16)[chunk.codes]
+    offset = chunk.offset
+    low, high = offset[doc], offset[doc + 1]
+    out = np.zeros((len(at), 2 * SIDE), np.uint16)
+    for j in range(SIDE):
+        before, after = at - 1 - j, at + K + j
+        some = before >= low
+        out[some, j] = short[before[some]]
+        some = after < high
+        out[some, SIDE + j] = short[after[some]]
+    return out
+
+
+def class_of(key: np.ndarray, around: np.ndarray) -> np.ndarray:
+    key, total = _low(key).astype(np.uint64), np.zeros(len(key), np.uint64)
+    for j in range(2 * SIDE):
+        total += mix(around[:, j].astype(np.uint64), 20 + j)
+    return mix(key ^ mix(total, 15), 16)
+
+
+def _best(equal: np.ndarray) -> np.ndarray:
+    """Most equal words in a window around each seed, given which of its surroundings are equal."""
+    left = np.cumsum(equal[:, :SIDE], 1, dtype=np.int8)
+    right = np.cumsum(equal[:, SIDE:], 1, dtype=np.int8)
+    best = np.maximum(left[:, -1], right[:, -1])
+    for a in range(1, SIDE):
+        np.maximum(best, left[:, a - 1] + right[:, SIDE - a - 1], out=best)
+    return best
+
+
+def alike(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    out = np.empty(len(one), bool)
+    for lo in range(0, len(one), 1 << 16):
+        x, y = one[lo:lo + (1 << 16)], two[lo:lo + (1 << 16)]
+        out[lo:lo + (1 << 16)] = _best((x == y) & (x > 0)) >= EQUAL
+    return out
+
+
+def _low(key: np.ndarray) -> np.ndarray:
+    """The low halves of keys; within a part few different keys share one, and their surroundings differ."""
+    return (key & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+
+
+def _ask(chunks: DataFrame, parts: int) -> DataFrame:
+    """``(part, chunk, data)``: the chunk's distinct k-mers, as sorted differences of their low halves."""
+    def run(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = read_chunk(row)
+                low, edge, some = _by_low(np.unique(kmers(chunk)[2]), parts)
+                data = [zstandard.ZstdCompressor(level=1).compress(
+                    np.diff(low[edge[p]:edge[p + 1]], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes())
+                    for p in some]
+                yield pa.record_batch({"part": pa.array(some, pa.int32()),
+                                       "chunk": pa.array([chunk.id] * len(some), pa.int64()),
+                                       "data": pa.array(data, pa.binary())})
 
+    return chunks.mapInArrow(run, "part int, chunk long, data binary")
 
-def _chunk_seeds(chunk: Chunk):
-    doc, pos, key = seeds(chunk.words[chunk.codes], chunk.offset)
-    named = (chunk.flags[doc] & NO_ID) == 0
-    return doc[named], pos[named], key[named]
 
+def _by_low(known: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Low halves of sorted keys by part and size, where each part starts, and the parts that have any."""
+    order, edge = by_part(known, parts)
+    low = _low(known[order])
+    owner = np.repeat(np.arange(parts, dtype=np.uint64), np.diff(edge))
+    low = _low(np.sort(owner << np.uint64(32) | low))
+    return low, edge, np.flatnonzero(np.diff(edge))
 
-def _ask(chunk: Chunk):
-    """Each distinct seed of the chunk: its first document and position, and whether others hold it."""
-    doc, pos, key = _chunk_seeds(chunk)
+
+def _ask_shared(chunk: Chunk, parts: int, answers):
+    """The classes of the chunk's shared k-mers: key, surroundings, first holder and whether others hold it too."""
+    doc, at, key = kmers(chunk)
     ids = chunk.ids[doc]
-    order = np.lexsort((pos, ids, key))
-    key, ids, pos = key[order], ids[order], pos[order]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    last = np.append(start[1:], len(key)) - 1 if len(key) else start
-    return key[start], [ids[start], pos[start].astype(np.int32), ids[last] != ids[start]]
+    known, which = np.unique(key, return_inverse=True)
+    shared = np.zeros(len(known), bool)
+    order, edge = by_part(known, parts)
+    for p, data in answers:
+        mine = order[edge[p]:edge[p + 1]]
+        mine = mine[np.argsort(_low(known[mine]))]
+        shared[mine] = np.unpackbits(np.frombuffer(data, np.uint8))[:len(mine)] > 0
+    least, most = np.full(len(known), 2**63 - 1), np.full(len(known), -2**63)
+    np.minimum.at(least, which, ids)
+    np.maximum.at(most, which, ids)
+    some = (shared | (least != most))[which]
+    doc, at, key, ids = doc[some], at[some], key[some], ids[some]
+    around = surroundings(chunk, doc, at)
+    some = _best(around > 0) >= EQUAL
+    doc, at, key, ids, around = doc[some], at[some], key[some], ids[some], around[some]
+    kind = class_of(key, around)
+    order = np.lexsort((at, ids, kind))
+    start, last = _runs(kind[order])
+    first = order[start]
+    return key[first], [_low(key[first]), around[first], ids[first], (at - chunk.offset[doc])[first].astype(np.int32),
+                        ids[order[last]] != ids[first]]
+
+
+def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal keys start, and where they end (inclusive)."""
+    if not len(sorted_keys):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    start = np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
+    return start, np.append(start[1:], len(sorted_keys)) - 1
+
+
+def _serve_shared(group):
+    """For each chunk one bit per k-mer it sent: another chunk holds it."""
+    import pandas as pd
+    sent = [np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(4, -1).T.copy()
+                      .view(np.uint32).ravel(), dtype=np.uint32) for x in group["data"]]
+    edge = np.cumsum([0, *(len(s) for s in sent)])
+    _, which, n = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+    bits = n[which] > 1
+    return pd.DataFrame({"chunk": group["chunk"], "part": group["part"],
+                         "data": [np.packbits(bits[a:b]).tobytes() for a, b in zip(edge, edge[1:], strict=False)]})
+
+
+def _rare(around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(row, column, frequency)`` of the words that two rows must share one of to be alike.
+
+    A window has ``SIDE`` words besides its seed, and at least ``EQUAL`` of them
+    agree: so the rarest word that agrees is among the ``SIDE - EQUAL + 1``
+    rarest of the window in both rows.
+    """
+    n = len(around)
+    often = np.zeros((n, 2 * SIDE), np.int64)
+    for j in range(2 * SIDE):
+        often[:, j] = np.bincount(around[:, j], minlength=1 << 16)[around[:, j]]
+    often[around == 0] = 0
+    rank = often * (2 * SIDE) + np.arange(2 * SIDE)
+    chosen = np.zeros((n, 2 * SIDE), bool)
+    for a in range(SIDE + 1):
+        columns = np.concatenate([np.arange(a), SIDE + np.arange(SIDE - a)])
+        least = np.argpartition(rank[:, columns], SIDE - EQUAL, axis=1)[:, :SIDE - EQUAL + 1]
+        chosen[np.arange(n)[:, None], columns[least]] = True
+    row, column = np.nonzero(chosen & (often > 1))
+    return row, column, often[row, column]
+
+
+def _first_alike(around: np.ndarray, open_: np.ndarray) -> np.ndarray:
+    """For each ``open_`` row the first row before it that is alike, else the row itself."""
+    best = np.arange(len(around))
+    row, column, _ = _rare(around)
+    word = column.astype(np.int64) << 16 | around[row, column]
+    order = np.lexsort((row, word))
+    row, word = row[order], word[order]
+    at = np.flatnonzero(open_[row])
+    start, last = _runs(word)
+    first = np.repeat(start, last - start + 1)
+    step = 0
+    while True:
+        at = at[first[at] + step < at]        # from the first holder of the word on
+        if not len(at):
+            return best
+        later, earlier = row[at], row[first[at] + step]
+        better = earlier < best[later]
+        later, earlier, at = later[better], earlier[better], at[better]
+        good = alike(around[later], around[earlier])
+        np.minimum.at(best, later[good], earlier[good])
+        at = at[~good]
+        step += 1
+
+
+def first_holders(key: np.ndarray, around: np.ndarray) -> np.ndarray:
+    """For each class (sorted by key, then first holder) the first class of its key that is alike; maybe itself."""
+    n = len(key)
+    best = np.arange(n)
+    start, last = _runs(key)
+    first = np.repeat(start, last - start + 1)
+    size = np.repeat(last - start + 1, last - start + 1)
+    left = np.flatnonzero(first < np.arange(n))
+    for step in range(STEPS):
+        left = left[first[left] + step < left]
+        if not len(left):
+            return best
+        good = alike(around[left], around[first[left] + step])
+        best[left[good]] = first[left[good]] + step
+        left = left[~good]
+    still = np.zeros(n, bool)
+    still[left] = True
+    for lo in np.unique(first[left]):
+        hi = lo + size[lo]
+        found = _first_alike(around[lo:hi], still[lo:hi]) + lo
+        best[lo:hi] = np.where(still[lo:hi], found, best[lo:hi])
+    return best
 
 
 def _serve(group):
-    """For each chunk the seeds that an earlier document shares: place in its request, document and position."""
+    """For each chunk its classes that an earlier document is alike to: key, class, document and position."""
     import pandas as pd
     sent = [thaw(x) for x in group["data"]]
     edge = np.cumsum([0, *(len(s[0]) for s in sent)])
-    key, ids, pos, more = (np.concatenate(x) for x in zip(*sent, strict=True))
-    order = np.lexsort((pos, ids, key))
-    new = np.concatenate([[True], key[order][1:] != key[order][:-1]])
-    start = np.flatnonzero(new)
+    key, around, ids, pos, more = (np.concatenate(x) for x in zip(*sent, strict=True))
+    kind = class_of(key.astype(np.uint64), around)
+    order = np.lexsort((pos, ids, kind))
+    start, last = _runs(kind[order])
     which = np.empty(len(key), np.int64)
-    which[order] = np.cumsum(new) - 1
-    first = order[start]
-    useful = more | (ids != ids[first][which])
+    which[order] = np.repeat(np.arange(len(start)), last - start + 1)
+    lead = order[start]                                     # the first holder of each class
+    rank = np.lexsort((kind[lead], pos[lead], ids[lead], key[lead]))
+    lead = lead[rank]
+    place = np.empty(len(rank), np.int64)
+    place[rank] = np.arange(len(rank))
+    partner = lead[first_holders(key[lead], around[lead])][place[which]]
+    useful = more | (ids != ids[partner])
     out = []
     for a, b in zip(edge, edge[1:], strict=False):
-        at = np.flatnonzero(useful[a:b])
-        best = first[which[a:b][at]]
-        out.append(freeze([at.astype(np.int32), ids[best], pos[best]]))
+        at = np.flatnonzero(useful[a:b]) + a
+        out.append(freeze([key[at], kind[at], ids[partner[at]], pos[partner[at]]]))
     return pd.DataFrame({"chunk": group["chunk"], "part": group["part"], "data": out})
 
 
@@ -162,21 +327,23 @@ def _chain_chunk(key, left, right):
     """Chains of the chunk's documents with earlier ones, and the words of their surroundings."""
     import pandas as pd
     chunk = read_chunk(left.iloc[0])
-    asked, _ = _ask(chunk)
     if not len(right):
         return pd.DataFrame({c.split()[0]: [] for c in _CHAINS.split(", ")})
-    order, edge = by_part(asked, int(right["parts"].iloc[0]))
-    from_id, from_pos = np.zeros(len(asked), np.int64), np.full(len(asked), -1, np.int64)
-    for p, data in zip(right["part"], right["data"], strict=True):
-        at, ids, pos = thaw(data)
-        here = order[edge[p]:edge[p + 1]][at]
-        from_id[here], from_pos[here] = ids, pos
-    doc, pos, seed = _chunk_seeds(chunk)
-    at = np.searchsorted(asked, seed)
-    ok = (from_pos[at] >= 0) & (from_id[at] != chunk.ids[doc])
-    doc, x, source, y = doc[ok], pos[ok], from_id[at][ok], from_pos[at][ok]
+    asked, kind, from_id, from_pos = (np.concatenate(v) for v in zip(*(thaw(d) for d in right["data"]), strict=True))
+    order = np.argsort(kind)
+    kind, from_id, from_pos = kind[order], from_id[order], from_pos[order]
+    doc, at, seed = kmers(chunk)
+    some = np.isin(_low(seed), asked)
+    doc, at, seed = doc[some], at[some], seed[some]
+    mine = class_of(seed, surroundings(chunk, doc, at))
+    link = np.minimum(np.searchsorted(kind, mine), max(len(kind) - 1, 0))
+    ok = np.flatnonzero(kind[link] == mine) if len(kind) else np.zeros(0, np.int64)
+    ok = ok[from_id[link[ok]] < chunk.ids[doc[ok]]]
+    doc, x, source, y = doc[ok], at[ok] - chunk.offset[doc[ok]], from_id[link[ok]], from_pos[link[ok]].astype(np.int64)
     order = np.lexsort((x, source, doc))
     doc, x, source, y = doc[order], x[order], source[order], y[order]
+    thin = _thinned(doc, source, x, y)
+    doc, x, source, y = doc[thin], x[thin], source[thin], y[thin]
     start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (source[1:] != source[:-1])])) \
         if len(doc) else np.zeros(0, np.int64)
     offset = chunk.offset
@@ -193,6 +360,28 @@ def _chain_chunk(key, left, right):
     return pd.DataFrame(rows, columns=[c.split()[0] for c in _CHAINS.split(", ")])
 
 
+def _thinned(doc: np.ndarray, source: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The links (sorted by document, source and x) that matter.
+
+    Of those of one place in the source, as repeated words have them, one in
+    8 words; of links that follow each other word by word in both documents,
+    every ``K``-th and the last.
+    """
+    order = np.lexsort((x // 8, y, source, doc))
+    new = np.ones(len(order), bool)
+    differs = np.zeros(max(0, len(order) - 1), bool)
+    for v in (doc, source, y, x // 8):
+        differs |= v[order][1:] != v[order][:-1]
+    new[1:] = differs
+    some = np.sort(order[new])
+    doc, source, x, y = doc[some], source[some], x[some], y[some]
+    run = np.zeros(len(some), bool)
+    run[1:] = (doc[1:] == doc[:-1]) & (source[1:] == source[:-1]) & (x[1:] == x[:-1] + 1) & (y[1:] == y[:-1] + 1)
+    at = np.arange(len(some))
+    number = at - np.maximum.accumulate(np.where(run, 0, at))
+    return some[(number % K == 0) | ~np.append(run[1:], False)]
+
+
 # -- alignment ---------------------------------------------------------------------------------
 
 def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -234,6 +423,22 @@ def align(a: np.ndarray, b: np.ndarray, a_at: np.ndarray, b_at: np.ndarray, k: i
     return int(b_at[0]) - back, int(b_at[-1]) + k + on, equal / length
 
 
+def window(a: np.ndarray, b: np.ndarray, x: int, y: int) -> tuple[int, int, float] | None:
+    """Start, end and equal share in ``b`` of the windows of enough equal words around the link of x and y."""
+    reach = SIDE + K - 1                      # windows of links thinned out reach as far
+    back, on = min(x, y, reach), min(len(a) - x, len(b) - y, K + reach)
+    same = a[x - back:x + on] == b[y - back:y + on]
+    if len(same) < MIN_STRETCH:
+        return None
+    total = np.concatenate([[0], np.cumsum(same)])
+    good = np.flatnonzero(total[MIN_STRETCH:] - total[:-MIN_STRETCH] >= EQUAL + K)
+    if not len(good):
+        return None
+    inside = good[0] + np.flatnonzero(same[good[0]:good[-1] + MIN_STRETCH])     # it starts and ends with equal words
+    low, high = int(inside[0]), int(inside[-1]) + 1
+    return y - back + low, y - back + high, float(same[low:high].mean())
+
+
 def _aligned(batches: Iterator[pa.RecordBatch]):
     for batch in batches:
         out = []
@@ -243,9 +448,15 @@ def _aligned(batches: Iterator[pa.RecordBatch]):
             if not len(a) or a_at[-1] + K > len(a):
                 continue                      # another row of a repeated id, too short for this chain
             low, high, share = align(a, b, a_at, b_at)
+            found, ends = [], range(len(b_at))
             if share >= IDENTITY and high - low >= MIN_STRETCH:
-                out.append({"doc_id": r["doc_id"], "from_id": r["from_id"], "low": r["b_low"] + low,
-                            "high": r["b_low"] + high, "identity": share})
+                found, ends = [(low, high, share)], sorted({0, len(b_at) - 1})
+            for i in ends:
+                got = window(a, b, int(a_at[i]), int(b_at[i]))
+                if got and not (found and low <= got[0] and got[1] <= high):
+                    found.append(got)
+            out += [{"doc_id": r["doc_id"], "from_id": r["from_id"], "low": r["b_low"] + lo, "high": r["b_low"] + hi,
+                     "identity": part} for lo, hi, part in found]
         yield pa.RecordBatch.from_pylist(out, pa.schema([
             ("doc_id", pa.int64()), ("from_id", pa.int64()), ("low", pa.int64()), ("high", pa.int64()),
             ("identity", pa.float64())]))
@@ -271,8 +482,20 @@ def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """Written ``(doc_id, from_id, low, high, identity)``: words low to high align with an earlier document."""
     chunks = tokenise(docs, id_col, text_col)
     parts = parts_for(chunks)
-    answers = requests(chunks, _ask, parts).groupBy("part").applyInPandas(
-        _serve, "chunk long, part int, data binary").withColumn("parts", F.lit(parts))
+    answered = "chunk long, part int, data binary"
+    shared = _ask(chunks, parts).groupBy("part").applyInPandas(_serve_shared, answered)
+
+    def ask(key, left, right):
+        import pandas as pd
+        chunk = read_chunk(left.iloc[0])
+        keys, values = _ask_shared(chunk, parts, zip(right["part"], right["data"], strict=True))
+        order, edge = by_part(keys, parts)
+        some = [(int(p), order[edge[p]:edge[p + 1]]) for p in np.flatnonzero(np.diff(edge))]
+        return pd.DataFrame({"part": [p for p, _ in some], "chunk": [chunk.id] * len(some),
+                             "data": [freeze([v[x] for v in values]) for _, x in some]})
+
+    answers = chunks.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(
+        ask, "part int, chunk long, data binary").groupBy("part").applyInPandas(_serve, answered)
     found = written(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
         _chain_chunk, _CHAINS), "chains")
     wanted = bloom_of(found.select("from_id").distinct(), "from_id")
@@ -289,7 +512,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     ``(doc_id, start_word, end_word, n_words, from_ids, identity)``: words are
     counted from 0, the end is exclusive; ``from_ids`` lists the earlier
-    documents (the first that holds each seed), ``identity`` is the mean share
+    documents (of each seed, the first that goes on alike), ``identity`` is the mean share
     of equal words over the aligned stretches.  The first document of a group
     has no row; it is in the others' ``from_ids``.
 

@@ -176,6 +176,50 @@ def test_passages(spark, docs):
     assert [list(c) for c in best] == [[1, 2, 3], [0]]
 
 
+def _brute_windows(texts, ids, only):
+    """Words of each document in a window of 20 words of which 16 are equal, place by place, in an earlier one."""
+    codes = {}
+    cut = [np.array([codes.setdefault(w, len(codes)) for w in words(t)]) for t in texts]
+    found = {}
+    for d, i in enumerate(ids):
+        if i not in only:
+            continue
+        held = np.zeros(len(cut[d]), bool)
+        for s, j in enumerate(ids):
+            if j >= i:
+                continue
+            for shift in range(20 - len(cut[d]), len(cut[s]) - 19):
+                lo, hi = max(0, -shift), min(len(cut[d]), len(cut[s]) - shift)
+                same = cut[d][lo:hi] == cut[s][lo + shift:hi + shift]
+                total = np.concatenate([[0], np.cumsum(same)])
+                for at in np.flatnonzero(total[20:] - total[:-20] >= 16):
+                    equal = lo + at + np.flatnonzero(same[at:at + 20])
+                    held[equal[0]:equal[-1] + 1] = True
+        found[i] = held
+    return found
+
+
+def _passages_hold(spark, rows, only):
+    """The words that brute force finds in runs of 50 or more lie in the passages."""
+    got = {}
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r.doc_id, []).append((r.start_word, r.end_word))
+    missed = []
+    for i, held in _brute_windows([t for _, t in rows], [i for i, _ in rows], only).items():
+        edge = np.flatnonzero(np.diff(np.concatenate([[0], held, [0]])))
+        for lo, hi in zip(edge[::2], edge[1::2], strict=True):
+            if hi - lo >= 50 and not any(a <= lo and hi <= b for a, b in got.get(i, [])):
+                missed.append((i, int(lo), int(hi), got.get(i)))
+    assert not missed
+    return got
+
+
+def test_passages_every_copy_in_a_document(spark):
+    rows = [(1, prose(20, 30) + " " + PASSAGE), (2, prose(21, 20) + " " + PASSAGE + " " + prose(22, 40) + " " + PASSAGE)]
+    got = _passages_hold(spark, rows, {1, 2})
+    assert sorted(got[2]) == [(20, 90), (130, 200)]
+
+
 def test_ranking(spark, docs):
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 1), (8, 0), (9, 0), (6, 0), (None, 1), (7, None)],
                                    "doc_id long, quality int")
