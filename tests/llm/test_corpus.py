@@ -220,6 +220,30 @@ def test_passages_every_copy_in_a_document(spark):
     assert sorted(got[2]) == [(20, 90), (130, 200)]
 
 
+def test_passages_holders_beyond_the_first(spark):
+    # documents 1 to 90 hold runs of 6 words of the passage that 91 and 92 share
+    passage = prose(30, 80).split()
+    odd = " ".join(w if k % 7 else f"odd{k}" for k, w in enumerate(passage))
+    rows = [(i + 1, " ".join(prose(3000 + 20 * i + k, 5) + " " + " ".join(passage[7 * k + 1:7 * k + 7])
+                             for k in range(11))) for i in range(90)]
+    rows += [(91, prose(31, 30) + " " + odd), (92, prose(32, 25) + " " + " ".join(passage))]
+    assert [r for i, x in _passages_hold(spark, rows, {91, 92}).items() for r in x if i == 92]
+
+
+def test_passages_first_holder_of_many():
+    rng = np.random.default_rng(5)
+    around = rng.integers(1, 40, (400, 2 * passages.SIDE)).astype(np.uint16)
+    around[:, :6] = 7                                    # a line that all have
+    for at in range(100, 400, 3):                        # near copies of an earlier one
+        around[at] = around[rng.integers(0, at)]
+        around[at, rng.integers(0, 2 * passages.SIDE, 3)] = 0
+    same = np.stack([passages.alike(np.repeat(around[i:i + 1], 400, 0), around) for i in range(400)])
+    want = [min([j for j in range(i) if same[i, j]], default=i) for i in range(400)]
+    key = np.ones(400, np.uint64)
+    assert np.array_equal(passages.first_holders(key, around), want)
+    assert np.array_equal(passages._first_alike(around, np.ones(400, bool)), want)
+
+
 def test_ranking(spark, docs):
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, 1), (4, 1), (8, 0), (9, 0), (6, 0), (None, 1), (7, None)],
                                    "doc_id long, quality int")
