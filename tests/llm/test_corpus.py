@@ -220,6 +220,14 @@ def test_passages_every_copy_in_a_document(spark):
     assert sorted(got[2]) == [(20, 90), (130, 200)]
 
 
+def _changed(text, every, seed):
+    """The text with every ``every``-th word replaced."""
+    w = text.split()
+    for k, at in enumerate(range(every // 2, len(w), every)):
+        w[at] = f"changed{seed}x{k}"
+    return " ".join(w)
+
+
 def test_passages_holders_beyond_the_first(spark):
     # documents 1 to 90 hold runs of 6 words of the passage that 91 and 92 share
     passage = prose(30, 80).split()
@@ -230,6 +238,14 @@ def test_passages_holders_beyond_the_first(spark):
     assert [r for i, x in _passages_hold(spark, rows, {91, 92}).items() for r in x if i == 92]
 
 
+def test_passages_fuzzy(spark):
+    rows = [(k, prose(100 + k, 40) + " " + prose(200 + k, 60) + " " + prose(300 + k, 40)) for k in range(6)]
+    rows += [(1000 + 100 * every + k, prose(5000 + 100 * every + k, 30) + " " + _changed(prose(200 + k, 60), every, k) + " "
+              + prose(9000 + 100 * every + k, 30)) for every in (5, 6, 7, 8, 10) for k in range(6)]
+    got = _passages_hold(spark, rows, {i for i, _ in rows if i >= 1000})
+    assert set(got) == {i for i, _ in rows if i >= 1000}
+
+
 def test_passages_first_holder_of_many():
     rng = np.random.default_rng(5)
     around = rng.integers(1, 40, (400, 2 * passages.SIDE)).astype(np.uint16)
