@@ -75,11 +75,12 @@ def item_sets(items: DataFrame, id_col: str, text_col: str, shingle: int = SHING
         "set_id": set_id, "u": F.expr("cast(power(2, ceil(log2(q))) as int)")}), "item_sets")
 
 
-def banded(sets: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
+def banded(sets: DataFrame, containment: float = CONTAINMENT, only_banded: bool = False) -> DataFrame:
     """Written ``(gram, set_id, width, q, u, grams, bands)``, one row per shingle of each distinct set.
 
     ``bands`` has the bands whose first MinHash this shingle gives: arrays of
-    ``(j, value)``, hash function and MinHash value.
+    ``(j, value)``, hash function and MinHash value.  ``only_banded``: only
+    the shingles that start a band, so a long set is not repeated for each.
     """
     distinct = sets.groupBy("set_id").agg(*(F.first(c).alias(c) for c in ("width", "q", "u", "grams")))
     least = distinct.groupBy("u").agg(F.min("q").alias("q")).collect()   # one row per size class
@@ -102,7 +103,7 @@ def banded(sets: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     found = out[0]
     for more in out[1:]:
         found = found.unionAll(more)
-    return written(found, "item_bands")
+    return written(found.where(F.size("bands") > 0) if only_banded else found, "item_bands")
 
 
 def _collides(window: Column, bands: Column) -> Column:

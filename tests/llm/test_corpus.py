@@ -159,6 +159,26 @@ def test_containment_and_licenses(spark, docs):
     assert {(r.doc_id, r.license) for r in licenses.scan(docs).collect()} == {(2, "MIT"), (4, "MIT")}
 
 
+def test_licenses_whole_texts_and_clauses(spark):
+    start = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+             "that the following conditions are met: 1. Redistributions of source code must retain the above copyright "
+             "notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must "
+             "reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+             "documentation and/or other materials provided with the distribution. ")
+    third = ("3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or "
+             "promote products derived from this software without specific prior written permission. ")
+    end = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\""
+    texts = {1: start + end, 2: start + third + end, 3: "It is under the MIT license, see below",
+             4: "Code released under the MIT license, see the file", 5: prose(41, 300) + " " + licenses.TEMPLATES["LGPL-3.0-text"],
+             6: licenses.TEMPLATES["GPL-2.0-text"] + prose(42, 90), 7: licenses.TEMPLATES["ISC"]}
+    found = licenses.scan(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    got = {}
+    for r in found:
+        got.setdefault(r.doc_id, set()).add(r.license.split("-notice")[0])
+    assert got[1] == {"BSD-2-Clause"} and got[2] == {"BSD-3-Clause"} and got[4] == {"MIT"} and got[7] == {"ISC"}
+    assert got[5] == {"LGPL-3.0-text"} and "GPL-2.0-text" in got[6] and "GPL-3.0-text" not in got[6]
+
+
 def test_mixing(spark, docs):
     got = mixing.mix(docs).collect()
     assert len(got) == len(ROWS) and all(0 <= r.probability <= 1 for r in got)
