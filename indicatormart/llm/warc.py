@@ -157,23 +157,47 @@ def parse_record(data: bytes, at: int) -> Record:
     return Record(at, end + 4, headers, block)
 
 
-def _unpack(data: bytes, at: int, limit: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``at`` and the position after it."""
+def _unpack(data: bytes, at: int, limit: int) -> tuple[bytes, int, str | None]:
+    """The content of the gzip member at ``at``, the position after it and, if it fails, why.
+
+    Of a member that fails, the content is what was unpacked before, and the
+    position is ``at``.
+    """
     unpacker = zlib.decompressobj(31)
     view, parts, size, pos = memoryview(data), [], 0, at
     while not unpacker.eof:
         if pos >= len(data):
-            raise ValueError("gzip member is cut off")
+            return b"".join(parts), at, "gzip member is cut off"
         piece = view[pos:pos + _PIECE]
         pos += len(piece)
+        before = unpacker.copy()
         try:
             parts.append(unpacker.decompress(piece, limit - size + 1))
         except zlib.error as e:
-            raise ValueError(f"gzip member: {e}") from None
+            parts += _sound(before, piece, limit - size + 1)
+            return b"".join(parts), at, f"gzip member: {e}"
         size += len(parts[-1])
         if size > limit:
-            raise ValueError("gzip member too large")
-    return b"".join(parts), pos - len(unpacker.unused_data)
+            return b"".join(parts), at, "gzip member too large"
+    return b"".join(parts), pos - len(unpacker.unused_data), None
+
+
+def _sound(unpacker, piece: memoryview, limit: int) -> list[bytes]:
+    """What ``piece`` unpacks to before its first bad byte."""
+    out, step = [], max(1, len(piece) // 2)
+    pos = 0
+    while pos < len(piece) and limit > 0:
+        before = unpacker.copy()
+        try:
+            out.append(unpacker.decompress(piece[pos:pos + step], limit))
+        except zlib.error:
+            if step == 1:
+                break
+            unpacker, step = before, max(1, step // 2)
+            continue
+        limit -= len(out[-1])
+        pos += step
+    return out
 
 
 def _plain(data: bytes) -> Iterator[Record | Gap]:
@@ -198,13 +222,21 @@ def _plain(data: bytes) -> Iterator[Record | Gap]:
 
 
 def _read_member(data: bytes, at: int, limit: int) -> tuple[list[Record | Gap], int]:
-    """Records of the member at ``at`` (positions of the file) and its end; a member without any record fails."""
-    content, end = _unpack(data, at, limit)
+    """Records of the member at ``at`` (positions of the file) and its end; a member without any record fails.
+
+    Of a member that fails, the records before the damage count, with ``at`` as
+    their end, and a gap that names the damage comes last.
+    """
+    content, end, why = _unpack(data, at, limit)
     found: list[Record | Gap] = []
     for x in _plain(content):
         found.append(x._replace(offset=at, end=end))
-    if content and not any(isinstance(x, Record) for x in found):
-        raise ValueError(found[0].reason if found else "no record")
+    if (content or why) and not any(isinstance(x, Record) for x in found):
+        raise ValueError(why or (found[0].reason if found else "no record"))
+    if why:
+        while isinstance(found[-1], Gap):
+            found.pop()
+        found.append(Gap(at, at, why))
     return found, end
 
 
@@ -231,6 +263,11 @@ def salvage(data: bytes, limit: int = MAX_RECORD) -> Iterator[Record | Gap]:
             yield Gap(at, nxt, str(e))
             at = nxt
             continue
+        if end == at:                     # the member failed after some records
+            nxt = _next_valid(data, at + 1, limit)
+            yield from (x._replace(end=nxt) for x in found)
+            at = nxt
+            continue
         yield from found
         at = end
 

@@ -123,6 +123,20 @@ def test_warc_round_trip_and_salvage(spark):
     assert list(warc.salvage(b"")) == []
 
 
+def test_warc_salvage_inside_a_member():
+    rng = np.random.default_rng(8)
+    records = [warc.page_record(i, "u", rng.bytes(3000), None, False) for i in range(20)]
+    one, after = warc.member(b"".join(records)), warc.member(warc.page_record(99, "u", b"x", None, False))
+    checksum = one[:-8] + bytes([one[-8] ^ 1]) + one[-7:]
+    for broken, least in ((checksum, 20), (one[:len(one) * 3 // 4], 13), (one, 20)):
+        found = list(warc.salvage(broken + after))
+        ids = [x.headers["warc-record-id"] for x in found if isinstance(x, warc.Record)]
+        assert len(ids) > least and ids == [f"<urn:page:{i}>" for i in (*range(len(ids) - 1), 99)]
+        assert sum(isinstance(x, warc.Gap) for x in found) == (broken != one)
+    limited = list(warc.salvage(one + after, 30000))
+    assert sum(isinstance(x, warc.Record) for x in limited) > 5 and isinstance(limited[-2], warc.Gap)
+
+
 def test_quality_rules(spark, docs):
     got = {(r.doc_id, r.n_words): r for r in quality_rules.judge(docs).collect()}
     for i, t in ROWS:
