@@ -164,6 +164,16 @@ def test_class_lm(spark, docs):
     assert (empty.n_tokens, empty.n_known, empty.score) == (1, 0, 0.0)
 
 
+def test_class_lm_counts_words_exactly(spark):
+    # "middling" comes after thousands of more frequent words in every chunk, and is the most frequent over all
+    rows = [(i, " ".join(f"w{i}x{k} " * 3 for k in range(4200)) + "middling middling") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, "doc_id")
+    chunks = class_lm.tokenise(docs, "doc_id", "text", F.lit(True))
+    word = chunks.sparkSession.createDataFrame([(9, "middling")], "doc_id long, text string")
+    key = class_lm.read_chunk(class_lm.tokenise(word, "doc_id", "text").first().asDict()).words.view(np.int64)[0].item()
+    assert class_lm._proposals(chunks).where(F.col("word") == key).first().n == 8
+
+
 def test_containment_and_licenses(spark, docs):
     items = spark.createDataFrame([(1, PASSAGE), (2, "one two"), (3, None), (4, PASSAGE), (5, prose(99, 30))],
                                   "item_id long, text string")
