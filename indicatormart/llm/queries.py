@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicatormart.llm import (class_lm, decontaminate, licenses, line_dedup, mixing, passages, quality_rules, ranking,
-                               simhash, warc)
+from indicatormart.llm import (class_lm, decontaminate, licenses, line_dedup, mixing, negatives, passages, quality_rules,
+                               ranking, runs, simhash, topk, warc)
+from indicatormart.llm._native import words
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,47 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "license", "n_shared", "n_shingles", F.round("containment", 6).alias("containment"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+def _planted(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)`` with the repeats of the contract: one document in ten goes on in the words from a, by period p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    some = docs.select("doc_id", "text", F.floor(h / 10).cast("long").alias("g"),
+                       F.when(h % 10 == 0, words(F.col("text"))).alias("w"))
+    n = F.size("w").cast("long")
+    some = some.withColumn("a", F.when(n > 0, F.col("g") % n))
+    some = some.withColumn("p", 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("long"))
+    old = F.sequence(F.lit(0), F.size("w") - 1)
+    new = F.transform(old, lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(
+        F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return some.select("doc_id", F.when(F.size("w") > 0, F.array_join(new, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.periodic_runs(_planted(_table(spark, sf_dir, "documents")))
+    best = F.element_at(F.array_sort(F.transform("runs", lambda r: F.struct(
+        (-r["length"]).alias("l"), r["start"].alias("start"), r["period"].alias("period")))), 1)
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    text = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    some = found.withColumn("best", F.when(F.size("runs") > 0, best))
+    length = -F.col("best.l")
+    return some.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        length.alias("length"), F.col("best.period").alias("period"),
+        F.floor(length * 1000 / F.col("best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op13_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -80,7 +122,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_line_dedup, op2_simhash_near_dedup, op3_warc, op4_quality_rules, op5_class_lm, op6_decontamination, op7_mixing,
-    op8_passages, op9_ranking, op10_license_scan, pipeline)}
+    op8_passages, op9_ranking, op10_license_scan, op11_hard_negatives, op12_periodic_runs, op13_top_k, pipeline)}
 
 
 # -- SQL ---------------------------------------------------------------------------------------
@@ -123,5 +165,30 @@ def _op10() -> str:
         from m join q using (license) where n_shared >= 0.8 * n_shingles - 1e-9"""
 
 
+#: Valid rows of ``embeddings`` with the vector's integers in ``q``.
+_VECTORS = """v as materialized (select vec_id, label, list_transform(embedding, lambda x: floor(256 * x::double)) as q
+    from embeddings where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0)"""
+
+_OP11 = f"""with {_VECTORS},
+    r as materialized (select vec_id, q, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label
+        from v where label is not null),
+    s as materialized (select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+        list_inner_product(a.q, b.q)::bigint as score
+        from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id),
+    p as (select anchor_id, vec_id as positive_id, score as positive_score from s where same
+        qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+    n as (select anchor_id, positive_id, vec_id as negative_id, positive_score, score as negative_score,
+        row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank
+        from p join s using (anchor_id)
+        where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+    select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+
+_OP13 = f"""with {_VECTORS},
+    s as (select a.vec_id as query_id, b.vec_id, list_inner_product(a.q, b.q)::bigint as score
+        from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id)
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score
+    from s qualify rank <= 5"""
+
 ORACLE: dict[str, str] = {"op3_warc": _OP3, "op6_decontamination": _OP6, "op7_mixing": mixing.oracle(),
-                          "op10_license_scan": _op10()}
+                          "op10_license_scan": _op10(), "op11_hard_negatives": _OP11, "op13_top_k": _OP13}
