@@ -591,7 +591,7 @@ def prefer_finer_grain(spark, sf_dir):
     """W1 + P10: YEAR rows dropped where MONTH rows exist for the same key."""
     d = _de_parsed(spark, sf_dir)
     kept = G.prefer_finer_grain(d, [F.col("region_code_raw"), T.trim_lower("indicator_code"), F.col("year"),
-                                    T.trim_upper("gender_raw")])
+                                    T.trim_upper("gender_raw")], parsed_once=True)
     return kept.select("region_code_raw", "unit_code", "indicator_code", "gender_raw", "period_raw",
                        "period_granularity", "year", "value")
 
@@ -601,19 +601,17 @@ def dedupe_registry(spark, sf_dir):
     """One registry row per (system, code), deterministic order."""
     wh = standin_warehouse(spark, sf_dir)
     base = REF.indicator_union(wh.staging())
-    return G.dedupe(base, ["source_system", "source_indicator_code"],
-                    [F.col("indicator_name").asc_nulls_last(), F.col("unit").asc_nulls_last(),
-                     F.col("default_granularity").asc_nulls_last()])
+    return G.first_by(base, ["source_system", "source_indicator_code"],
+                      ["indicator_name", "unit", "default_granularity"])
 
 
 @query
 def dedupe_grain(spark, sf_dir):
     """One row per non-unique key, ordered by every other column."""
     li = _t(spark, sf_dir, "lineitem")
-    order = [F.col(c).asc_nulls_last() for c in ("l_partkey", "l_suppkey")] + [F.col("l_quantity").desc()] + \
-            [F.col(c).asc_nulls_last() for c in ("l_extendedprice", "l_discount", "l_tax", "l_returnflag",
-                                                 "l_linestatus", "l_shipdate")]
-    return G.dedupe(li, ["l_orderkey", "l_linenumber"], order)
+    order = ["l_partkey", "l_suppkey", K.desc("l_quantity"), "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
+             "l_linestatus", "l_shipdate"]
+    return G.first_by(li, ["l_orderkey", "l_linenumber"], order)
 
 
 @query

@@ -16,7 +16,7 @@ from indicatormart.functions import keys as K
 from indicatormart.functions import periods as P
 from indicatormart.functions import text as T
 from indicatormart.operators import joins as J
-from indicatormart.operators.grain import dedupe, month_spine
+from indicatormart.operators.grain import first_by, month_spine
 from indicatormart.operators.setops import union_all, union_distinct
 from indicatormart.plans.staging import BEDS_INTL_TAG, HEALTH_EXP_TAG, OVERCROWDING_TAG, PHYSICIANS_TAG
 from indicatormart.sources.sinks import export_region_geojson
@@ -161,9 +161,8 @@ def dim_indicator(stg: dict[str, DataFrame], taxonomy: DataFrame) -> DataFrame:
     polarity come from the taxonomy seed, matched on upper(trim()) of both.
     """
     base = indicator_union(stg)
-    one = dedupe(base, ["source_system", "source_indicator_code"],
-                 [F.col("indicator_name").asc_nulls_last(), F.col("unit").asc_nulls_last(),
-                  F.col("default_granularity").asc_nulls_last()])
+    one = first_by(base, ["source_system", "source_indicator_code"],
+                   ["indicator_name", "unit", "default_granularity"])
     keyed = one.select(K.surrogate_key("source_system", "source_indicator_code").alias("indicator_key"),
                        "source_system", "source_indicator_code", "indicator_name", "unit",
                        "default_granularity")
@@ -264,8 +263,8 @@ def fct_kolada_y(stg_kolada: DataFrame, dim_reg: DataFrame, dim_gen: DataFrame,
     joined = J.resolve_indicator(joined, dim_ind, "source_system", "indicator_code", normalize=True)
     # year is constant inside the grain and values are non-NULL, so the
     # original order leaves ties; the value (largest first) settles them.
-    one = dedupe(joined, ["region_key", "year", "gender_key", "indicator_key"],
-                 [F.col("value").isNull().asc(), F.col("year").desc(), F.col("value").desc()])
+    one = first_by(joined, ["region_key", "year", "gender_key", "indicator_key"],
+                   [F.col("value").isNull(), K.desc("year"), K.desc("value")])
     return one.select("region_key", "year", "gender_key", "indicator_key", "value")
 
 

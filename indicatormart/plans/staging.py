@@ -124,7 +124,7 @@ def stg_dataexport(raw: DataFrame) -> DataFrame:
         "period_month": P.period_month("period_raw"),
     })
     kept = prefer_finer_grain(parsed, [F.col("region_code_raw"), T.trim_lower("indicator_code"),
-                                       F.col("year"), T.trim_upper("gender_raw")])
+                                       F.col("year"), T.trim_upper("gender_raw")], parsed_once=True)
     return kept.filter(F.col("year").isNotNull()).select(
         F.trim("unit_name").alias("region_name"),
         N.strict_int("region_code_raw").alias("region_code"),

@@ -24,6 +24,8 @@ _DEFAULTS = {
     # measures the shuffled side before switching to a broadcast.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # Groups a task keeps in an object hash aggregate (grain.first_by, quality.unique_keys) before it sorts.
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "20000",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

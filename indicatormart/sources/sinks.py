@@ -26,17 +26,24 @@ def drop_at_exit(spark: SparkSession, path: str) -> None:
     target.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(target)
 
 
-def materialize(df: DataFrame, name: str = "table", max_file_rows: int = 0) -> DataFrame:
+def materialize(df: DataFrame, name: str = "table", max_file_rows: int = 0,
+                partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as parquet to the shared checkpoint folder and read it back.
 
     Cuts the lineage (a lost executor recomputes from the written files, not
     from the raw sources), runs the upstream plan once, and gives later joins
     exact file-size statistics.  ``max_file_rows`` splits larger partitions
-    into several files.  The folder goes when the session ends.
+    into several files; ``partition_by`` gives a folder per value, which
+    readers filtering on it prune.  The folder goes when the session ends.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_file_rows).parquet(path)
+    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_file_rows)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     drop_at_exit(df.sparkSession, path)
+    if partition_by:        # a table without rows has no folder to read the columns from
+        return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
     return df.sparkSession.read.parquet(path)
 
 

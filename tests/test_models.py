@@ -83,9 +83,8 @@ def test_registry_one_row_per_code_month_first(spark):
          ("DATAEXPORT", "x1", "Name", None, "MONTH")],
         "source_system string, source_indicator_code string, indicator_name string, unit string, "
         "period_granularity string")
-    one = R.dedupe(R._registry_rows(base, F.col("period_granularity")), ["source_system", "source_indicator_code"],
-                   [F.col("indicator_name").asc_nulls_last(), F.col("unit").asc_nulls_last(),
-                    F.col("default_granularity").asc_nulls_last()])
+    one = R.first_by(R._registry_rows(base, F.col("period_granularity")), ["source_system", "source_indicator_code"],
+                     ["indicator_name", "unit", "default_granularity"])
     assert rows(one, "unit", "default_granularity") == [("dagar", "MONTH")]
 
 

@@ -1,9 +1,12 @@
 """Operators on tiny literal rows (grain rules, reshaping, documents, joins, selection)."""
 import datetime as dt
+import random
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 
 from conftest import rows
+from indicatormart.functions import keys as K
 from indicatormart.operators import documents as D
 from indicatormart.operators import grain as G
 from indicatormart.operators import joins as J
@@ -38,6 +41,35 @@ def test_prefer_finer_grain_rules(spark):
     assert rows(again) == rows(out)
 
 
+def test_finer_grain_parsed_once_reads_the_extract_once(spark, tmp_path):
+    rng = random.Random(5)
+    data = [(rng.choice(["a", "b", None]), rng.randint(0, 400), rng.choice(["YEAR", "YEAR", "MONTH", "DAY", None]), i)
+            for i in range(3000)]
+    spark.createDataFrame(data, "k string, n int, g string, v int").write.parquet(str(tmp_path / "extract"))
+    df = spark.read.parquet(str(tmp_path / "extract"))
+    once = G.prefer_finer_grain(df, ["k", "n"], grain_col="g", parsed_once=True)
+    assert once.columns == df.columns
+    assert rows(once) == rows(G.prefer_finer_grain(df, ["k", "n"], grain_col="g"))
+    assert all("/grain_rows-" in f or "/grain_bitmap-" in f for f in once.inputFiles())
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "__class" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "BroadcastHashJoin" in plan          # the coarse rows against the bitmap
+    for keep in (F.lit(False), F.col("g") == "YEAR", F.col("g") == "MONTH", F.col("g") == "DAY"):
+        some = df.filter(keep)
+        assert rows(G.prefer_finer_grain(some, ["k", "n"], grain_col="g", parsed_once=True)) == \
+            rows(G.prefer_finer_grain(some, ["k", "n"], grain_col="g"))
+
+
+def test_bitmap_never_misses_a_key(spark):
+    from indicatormart.operators import membership as B
+    keys = spark.range(5000).select(F.xxhash64("id").alias("h"))
+    for bits in (64, 1024, B.bits_for(5000)):
+        seen = B.maybe_in(spark.range(20000).select("id", F.xxhash64("id").alias("h")), "h", B.bitmap(keys, "h", bits), bits, "hit")
+        got = {r.hit: r.n for r in seen.filter("id < 5000").groupBy("hit").agg(F.count("id").alias("n")).collect()}
+        assert got == {True: 5000}
+    assert seen.filter("id >= 5000 AND hit").count() < 0.1 * 15000
+
+
 def test_dedupe_picks_first_in_order(spark):
     df = spark.createDataFrame([("s", "c1", "B", "u"), ("s", "c1", "A", None), ("s", "c1", "A", "x"),
                                 ("s", "c2", None, "u"), ("s", "c2", "Z", None)],
@@ -46,6 +78,28 @@ def test_dedupe_picks_first_in_order(spark):
     assert rows(out) == [("s", "c1", "A", "x"), ("s", "c2", "Z", None)]
 
 
+def test_first_by_orders_every_type_like_order_by(spark):
+    rng = random.Random(4)
+    pick = lambda *xs: None if rng.random() < 0.15 else rng.choice(xs)
+    data = [(rng.randint(0, 4), pick("a", "ab", "abc", "", "ä", "z\0", "z"), pick(1.5, -0.0, 0.0, float("nan"), -2.5),
+             pick(2**63 - 1, -2**63, 0), pick(Decimal("1.10"), Decimal("-99999.99")), pick(True, False),
+             pick(dt.date(2020, 1, 1), dt.date(1950, 1, 2)), pick(dt.datetime(1960, 1, 1, 0, 0, 0, 7), dt.datetime(2020, 1, 1)),
+             pick(b"", b"\x00", b"\xff"), i) for i in range(300)]
+    df = spark.createDataFrame(data, "k int, s string, d double, l long, c decimal(7,2), b boolean, t date, ts timestamp, "
+                                     "x binary, id int").withColumn("n", F.col("ts").cast("timestamp_ntz")).repartition(5)
+    for c in ("s", "d", "l", "c", "b", "t", "ts", "x", "n"):
+        for down, last in ((False, True), (False, False), (True, True), (True, False)):
+            order = getattr(F.col(c), ("desc" if down else "asc") + ("_nulls_last" if last else "_nulls_first"))()
+            want = rows(G.dedupe(df, ["k"], [order, F.col("id")]), "k", "id")
+            assert rows(G.first_by(df, ["k"], [K.Ranked(c, down, last), "id"]), "k", "id") == want, (c, down, last)
+    null_key = spark.createDataFrame([(None, 1), (None, 2)], "k int, v int")
+    assert rows(G.first_by(null_key, ["k"], [K.desc("v")])) == [(None, 2)]
+    maps = spark.range(4).select((F.col("id") % 2).alias("k"), F.col("id").alias("v"), F.create_map("id", "id").alias("m"))
+    got = G.first_by(maps, ["k"], ["v"])
+    assert got.columns == maps.columns and rows(got, "k", "v") == [(0, 0), (1, 1)]
+    assert G.first_by(df.limit(0), ["k"], ["id"]).count() == 0
+
+
 def test_month_spine_exact_span(spark):
     a = spark.createDataFrame([(dt.date(2023, 11, 15),), (None,)], "d date")
     b = spark.createDataFrame([(dt.date(2024, 2, 1),)], "d date")

@@ -24,12 +24,18 @@ def test_no_nested_loop_or_sort_merge_joins(spark, key):
     assert "EvalPython" not in plan and "InPandas" not in plan
 
 
-@pytest.mark.parametrize("key", ["fct_kolada_y", "dedupe_grain", "best_match"])
-def test_row_number_picks_are_limited_before_the_shuffle(spark, key):
-    plan = _plan(spark, key)
+def test_row_number_picks_are_limited_before_the_shuffle(spark):
+    plan = _plan(spark, "best_match")
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("key", ["fct_kolada_y", "dedupe_grain", "dedupe_registry"])
+def test_one_row_per_key_is_a_hash_aggregate_without_a_sort(spark, key):
+    plan = _plan(spark, key)
+    assert "ObjectHashAggregate" in plan and "partial_min(struct" in plan
+    assert "Sort" not in plan.replace("SortMergeJoin", "") and "Window" not in plan
+
+
 def test_scans_are_pruned_and_filtered(spark):
     from __spark_entry__ import queries
     df = queries()["load_table"](spark, SF)
