@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicatormart.operators.joins import checked_broadcast
+from indicatormart.operators.uniqueness import repeated_groups
 
 RESULT_COLUMNS = ("table_name", "check_name", "column_name", "failures", "severity", "status")
 
@@ -73,19 +74,46 @@ def check_accepted(df: DataFrame, table: str, col: str, values: Sequence[str], s
     return check_columns(df, table, accepted={col: values}, severity={col: severity})
 
 
+#: Rows from which the sketch of :mod:`uniqueness` costs less than one grouped pass per grain.
+SKETCH_ROWS = 2_000_000
+
+
+def check_grains(df: DataFrame, table: str, unique: Sequence[str] = (), combinations: Sequence[Sequence[str]] = (),
+                 severity: str = "error", sketch: bool | None = None) -> list[DataFrame]:
+    """unique and unique_combination_of_columns tests of one table: groups seen more than once.
+
+    unique skips NULLs; in combinations NULLs group together.  With ``sketch``
+    one scan clears the keys that are certainly unique for all grains, and only
+    the rest is grouped; without, each grain is grouped over all rows.  By
+    default a count of ``df`` decides (a written table's count reads footers only).
+    """
+    grains = [[c] for c in unique] + [list(c) for c in combinations]
+    skip = [True] * len(unique) + [False] * len(combinations)
+    if not grains:
+        return []
+    n_rows = df.count() if sketch is not False else 0
+    if sketch or (sketch is None and n_rows >= SKETCH_ROWS):
+        repeated = repeated_groups(df, grains, skip, n_rows)
+    else:
+        repeated = []
+        for cols, whole in zip(grains, skip):
+            d = df.select(*cols)
+            if whole:
+                d = d.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
+            repeated.append(d.groupBy(*cols).count().filter(F.col("count") > 1))
+    return [_result(dup.agg(F.count(F.lit(1)).alias("n")), table, "unique" if whole else "unique_combination_of_columns",
+                    ",".join(cols), F.col("n"), severity) for dup, cols, whole in zip(repeated, grains, skip)]
+
+
 def check_unique_combination(df: DataFrame, table: str, cols: Sequence[str], severity: str = "error",
-                             check_name: str = "unique_combination_of_columns", skip_nulls: bool = False) -> DataFrame:
-    """Groups of ``cols`` seen more than once (NULLs group together unless ``skip_nulls``)."""
-    d = df.select(*cols)
-    if skip_nulls:
-        d = d.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols]))
-    dup = d.groupBy(*cols).count().filter(F.col("count") > 1)
-    return _result(dup.agg(F.count(F.lit(1)).alias("n")), table, check_name, ",".join(cols), F.col("n"), severity)
+                             sketch: bool | None = False) -> DataFrame:
+    """Groups of ``cols`` seen more than once (NULLs group together)."""
+    return check_grains(df, table, combinations=[cols], severity=severity, sketch=sketch)[0]
 
 
-def check_unique(df: DataFrame, table: str, col: str, severity: str = "error") -> DataFrame:
+def check_unique(df: DataFrame, table: str, col: str, severity: str = "error", sketch: bool | None = False) -> DataFrame:
     """Non-NULL values seen more than once."""
-    return check_unique_combination(df, table, [col], severity, check_name="unique", skip_nulls=True)
+    return check_grains(df, table, unique=[col], severity=severity, sketch=sketch)[0]
 
 
 def check_relationship(df: DataFrame, table: str, col: str, parent: DataFrame, parent_col: str,
@@ -117,14 +145,15 @@ def run_checks(results: Sequence[DataFrame]) -> DataFrame:
 def check_model(df: DataFrame, table: str, not_null: Sequence[str] = (), warn_not_null: Sequence[str] = (),
                 accepted: dict[str, Sequence[str]] | None = None,
                 relationships: dict[str, tuple[DataFrame, str]] | None = None,
-                unique: Sequence[str] = (), combinations: Sequence[Sequence[str]] = ()) -> DataFrame:
+                unique: Sequence[str] = (), combinations: Sequence[Sequence[str]] = (),
+                sketch: bool | None = False) -> DataFrame:
     """Every declared test of one model, with one scan for the column tests.
 
     not_null (error / warn), accepted_values and relationships are counted in
     a single aggregate: each parent's DISTINCT key set is left-joined first
     (one match at most per row, broadcast when proven small), so a miss is a
     NULL flag.  unique and unique_combination_of_columns need one grouped
-    pass each (map-side partial counts).
+    pass each, or with ``sketch`` one scan that clears most keys (:func:`check_grains`).
     """
     accepted = accepted or {}
     relationships = relationships or {}
@@ -153,6 +182,5 @@ def check_model(df: DataFrame, table: str, not_null: Sequence[str] = (), warn_no
         parts.append(one.select(F.inline(rows)).select(
             F.lit(table).alias("table_name"), "check_name", "column_name", "failures", "severity",
             _status(F.col("failures"), F.col("severity")).alias("status")))
-    parts += [check_unique(df, table, c) for c in unique]
-    parts += [check_unique_combination(df, table, list(cols)) for cols in combinations]
+    parts += check_grains(df, table, unique, combinations, sketch=sketch)
     return run_checks(parts)

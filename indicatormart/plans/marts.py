@@ -16,6 +16,7 @@ from indicatormart.functions import numbers as N
 from indicatormart.functions import periods as P
 from indicatormart.functions import text as T
 from indicatormart.operators import joins as J
+from indicatormart.operators.aggregates import exact_avg, exact_sum
 from indicatormart.operators.predicates import classify, filter_topic
 from indicatormart.operators.reshape import pivot_roles
 from indicatormart.operators.setops import union_all
@@ -217,7 +218,7 @@ def demand_visits(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | N
     return dv.groupBy("region_key", "date_key",
                       F.coalesce("d_source_indicator_code", F.lit(VISITS_TOTAL[0])).alias("metric_code"),
                       F.coalesce("d_indicator_name", F.lit(VISITS_TOTAL[1])).alias("indicator_name")) \
-             .agg(F.sum("value").alias("value"))
+             .agg(exact_sum("value").alias("value"))
 
 
 def median_times(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | None = None) -> DataFrame:
@@ -225,7 +226,7 @@ def median_times(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | No
     cols = ["topic", "source_indicator_code", "indicator_name"]
     pv = _with_indicator(fct_visits, di, cols, size_base=size_base).filter(F.col("d_topic") == "PRESSURE")
     return pv.groupBy("region_key", "date_key", F.col("d_source_indicator_code").alias("metric_code"),
-                      F.col("d_indicator_name").alias("indicator_name")).agg(F.avg("value").alias("value"))
+                      F.col("d_indicator_name").alias("indicator_name")).agg(exact_avg("value").alias("value"))
 
 
 def visit_metrics(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | None = None,
@@ -253,7 +254,7 @@ def visit_metrics(fct_visits: DataFrame, di: DataFrame, size_base: DataFrame | N
         metric("PRESSURE", "NEG", F.col("d_topic") == "PRESSURE", code, name)))
     v = v.select("region_key", "date_key", "value", F.explode(metrics).alias("m")) \
          .select("region_key", "date_key", "value", "m.*")
-    total, mean = F.sum("value").cast("double"), F.avg("value").cast("double")
+    total, mean = exact_sum("value"), exact_avg("value")
     return v.groupBy("region_key", "date_key", "theme", "polarity", "metric_code", "indicator_name") \
             .agg(F.when(F.col("theme") == "DEMAND", total).otherwise(mean).alias("value"))
 
@@ -353,7 +354,7 @@ def mart_resources_yearly(fct_cap: DataFrame, fct_perf_y: DataFrame, fct_overc:
     ov = J.lookup(fct_overc, dim_dt, [F.col("date_key")], [F.col("date_key")], {"year": "cal_year"},
                   how="inner")
     ov = ov.groupBy("region_key", F.col("cal_year").alias("year")).agg(
-        F.sum("value").cast("double").alias("value")) \
+        exact_sum("value").alias("value")) \
            .select("region_key", "year", F.lit("OVERCROWDING_Y").alias("role"), "value")
     agg = pivot_roles(union_all([cap, amb, ov]), ["region_key", "year"], "role", "value", RESOURCE_PIVOT)
     return agg.select(

@@ -16,6 +16,7 @@ from indicatormart.functions import keys as K
 from indicatormart.functions import periods as P
 from indicatormart.functions import text as T
 from indicatormart.operators import joins as J
+from indicatormart.operators.aggregates import exact_sum
 from indicatormart.operators.grain import first_by, month_spine
 from indicatormart.operators.setops import union_all, union_distinct
 from indicatormart.plans.staging import BEDS_INTL_TAG, HEALTH_EXP_TAG, OVERCROWDING_TAG, PHYSICIANS_TAG
@@ -203,7 +204,7 @@ def fct_capacity_yearly(stg_beds_region: DataFrame, stg_medical_personnel: DataF
     staff_rows = J.resolve_key(stg_medical_personnel.filter(F.col("value").isNotNull()), dim_reg,
                                "region_name", "region_name", "region_key")
     staff = staff_rows.groupBy("region_key", "year", "source_system", "source_indicator_code").agg(
-        F.sum("value").cast("double").alias("value")).select(
+        exact_sum("value").alias("value")).select(
         "region_key", F.col("year").cast("int").alias("year"), F.lit(METRIC_STAFF).alias("metric_type"),
         F.col("source_system").alias("src_system"), F.col("source_indicator_code").alias("src_code"),
         "value", F.lit(None).cast("string").alias("unit"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from indicatormart.functions import keys as K
 from indicatormart.operators import grain as G
 from indicatormart.operators import quality as Q
+from plan_metrics import exchanges
 
 
 def _skewed(spark, n=30000):
@@ -36,24 +37,11 @@ def test_first_by_on_hot_key_sends_one_row_a_task(spark):
     spread = df.groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("k").alias("n")).agg(F.sum("n"))
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        assert 0 < _sent_rows(G.first_by(df, ["k"], [K.desc("v")])) <= spread.first()[0] < df.count()
+        assert 0 < exchanges(G.first_by(df, ["k"], [K.desc("v")]), "shuffleRecordsWritten")[0] <= spread.first()[0] < df.count()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def _sent_rows(df):
-    """Rows that the last shuffle of ``df`` got from its map tasks (a plan without adaptive stages)."""
-    qe = df._jdf.queryExecution()
-    plan = qe.executedPlan()
-    plan.execute().count()
-    nodes = [plan]
-    while nodes:
-        node = nodes.pop(0)
-        if node.nodeName() == "Exchange":
-            return node.metrics().apply("shuffleRecordsWritten").value()
-        nodes += [node.children().apply(i) for i in range(node.children().size())]
-
-
 def test_finer_grain_on_hot_key_matches_the_window_definition(spark):
     from pyspark.sql import Window
     df = _skewed(spark)
