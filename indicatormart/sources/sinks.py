@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,15 +50,20 @@ def materialize(df: DataFrame, name: str = "table", max_file_rows: int = 0,
 
 
 def publish(df: DataFrame, name: str, kind: str = "view", database: str | None = None,
-            path: str | None = None, partition_by: list[str] | None = None) -> DataFrame:
+            path: str | None = None, partition_by: list[str] | None = None, keep_previous: int = 1) -> DataFrame:
     """Publish a model: ``view`` (lazy temp view) or ``table`` (full replace).
 
-    For a table, ``database`` is created if absent and used verbatim; with
-    ``path`` the table is external (data under that shared folder), else it
-    is managed by the catalog's warehouse directory.  ``partition_by`` lays the
-    table out by those columns (e.g. ``["year"]``) so readers filtering on them
-    prune whole directories.  Returns the published relation, read back from
-    the catalog.
+    For a table, ``database`` is created if absent and used verbatim.  Each call
+    writes a new version (``v-<time>-<id>``) below ``path``, or beside the
+    database's own folder, while the published rows stay as they are; only when
+    the write has ended does the table point at it.  A failing write leaves the
+    old rows, and its unfinished version is removed.  Readers that began before
+    the swap still find their files: ``keep_previous`` older versions stay.
+    Published tables are external.
+
+    ``partition_by`` lays the table out by those columns (e.g. ``["year"]``)
+    so readers filtering on them prune whole directories.  Returns the
+    published relation, read back from the catalog.
     """
     spark = df.sparkSession
     if kind == "view":
@@ -64,17 +71,77 @@ def publish(df: DataFrame, name: str, kind: str = "view", database: str | None =
         return spark.table(name)
     if kind != "table":
         raise ValueError("kind must be 'view' or 'table'")
-    qualified = f"`{name}`"
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        qualified = f"`{database}`.`{name}`"
-    writer = df.write.mode("overwrite").format("parquet")
+    base = path.rstrip("/") if path is not None else _versions_folder(spark, name, database)
+    stamp = f"v-{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    target = f"{base}/{stamp}"
+    fresh = f"{name}__{stamp.replace('-', '_')}"
+    writer = df.write.mode("error").format("parquet").option("path", target)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(qualified)
-    return spark.table(qualified)
+    try:
+        writer.saveAsTable(_qualified(fresh, database))
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {_qualified(fresh, database)}")
+        _delete(spark, target)
+        raise
+    _swap(spark, name, fresh, target, database, bool(partition_by))
+    _forget(spark, base, stamp, keep_previous)
+    return spark.table(_qualified(name, database))
+
+
+def _qualified(name: str, database: str | None) -> str:
+    return f"`{database}`.`{name}`" if database else f"`{name}`"
+
+
+def _versions_folder(spark: SparkSession, name: str, database: str | None) -> str:
+    home = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    return f"{home.rstrip('/')}/{name}__versions"
+
+
+def _swap(spark: SparkSession, name: str, fresh: str, target: str, database: str | None, partitioned: bool) -> None:
+    """Let ``name`` stand for the table ``fresh``.
+
+    Same columns and no partitions: one catalog operation sets the location.
+    Otherwise the tables change names, the old one first; should the session
+    end between the two, both versions are there under their long names.
+    """
+    old, new = _qualified(name, database), _qualified(fresh, database)
+    if not spark.catalog.tableExists(old):
+        spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+        return
+    plain = not partitioned and not spark.sql(f"DESCRIBE TABLE {old}").filter("col_name LIKE '# Partition%'").count()
+    external = spark.catalog.getTable(old).tableType == "EXTERNAL"
+    if plain and external and spark.table(old).schema == spark.table(new).schema:
+        spark.sql(f"ALTER TABLE {old} SET LOCATION '{target}'")
+        spark.sql(f"DROP TABLE {new}")          # external: its files stay
+    else:
+        former = _qualified(f"{fresh}__old", database)
+        spark.sql(f"ALTER TABLE {old} RENAME TO {former}")
+        spark.sql(f"ALTER TABLE {new} RENAME TO {old}")
+        spark.sql(f"DROP TABLE {former}")
+    spark.catalog.refreshTable(old)
+
+
+def _fs(spark: SparkSession, path: str):
+    """The Hadoop file system of ``path`` and the path (classic sessions)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, target = _fs(spark, path)
+    fs.delete(target, True)
+
+
+def _forget(spark: SparkSession, base: str, current: str, keep_previous: int) -> None:
+    """Delete versions older than the last ``keep_previous`` before ``current``."""
+    fs, folder = _fs(spark, base)
+    found = sorted(s.getPath().getName() for s in fs.listStatus(folder) if s.isDirectory())
+    older = [v for v in found if re.fullmatch(r"v-\d{20}-[0-9a-f]{8}", v) and v < current]
+    for v in older[:max(0, len(older) - keep_previous)]:
+        _delete(spark, f"{base}/{v}")
 
 
 def write_csv(df: DataFrame, path: str, header: bool = True) -> None:

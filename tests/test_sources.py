@@ -1,4 +1,5 @@
 """Readers and sinks: seeds, renames, inline relations, views, tables, CSV, materialize, audit."""
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -37,6 +38,43 @@ def test_publish_view_table_and_csv(spark, tmp_path):
     assert rows(m) == rows(df) and "indicatormart/im_test-" in m.inputFiles()[0]
 
 
+def _versions(folder):
+    return sorted(p.name for p in folder.iterdir() if p.name.startswith("v-"))
+
+
+def test_a_failing_rewrite_leaves_the_old_rows(spark, tmp_path):
+    where = dict(kind="table", database="im_swap_db", path=str(tmp_path / "t"))
+    first = spark.range(5).withColumn("x", F.col("id") * 2)
+    SK.publish(first, "swap", **where)
+    # fails in one task, after the others have written their files
+    bad = spark.range(0, 100, 1, 4).select("id", F.when(F.col("id") == 99, F.raise_error(F.lit("broken row")).cast("long"))
+                                           .otherwise(F.col("id")).alias("x"))
+    with pytest.raises(Exception):  # noqa: B017 - a failed write, in whatever wrapping
+        SK.publish(bad, "swap", **where)
+    assert rows(spark.table("im_swap_db.swap")) == rows(first)
+    assert len(_versions(tmp_path / "t")) == 1
+    assert [t.name for t in spark.catalog.listTables("im_swap_db") if not t.isTemporary] == ["swap"]
+
+
+def test_replace_swaps_versions_and_keeps_the_last(spark, tmp_path):
+    where = dict(kind="table", database="im_swap_db", path=str(tmp_path / "t"))
+    reader = SK.publish(spark.range(3), "versions", **where)
+    second = SK.publish(spark.range(10), "versions", **where)
+    assert second.count() == 10 and reader.count() in (3, 10)        # files of the version before are still there
+    # reading the table while it is replaced by its own rows
+    third = SK.publish(spark.table("im_swap_db.versions").filter("id > 6"), "versions", **where)
+    assert rows(third) == [(7,), (8,), (9,)] and len(_versions(tmp_path / "t")) == 2
+    # other columns and partitions
+    wide = spark.range(6).select((F.col("id") % 2).cast("int").alias("year"), F.col("id").cast("string").alias("name"))
+    fourth = SK.publish(wide.select("name", "year"), "versions", partition_by=["year"], **where)
+    assert rows(fourth, "name", "year") == rows(wide, "name", "year")
+    fifth = SK.publish(wide.filter("year = 1").select("name", "year"), "versions", partition_by=["year"], **where)
+    assert fifth.count() == 3 and rows(SK.publish(spark.range(1), "versions", **where)) == [(0,)]
+    assert [t.name for t in spark.catalog.listTables("im_swap_db")].count("versions") == 1
+    managed = SK.publish(spark.range(4), "beside", kind="table", database="im_swap_db")
+    assert managed.count() == 4 and SK.publish(spark.range(2), "beside", kind="table", database="im_swap_db").count() == 2
+
+
 def test_load_audit(spark):
     df = spark.createDataFrame([("k1", "r1"), ("k1", "r2"), ("k2", "r1")], "kpi string, region string")
     a = RD.load_audit(df, ["kpi"], "region").first()
