@@ -13,13 +13,16 @@ from __future__ import annotations
 
 import weakref
 from itertools import chain
-from typing import Iterable, Sequence
+from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indicatormart.functions._util import as_col, ColumnOrName
 from indicatormart.functions.keys import surrogate_key
+from indicatormart.sources.sinks import materialize
+
+Cleaner = Callable[[Column], Column]
 
 # A dimension with at most this many rows is broadcast to every task.  Lookups
 # project the dimension to its key and the taken columns first, so 500k rows
@@ -90,15 +93,39 @@ def lookup(fact: DataFrame, dim: DataFrame, fact_on: Sequence[ColumnOrName],
     return joined.drop(*fkeys, *dkeys)
 
 
+def lookup_by_spelling(fact: DataFrame, dim: DataFrame, raw: ColumnOrName, clean_raw: Cleaner, dim_col: ColumnOrName,
+                       take: dict[str, str], how: str = "left") -> DataFrame:
+    """``lookup`` of ``clean_raw(raw)`` in ``dim_col``, cleaning each distinct spelling once.
+
+    The distinct spellings of ``raw`` (one column of ``fact``, reduced
+    map-side) are written, cleaned and resolved to a dictionary from spelling to
+    the taken columns; the facts join that on the raw spelling, so no
+    expression of ``clean_raw`` runs per row.  If the spellings are too many
+    to broadcast, cleaning runs per row as in :func:`lookup`.  A NULL spelling
+    matches nothing.  ``fact`` is read twice: give a written one or a cheap scan.
+    """
+    c = as_col(raw)
+    names = materialize(fact.select(c.alias("__raw")).filter(F.col("__raw").isNotNull()).distinct(), "spellings")
+    if not is_small(names):
+        return lookup(fact, dim, [clean_raw(c)], [dim_col], take, how=how)
+    inner = {src: f"__taken{i}" for i, src in enumerate(take)}
+    known = materialize(lookup(names, dim, [clean_raw(F.col("__raw"))], [dim_col], inner, how="inner"), "spelling_keys")
+    return lookup(fact, known, [c], [F.col("__raw")], {inner[src]: dst for src, dst in take.items()}, how=how)
+
+
 def resolve_key(fact: DataFrame, dim: DataFrame, fact_col: ColumnOrName, dim_col: str,
-                key: str, normalize=None, keep_unmatched: bool = True,
-                out: str | None = None) -> DataFrame:
+                key: str, normalize: Cleaner | None = None, keep_unmatched: bool = True,
+                out: str | None = None, spellings_once: bool = False) -> DataFrame:
     """Attach ``dim.key`` by matching ``fact_col`` to ``dim_col``.
 
-    ``normalize`` (Column -> Column) is applied to both sides first.
+    ``normalize`` (Column -> Column) is applied to both sides first, or with
+    ``spellings_once`` to each distinct spelling (:func:`lookup_by_spelling`).
     ``keep_unmatched=False`` drops facts with no match.
     """
     fa, da = as_col(fact_col), F.col(dim_col)
+    if normalize is not None and spellings_once:
+        return lookup_by_spelling(fact, dim, fa, normalize, normalize(da), {key: out or key},
+                                  how="left" if keep_unmatched else "inner")
     if normalize is not None:
         fa, da = normalize(fa), normalize(da)
     return lookup(fact, dim, [fa], [da], {key: out or key},

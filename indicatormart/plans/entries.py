@@ -274,7 +274,7 @@ def resolve_key_code(spark, sf_dir):
 
 @query
 def resolve_key_name(spark, sf_dir):
-    """J2 + J3 + J4 + F14: region keys by exact, upper-cased and normalized names."""
+    """J2 + J3 + J4 + F14: region keys by exact, upper-cased and normalized names, each spelling cleaned once."""
     wh = standin_warehouse(spark, sf_dir)
     c = _t(spark, sf_dir, "customer").join(J.checked_broadcast(_t(spark, sf_dir, "nation")),
                                            F.col("c_nationkey") == F.col("n_nationkey"))
@@ -283,9 +283,10 @@ def resolve_key_name(spark, sf_dir):
                 .otherwise(F.concat(F.lit("Region "), "n_name", F.lit(" län"))))
     f = c.select("c_custkey", spelled.alias("name"))
     f = J.resolve_key(f, wh.dim_region, "name", "region_name", "region_key", out="key_exact")
-    f = J.resolve_key(f, wh.dim_region, "name", "region_name", "region_key", normalize=F.upper, out="key_upper")
+    f = J.resolve_key(f, wh.dim_region, "name", "region_name", "region_key", normalize=F.upper, out="key_upper",
+                      spellings_once=True)
     f = J.resolve_key(f, wh.dim_region, "name", "region_name", "region_key", normalize=T.region_name_norm,
-                      out="key_norm")
+                      out="key_norm", spellings_once=True)
     return f.select("c_custkey", "name", "key_exact", "key_upper", "key_norm")
 
 

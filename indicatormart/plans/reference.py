@@ -241,16 +241,21 @@ def fct_health_exp_gdp_intl_y(stg_health: DataFrame, dim_ind: DataFrame) -> Data
                      .filter(F.col("date_key").isNotNull())
 
 
-def _name_resolved(src: DataFrame, dim_reg: DataFrame, aliases: Sequence[tuple[str, str]]) -> DataFrame:
+def _name_resolved(src: DataFrame, dim_reg: DataFrame, aliases: Sequence[tuple[str, str]],
+                   spellings_once: bool = False) -> DataFrame:
     """Upper-case-pattern normalizer + alias map, matched to the region
     dimension normalized the same way; unmatched rows are dropped."""
+    if spellings_once:
+        return J.lookup_by_spelling(src, dim_reg, "region_name_raw",
+                                    lambda c: J.alias_lookup(T.upper_pattern_norm(c), aliases),
+                                    T.upper_pattern_norm(F.trim("region_name")), {"region_key": "region_key"}, how="inner")
     s = src.withColumn("__name_norm", J.alias_lookup(T.upper_pattern_norm("region_name_raw"), aliases))
     return J.lookup(s, dim_reg, [F.col("__name_norm")], [T.upper_pattern_norm(F.trim("region_name"))],
                     ["region_key"], how="inner").drop("__name_norm")
 
 
 def fct_kolada_y(stg_kolada: DataFrame, dim_reg: DataFrame, dim_gen: DataFrame, dim_ind: DataFrame,
-                 aliases: Sequence[tuple[str, str]] = KPI_REGION_ALIASES) -> DataFrame:
+                 aliases: Sequence[tuple[str, str]] = KPI_REGION_ALIASES, spellings_once: bool = False) -> DataFrame:
     """Yearly KPI values, one row per region, year, gender and indicator."""
     src = stg_kolada.filter(F.col("value").isNotNull()).select(
         F.trim("region_name").alias("region_name_raw"),
@@ -259,7 +264,7 @@ def fct_kolada_y(stg_kolada: DataFrame, dim_reg: DataFrame, dim_gen: DataFrame,
         F.col("source_indicator_code").alias("indicator_code"),
         F.col("year").cast("int").alias("year"),
         F.col("value").cast("double").alias("value"))
-    joined = _name_resolved(src, dim_reg, aliases)
+    joined = _name_resolved(src, dim_reg, aliases, spellings_once)
     joined = J.lookup(joined, dim_gen, [F.col("gender_code")], [F.col("gender_code")], ["gender_key"])
     joined = J.resolve_indicator(joined, dim_ind, "source_system", "indicator_code", normalize=True)
     # year is constant inside the grain and values are non-NULL, so the
@@ -270,10 +275,16 @@ def fct_kolada_y(stg_kolada: DataFrame, dim_reg: DataFrame, dim_gen: DataFrame,
 
 
 def fct_overcrowding_monthly(stg_overcrowding: DataFrame, dim_reg: DataFrame, dim_ind: DataFrame,
-                             aliases: Sequence[tuple[str, str]] = OVERCROWDING_REGION_ALIASES) -> DataFrame:
-    s = stg_overcrowding.withColumn(
-        "__name_norm", T.region_name_norm(J.alias_lookup("region_name", aliases, case_insensitive=True)))
-    f = J.lookup(s, dim_reg, [F.col("__name_norm")], [T.region_name_norm("region_name")], ["region_key"])
+                             aliases: Sequence[tuple[str, str]] = OVERCROWDING_REGION_ALIASES,
+                             spellings_once: bool = False) -> DataFrame:
+    def clean(c):
+        return T.region_name_norm(J.alias_lookup(c, aliases, case_insensitive=True))
+
+    if spellings_once:
+        f = J.lookup_by_spelling(stg_overcrowding, dim_reg, "region_name", clean, T.region_name_norm("region_name"),
+                                 {"region_key": "region_key"})
+    else:
+        f = J.lookup(stg_overcrowding, dim_reg, [clean("region_name")], [T.region_name_norm("region_name")], ["region_key"])
     return f.select("region_key", P.month_key("period_month").alias("date_key"),
                     tagged_indicator_key(dim_ind, OVERCROWDING_TAG).alias("indicator_key"),
                     F.col("value").cast("double").alias("value"))
@@ -327,7 +338,8 @@ def fct_physicians_per_1000_y(ref_phys: DataFrame) -> DataFrame:
 
 def fct_visits_by_gender_age_m(stg_tid_konalder: DataFrame, dim_reg: DataFrame, dim_gen: DataFrame,
                                dim_age: DataFrame, dim_ind: DataFrame,
-                               aliases: Sequence[tuple[str, str]] = VISITS_REGION_ALIASES) -> DataFrame:
+                               aliases: Sequence[tuple[str, str]] = VISITS_REGION_ALIASES,
+                               spellings_once: bool = False) -> DataFrame:
     src = stg_tid_konalder.filter(F.col("value").isNotNull()).select(
         F.trim("region_name").alias("region_name_raw"),
         T.trim_upper("gender").alias("gender_code"),
@@ -336,7 +348,7 @@ def fct_visits_by_gender_age_m(stg_tid_konalder: DataFrame, dim_reg: DataFrame,
         F.col("source_indicator_code").alias("indicator_code"),
         "period_date",
         F.col("value").cast("double").alias("value"))
-    f = _name_resolved(src, dim_reg, aliases)
+    f = _name_resolved(src, dim_reg, aliases, spellings_once)
     f = J.lookup(f, dim_gen, [F.col("gender_code")], [F.col("gender_code")], ["gender_key"])
     f = J.lookup(f, dim_age, [F.col("age_group_label")], [F.col("age_group_label")], ["age_key"])
     f = J.resolve_indicator(f, dim_ind, "source_system", "indicator_code", normalize=True)

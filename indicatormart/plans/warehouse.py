@@ -34,6 +34,8 @@ class Options:
         default_factory=lambda: dict(S.OVERCROWDING_SPECIAL_NAMES))
     access_codes: Sequence[str] = M.ACCESS_KPI_CODES
     strict_null_calendar: bool = False
+    #: Clean each distinct region spelling of a source once instead of each row's (one more narrow pass per source).
+    spellings_once: bool = False
 
 
 STAGING = ("stg_beds_intl", "stg_beds_region", "stg_dataexport", "stg_dim_region", "stg_expenditure_gdp",
@@ -163,13 +165,13 @@ class Warehouse:
     @cached_property
     def fct_kolada_y(self):
         f = R.fct_kolada_y(self.stg_kolada, self.dim_region, self.dim_gender, self.dim_indicator,
-                           self.options.kpi_aliases)
+                           self.options.kpi_aliases, self.options.spellings_once)
         return self._fact(f, "fct_kolada_y")
 
     @cached_property
     def fct_overcrowding_monthly(self):
         f = R.fct_overcrowding_monthly(self.stg_overcrowding, self.dim_region, self.dim_indicator,
-                                       self.options.overcrowding_aliases)
+                                       self.options.overcrowding_aliases, self.options.spellings_once)
         return self._fact(f, "fct_overcrowding_monthly")
 
     @cached_property
@@ -194,7 +196,8 @@ class Warehouse:
     @cached_property
     def fct_visits_by_gender_age_m(self):
         f = R.fct_visits_by_gender_age_m(self.stg_tid_konalder, self.dim_region, self.dim_gender,
-                                         self.dim_age_group, self.dim_indicator, self.options.visits_aliases)
+                                         self.dim_age_group, self.dim_indicator, self.options.visits_aliases,
+                                         self.options.spellings_once)
         return self._fact(f, "fct_visits_by_gender_age_m")
 
     # marts
