@@ -52,10 +52,17 @@ def explode_features(df: DataFrame, payload: str = "payload", spread: int | None
     """
     if is_variant(df, payload):
         feats = df.select(F.explode(F.try_variant_get(F.col(payload), "$.features", "array<variant>")).alias("f"))
-        feats = _spread(feats, spread)
+    else:
+        feats = df.select(F.explode(F.col(f"{payload}.features")).alias("f"))
+    return feature_rows(_spread(feats, spread), "f")
+
+
+def feature_rows(df: DataFrame, feature: str = "element") -> DataFrame:
+    """``props`` and ``geom`` of features, one per row (as :func:`elements.read_elements` reads them from large documents)."""
+    feats = df.select(F.col(feature).alias("f"))
+    if is_variant(feats, "f"):
         return feats.select(F.try_variant_get(F.col("f"), "$.properties", "variant").alias("props"),
                             F.to_json(F.try_variant_get(F.col("f"), "$.geometry", "variant")).alias("geom"))
-    feats = _spread(df.select(F.explode(F.col(f"{payload}.features")).alias("f")), spread)
     geom_type = feats.schema["f"].dataType["geometry"].dataType
     geom = F.col("f.geometry") if isinstance(geom_type, StringType) else F.to_json(F.col("f.geometry"))
     return feats.select(F.col("f.properties").alias("props"), geom.alias("geom"))

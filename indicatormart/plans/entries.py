@@ -31,6 +31,7 @@ from indicatormart.plans.checks import reference_checks, staging_checks
 from indicatormart.plans.staging import EXPENDITURE_MEASURES
 from indicatormart.plans.warehouse import MODELS
 from indicatormart.sources import readers as RD
+from indicatormart.sources.elements import read_elements
 from indicatormart.sources import schemas as S
 from indicatormart.sources import sinks as SK
 from indicatormart.sources.standins import StandIns, landed_sources, landed_standins, month_name, standin_warehouse
@@ -187,6 +188,17 @@ def load_audit(spark, sf_dir):
     return RD.load_audit(stg, ["source_indicator_code"], "region_name", as_of=F.max("year"))
 
 
+@query
+def read_large_documents(spark, sf_dir):
+    """S1 + C4: the features of each document as elements that many tasks read, each file in byte ranges."""
+    path = SK.scratch_path(spark, "geojson_large")
+    _one_document_per_file(_raw(spark, sf_dir, "GEO_LAN_REGIONS_RAW"), path)
+    feature = S.GEOJSON_SCHEMA["features"].dataType.elementType
+    feats = D.feature_rows(read_elements(spark, path, "features", feature))
+    return feats.select(F.col("props.scb_lan_code_2").alias("code"),
+                        F.col("props.region_name_official").alias("name"), "geom")
+
+
 # ---------------------------------------------------------------- predicates
 
 @query

@@ -174,7 +174,7 @@ def operator_queries() -> dict[str, str]:
               UNION ALL SELECT yr, 'gdp_mnkr', 'BNP till marknadspris', 'mnkr', g FROM exp_rows
               UNION ALL SELECT yr, 'health_exp_share_pct', 'Hälso-/sjukvård som andel av BNP', 'percent',
                                CASE WHEN yr % 2 = 1 THEN s END FROM exp_rows) u""")
-    q["explode_features"] = """
+    q["explode_features"] = q["read_large_documents"] = """
         SELECT CAST(n_nationkey AS VARCHAR) AS code,
                CASE WHEN n_nationkey % 2 = 0 THEN n_name || 's' ELSE n_name END AS name,
                CASE n_nationkey % 3 WHEN 0 THEN format('{{"type":"Point","coordinates":[{}.5,{}]}}', n_nationkey, n_regionkey)
