@@ -7,13 +7,15 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
+from pyspark.sql.types import (ArrayType, DataType, DateType, MapType, StructType, TimestampNTZType, TimestampType,
+                               VariantType)
 
 from indicatormart.functions._util import as_col, ColumnOrName
 from indicatormart.functions import periods as P
 from indicatormart.functions.keys import order_fields, Ranked
 from indicatormart.operators import membership
-from indicatormart.sources.sinks import materialize
+from indicatormart.sources.readers import footer_bounds
+from indicatormart.sources.sinks import folder_of, materialize
 
 
 def prefer_finer_grain(df: DataFrame, keys: Sequence[ColumnOrName], grain_col: str = "period_granularity",
@@ -125,9 +127,23 @@ def _has_order(kind: DataType) -> bool:
 
 
 def date_bounds(df: DataFrame, col: ColumnOrName) -> DataFrame:
-    """One row: month-truncated min and max of a date column (NULLs ignored)."""
-    m = P.month_start(as_col(col))
-    return df.agg(F.min(m).alias("lo"), F.max(m).alias("hi"))
+    """One row: month-truncated min and max of a date column (NULLs ignored).
+
+    For a date column of a written table the files' footers answer; else one
+    column is scanned.  Months keep the order of their dates, so the two
+    extremes are truncated, not every row.
+    """
+    path = folder_of(df)
+    ends = footer_bounds(df.sparkSession, path, col) if path and isinstance(col, str) else None
+    if ends is None:
+        c = as_col(col)
+        dated = c if isinstance(df.select(c.alias("c")).schema["c"].dataType, _DATED) else c.cast("date")
+        ends = df.agg(F.min(dated).alias("lo"), F.max(dated).alias("hi"))
+    return ends.select(P.month_start("lo").alias("lo"), P.month_start("hi").alias("hi"))
+
+
+#: Types whose order is that of their months.
+_DATED = (DateType, TimestampType, TimestampNTZType)
 
 
 def month_spine(sources: Sequence[tuple[DataFrame, ColumnOrName]], strict_nulls: bool = False) -> DataFrame:

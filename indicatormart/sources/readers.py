@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from typing import Iterable, Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ByteType, DateType, IntegerType, LongType, ShortType, StructType
 
 
 def read_documents(spark: SparkSession, path: str, schema: StructType | None = None,
@@ -32,6 +34,37 @@ def read_documents(spark: SparkSession, path: str, schema: StructType | None = N
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias(column))
 
 
+#: Types whose row-group statistics Spark's reader turns into aggregates.
+_FOOTER_TYPES = (DateType, ByteType, ShortType, IntegerType, LongType)
+
+
+def footer_query(spark: SparkSession, path: str, column: str) -> DataFrame:
+    """Min and max of a column of parquet files, pushed into the scan: footers are read, no column.
+
+    It belongs to a session of its own, since the pushdown is a session setting.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return own.read.parquet(path).agg(F.min(f"`{column}`").alias("lo"), F.max(f"`{column}`").alias("hi"))
+
+
+def footer_bounds(spark: SparkSession, path: str, column: str) -> DataFrame | None:
+    """One row ``(lo, hi)`` of a date or integer column from footers; NULLs are ignored.
+
+    None (so that the caller scans the column) for other types, and if a file
+    has no statistics of it, as files of NULLs only: Spark's reader then fails.
+    """
+    kind = spark.read.parquet(path).schema[column].dataType
+    if not isinstance(kind, _FOOTER_TYPES):
+        return None
+    try:
+        lo, hi = footer_query(spark, path, column).first()
+    except (Py4JJavaError, PySparkException):
+        return None
+    return spark.range(1).select(F.lit(lo).cast(kind).alias("lo"), F.lit(hi).cast(kind).alias("hi"))
+
+
 def load_table(spark: SparkSession, source: str, fmt: str = "parquet", schema: StructType | str | None = None,
                options: dict | None = None) -> DataFrame:
     """A named raw source: a catalog table name or a file path.

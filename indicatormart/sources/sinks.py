@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import time
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,17 @@ def materialize(df: DataFrame, name: str = "table", max_file_rows: int = 0,
     drop_at_exit(df.sparkSession, path)
     if partition_by:        # a table without rows has no folder to read the columns from
         return df.sparkSession.read.schema(df.schema).parquet(path).select(*[f"`{c}`" for c in df.columns])
-    return df.sparkSession.read.parquet(path)
+    back = df.sparkSession.read.parquet(path)
+    _FOLDERS[back] = path
+    return back
+
+
+_FOLDERS: "weakref.WeakKeyDictionary[DataFrame, str]" = weakref.WeakKeyDictionary()
+
+
+def folder_of(df: DataFrame) -> str | None:
+    """The folder of a frame that :func:`materialize` returned, if ``df`` is one."""
+    return _FOLDERS.get(df)
 
 
 def publish(df: DataFrame, name: str, kind: str = "view", database: str | None = None,

@@ -12,7 +12,9 @@ from indicatormart.operators import grain as G
 from indicatormart.operators import joins as J
 from indicatormart.operators import reshape as R
 from indicatormart.operators import selection as SEL
+from indicatormart.sources import readers as RD
 from indicatormart.sources import schemas as S
+from indicatormart.sources import sinks as SK
 
 
 def test_prefer_finer_grain_rules(spark):
@@ -111,6 +113,24 @@ def test_month_spine_exact_span(spark):
     assert G.month_spine([(a, "d"), (empty, "d")], strict_nulls=True).count() == 0
 
 
+def test_month_spine_of_written_tables_reads_footers_only(spark):
+    days = [None if i % 11 == 0 else dt.date(2023, 1, 31) + dt.timedelta(days=i) for i in range(400)]
+    df = spark.createDataFrame([(d, i) for i, d in enumerate(days)], "d date, v int").repartition(3)
+    written = SK.materialize(df, "dates")
+    plan = RD.footer_query(spark, SK.folder_of(written), "d")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [MIN(d), MAX(d)]" in plan and "ReadSchema: struct<min(d):date,max(d):date>" in plan
+    assert "FileScan" not in G.date_bounds(written, "d")._jdf.queryExecution().executedPlan().toString()
+    assert rows(G.month_spine([(written, "d")])) == rows(G.month_spine([(df, "d")]))
+    assert rows(G.date_bounds(written, "d")) == rows(G.date_bounds(df, "d"))
+    none = SK.materialize(df.filter("d IS NULL"), "dates")
+    assert rows(G.date_bounds(none, "d")) == [(None, None)] and G.month_spine([(none, "d")]).count() == 0
+    assert rows(G.date_bounds(SK.materialize(df.limit(0), "dates"), "d")) == [(None, None)]
+    # other types and expressions are scanned
+    stamps = SK.materialize(df.select(F.col("d").cast("timestamp").alias("t"), F.col("d").cast("string").alias("s")), "dates")
+    for c in ("t", "s", F.col("t")):
+        assert rows(G.date_bounds(stamps, c)) == rows(G.date_bounds(df, "d"))
+
+
 def test_unpivot_years_drops_nulls_and_reads_year(spark):
     df = spark.createDataFrame([("R1", 1.0, None), ("R2", None, float("nan"))], "r string, y2019 double, y2020 double")
     out = R.unpivot_years(df, ["r"], ["y2019", "y2020"])
