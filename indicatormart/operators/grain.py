@@ -126,14 +126,16 @@ def _has_order(kind: DataType) -> bool:
     return not isinstance(kind, (MapType, VariantType))
 
 
-def date_bounds(df: DataFrame, col: ColumnOrName) -> DataFrame:
+def date_bounds(df: DataFrame, col: ColumnOrName, footers: bool = False) -> DataFrame:
     """One row: month-truncated min and max of a date column (NULLs ignored).
 
-    For a date column of a written table the files' footers answer; else one
-    column is scanned.  Months keep the order of their dates, so the two
+    One column is scanned.  With ``footers`` the files' footers answer for a
+    date column of a written table (:func:`materialize`); give that only where few
+    files hold NULLs alone, as such a file makes Spark fail the attempt before
+    the scan.  Months keep the order of their dates, so the two
     extremes are truncated, not every row.
     """
-    path = folder_of(df)
+    path = folder_of(df) if footers else None
     ends = footer_bounds(df.sparkSession, path, col) if path and isinstance(col, str) else None
     if ends is None:
         c = as_col(col)
@@ -146,7 +148,8 @@ def date_bounds(df: DataFrame, col: ColumnOrName) -> DataFrame:
 _DATED = (DateType, TimestampType, TimestampNTZType)
 
 
-def month_spine(sources: Sequence[tuple[DataFrame, ColumnOrName]], strict_nulls: bool = False) -> DataFrame:
+def month_spine(sources: Sequence[tuple[DataFrame, ColumnOrName]], strict_nulls: bool = False,
+                footers: bool = False) -> DataFrame:
     """Calendar of every month between the earliest and latest month of all sources.
 
     Columns: ``date_key`` (YYYYMMDD of the month start), ``month_date``,
@@ -155,7 +158,7 @@ def month_spine(sources: Sequence[tuple[DataFrame, ColumnOrName]], strict_nulls:
     by default such a source is skipped.  Only one-row aggregates leave the
     sources; the spine itself is months-long.
     """
-    bounds = reduce(DataFrame.unionByName, [date_bounds(df, c) for df, c in sources])
+    bounds = reduce(DataFrame.unionByName, [date_bounds(df, c, footers) for df, c in sources])
     if strict_nulls:
         agg = bounds.agg(
             F.when(F.count_if(F.col("lo").isNull()) == 0, F.min("lo")).alias("lo"),

@@ -658,6 +658,14 @@ def best_match(spark, sf_dir):
     return best.select("lang", "doc_id", "hits")
 
 
+@query
+def best_match_percent(spark, sf_dir):
+    """O2: best keyword match per family among percent-like candidates only."""
+    d = _t(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    best = SEL.best_match(d, "lang", "text", "doc_id", BEST_MATCH_FAMILIES, keep=SEL.percent_like("text", "text"))
+    return best.select("lang", "doc_id", "hits")
+
+
 @query
 def label_sort_key(spark, sf_dir):
     """O3 + F16: numeric sort key from a label's leading digits."""

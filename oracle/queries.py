@@ -42,7 +42,7 @@ def _check(table: str, check: str, column: str, failures_sql: str, severity: str
             f"FROM ({failures_sql}) c")
 
 
-def _best_match_sql() -> str:
+def _best_match_sql(where: str = "true") -> str:
     from indicatormart.plans.entries import BEST_MATCH_FAMILIES
     cases = []
     for fam, terms in BEST_MATCH_FAMILIES.items():
@@ -54,7 +54,7 @@ def _best_match_sql() -> str:
 SELECT lang, doc_id, hits FROM (
   SELECT lang, doc_id, hits,
          row_number() OVER (PARTITION BY lang ORDER BY hits DESC, length(text) ASC, doc_id ASC) AS rn
-  FROM (SELECT doc_id, lang, text, {hits_sql} AS hits FROM documents) d) x
+  FROM (SELECT doc_id, lang, text, {hits_sql} AS hits FROM documents WHERE {where}) d) x
 WHERE rn = 1"""
 
 
@@ -299,6 +299,7 @@ def operator_queries() -> dict[str, str]:
           UNION ALL SELECT CAST(date_trunc('month', l_shipdate) AS DATE) FROM lineitem) u"""})
     q["ordered_output"] = with_ctes("SELECT * FROM stg_beds_intl ORDER BY country_name, year")
     q["best_match"] = _best_match_sql()
+    q["best_match_percent"] = _best_match_sql("contains(coalesce(text, ''), '%') OR contains(lower(coalesce(text, '')), 'andel')")
     q["label_sort_key"] = """
         SELECT c_custkey, label, coalesce(TRY_CAST(NULLIF(regexp_extract(label, '^[0-9]+'), '') AS INTEGER), 999) AS sort_key
         FROM (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'Totalt' WHEN c_custkey % 4 = 1 THEN '80+'

@@ -102,6 +102,15 @@ def test_first_by_orders_every_type_like_order_by(spark):
     assert G.first_by(df.limit(0), ["k"], ["id"]).count() == 0
 
 
+def test_best_match_among_percent_like_candidates(spark):
+    data = [("f", 1, "väntan 90 dagar besök", "antal"), ("f", 2, "väntan 90", "Andel %"), ("f", 3, "Andel besök 90", None),
+            ("f", 4, "andel besök 90 dagar", "x"), ("g", 5, "väntan", None), ("g", 6, None, "%")]
+    df = spark.createDataFrame(data, "fam string, id int, title string, unit string")
+    best = SEL.best_match(df, "fam", "title", "id", {"f": ["besök 90"], "g": ["väntan"]}, keep=SEL.percent_like("unit", "title"))
+    # most keywords, then the shorter title; 1 and 5 are not percent-like
+    assert rows(best, "fam", "id", "hits") == [("f", 3, 2), ("g", 6, None)]
+
+
 def test_month_spine_exact_span(spark):
     a = spark.createDataFrame([(dt.date(2023, 11, 15),), (None,)], "d date")
     b = spark.createDataFrame([(dt.date(2024, 2, 1),)], "d date")
@@ -119,16 +128,16 @@ def test_month_spine_of_written_tables_reads_footers_only(spark):
     written = SK.materialize(df, "dates")
     plan = RD.footer_query(spark, SK.folder_of(written), "d")._jdf.queryExecution().executedPlan().toString()
     assert "PushedAggregation: [MIN(d), MAX(d)]" in plan and "ReadSchema: struct<min(d):date,max(d):date>" in plan
-    assert "FileScan" not in G.date_bounds(written, "d")._jdf.queryExecution().executedPlan().toString()
-    assert rows(G.month_spine([(written, "d")])) == rows(G.month_spine([(df, "d")]))
-    assert rows(G.date_bounds(written, "d")) == rows(G.date_bounds(df, "d"))
+    assert "FileScan" not in G.date_bounds(written, "d", footers=True)._jdf.queryExecution().executedPlan().toString()
+    assert rows(G.month_spine([(written, "d")], footers=True)) == rows(G.month_spine([(df, "d")]))
+    assert rows(G.date_bounds(written, "d", footers=True)) == rows(G.date_bounds(df, "d"))
     none = SK.materialize(df.filter("d IS NULL"), "dates")
-    assert rows(G.date_bounds(none, "d")) == [(None, None)] and G.month_spine([(none, "d")]).count() == 0
-    assert rows(G.date_bounds(SK.materialize(df.limit(0), "dates"), "d")) == [(None, None)]
+    assert rows(G.date_bounds(none, "d", footers=True)) == [(None, None)] and G.month_spine([(none, "d")], footers=True).count() == 0
+    assert rows(G.date_bounds(SK.materialize(df.limit(0), "dates"), "d", footers=True)) == [(None, None)]
     # other types and expressions are scanned
     stamps = SK.materialize(df.select(F.col("d").cast("timestamp").alias("t"), F.col("d").cast("string").alias("s")), "dates")
     for c in ("t", "s", F.col("t")):
-        assert rows(G.date_bounds(stamps, c)) == rows(G.date_bounds(df, "d"))
+        assert rows(G.date_bounds(stamps, c, footers=True)) == rows(G.date_bounds(df, "d"))
 
 
 def test_unpivot_years_drops_nulls_and_reads_year(spark):
