@@ -1,16 +1,22 @@
 """Passages that repeat across documents, exact or fuzzy: seeds, collinear chains, alignment.
 
+0.  Of texts that are equal byte by byte only the smallest id goes on; the others
+    are passages as a whole.
 1.  Seeds: every k-mer of ``K`` words, at all its positions.  Of 20 words of
     which 16 are equal, 4 or more in a row are, so no such window is without one.
-2.  A k-mer that two documents hold is sent with its surroundings: the 16 words
-    on both sides, as 16-bit hashes.  Equal surroundings are one class.  The part
-    that owns the k-mer links each class to the smallest document whose
-    surroundings agree with it in a window of ``MIN_STRETCH`` words around the
-    seed (a share of ``IDENTITY``), after trying every holder before it.
+2.  A k-mer that up to ``RARE`` documents hold is sent as its position, and
+    linked to all earlier holders.  A k-mer of more documents is sent with its
+    surroundings: the 16 words on both sides, as 16-bit hashes.  Equal surroundings
+    are one class.  The part that owns the k-mer links each class to the smallest
+    document whose surroundings agree with it in a window of ``MIN_STRETCH``
+    words around the seed (a share of ``IDENTITY``), after trying every holder
+    before it; if none agrees, to the first holder.
 3.  The links between two documents are chained in order in both, with a cost
-    for the gaps; a Fenwick tree gives the best chain before each link.
-4.  Chains are aligned word by word and stretched at both ends.  If a chain
-    fails, the windows of its links remain.
+    for the gaps; a Fenwick tree gives the best chain before each link.  Two
+    disjoint windows of a passage give two disjoint seeds, so a chain that
+    covers fewer than ``2 * K`` words goes, unless its surroundings agreed.
+4.  Chains are aligned word by word and stretched at both ends, also past words
+    left out or put in.  If a chain fails, the windows of its links remain.
 5.  Aligned stretches of a document that touch or overlap form a passage,
     whichever earlier documents they come from; passages of ``MIN_WORDS``
     words or more are the result.
@@ -26,8 +32,9 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicatormart.llm._chunks import NO_ID, Chunk, by_part, freeze, parts_for, read_chunk, thaw, tokenise
-from indicatormart.llm._tables import bloom_of, in_bloom, mix, written
+from indicatormart.llm._chunks import FLAG, NO_ID, Chunk, Ragged, by_part, freeze, parts_for, read_chunk, thaw, tokenise
+from indicatormart.llm._native import words as native_words
+from indicatormart.llm._tables import bloom_of, in_bloom, mix, small, written
 
 K = 4
 #: Cost of a word in a gap, on either side; a seed is worth ``K``.
@@ -43,6 +50,12 @@ EQUAL = int(np.ceil(IDENTITY * MIN_STRETCH - 1e-9)) - K
 STRETCH = 64
 #: Words between stretches of one passage.
 JOIN = 3
+#: Documents up to which a k-mer's holders are all linked.
+RARE = 4
+#: Most words that an extension may skip on one side at a time.
+SHIFT = 3
+#: Groups of equal texts whose keys (24 bytes each) may be broadcast.
+COPY_GROUPS = 1_000_000
 #: Holders of a k-mer that are tried one after another; beyond, only those that share a rare word around it.
 STEPS = 64
 
@@ -50,14 +63,14 @@ STEPS = 64
 # -- seeds -------------------------------------------------------------------------------------
 
 def kmers(chunk: Chunk, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(document, place, key)`` of every k-mer of the chunk's documents that have an id, in order."""
+    """``(document, place, key)`` of every k-mer of the chunk's documents that have an id and are no copies, in order."""
     words = chunk.words[chunk.codes]
     n = max(0, len(words) - k + 1)
     total = np.zeros(n, np.uint64)
     for j in range(k):
         total += words[j:j + n] * np.uint64((0x9E3779B97F4A7C15 * (2 * j + 1)) % 2**64)
     doc = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)
-    at = np.flatnonzero((doc[:n] == doc[k - 1:]) & ((chunk.flags[doc[:n]] & NO_ID) == 0))
+    at = np.flatnonzero((doc[:n] == doc[k - 1:]) & ((chunk.flags[doc[:n]] & (NO_ID | FLAG)) == 0))
     return doc[at], at, mix(total[at], 11)
 
 
@@ -107,56 +120,80 @@ def _low(key: np.ndarray) -> np.ndarray:
 
 
 def _ask(chunks: DataFrame, parts: int) -> DataFrame:
-    """``(part, chunk, data)``: the chunk's distinct k-mers, as sorted differences of their low halves."""
+    """``(part, chunk, data)``: the chunk's distinct k-mers, as sorted differences of their low halves, and how many
+    of its documents hold each (255 at most)."""
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for row in batch.to_pylist():
-                chunk = read_chunk(row)
-                low, edge, some = _by_low(np.unique(kmers(chunk)[2]), parts)
-                data = [zstandard.ZstdCompressor(level=1).compress(
-                    np.diff(low[edge[p]:edge[p + 1]], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T.tobytes())
-                    for p in some]
+                doc, _, key = kmers(read_chunk(row))
+                known, held = _holders(doc, key)
+                order, low, edge, some = _by_low(known, parts)
+                n = np.minimum(held[order], 255).astype(np.uint8)
+                data = [zstandard.ZstdCompressor(level=1).compress(np.vstack([
+                    np.diff(low[edge[p]:edge[p + 1]], prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T,
+                    n[edge[p]:edge[p + 1]]]).tobytes()) for p in some]
                 yield pa.record_batch({"part": pa.array(some, pa.int32()),
-                                       "chunk": pa.array([chunk.id] * len(some), pa.int64()),
+                                       "chunk": pa.array([row["chunk"]] * len(some), pa.int64()),
                                        "data": pa.array(data, pa.binary())})
 
     return chunks.mapInArrow(run, "part int, chunk long, data binary")
 
 
-def _by_low(known: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Low halves of sorted keys by part and size, where each part starts, and the parts that have any."""
+def _holders(doc: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the number of documents of each (``doc`` ascends)."""
+    order = np.argsort(key, kind="stable")
+    key, doc = key[order], doc[order]
+    start, _ = _runs(key)
+    if not len(start):
+        return key, np.zeros(0, np.int64)
+    new = np.ones(len(key), np.int64)
+    new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+    return key[start], np.add.reduceat(new, start)
+
+
+def _by_low(known: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of keys by part and low half, the low halves, where each part starts, and the parts that have any."""
     order, edge = by_part(known, parts)
-    low = _low(known[order])
     owner = np.repeat(np.arange(parts, dtype=np.uint64), np.diff(edge))
-    low = _low(np.sort(owner << np.uint64(32) | low))
-    return low, edge, np.flatnonzero(np.diff(edge))
+    by = np.argsort(owner << np.uint64(32) | _low(known[order]), kind="stable")
+    order = order[by]
+    return order, _low(known[order]), edge, np.flatnonzero(np.diff(edge))
+
+
+def _codes(key: np.ndarray, parts: int) -> np.ndarray:
+    """A key's part and low half."""
+    owner = ((key >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    return owner << np.uint64(32) | _low(key)
 
 
 def _ask_shared(chunk: Chunk, parts: int, answers):
-    """The classes of the chunk's shared k-mers: key, surroundings, first holder and whether others hold it too."""
+    """The chunk's shared k-mers: of rare ones key, holder and its first position; of others the classes with key,
+    surroundings, first holder and whether others of the chunk hold it too."""
     doc, at, key = kmers(chunk)
-    ids = chunk.ids[doc]
+    ids, pos = chunk.ids[doc], (at - chunk.offset[doc]).astype(np.int32)
     known, which = np.unique(key, return_inverse=True)
-    shared = np.zeros(len(known), bool)
-    order, edge = by_part(known, parts)
+    shared, common = np.zeros(len(known), bool), np.zeros(len(known), bool)
+    order, _, edge, _ = _by_low(known, parts)
     for p, data in answers:
         mine = order[edge[p]:edge[p + 1]]
-        mine = mine[np.argsort(_low(known[mine]))]
-        shared[mine] = np.unpackbits(np.frombuffer(data, np.uint8))[:len(mine)] > 0
-    least, most = np.full(len(known), 2**63 - 1), np.full(len(known), -2**63)
-    np.minimum.at(least, which, ids)
-    np.maximum.at(most, which, ids)
-    some = (shared | (least != most))[which]
-    doc, at, key, ids = doc[some], at[some], key[some], ids[some]
+        bits = np.unpackbits(np.frombuffer(data, np.uint8)).reshape(2, -1)[:, :len(mine)] > 0
+        shared[mine], common[mine] = bits
+    rare = np.flatnonzero((shared & ~common)[which])
+    by = rare[np.lexsort((at[rare], ids[rare], which[rare]))]
+    new = np.ones(len(by), bool)
+    new[1:] = (which[by[1:]] != which[by[:-1]]) | (ids[by[1:]] != ids[by[:-1]])
+    by = by[new]
+    few = key[by], [_low(key[by]), ids[by], pos[by]]
+    some = common[which]
+    doc, at, key, ids, pos = doc[some], at[some], key[some], ids[some], pos[some]
     around = surroundings(chunk, doc, at)
     some = _best(around > 0) >= EQUAL
-    doc, at, key, ids, around = doc[some], at[some], key[some], ids[some], around[some]
+    key, ids, around, pos, at = key[some], ids[some], around[some], pos[some], at[some]
     kind = class_of(key, around)
     order = np.lexsort((at, ids, kind))
     start, last = _runs(kind[order])
     first = order[start]
-    return key[first], [_low(key[first]), around[first], ids[first], (at - chunk.offset[doc])[first].astype(np.int32),
-                        ids[order[last]] != ids[first]]
+    return few, (key[first], [_low(key[first]), around[first], ids[first], pos[first], ids[order[last]] != ids[first]])
 
 
 def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,15 +205,21 @@ def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _serve_shared(group):
-    """For each chunk one bit per k-mer it sent: another chunk holds it."""
+    """For each chunk two bits per k-mer it sent: other documents hold it; more than ``RARE`` documents hold it."""
     import pandas as pd
-    sent = [np.cumsum(np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(4, -1).T.copy()
-                      .view(np.uint32).ravel(), dtype=np.uint32) for x in group["data"]]
-    edge = np.cumsum([0, *(len(s) for s in sent)])
-    _, which, n = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
-    bits = n[which] > 1
+    sent = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(5, -1) for x in group["data"]]
+    low = [np.cumsum(x[:4].T.copy().view(np.uint32).ravel(), dtype=np.uint32) for x in sent]
+    edge = np.cumsum([0, *(len(s) for s in low)])
+    _, which = np.unique(np.concatenate(low), return_inverse=True)
+    held = np.bincount(which, weights=np.concatenate([x[4] for x in sent]))[which]
+    bits = np.stack([held > 1, held > RARE])
     return pd.DataFrame({"chunk": group["chunk"], "part": group["part"],
-                         "data": [np.packbits(bits[a:b]).tobytes() for a, b in zip(edge, edge[1:], strict=False)]})
+                         "data": [_bits(bits[:, a:b]) for a, b in zip(edge, edge[1:], strict=False)]})
+
+
+def _bits(bits: np.ndarray) -> bytes:
+    """Each row packed, up to whole bytes."""
+    return np.packbits(bits, axis=1).tobytes()
 
 
 def _rare(around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -250,11 +293,14 @@ def first_holders(key: np.ndarray, around: np.ndarray) -> np.ndarray:
 
 
 def _serve(group):
-    """For each chunk its classes that an earlier document is alike to: key, class, document and position."""
+    """For each chunk its links: of rare k-mers key and all holders; of classes key, class, document and position that
+    an earlier document is alike to (else its first holder), and whether it is alike."""
     import pandas as pd
     sent = [thaw(x) for x in group["data"]]
-    edge = np.cumsum([0, *(len(s[0]) for s in sent)])
-    key, around, ids, pos, more = (np.concatenate(x) for x in zip(*sent, strict=True))
+    few, many = [x[:3] for x in sent], [x[3:] for x in sent]
+    rare = _serve_rare(few)
+    edge = np.cumsum([0, *(len(s[0]) for s in many)])
+    key, around, ids, pos, more = (np.concatenate(x) for x in zip(*many, strict=True))
     kind = class_of(key.astype(np.uint64), around)
     order = np.lexsort((pos, ids, kind))
     start, last = _runs(kind[order])
@@ -265,15 +311,42 @@ def _serve(group):
     lead = lead[rank]
     place = np.empty(len(rank), np.int64)
     place[rank] = np.arange(len(rank))
-    partner = lead[first_holders(key[lead], around[lead])][place[which]]
+    best = first_holders(key[lead], around[lead])
+    begin, end = _runs(key[lead])
+    first = np.repeat(begin, end - begin + 1)
+    alone = best == np.arange(len(lead))
+    partner = lead[np.where(alone, first, best)][place[which]]
+    # a class that several documents hold agrees with its own first holder
+    sure = ~alone[place[which]] | more | (ids != ids[lead[place[which]]])
+    partner = np.where(sure & alone[place[which]], lead[place[which]], partner)
     useful = more | (ids != ids[partner])
     out = []
-    for a, b in zip(edge, edge[1:], strict=False):
+    for i, (a, b) in enumerate(zip(edge, edge[1:], strict=False)):
         at = np.flatnonzero(useful[a:b]) + a
-        out.append(freeze([key[at], kind[at], ids[partner[at]], pos[partner[at]]]))
+        out.append(freeze([*rare[i], key[at], kind[at], ids[partner[at]], pos[partner[at]], sure[at]]))
     return pd.DataFrame({"chunk": group["chunk"], "part": group["part"], "data": out})
 
 
+def _serve_rare(sent: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
+    """For each sender its keys that an earlier document holds too: key, number of holders, their ids and positions."""
+    key, ids, pos = (np.concatenate(x) for x in zip(*sent, strict=True))
+    order = np.lexsort((pos, ids, key))
+    key, ids, pos = key[order], ids[order], pos[order]
+    new = np.ones(len(key), bool)
+    new[1:] = (key[1:] != key[:-1]) | (ids[1:] != ids[:-1])      # rows that share an id are one holder
+    key, ids, pos = key[new], ids[new], pos[new]
+    start, last = _runs(key)
+    names = key[start]
+    holders = Ragged(np.append(start, len(key)), np.arange(len(key)))
+    out = []
+    for mine, own, _ in sent:
+        at = np.searchsorted(names, mine)
+        use = np.unique(at[own > ids[start[at]]]) if len(at) else np.zeros(0, np.int64)
+        taken = holders.take(use)
+        out.append([names[use], np.diff(taken.offset).astype(np.uint8), ids[taken.values], pos[taken.values]])
+    return out
+
+
 # -- chains ------------------------------------------------------------------------------------
 
 def chains(x: np.ndarray, y: np.ndarray, k: int = K, gap: float = GAP) -> list[np.ndarray]:
@@ -323,35 +396,70 @@ def chains(x: np.ndarray, y: np.ndarray, k: int = K, gap: float = GAP) -> list[n
 _CHAINS = "doc_id long, from_id long, a_low int, a_size int, b_low int, a_at binary, b_at binary, words binary"
 
 
-def _chain_chunk(key, left, right):
+def _links(chunk: Chunk, parts: int, answers) -> tuple[np.ndarray, ...]:
+    """``(document, x, source, y, sure)``: x of the document and y of an earlier source begin a shared k-mer."""
+    rare, many = [], []
+    for p, data in answers:
+        code, n, ids, pos, *rest = thaw(data)
+        rare.append((np.uint64(p) << np.uint64(32) | code, n, ids, pos))
+        many.append(rest)
+    doc, at, seed = kmers(chunk)
+    x = at - chunk.offset[doc]
+    # rare k-mers: every earlier holder
+    code, n, ids, pos = (np.concatenate(v) for v in zip(*rare, strict=True))
+    begin = np.cumsum(n, dtype=np.int64) - n
+    order = np.argsort(code)
+    code, n, begin = code[order], n[order], begin[order]
+    mine = _codes(seed, parts)
+    at_code = np.minimum(np.searchsorted(code, mine), max(len(code) - 1, 0))
+    hit = np.flatnonzero(code[at_code] == mine) if len(code) else np.zeros(0, np.int64)
+    found = []
+    for r in range(RARE):
+        some = hit[n[at_code[hit]] > r]
+        holder = begin[at_code[some]] + r
+        ok = ids[holder] < chunk.ids[doc[some]]
+        some, holder = some[ok], holder[ok]
+        found.append((doc[some], x[some], ids[holder], pos[holder].astype(np.int64), np.zeros(len(some), bool)))
+    # k-mers of many documents: the partner of their class
+    asked, kind, from_id, from_pos, sure = (np.concatenate(v) for v in zip(*many, strict=True))
+    order = np.argsort(kind)
+    kind, from_id, from_pos, sure = kind[order], from_id[order], from_pos[order], sure[order]
+    some = np.flatnonzero(np.isin(_low(seed), asked))
+    mine = class_of(seed[some], surroundings(chunk, doc[some], at[some]))
+    link = np.minimum(np.searchsorted(kind, mine), max(len(kind) - 1, 0))
+    ok = np.flatnonzero(kind[link] == mine) if len(kind) else np.zeros(0, np.int64)
+    ok = ok[from_id[link[ok]] < chunk.ids[doc[some[ok]]]]
+    link, some = link[ok], some[ok]
+    found.append((doc[some], x[some], from_id[link], from_pos[link].astype(np.int64), sure[link]))
+    doc, x, source, y, sure = (np.concatenate(v) for v in zip(*found, strict=True))
+    order = np.lexsort((x, source, doc))
+    return doc[order], x[order], source[order], y[order], sure[order]
+
+
+def _chain_chunk(key, left, right, parts):
     """Chains of the chunk's documents with earlier ones, and the words of their surroundings."""
     import pandas as pd
     chunk = read_chunk(left.iloc[0])
     if not len(right):
         return pd.DataFrame({c.split()[0]: [] for c in _CHAINS.split(", ")})
-    asked, kind, from_id, from_pos = (np.concatenate(v) for v in zip(*(thaw(d) for d in right["data"]), strict=True))
-    order = np.argsort(kind)
-    kind, from_id, from_pos = kind[order], from_id[order], from_pos[order]
-    doc, at, seed = kmers(chunk)
-    some = np.isin(_low(seed), asked)
-    doc, at, seed = doc[some], at[some], seed[some]
-    mine = class_of(seed, surroundings(chunk, doc, at))
-    link = np.minimum(np.searchsorted(kind, mine), max(len(kind) - 1, 0))
-    ok = np.flatnonzero(kind[link] == mine) if len(kind) else np.zeros(0, np.int64)
-    ok = ok[from_id[link[ok]] < chunk.ids[doc[ok]]]
-    doc, x, source, y = doc[ok], at[ok] - chunk.offset[doc[ok]], from_id[link[ok]], from_pos[link[ok]].astype(np.int64)
-    order = np.lexsort((x, source, doc))
-    doc, x, source, y = doc[order], x[order], source[order], y[order]
+    doc, x, source, y, sure = _links(chunk, parts, zip(right["part"], right["data"], strict=True))
     thin = _thinned(doc, source, x, y)
-    doc, x, source, y = doc[thin], x[thin], source[thin], y[thin]
+    doc, x, source, y, sure = doc[thin], x[thin], source[thin], y[thin], sure[thin]
     start = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (source[1:] != source[:-1])])) \
         if len(doc) else np.zeros(0, np.int64)
     offset = chunk.offset
     rows = []
-    for lo, hi in zip(start, np.append(start[1:], len(doc))[:len(start)], strict=True):
+    if len(start):      # pairs of documents with too few words in common can't have a chain that stays
+        step = np.minimum(np.diff(x, prepend=0), K)
+        step[start] = K
+        good = (np.add.reduceat(step, start) >= 2 * K) | np.logical_or.reduceat(sure, start)
+    for i in np.flatnonzero(good) if len(start) else ():
+        lo, hi = int(start[i]), int(start[i + 1]) if i + 1 < len(start) else len(doc)
         d = int(doc[lo])
         for path in chains(x[lo:hi], y[lo:hi]):
             b, a = x[lo:hi][path], y[lo:hi][path]
+            if K + int(np.minimum(np.diff(b), K).sum()) < 2 * K and not sure[lo:hi][path].any():
+                continue
             b_low, a_low = max(0, int(b[0]) - STRETCH), max(0, int(a[0]) - STRETCH)
             b_high = min(int(chunk.sizes[d]), int(b[-1]) + K + STRETCH)
             words = chunk.words[chunk.codes[offset[d] + b_low:offset[d] + b_high]]
@@ -404,11 +512,30 @@ def _run_out(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
     return (at + 1, int(same[:at + 1].sum())) if score[at] > 0 else (0, 0)
 
 
+def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
+    """How far ``b`` goes on alike, past up to ``SHIFT`` words at a time that one side lacks: its words, the aligned
+    columns, and the equal ones."""
+    taken = columns = equal = 0
+    while True:
+        best = (0, 0, 0, 0, 0)
+        for shift in sorted(range(-SHIFT, SHIFT + 1), key=abs):
+            skip_a, skip_b = max(0, shift), max(0, -shift)
+            n, same = _run_out(a[skip_a:], b[skip_b:])
+            gain = 2 * same - n - 2 * abs(shift)        # a word left out costs more than a different one
+            if gain > best[0]:
+                best = gain, skip_a, skip_b, n, same
+        gain, skip_a, skip_b, n, same = best
+        if gain <= 0:
+            return taken, columns, equal
+        a, b = a[skip_a + n:], b[skip_b + n:]
+        taken, columns, equal = taken + skip_b + n, columns + skip_a + skip_b + n, equal + same
+
+
 def align(a: np.ndarray, b: np.ndarray, a_at: np.ndarray, b_at: np.ndarray, k: int = K) -> tuple[int, int, float]:
     """Start and end in ``b`` of the stretch around a chain, and the share of aligned words that are equal."""
-    back, back_same = _run_out(a[:a_at[0]][::-1], b[:b_at[0]][::-1])
-    on, on_same = _run_out(a[a_at[-1] + k:], b[b_at[-1] + k:])
-    length, equal = back + on, back_same + on_same
+    back, length, equal = _extend(a[:a_at[0]][::-1], b[:b_at[0]][::-1])
+    on, columns, same = _extend(a[a_at[-1] + k:], b[b_at[-1] + k:])
+    length, equal = length + columns, equal + same
     if (a_at - b_at == a_at[0] - b_at[0]).all():
         n = int(b_at[-1] - b_at[0]) + k
         length += n
@@ -480,7 +607,12 @@ def _word_rows(chunks: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Written ``(doc_id, from_id, low, high, identity)``: words low to high align with an earlier document."""
-    chunks = tokenise(docs, id_col, text_col)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    first = _copies(texts)
+    h, n = F.xxhash64("text"), F.length("text")
+    marked = texts.join(small(first, COPY_GROUPS), (h == first["h"]) & (n == first["n"]), "left").select(
+        "id", "text", (F.col("id") > F.col("first_id")).alias("copy"))
+    chunks = tokenise(marked, "id", "text", F.col("copy"))
     parts = parts_for(chunks)
     answered = "chunk long, part int, data binary"
     shared = _ask(chunks, parts).groupBy("part").applyInPandas(_serve_shared, answered)
@@ -488,22 +620,35 @@ def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     def ask(key, left, right):
         import pandas as pd
         chunk = read_chunk(left.iloc[0])
-        keys, values = _ask_shared(chunk, parts, zip(right["part"], right["data"], strict=True))
-        order, edge = by_part(keys, parts)
-        some = [(int(p), order[edge[p]:edge[p + 1]]) for p in np.flatnonzero(np.diff(edge))]
-        return pd.DataFrame({"part": [p for p, _ in some], "chunk": [chunk.id] * len(some),
-                             "data": [freeze([v[x] for v in values]) for _, x in some]})
+        sides = _ask_shared(chunk, parts, zip(right["part"], right["data"], strict=True))
+        cut = [by_part(keys, parts) for keys, _ in sides]
+        some = sorted({int(p) for _, edge in cut for p in np.flatnonzero(np.diff(edge))})
+        data = [freeze([v[order[edge[p]:edge[p + 1]]] for (order, edge), (_, values) in zip(cut, sides, strict=True)
+                        for v in values]) for p in some]
+        return pd.DataFrame({"part": some, "chunk": [chunk.id] * len(some), "data": data})
 
     answers = chunks.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInPandas(
         ask, "part int, chunk long, data binary").groupBy("part").applyInPandas(_serve, answered)
     found = written(chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
-        _chain_chunk, _CHAINS), "chains")
+        lambda key, left, right: _chain_chunk(key, left, right, parts), _CHAINS), "chains")
     wanted = bloom_of(found.select("from_id").distinct(), "from_id")
     pairs = found.join(_word_rows(chunks, wanted), "from_id").select(
         "doc_id", "from_id", "b_low", "a_at", "b_at", "words",
         F.expr("substring(all_words, 4 * a_low + 1, 4 * a_size)").alias("from_words"))
-    return written(pairs.mapInArrow(_aligned, "doc_id long, from_id long, low long, high long, identity double"),
-                   "stretches")
+    aligned = pairs.mapInArrow(_aligned, "doc_id long, from_id long, low long, high long, identity double")
+    whole = texts.join(small(first, COPY_GROUPS), (h == first["h"]) & (n == first["n"])).where(
+        F.col("id") > F.col("first_id")).select(
+        F.col("id").alias("doc_id"), F.col("first_id").alias("from_id"), F.lit(0).cast("long").alias("low"),
+        F.size(native_words(F.col("text"))).cast("long").alias("high"), F.lit(1.0).alias("identity"))
+    return written(aligned.union(whole.where("high > 0")), "stretches")
+
+
+def _copies(texts: DataFrame) -> DataFrame:
+    """Written ``(h, n, first_id)`` of each text that several ids hold: its hash, its length and the smallest id."""
+    ids = texts.where(F.col("id").isNotNull() & F.col("text").isNotNull()).select(
+        "id", F.xxhash64("text").alias("h"), F.length("text").alias("n"))
+    return written(ids.groupBy("h", "n").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id")).where(
+        "first_id < last_id").select("h", "n", "first_id"), "copies")
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -512,7 +657,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     ``(doc_id, start_word, end_word, n_words, from_ids, identity)``: words are
     counted from 0, the end is exclusive; ``from_ids`` lists the earlier
-    documents (of each seed, the first that goes on alike), ``identity`` is the mean share
+    documents (of each seed all holders, or of many the first that goes on alike; of
+    equal texts the first), ``identity`` is the mean share
     of equal words over the aligned stretches.  The first document of a group
     has no row; it is in the others' ``from_ids``.
 

@@ -290,6 +290,61 @@ def test_passages_fuzzy(spark):
     assert set(got) == {i for i, _ in rows if i >= 1000}
 
 
+def _mutated(words, vocab, rng, sub, indel):
+    out = []
+    for w in words:
+        r = rng.random()
+        if r < sub:
+            out.append(str(rng.choice(vocab)))
+        elif r >= sub + indel:
+            out.append(w)
+        elif r >= sub + indel / 2:      # a word put in; else this one is left out
+            out += [w, str(rng.choice(vocab))]
+    return out
+
+
+def test_passages_with_words_left_out_and_put_in(spark):
+    rng = np.random.default_rng(1)
+    vocab = np.array(["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(5000)])
+    prose_of = lambda n: rng.choice(vocab, n).tolist()
+    rates = [(0.1, 0.0), (0.0, 0.1), (0.0, 0.15), (0.05, 0.05), (0.1, 0.02)]
+    rows, planted = [], {}
+    for case, (sub, indel) in enumerate(rates):
+        for k in range(20):
+            passage, i = prose_of(100), 1000 * case + k
+            rows.append((i, " ".join(prose_of(40) + passage + prose_of(40))))
+            changed = _mutated(passage, vocab, rng, sub, indel)
+            rows.append((10_000 + i, " ".join(prose_of(40) + changed + prose_of(40))))
+            planted[10_000 + i] = case, 40, 40 + len(changed), i
+    rows += [(50_000 + k, " ".join(prose_of(300))) for k in range(50)]
+    found, covered = [0] * len(rates), [0.0] * len(rates)
+    for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        case, low, high, source = planted[r.doc_id]                     # nothing else is reported
+        assert r.from_ids == [source] and low - 6 <= r.start_word and r.end_word <= high + 6
+        found[case] += 1
+        covered[case] += (min(r.end_word, high) - max(r.start_word, low)) / (high - low) / 20
+    assert min(found) >= 18 and min(covered) >= 0.9, (found, covered)
+
+
+def test_passages_below_the_identity_are_not_reported(spark):
+    rng = np.random.default_rng(2)
+    vocab = np.array(["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(5000)])
+    rows = []
+    for k in range(20):
+        passage = rng.choice(vocab, 100).tolist()
+        rows += [(k, " ".join(passage)), (100 + k, " ".join(_mutated(passage, vocab, rng, 0.4, 0.0)))]
+    assert passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).count() == 0
+
+
+def test_passages_of_equal_texts_come_from_the_first(spark):
+    text = prose(77, 60)
+    rows = [(3, text), (1, text), (1, text), (2, text + " "), (None, text), (4, prose(78, 20)), (5, prose(78, 20)),
+            (6, prose(79, 40) + " " + text)]
+    got = {r.doc_id: (r.start_word, r.end_word, r.from_ids) for r in
+           passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {2: (0, 60, [1]), 3: (0, 60, [1]), 6: (40, 100, [1, 2])}
+
+
 def test_passages_first_holder_of_many():
     rng = np.random.default_rng(5)
     around = rng.integers(1, 40, (400, 2 * passages.SIDE)).astype(np.uint16)
