@@ -49,16 +49,36 @@ def _unpack(data: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
+#: Begins codes that are stored byte by byte (a compressed frame never begins so).
+_PLANES = b"P"
+
+
+def _by_frequency(words: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """Words by falling frequency, and their codes byte by byte: the high bytes are mostly zero and compress."""
+    order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
+    rank = np.empty(len(words), np.uint32)
+    rank[order] = np.arange(len(words), dtype=np.uint32)
+    planes = rank[codes].astype("<u4").view(np.uint8).reshape(-1, 4).T
+    return words[order], _PLANES + _pack(planes, np.uint8)
+
+
+def _codes_of(data: bytes) -> np.ndarray:
+    if data[:1] != _PLANES:
+        return _unpack(data, np.uint32).astype(np.int64)
+    planes = _unpack(data[1:], np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+
+
 def read_chunk(row: dict) -> Chunk:
     return Chunk(row["chunk"], _unpack(row["ids"], np.int64), _unpack(row["flags"], np.uint8),
-                 _unpack(row["sizes"], np.int64), _unpack(row["words"], np.uint64),
-                 _unpack(row["codes"], np.uint32).astype(np.int64))
+                 _unpack(row["sizes"], np.int64), _unpack(row["words"], np.uint64), _codes_of(row["codes"]))
 
 
-def tokenise(docs: DataFrame, id_col: str, text_col: str, flag: F.Column | None = None) -> DataFrame:
+def tokenise(docs: DataFrame, id_col: str, text_col: str, flag: F.Column | None = None, slim: bool = False) -> DataFrame:
     """Written chunks of the words of all rows; ``flag`` is a boolean kept per document as bit ``FLAG``.
 
-    A null id is kept as zero with bit ``NO_ID``.
+    A null id is kept as zero with bit ``NO_ID``.  ``slim`` takes a fifth less
+    room; the words of a chunk are then by frequency, else by hash.
     """
     def run(batches: Iterator[pa.RecordBatch]):
         seq, held, size = 0, [], 0
@@ -67,10 +87,11 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str, flag: F.Column | None
         def pack():
             hashes = np.concatenate([h for _, _, _, h in held])
             words, codes = np.unique(hashes, return_inverse=True)
+            words, packed = _by_frequency(words, codes) if slim else (words, _pack(codes, np.uint32))
             row = {"chunk": [(task << 32) | seq], "ids": [_pack(np.concatenate([x[0] for x in held]), np.int64)],
                    "flags": [_pack(np.concatenate([x[1] for x in held]), np.uint8)],
                    "sizes": [_pack(np.concatenate([x[2] for x in held]), np.int64)],
-                   "words": [_pack(words, np.uint64)], "codes": [_pack(codes, np.uint32)]}
+                   "words": [_pack(words, np.uint64)], "codes": [packed]}
             return pa.record_batch({k: pa.array(v, pa.int64() if k == "chunk" else pa.binary())
                                     for k, v in row.items()})
 

@@ -6,7 +6,7 @@
     which 16 are equal, 4 or more in a row are, so no such window is without one.
 2.  A k-mer that up to ``RARE`` documents hold is sent as its position, and
     linked to all earlier holders.  A k-mer of more documents is sent with its
-    surroundings: the 16 words on both sides, as 16-bit hashes.  Equal surroundings
+    surroundings: the 16 words on both sides, as 8-bit hashes.  Equal surroundings
     are one class.  The part that owns the k-mer links each class to the smallest
     document whose surroundings agree with it in a window of ``MIN_STRETCH``
     words around the seed (a share of ``IDENTITY``), after trying every holder
@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from indicatormart.llm._chunks import FLAG, NO_ID, Chunk, Ragged, by_part, freeze, parts_for, read_chunk, thaw, tokenise
+from indicatormart.llm._chunks import NO_ID, Chunk, Ragged, by_part, freeze, parts_for, read_chunk, thaw, tokenise
 from indicatormart.llm._native import words as native_words
 from indicatormart.llm._tables import bloom_of, in_bloom, mix, small, written
 
@@ -63,23 +63,23 @@ STEPS = 64
 # -- seeds -------------------------------------------------------------------------------------
 
 def kmers(chunk: Chunk, k: int = K) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(document, place, key)`` of every k-mer of the chunk's documents that have an id and are no copies, in order."""
+    """``(document, place, key)`` of every k-mer of the chunk's documents that have an id, in order."""
     words = chunk.words[chunk.codes]
     n = max(0, len(words) - k + 1)
     total = np.zeros(n, np.uint64)
     for j in range(k):
         total += words[j:j + n] * np.uint64((0x9E3779B97F4A7C15 * (2 * j + 1)) % 2**64)
     doc = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)
-    at = np.flatnonzero((doc[:n] == doc[k - 1:]) & ((chunk.flags[doc[:n]] & (NO_ID | FLAG)) == 0))
+    at = np.flatnonzero((doc[:n] == doc[k - 1:]) & ((chunk.flags[doc[:n]] & NO_ID) == 0))
     return doc[at], at, mix(total[at], 11)
 
 
 def surroundings(chunk: Chunk, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """16-bit hashes of the ``SIDE`` words before each k-mer (nearest first) and after it; 0 beyond the text."""
-    short = np.maximum(mix(chunk.words, 14) >> np.uint64(48), np.uint64(1)).astype(np.uint16)[chunk.codes]
+    """8-bit hashes of the ``SIDE`` words before each k-mer (nearest first) and after it; 0 beyond the text."""
+    short = np.maximum(mix(chunk.words, 14) >> np.uint64(56), np.uint64(1)).astype(np.uint8)[chunk.codes]
     offset = chunk.offset
     low, high = offset[doc], offset[doc + 1]
-    out = np.zeros((len(at), 2 * SIDE), np.uint16)
+    out = np.zeros((len(at), 2 * SIDE), np.uint8)
     for j in range(SIDE):
         before, after = at - 1 - j, at + K + j
         some = before >= low
@@ -232,7 +232,7 @@ def _rare(around: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(around)
     often = np.zeros((n, 2 * SIDE), np.int64)
     for j in range(2 * SIDE):
-        often[:, j] = np.bincount(around[:, j], minlength=1 << 16)[around[:, j]]
+        often[:, j] = np.bincount(around[:, j], minlength=1 << 8)[around[:, j]]
     often[around == 0] = 0
     rank = often * (2 * SIDE) + np.arange(2 * SIDE)
     chosen = np.zeros((n, 2 * SIDE), bool)
@@ -328,7 +328,8 @@ def _serve(group):
 
 
 def _serve_rare(sent: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
-    """For each sender its keys that an earlier document holds too: key, number of holders, their ids and positions."""
+    """For each sender its keys that an earlier document holds too: key, number of holders before its own last one,
+    their ids and positions."""
     key, ids, pos = (np.concatenate(x) for x in zip(*sent, strict=True))
     order = np.lexsort((pos, ids, key))
     key, ids, pos = key[order], ids[order], pos[order]
@@ -341,9 +342,13 @@ def _serve_rare(sent: list[list[np.ndarray]]) -> list[list[np.ndarray]]:
     out = []
     for mine, own, _ in sent:
         at = np.searchsorted(names, mine)
-        use = np.unique(at[own > ids[start[at]]]) if len(at) else np.zeros(0, np.int64)
+        use, which = np.unique(at[own > ids[start[at]]] if len(at) else at, return_inverse=True)
+        greatest = np.full(len(use), -2**63)
+        np.maximum.at(greatest, which, own[own > ids[start[at]]] if len(at) else own)
         taken = holders.take(use)
-        out.append([names[use], np.diff(taken.offset).astype(np.uint8), ids[taken.values], pos[taken.values]])
+        before = ids[taken.values] < np.repeat(greatest, np.diff(taken.offset))
+        n = np.add.reduceat(before, taken.offset[:-1]) if len(use) else np.zeros(0, np.int64)
+        out.append([names[use], n.astype(np.uint8), ids[taken.values[before]], pos[taken.values[before]]])
     return out
 
 
@@ -611,8 +616,8 @@ def stretches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     first = _copies(texts)
     h, n = F.xxhash64("text"), F.length("text")
     marked = texts.join(small(first, COPY_GROUPS), (h == first["h"]) & (n == first["n"]), "left").select(
-        "id", "text", (F.col("id") > F.col("first_id")).alias("copy"))
-    chunks = tokenise(marked, "id", "text", F.col("copy"))
+        "id", F.when(F.coalesce(F.col("id") <= F.col("first_id"), F.lit(True)), F.col("text")).alias("text"))
+    chunks = tokenise(marked, "id", "text", slim=True)
     parts = parts_for(chunks)
     answered = "chunk long, part int, data binary"
     shared = _ask(chunks, parts).groupBy("part").applyInPandas(_serve_shared, answered)
