@@ -52,8 +52,6 @@ STRETCH = 64
 JOIN = 3
 #: Documents up to which a k-mer's holders are all linked.
 RARE = 4
-#: Most words that an extension may skip on one side at a time.
-SHIFT = 3
 #: Groups of equal texts whose keys (24 bytes each) may be broadcast.
 COPY_GROUPS = 1_000_000
 #: Holders of a k-mer that are tried one after another; beyond, only those that share a rare word around it.
@@ -518,21 +516,19 @@ def _run_out(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 def _extend(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int]:
-    """How far ``b`` goes on alike, past up to ``SHIFT`` words at a time that one side lacks: its words, the aligned
-    columns, and the equal ones."""
+    """How far ``b`` goes on alike, also past a word that one side lacks: its words, the aligned columns, and the equal
+    ones.  Beyond a chain fewer than ``K`` words in a row are equal, so the next ones tell whether it goes on."""
     taken = columns = equal = 0
     while True:
-        best = (0, 0, 0, 0, 0)
-        for shift in sorted(range(-SHIFT, SHIFT + 1), key=abs):
-            skip_a, skip_b = max(0, shift), max(0, -shift)
-            n, same = _run_out(a[skip_a:], b[skip_b:])
-            gain = 2 * same - n - 2 * abs(shift)        # a word left out costs more than a different one
-            if gain > best[0]:
-                best = gain, skip_a, skip_b, n, same
-        gain, skip_a, skip_b, n, same = best
-        if gain <= 0:
+        for skip_a, skip_b in ((0, 0), (1, 0), (0, 1)):
+            x, y = a[skip_a:], b[skip_b:]
+            if any(p == q for p, q in zip(x[:K].tolist(), y[:K].tolist(), strict=False)):
+                n, same = _run_out(x, y)
+                if 2 * same - n > 2 * (skip_a + skip_b):        # a word left out costs more than a different one
+                    break
+        else:
             return taken, columns, equal
-        a, b = a[skip_a + n:], b[skip_b + n:]
+        a, b = x[n:], y[n:]
         taken, columns, equal = taken + skip_b + n, columns + skip_a + skip_b + n, equal + same
 
 
