@@ -3,15 +3,17 @@
 Each rule votes good (1), bad (-1) or abstains (0) on a document.  A two-class
 model with one vote distribution per rule and class is fitted to the counts of
 vote patterns by expectation-maximisation; a document's posterior probability
-of being good replaces the usual filter that all rules must pass.  Everything
-runs as DataFrame expressions; the patterns are at most 3 to the number of
-rules, and the driver sees one row per rule and vote in each round.
+of being good replaces the usual filter that all rules must pass.  A rule's
+accuracy is learned from its agreement with the other rules: a bad vote that
+others do not share counts little, and can be overruled.  Everything runs as
+DataFrame expressions; the patterns are at most 3 to the number of rules, and
+the driver sees one row per rule and vote in each round.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -33,6 +35,7 @@ RULES = (
     Rule("word_length", "word_chars < 2.5 * n_words or word_chars > 12 * n_words",
          "word_chars between 3 * n_words and 9 * n_words"),
     Rule("symbols", "n_symbols > 0.1 * n_words", "n_symbols <= 0.03 * n_words"),
+    Rule("alphanumerics", "n_alnum < 0.88 * word_chars", "n_alnum >= 0.93 * word_chars"),
     Rule("capitals", "n_capitals > 0.3 * word_chars", "n_capitals < 0.12 * word_chars"),
     Rule("exclamations", "n_exclaims > 0.1 * n_words", "n_exclaims <= 0.03 * n_words"),
     Rule("repeated_words", "n_repeat_words > 0.4 * n_words", "n_repeat_words <= 0.2 * n_words"),
@@ -41,17 +44,16 @@ RULES = (
     Rule("sentences", "n_ended < 0.1 * n_lines", "n_ended >= 0.5 * n_lines"),
 )
 
-#: Votes that each class is taken to have cast before any are counted (bad, abstain, good).
+#: Votes that each class is taken to have cast before any are counted (bad, abstain, good), and its documents.
+#: The fit starts from them, which tells the classes apart: the bad class is the one with more bad votes.
 PRIOR = {"good": (0.5, 2.0, 17.5), "bad": (4.0, 4.0, 12.0)}
-#: What makes the two classes identifiable: a rule calls at most this share of the good documents bad.
-MAX_FALSE_ALARM = 0.01
+PRIOR_DOCUMENTS = (8.0, 2.0)
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 KEEP_FROM = 0.5
-ROUNDS = 25
-
-MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_exclaims",
-            "n_lines", "n_ended", "n_distinct")
+#: Rounds of expectation-maximisation at most, and the change of every probability at which it ends sooner.
+ROUNDS = 60
+SETTLED = 1e-7
 
 
 def _repeat_words(w: Column, n: Column) -> Column:
@@ -100,6 +102,7 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         count_of(F.col("t"), "[^#*$%&|<>]").cast("long").alias("n_symbols"),
         (F.size("l") - F.size(F.array_distinct("l"))).cast("long").alias("n_dup_lines"),
         n_repeat.alias("n_repeat_words"),
+        count_of(F.col("t"), "[^\\p{L}\\p{M}\\p{N}]").cast("long").alias("n_alnum"),
         count_of(F.col("t"), "[^\\p{Lu}]").cast("long").alias("n_capitals"),
         count_of(F.col("t"), "[^!]").cast("long").alias("n_exclaims"),
         F.size("l").cast("long").alias("n_lines"),
@@ -141,34 +144,39 @@ def _normal(counts: Sequence[float]) -> list[float]:
     return [c / total for c in counts]
 
 
+def _fitted(counts: Mapping[tuple[int, int], tuple[float, float]], n_rules: int) -> VoteModel:
+    """The model of ``{(rule, vote): (good, bad)}`` documents, on top of the prior ones."""
+    votes = [[[p + counts.get((rule, vote), (0.0, 0.0))[c] for vote, p in zip((-1, 0, 1), PRIOR[name], strict=True)]
+              for rule in range(n_rules)] for c, name in enumerate(("good", "bad"))]
+    n_good, n_bad = (PRIOR_DOCUMENTS[c] + sum(counts.get((0, vote), (0.0, 0.0))[c] for vote in (-1, 0, 1))
+                     for c in (0, 1))
+    return VoteModel(n_good / (n_good + n_bad), *([_normal(x) for x in v] for v in votes))
+
+
+def _change(a: VoteModel, b: VoteModel) -> float:
+    flat = [[m.share] + [x for row in m.good + m.bad for x in row] for m in (a, b)]
+    return max(abs(x - y) for x, y in zip(*flat, strict=True))
+
+
 def fit_votes(votes: DataFrame, n_rules: int, column: str = "votes", rounds: int = ROUNDS) -> VoteModel:
     """Fit the model to the ``votes`` arrays by expectation-maximisation over vote patterns.
 
-    It starts from calling a document bad that any rule calls bad.
+    It starts from the prior, where one bad vote is outweighed by good votes
+    of the other rules, and ends after ``rounds`` or when no probability moves
+    by more than ``SETTLED``.  Without votes the model is the prior.
     """
     patterns = written(votes.groupBy(column).agg(F.count("*").alias("n")), "vote_patterns")
-    guess = F.when(F.array_contains(column, -1), F.lit(0.05)).otherwise(F.lit(0.95))
-    model = None
+    model = _fitted({}, n_rules)
     for _ in range(rounds):
-        rows = patterns.withColumn("p", model.posterior(F.col(column)) if model else guess).select(
+        rows = patterns.withColumn("p", model.posterior(F.col(column))).select(
             "n", "p", F.posexplode(column).alias("rule", "vote")).groupBy("rule", "vote").agg(
             F.sum(F.col("n") * F.col("p")).alias("good"), F.sum(F.col("n") * (1 - F.col("p"))).alias("bad")).collect()
-        good, bad = ([list(PRIOR[c]) for _ in range(n_rules)] for c in ("good", "bad"))
-        for r in rows:
-            good[r.rule][r.vote + 1] += r.good
-            bad[r.rule][r.vote + 1] += r.bad
-        total = [sum(r.good for r in rows if r.rule == 0), sum(r.bad for r in rows if r.rule == 0)]
-        model = VoteModel((total[0] + 8) / (sum(total) + 10), [_bounded(_normal(x)) for x in good],
-                          [_normal(x) for x in bad])
+        before, model = model, _fitted({(r.rule, r.vote): (r.good, r.bad) for r in rows}, n_rules)
+        if _change(before, model) <= SETTLED:
+            break
     return model
 
 
-def _bounded(shares: list[float]) -> list[float]:
-    bad = min(shares[0], MAX_FALSE_ALARM)
-    scale = (1 - bad) / (1 - shares[0])
-    return [bad, shares[1] * scale, shares[2] * scale]
-
-
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: Sequence[Rule] = RULES,
           keep_from: float = KEEP_FROM, rounds: int = ROUNDS) -> DataFrame:
     """One row per document: measures, votes, ``p_good``, ``base_failed`` and ``kept``.
@@ -176,8 +184,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
     ``base_failed``: under 50 words, or over half of the words in repeated
     3-word windows; such documents are never kept.  The others are kept when
     the posterior is at least ``keep_from``; the model is fitted to them.  Null, empty and blank texts have
-    no words and fail.  Null ids, repeated rows and ties are judged row by
-    row; other columns are ignored; an empty table gives no rows.
+    no words and fail.  Very long texts are measured whole, within one row.
+    Null ids, repeated rows and ties are judged row by row; other columns are
+    ignored, whatever their names; an empty table gives no rows.
     """
     seen = written(measures(docs, id_col, text_col).withColumn("votes", vote_columns(rules)), "votes")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

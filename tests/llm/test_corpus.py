@@ -151,6 +151,80 @@ def test_quality_rules(spark, docs):
     assert quality_rules.keep_good(docs).columns == docs.columns
 
 
+def plain_em(votes):
+    """Posterior of each vote list by a plain expectation-maximisation from the module's prior."""
+    n = len(votes[0])
+    start = [[list(quality_rules.PRIOR[c]) for _ in range(n)] for c in ("good", "bad")]
+    docs_, tables = list(quality_rules.PRIOR_DOCUMENTS), start
+    for _ in range(quality_rules.ROUNDS + 1):
+        post = []
+        for v in votes:
+            like = [docs_[c] * math.prod(tables[c][k][x + 1] / sum(tables[c][k]) for k, x in enumerate(v)) for c in (0, 1)]
+            post.append(like[0] / sum(like))
+        docs_ = [quality_rules.PRIOR_DOCUMENTS[0] + sum(post), quality_rules.PRIOR_DOCUMENTS[1] + len(post) - sum(post)]
+        tables = [[list(row) for row in t] for t in ([[list(quality_rules.PRIOR[c]) for _ in range(n)]
+                                                       for c in ("good", "bad")])]
+        for v, p in zip(votes, post, strict=True):
+            for k, x in enumerate(v):
+                tables[0][k][x + 1] += p
+                tables[1][k][x + 1] += 1 - p
+    return post
+
+
+def planted_votes(n=3000, accuracy=(0.95, 0.9, 0.9, 0.85, 0.8, 0.6), good=0.75, seed=11):
+    rng = np.random.default_rng(seed)
+    truth = rng.random(n) < good
+    out = []
+    for t in truth:
+        right = rng.random(len(accuracy)) < accuracy
+        silent = rng.random(len(accuracy)) < 0.1
+        out.append([0 if s else (1 if t == r else -1) for r, s in zip(right, silent, strict=True)])
+    return truth, out
+
+
+def test_vote_model_recovers_planted_accuracies(spark):
+    accuracy = (0.95, 0.9, 0.9, 0.85, 0.8, 0.6)
+    truth, votes = planted_votes(accuracy=accuracy)
+    table = spark.createDataFrame([(k, v) for k, v in enumerate(votes)], "k int, votes array<int>")
+    model = quality_rules.fit_votes(table, len(accuracy))
+    for k, a in enumerate(accuracy):
+        for row, side in ((model.good[k], 2), (model.bad[k], 0)):
+            assert abs(row[side] / (row[0] + row[2]) - a) < 0.06
+    assert abs(model.share - 0.75) < 0.03
+    got = {r.k: r.p for r in table.select("k", model.posterior(F.col("votes")).alias("p")).collect()}
+    want = plain_em(votes)
+    assert max(abs(got[k] - p) for k, p in enumerate(want)) < 1e-4
+    assert np.mean([(p >= 0.5) == t for p, t in zip(want, truth, strict=True)]) > 0.95
+    weak = [k for k, v in enumerate(votes) if v == [1, 1, 1, 1, 1, -1]]     # only the weakest rule objects
+    assert weak and all(got[k] > 0.9 for k in weak)
+
+
+def test_vote_model_of_nothing_and_of_one_pattern(spark):
+    none = spark.createDataFrame([], "votes array<int>")
+    model = quality_rules.fit_votes(none, 3)
+    assert model.share == 0.8 and model.good[0] == [0.025, 0.1, 0.875]
+    same = spark.createDataFrame([([1, 1, 1],)] * 50, "votes array<int>")
+    model = quality_rules.fit_votes(same, 3)
+    assert same.select(model.posterior(F.col("votes")).alias("p")).first().p > 0.9
+
+
+def test_quality_rules_overrule_one_bad_vote(spark):
+    """Junk on which rules agree goes; clean documents that one unreliable rule objects to stay."""
+    def sentences(seed):
+        return "\n".join(prose(1000 * seed + k, 12) + "." for k in range(8))
+
+    clean = [(k, sentences(k)) for k in range(100)]
+    unended = [(200 + k, sentences(k + 200).replace(".", ";")) for k in range(20)]       # only `sentences` objects
+    junk = [(300 + k, " ".join(f"{w}###$$$" for w in sentences(k + 300).split())) for k in range(20)]
+    rows = clean + unended + junk
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = quality_rules.judge(docs).collect()
+    assert {r.doc_id for r in got if r.kept} == {k for k, _ in clean + unended}
+    want = plain_em([r.votes for r in got])
+    assert max(abs(r.p_good - p) for r, p in zip(got, want, strict=True)) < 1e-4
+    assert all(list(r.votes).count(-1) == 1 for r in got if 200 <= r.doc_id < 300)
+
+
 def test_class_lm(spark, docs):
     got = class_lm.log_probabilities(docs, F.col("doc_id") <= 3).collect()
     train = [words(t) + [0] for i, t in ROWS if i is not None and i <= 3]
