@@ -3,9 +3,10 @@
 Writing: every page becomes one record, each record one gzip member, so a
 damaged record does not take its neighbours with it.  Pages with equal payloads
 share one ``response`` record (the largest ``page_id``); the others are
-``revisit`` records that refer to it.  Spark's text writer puts the members
-into the archive files: the bytes of a member, then an empty member whose last
-byte is the writer's line end, so the files are plain multi-member gzip.
+``revisit`` records that refer to it.  Members are gathered up to a number of
+bytes, and Spark's text writer makes an archive file of each such run: its
+members, then an empty member whose last byte is the writer's line end, so the
+files are plain multi-member gzip.
 
 Reading: archives come in through Spark's binary reader, so any store that
 Spark reads will do.  When a record fails a check (gzip checksum, version
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indicatormart.llm._tables import new_folder, small, written
+from indicatormart.llm._tables import BROADCAST_ROWS, new_folder, written
 
 GZIP_MAGIC = b"\x1f\x8b\x08"
 _VERSION = re.compile(rb"WARC/1\.[01]\r\n")
@@ -36,9 +37,10 @@ _END = b"\r\n\r\n"
 _FILLER = zlib.compressobj(9, zlib.DEFLATED, 31)
 _FILLER = (_FILLER.compress(b"") + _FILLER.flush())[:-1]
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
-#: Records of an archive file, and the largest record that the reader unpacks.
-RECORDS_PER_FILE = 2000
-MAX_RECORD = 1 << 30
+#: Bytes at which an archive file is closed; it holds one record more at most.
+FILE_BYTES = 1 << 24
+#: A limit that no record reaches: Spark holds no value of 2 GB, so whatever was written is read back.
+UNLIMITED = 1 << 62
 _PIECE = 1 << 16
 
 
@@ -95,12 +97,36 @@ def member(data: bytes, level: int = 6) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
+def _with_response(rows: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``rows`` (page_id, url, payload) with ``response``, the page whose record holds a shared payload.
+
+    Shared payloads that fit are broadcast.  Of more, only those in over
+    1/``broadcast_rows`` of all rows are: there are fewer than
+    ``broadcast_rows`` such payloads, and no key of the shuffle join that
+    finds the others has more rows than that.
+    """
+    keyed = rows.withColumn("sha", F.sha1("payload"))
+    groups = keyed.select("page_id", "sha").groupBy("sha").agg(F.max("page_id").alias("response"),
+                                                               F.count("*").alias("n"))
+    shared = written(groups.where("n > 1 and response is not null"), "responses")
+    if shared.count() <= broadcast_rows:
+        return keyed.join(F.broadcast(shared.drop("n")), "sha", "left")
+    often = F.col("n") * broadcast_rows > rows.count()
+    hot = shared.where(often).select("sha", F.col("response").alias("first"))
+    rest = shared.where(~often).select(F.col("sha").alias("rare"), F.col("response").alias("second"))
+    spread = F.when(F.col("first").isNull(), F.col("sha")).otherwise(F.concat_ws("-", F.lit("page"), "page_id"))
+    return keyed.join(F.broadcast(hot), "sha", "left").withColumn("key", spread).join(
+        rest, F.col("key") == F.col("rare"), "left").withColumn("response", F.coalesce("first", "second"))
+
+
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url",
-                   payload_col: str = "html", records_per_file: int = RECORDS_PER_FILE,
-                   date: str = "2024-01-01T00:00:00Z") -> None:
+                   payload_col: str = "html", file_bytes: int = FILE_BYTES,
+                   date: str = "2024-01-01T00:00:00Z", broadcast_rows: int = BROADCAST_ROWS) -> None:
     """Write one record per row of ``pages`` to gzip archives below ``path``.
 
-    A null payload counts as empty; a null or odd url is left out or escaped.
+    A file is closed once it has ``file_bytes``; a very long payload is one
+    record of any size that Spark can hold, and one task's memory holds it.  A
+    null payload counts as empty; a null or odd url is left out or escaped.
     Rows of a null id never serve as the response unless all rows of that
     payload have a null id (then all are responses); repeated ids of one
     payload that has no larger id are all responses.  Columns of other names
@@ -109,23 +135,28 @@ def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         payload.alias("payload"))
-    key = F.sha1("payload").alias("sha")
-    groups = rows.select("page_id", key).groupBy("sha").agg(F.max("page_id").alias("response"),
-                                                            F.count("*").alias("n"))
-    shared = small(written(groups.where("n > 1 and response is not null").select("sha", "response"), "responses"))
-    ready = rows.withColumn("sha", key).join(shared, "sha", "left").select("page_id", "url", "payload", "response")
+    ready = _with_response(rows, broadcast_rows).select("page_id", "url", "payload", "response")
 
     def pack(batches: Iterator[pa.RecordBatch]):
+        held, size = [], 0
+
+        def closed() -> pa.RecordBatch:
+            return pa.record_batch({"value": pa.array([b"".join([*held, _FILLER])], pa.binary())})
+
         for batch in batches:
-            out = []
-            for row in batch.to_pylist():
-                again = row["response"] is not None and row["response"] != row["page_id"]
-                out.append(member(page_record(row["page_id"], row["url"], row["payload"], row["response"], again,
-                                              date)) + _FILLER)
-            yield pa.record_batch({"value": pa.array(out, pa.binary())})
+            for k in range(batch.num_rows):
+                page_id, url, content, response = (batch.column(c)[k].as_py() for c in range(4))
+                again = response is not None and response != page_id
+                held.append(member(page_record(page_id, url, content, response, again, date)))
+                size += len(held[-1])
+                if size >= file_bytes:
+                    yield closed()
+                    held, size = [], 0
+        if held:
+            yield closed()
 
     ready.mapInArrow(pack, "value binary").select(F.col("value").cast("string").alias("value")) \
-        .write.option("lineSep", "\0").option("maxRecordsPerFile", records_per_file).text(path)
+        .write.option("lineSep", "\0").option("maxRecordsPerFile", 1).text(path)
 
 
 # -- reading -----------------------------------------------------------------------------------
@@ -240,7 +271,7 @@ def _read_member(data: bytes, at: int, limit: int) -> tuple[list[Record | Gap],
     return found, end
 
 
-def salvage(data: bytes, limit: int = MAX_RECORD) -> Iterator[Record | Gap]:
+def salvage(data: bytes, limit: int = UNLIMITED) -> Iterator[Record | Gap]:
     """Records and gaps of an archive, plain or of gzip members, in file order.
 
     After a failed check the search goes on at the next gzip magic (or version
@@ -298,9 +329,12 @@ def _http(block: bytes) -> tuple[int | None, bytes]:
     return (int(stated.group(1)) if stated else None), body
 
 
-def read_archives(spark: SparkSession, path: str, payloads: bool = True, limit: int = MAX_RECORD) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, payloads: bool = True, limit: int = UNLIMITED) -> DataFrame:
     """Rows of ``RECORD_SCHEMA`` of all archives below ``path``: records, and gaps (``gap`` says why).
 
+    A file is one task's work and is read whole.  ``limit`` guards against
+    members that unpack to more bytes: they are gaps.  Files of no bytes and
+    folders of no files give no rows; a folder that is not there raises.
     A response's digest and size come from its payload; a response whose
     payload differs from its stated digest is a gap.  A revisit has those of
     the payload it refers to, from its headers.
@@ -350,17 +384,29 @@ def quarantine(records: DataFrame) -> DataFrame:
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
-               payload_col: str = "html") -> DataFrame:
+               payload_col: str = "html", **options) -> DataFrame:
     """Write ``pages`` to archives in the shared scratch folder and read them back, one row per record.
 
-    An empty table writes no archive and gives no rows.
+    The records are counted: a gap, or another number of records than pages,
+    raises.  Null ids, null and empty payloads, repeated rows and very long
+    payloads are records like any other; an empty table writes no record and
+    gives no rows.  ``options`` are those of ``write_archives``.
     """
     folder = new_folder(spark, "warc")
-    write_archives(pages, folder, id_col, url_col, payload_col)
-    records = read_archives(spark, folder, payloads=False).where("gap is null")
+    write_archives(pages, folder, id_col, url_col, payload_col, **options)
 
     def page(name: str):
         return F.expr(f"cast(nullif(substring({name}, 10), '') as bigint)")
 
-    return records.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
-                          F.col("type").alias("record_type"), page("refers_to").alias("refers_to"), "uri", "file")
+    return _whole(read_archives(spark, folder, payloads=False), pages.count()).select(
+        page("record_id").alias("page_id"), "payload_bytes", "payload_digest",
+        F.col("type").alias("record_type"), page("refers_to").alias("refers_to"), "uri", "file")
+
+
+def _whole(records: DataFrame, expected: int) -> DataFrame:
+    """``records``, written; raises unless they are ``expected`` records without a gap."""
+    kept = written(records.drop("payload"), "warc_records")
+    found = kept.agg(F.count("*").alias("n"), F.count("gap").alias("gaps")).first()
+    if found.gaps or found.n != expected:
+        raise RuntimeError(f"{expected} records expected, {found.n - found.gaps} read, {found.gaps} gaps")
+    return kept

@@ -123,6 +123,50 @@ def test_warc_round_trip_and_salvage(spark):
     assert list(warc.salvage(b"")) == []
 
 
+def warc_pages(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, f"http://x/{i}", "".join(rng.choice(list("abcdefghijkl\u00e9"), 40 + i))) for i in range(30)]
+    rows += [(100 + i, None, "same") for i in range(20)] + [(200 + i, "u", None) for i in range(40)]
+    rows += [(300, "u", "".join(rng.choice(list("abcdefghijklmnop"), 300_000))), (301, "u", rows[3][2]),
+             (302, "u", rows[4][2]), (None, "u", "same"), (None, "u", "only here"), (302, "u", rows[4][2])]
+    clash = ("sha", "payload", "response", "key", "first", "n")
+    return rows, spark.createDataFrame([(*r, *clash) for r in rows], "page_id long, url string, html string, "
+                                       + ", ".join(f"{c} string" for c in clash)).repartition(3)
+
+
+@pytest.mark.parametrize("options", [{}, {"file_bytes": 2000}, {"broadcast_rows": 3, "file_bytes": 1}])
+def test_warc_no_page_is_dropped(spark, options):
+    """Nulls, repeated rows, clashing names, a payload far over the file size, and shared payloads beyond a broadcast."""
+    rows, pages = warc_pages(spark)
+    got = warc.round_trip(spark, pages, **options).collect()
+    best = {}
+    for i, _, h in rows:
+        if i is not None:
+            best[h or ""] = max(i, best.get(h or "", i))
+    want = Counter()
+    for i, _, h in rows:
+        data, shared = (h or "").encode(), sum((x or "") == (h or "") for _, _, x in rows) > 1
+        first = best.get(h or "") if shared else None
+        again = first is not None and first != i
+        want[(i, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(),
+              "revisit" if again else "response", first if again else None)] += 1
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == want
+    files = {r.file for r in got}
+    assert len(files) == len(rows) if options.get("file_bytes") == 1 else len(files) >= (4 if options else 1)
+
+
+def test_warc_counts_its_records(spark, tmp_path):
+    rows, pages = warc_pages(spark)
+    warc.write_archives(pages, str(tmp_path / "a"))
+    assert warc._whole(warc.read_archives(spark, str(tmp_path / "a")), len(rows)).count() == len(rows)
+    with pytest.raises(RuntimeError, match="records expected"):
+        warc._whole(warc.read_archives(spark, str(tmp_path / "a")), len(rows) + 1)
+    with pytest.raises(RuntimeError, match="gaps"):
+        warc._whole(warc.read_archives(spark, str(tmp_path / "a"), limit=1000), len(rows))
+    (tmp_path / "none").mkdir()
+    assert warc.read_archives(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_warc_salvage_inside_a_member():
     rng = np.random.default_rng(8)
     records = [warc.page_record(i, "u", rng.bytes(3000), None, False) for i in range(20)]
