@@ -40,18 +40,27 @@ BAD = [(50, None, "en", "hot", "x"), (51, "", None, None, "x"), (52, "too short"
        (53, "und " * 300, "en", "hot", "x"), (None, " \n ", "en", "hot", "x")]
 
 
-def raked(tokens, targets, sweeps=mixing.SWEEPS):
-    """``{cell: weight}`` from ``{cell: tokens}``, in plain Python."""
-    weight = dict.fromkeys(tokens, 1.0)
+def solved(pairs, goal):
+    """The step ``r`` at which ``sum(tokens * min(1, r * factor))`` is ``goal``, by bisection."""
+    pairs = [(t, f) for t, f in pairs if t > 0 and f > 0]
+    if not pairs:
+        return 1.0
+    low, high = 0.0, 1 / min(f for _, f in pairs)
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (low, mid) if sum(t * min(1, mid * f) for t, f in pairs) >= goal else (mid, high)
+    return high
+
+
+def raked(tokens, goals, start, sweeps=mixing.SWEEPS):
+    """``{cell: factor}`` from ``{cell: tokens}``, in plain Python."""
+    factor = dict.fromkeys(tokens, start)
     for _ in range(sweeps):
         for m, margin in enumerate(mixing.MARGINS):
-            have = Counter()
-            for c in tokens:
-                have[c[m]] += tokens[c] * weight[c]
-            for c in tokens:
-                if have[c[m]] > 0:
-                    weight[c] *= targets[margin].get(c[m], 0.0) * sum(tokens.values()) / have[c[m]]
-    return weight
+            steps = {v: solved([(tokens[c], factor[c]) for c in tokens if c[m] == v], goals[margin].get(v, 0.0))
+                     for v in {c[m] for c in tokens}}
+            factor = {c: factor[c] * steps[c[m]] for c in tokens}
+    return factor
 
 
 def mixed(rows, wanted=None, budget=mixing.BUDGET):
@@ -61,23 +70,19 @@ def mixed(rows, wanted=None, budget=mixing.BUDGET):
         topic = next((n for n, p in mixing.TOPICS if re.search(p, text or "")), mixing.OTHER)
         cells.append((source or "(none)", lang or "(none)", topic))
         tokens[cells[-1]] += len(words(text))
-    targets = {}
+    goals = {}
     for m, margin in enumerate(mixing.MARGINS):
         totals = Counter()
         for c in tokens:
             totals[c[m]] += tokens[c]
         raw = {v: (wanted[margin].get(v, 0.0) if margin in (wanted or {}) else t ** mixing.POWERS[margin] if t else 0.0)
                for v, t in totals.items()}
-        targets[margin] = {v: s / (sum(raw.values()) or 1) for v, s in raw.items()}
-    weight = raked(tokens, targets)
-    low, high = 0.0, 1e9
-    for _ in range(200):
-        mid = (low + high) / 2
-        enough = sum(t * min(1, mid * weight[c]) for c, t in tokens.items()) >= budget * sum(tokens.values())
-        low, high = (low, mid) if enough else (mid, high)
+        scale = solved([(t, raw[v] / t) for v, t in totals.items() if t], budget * sum(tokens.values()))
+        goals[margin] = {v: t * min(1, scale * raw[v] / t) if t else 0.0 for v, t in totals.items()}
+    factor = raked(tokens, goals, budget)
     out = []
     for (i, *_), c in zip(rows, cells, strict=True):
-        p = min(1.0, high * weight[c])
+        p = min(1.0, factor[c])
         key = f"{'null' if i is None else i}:{mixing.SEED}"
         out.append((i, c, p, int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / 2**52 < p))
     return out
@@ -94,6 +99,30 @@ def test_mixing_brute_force(spark, wanted):
         Counter((i, c, round(p, 6), kept) for i, c, p, kept in want)
 
 
+def test_mixing_meets_its_margins(spark):
+    """A hot source with a third of the tokens, cells at the bound, a value short of tokens, and a report of the gap."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(600):
+        text = " ".join(["w"] * int(rng.integers(20, 200))) + ("", " | x", " a@b")[int(rng.integers(0, 3))]
+        source = "hot" if k % 3 == 0 else f"s{int(rng.integers(0, 8))}"
+        rows.append((k, text, ("en", "sv", "fi")[min(2, int(rng.integers(0, 6)))], source, 0, "x"))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    wanted = {"source": {"hot": 1.0, "s1": 5.0, "s2": 1.0, **{f"s{k}": 0.7 for k in range(3, 8)}}}
+    for some in (None, wanted):
+        found = mixing.mixture(docs, some)
+        report = mixing.margins(found).collect()
+        assert all(abs(r.expected - r.reachable) < 0.01 for r in report)
+        assert {m: round(sum(r.reachable for r in report if r.margin == m), 9) for m in mixing.MARGINS} == \
+            dict.fromkeys(mixing.MARGINS, 1.0)
+    assert {r.value for r in report if r.margin == "source" and r.wanted - r.reachable > 0.01} == {"s1"}
+    assert [r.expected for r in report if r.value == "s0"] == [0.0]
+    assert found.cells.where("probability >= 1").count() > 0
+    assert found.cells.where("probability > 1 or probability < 0 or probability is null").count() == 0
+    # all of the budget and more: everything is kept
+    assert mixing.mix(docs, budget=1.0).where("not kept").count() == 0
+
+
 def brute_force(good, items):
     """The rows that stay, after the stage of quality rules, in plain Python."""
     at = [((i, k), frozenset(words(x))) for i, t, *_ in good for k, x in enumerate(t.split("\n")) if words(x)]
