@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from indicatormart.llm import _words
-from indicatormart.llm._tables import partitions, written
+from indicatormart.llm._tables import bucketed, partitions, written
 
 CHUNK_BYTES = 8 << 20
 FLAG, NO_ID = 1, 2
@@ -74,11 +74,13 @@ def read_chunk(row: dict) -> Chunk:
                  _unpack(row["sizes"], np.int64), _unpack(row["words"], np.uint64), _codes_of(row["codes"]))
 
 
-def tokenise(docs: DataFrame, id_col: str, text_col: str, flag: F.Column | None = None, slim: bool = False) -> DataFrame:
+def tokenise(docs: DataFrame, id_col: str, text_col: str, flag: F.Column | None = None, slim: bool = False,
+             by_chunk: bool = False) -> DataFrame:
     """Written chunks of the words of all rows; ``flag`` is a boolean kept per document as bit ``FLAG``.
 
     A null id is kept as zero with bit ``NO_ID``.  ``slim`` takes a fifth less
-    room; the words of a chunk are then by frequency, else by hash.
+    room; the words of a chunk are then by frequency, else by hash.  ``by_chunk``
+    writes buckets of chunks, so that joins on the chunk's id do not move them.
     """
     def run(batches: Iterator[pa.RecordBatch]):
         seq, held, size = 0, [], 0
@@ -116,7 +118,8 @@ def tokenise(docs: DataFrame, id_col: str, text_col: str, flag: F.Column | None
         F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("id"),
         F.col(text_col).cast("string").alias("text"),
         (set_ + F.when(F.col(id_col).isNull(), NO_ID).otherwise(0)).cast("byte").alias("flag"))
-    return written(rows.mapInArrow(run, CHUNK_SCHEMA), "chunks")
+    found = rows.mapInArrow(run, CHUNK_SCHEMA)
+    return bucketed(found, "chunks", "chunk") if by_chunk else written(found, "chunks")
 
 
 # -- requests and answers ----------------------------------------------------------------------

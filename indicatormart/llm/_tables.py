@@ -37,6 +37,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """:func:`written` in buckets of ``key``: joins and groups by it read the files without a shuffle of this side."""
+    spark = df.sparkSession
+    path = new_folder(spark, name)
+    table = path.rstrip("/").rsplit("/", 1)[-1].replace("-", "_")
+    df.write.format("parquet").bucketBy(partitions(spark), key).option("path", path).saveAsTable(table)
+    back = spark.table(table)
+    spark.sql(f"DROP TABLE `{table}`")                  # the files stay, and so does the frame
+    return back
+
+
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -2,13 +2,15 @@
 
 P(word | history) = P(class of word | class of the word before) * P(word | class).
 
-Classes come from the exchange algorithm.  The ``seed_words`` most frequent
-words are clustered by moving single words between classes as long as the
-class-bigram likelihood grows; their bigram counts over the whole training
-corpus are one bounded matrix.  Then every other word of the corpus, rare ones
-included, moves once to the class that raises that likelihood most, given all
-its neighbours that are seed words or text ends; this step is distributed by
-word.  Counts, transitions and scores cover all documents.
+Classes come from the exchange algorithm over all words.  It starts from the
+``seed_words`` most frequent words, which are clustered by moving single words
+between classes as long as the class-bigram likelihood grows (their bigram
+counts over the whole training corpus are one bounded matrix), with every other
+word in the class that suits its neighbours among them.  Then come rounds in
+which every word of the corpus, seed words and rare ones included, moves to the
+class that raises the likelihood most given the classes of all its neighbours.
+A round is distributed by word; rounds end when the likelihood of all training
+tokens no longer grows.  Counts, transitions and scores cover all documents.
 """
 
 from __future__ import annotations
@@ -26,6 +28,11 @@ from indicatormart.llm._tables import written
 SEED_WORDS = 1024
 CLASSES = 48
 SWEEPS = 8
+#: Rounds over all words at most, and the mean gain a token (natural logarithm) below which they end sooner.
+ROUNDS = 8
+SETTLED = 0.005
+#: From so many occurrences on a move is weighed with the word's own counts taken out, below by the slope.
+EXACT_FROM = 32
 #: Strength of the class unigram in a transition probability.
 KAPPA = 20.0
 
@@ -62,7 +69,7 @@ def exchange(bigrams: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndar
             table[a] -= r
             table[:, a] -= l
             table[a, a] -= own
-            out, into = table.sum(1), table.sum(0)
+            out, into = table.sum(1) + l, table.sum(0) + r     # other words' counts beside the word stay
             d = np.diagonal(table)
             gain = (_f(table + r) - _f(table)).sum(1) + (_f(table + l[:, None]) - _f(table)).sum(0) \
                 - (_f(d + r) - _f(d)) - (_f(d + l) - _f(d)) + _f(d + r + l + own) - _f(d) \
@@ -124,6 +131,147 @@ def _preferences(table: np.ndarray) -> np.ndarray:
     return np.log(np.concatenate([t / out[:, None] / (into / total), t.T / into[:, None] / (out / total)]))[:, :-1]
 
 
+# -- rounds over all words ---------------------------------------------------------------------
+
+def _neighbours(chunk: Chunk, place: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per word of the chunk the number of its contexts, then these contexts and how often training has them.
+
+    A context is the class before, the class after plus ``classes + 1`` (or
+    twice that: the word itself comes after); ``classes`` is the text end.
+    """
+    doc = np.repeat(np.arange(len(chunk.sizes)), chunk.sizes)
+    train = (chunk.flags[doc] & FLAG) > 0
+    kind = place[chunk.codes].astype(np.int64)
+    joint = doc[1:] == doc[:-1]
+    before, after = np.full(len(kind), classes), np.full(len(kind), classes)
+    before[1:][joint], after[:-1][joint] = kind[:-1][joint], kind[1:][joint]
+    again = np.zeros(len(kind), bool)
+    again[:-1] = joint & (chunk.codes[1:] == chunk.codes[:-1])
+    wide = 2 * classes + 3
+    at = chunk.codes * wide
+    found, n = np.unique(np.concatenate([(at + before)[train], (at + after + classes + 1)[train],
+                                         (at + wide - 1)[train & again]]), return_counts=True)
+    return np.bincount(found // wide, minlength=len(chunk.words)), found % wide, n
+
+
+def _likelihood(table: np.ndarray) -> float:
+    return float(_f(table).sum() - _f(table.sum(0)).sum() - _f(table.sum(1)).sum())
+
+
+def _moved(seen: np.ndarray, place: np.ndarray, table: np.ndarray, classes: int) -> np.ndarray:
+    """The best class of each word, from its contexts (rows of ``seen``), its class and the class bigram counts."""
+    c = classes + 1
+    gain = seen[:, :2 * c] @ _preferences(table)
+    out = np.argmax(gain, 1)
+    out[gain[np.arange(len(out)), out] <= gain[np.arange(len(out)), place] + 1e-9] = -1
+    often = np.flatnonzero(seen[:, :c].sum(1) >= EXACT_FROM)
+    for lo in range(0, len(often), 256):
+        some = often[lo:lo + 256]
+        row, a, own = np.arange(len(some)), place[some], seen[some, 2 * c]
+        l, r = seen[some, :c].copy(), seen[some, c:2 * c].copy()
+        l[row, a] -= own
+        r[row, a] -= own
+        t = np.repeat(table[None], len(some), 0)        # the counts without the word
+        t[row, a] -= r
+        t[row, :, a] -= l
+        t[row, a, a] -= own
+        d = np.einsum("wcc->wc", t)
+        leave, come = t.sum(2) + l, t.sum(1) + r
+        out_n, in_n = (r.sum(1) + own)[:, None], (l.sum(1) + own)[:, None]
+        base = _f(t)
+        gain = (_f(t + r[:, None]) - base).sum(2) + (_f(t + l[:, :, None]) - base).sum(1) \
+            - (_f(d + r) - _f(d)) - (_f(d + l) - _f(d)) + _f(d + r + l + own[:, None]) - _f(d) \
+            - (_f(leave + out_n) - _f(leave)) - (_f(come + in_n) - _f(come))
+        gain[:, classes] = -np.inf
+        best = np.argmax(gain, 1)
+        out[some] = np.where(gain[row, best] > gain[row, a] + 1e-9, best, -1)
+    return np.where(out < 0, place, out)
+
+
+def _places(chunk: Chunk, parts: int, part: Iterator[int], data: Iterator[bytes], which: int = -1) -> np.ndarray:
+    """One of the arrays of the answers (by default the last) put together for all words of the chunk."""
+    owner, edge = by_part(chunk.words, parts)
+    out = np.zeros(len(chunk.words), np.int64)
+    for p, x in zip(part, data, strict=True):
+        out[owner[edge[p]:edge[p + 1]]] = thaw(x)[which]
+    return out
+
+
+def _exchange_all(chunks: DataFrame, answers: DataFrame, parts: int, classes: int, tokens: int) -> DataFrame:
+    """Answers ``(chunk, part, data)`` with the class of every word after the rounds over all words."""
+    wide = 2 * classes + 3
+
+    def ask(key, left, right):
+        import pandas as pd
+        chunk = read_chunk(left.iloc[0])
+        place = _places(chunk, parts, right["part"], right["data"]).astype(np.uint8)
+        size, found, n = _neighbours(chunk, place, classes)
+        order, edge = by_part(chunk.words, parts)
+        contexts = Ragged(np.concatenate([[0], np.cumsum(size)]), np.arange(len(found)))
+        out = {"part": np.flatnonzero(np.diff(edge)), "data": []}
+        for p in out["part"]:
+            some = order[edge[p]:edge[p + 1]]
+            at = contexts.take(some).values
+            out["data"].append(freeze([chunk.words[some], place[some], size[some].astype(np.uint16),
+                                       found[at].astype(np.uint8), n[at].astype(np.uint32)]))
+        return pd.DataFrame({"part": out["part"], "chunk": chunk.id, "data": out["data"]})
+
+    def gather(group):
+        import pandas as pd
+        sent = [thaw(x) for x in group["data"]]
+        words, first, which = np.unique(np.concatenate([s[0] for s in sent]), return_index=True, return_inverse=True)
+        place = np.concatenate([s[1] for s in sent])[first].astype(np.int64)
+        held = np.repeat(which, np.concatenate([s[2] for s in sent])) * wide + np.concatenate([s[3] for s in sent])
+        key, at = np.unique(held, return_inverse=True)
+        n = np.bincount(at, weights=np.concatenate([s[4] for s in sent]), minlength=len(key)).astype(np.int64)
+        word, context = key // wide, key % wide
+        c = classes + 1
+        after, start = (context >= c) & (context < 2 * c), context == classes
+        table = np.bincount(place[word[after]] * c + context[after] - c, weights=n[after], minlength=c * c) \
+            + np.bincount(classes * c + place[word[start]], weights=n[start], minlength=c * c)
+        edge = np.cumsum([0, *(len(s[0]) for s in sent)])
+        data = [place.astype(np.uint8), np.bincount(word, minlength=len(words)).astype(np.uint16),
+                context.astype(np.uint8), n, group["chunk"].to_numpy(), edge, which.astype(np.uint32)]
+        return pd.DataFrame({"part": group["part"][:1], "data": [freeze(data)],
+                             "moves": [freeze([table.astype(np.int64)])]})
+
+    def step(table):
+        def run(batches: Iterator[pa.RecordBatch]):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    place, size, context, n, chunk, edge, which = thaw(row["data"])
+                    offset = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
+                    new = place.astype(np.int64)
+                    for lo in range(0, len(place), 1 << 12):
+                        hi = min(lo + (1 << 12), len(place))
+                        a, b = offset[lo], offset[hi]
+                        word = np.repeat(np.arange(hi - lo), size[lo:hi])
+                        seen = np.bincount(word * wide + context[a:b], weights=n[a:b], minlength=(hi - lo) * wide)
+                        new[lo:hi] = _moved(seen.reshape(hi - lo, wide), new[lo:hi], table, classes)
+                    new = new.astype(np.uint8)
+                    yield pa.record_batch({
+                        "chunk": pa.array(chunk, pa.int64()), "part": pa.array([row["part"]] * len(chunk), pa.int32()),
+                        "data": pa.array([freeze([new[which[a:b]]]) for a, b in zip(edge, edge[1:], strict=False)],
+                                         pa.binary())})
+        return run
+
+    best, least = answers, -np.inf
+    for turn in range(ROUNDS + 1):
+        asked = chunks.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(
+            ask, "part int, chunk long, data binary")
+        gathered = written(asked.groupBy("part").applyInPandas(gather, "part int, data binary, moves binary"), "contexts")
+        table = _sum_tables(gathered, (classes + 1) ** 2).reshape(classes + 1, classes + 1).astype(np.float64)
+        now = _likelihood(table)
+        if now > least:
+            best = answers
+        if turn == ROUNDS or now - least < SETTLED * tokens:
+            break
+        least = now
+        answers = written(gathered.select("part", "data").mapInArrow(step(table), "chunk long, part int, data binary"),
+                          "places")
+    return best
+
+
 # -- the model ---------------------------------------------------------------------------------
 
 def _proposals(chunks: DataFrame) -> DataFrame:
@@ -195,7 +343,7 @@ def log_probabilities(docs: DataFrame, train: Column, id_col: str = "doc_id", te
     gives no rows; without training rows every known probability is zero and
     the unknown type takes all (score zero).
     """
-    chunks = tokenise(docs, id_col, text_col, train & F.col(id_col).isNotNull())
+    chunks = tokenise(docs, id_col, text_col, train & F.col(id_col).isNotNull(), by_chunk=True)
     proposals = _proposals(chunks)
     totals = {r.docs: r.n for r in proposals.where("word is null").collect()}
     train_docs = totals.get(True) or 0
@@ -251,15 +399,19 @@ def log_probabilities(docs: DataFrame, train: Column, id_col: str = "doc_id", te
     types = (stats.types or 0) + (1 if train_docs else 0)
     scale = np.log10(train_tokens + types + 1)
     end_count = train_docs
+    answers = answers.where("chunk >= 0").select("chunk", "part", "data")
+    if train_tokens:
+        places = _exchange_all(chunks, answers, parts, classes, train_tokens)
+    else:
+        places = answers
+    both = answers.withColumn("final", F.lit(False)).unionByName(places.withColumn("final", F.lit(True)))
 
     def read(key, left, right):
         import pandas as pd
         chunk = read_chunk(left.iloc[0])
-        counts, place = np.zeros(len(chunk.words), np.int64), np.zeros(len(chunk.words), np.uint8)
-        owner, edge = by_part(chunk.words, parts)
-        for p, data in zip(right["part"], right["data"], strict=True):
-            some = owner[edge[p]:edge[p + 1]]
-            counts[some], place[some] = thaw(data)
+        last, first = right[right["final"]], right[~right["final"]]
+        counts = _places(chunk, parts, first["part"], first["data"], 0)
+        place = _places(chunk, parts, last["part"], last["data"]).astype(np.uint8)
         sizes, docs_n = chunk.sizes, len(chunk.sizes)
         count = counts[chunk.codes]
         kind = np.where(count > 0, place[chunk.codes], classes + 1).astype(np.uint8)
@@ -276,7 +428,7 @@ def log_probabilities(docs: DataFrame, train: Column, id_col: str = "doc_id", te
         return pd.DataFrame({"data": [freeze([chunk.ids, chunk.flags, sizes, known, base, logs, ends])],
                              "moves": [freeze([table])]})
 
-    read_docs = written(chunks.groupBy("chunk").cogroup(answers.where("chunk >= 0").groupBy("chunk")).applyInPandas(
+    read_docs = written(chunks.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInPandas(
         read, "data binary, moves binary"), "class_sequences")
     moves = _sum_tables(read_docs, (classes + 2) ** 2).reshape(classes + 2, classes + 2)
     unseen = min(0.5, ((stats.once or 0) + 1) / (train_tokens + 1)) if train_tokens else 1.0

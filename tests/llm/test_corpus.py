@@ -292,6 +292,48 @@ def test_class_lm_counts_words_exactly(spark):
     assert class_lm._proposals(chunks).where(F.col("word") == key).first().n == 8
 
 
+def test_class_lm_rounds_use_all_neighbours(spark, monkeypatch):
+    """Words that never stand beside a seed word get their class from each other."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"the a{rng.integers(5)} z{rng.integers(5)}" for _ in range(6)) for _ in range(150)]
+    texts += [" ".join(f"c{rng.integers(40)} d{rng.integers(40)}" for _ in range(12)) for _ in range(150)]
+    texts += [f"the c{rng.integers(40)} d{rng.integers(40)}" for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3, "doc_id")
+
+    def score():
+        got = class_lm.log_probabilities(docs, F.lit(True), classes=6, seed_words=11).agg(F.sum("score"), F.sum("n_tokens")).first()
+        return got[0] / got[1]
+
+    whole = score()
+    monkeypatch.setattr(class_lm, "ROUNDS", 0)
+    assert whole > score() + 0.1
+
+
+def test_class_lm_moves_words_by_likelihood():
+    """A word moves to the class that brute force finds best, its own counts and repeats of itself included."""
+    rng = np.random.default_rng(6)
+    k, c = 12, 4                                         # words (the last is the text end), classes with the end's
+    bigrams = rng.integers(0, 60, (k, k)) * rng.integers(0, 2, (k, k))
+    place = np.append(rng.integers(0, c - 1, k - 1), c - 1)
+    member = np.eye(c)[place]
+    seen = np.concatenate([bigrams.T @ member, bigrams @ member, np.diagonal(bigrams)[:, None]], 1)[:-1].astype(float)
+    assert (seen[:, :c].sum(1) >= class_lm.EXACT_FROM).all()
+    got = class_lm._moved(seen, place[:-1], member.T @ bigrams @ member, c - 1)
+    for w in range(k - 1):
+        value = []
+        for to in range(c - 1):
+            m = np.eye(c)[np.where(np.arange(k) == w, to, place)]
+            value.append(class_lm._likelihood(m.T @ bigrams @ m))
+        assert got[w] == np.argmax(value) and len(set(value)) > 1
+    of = class_lm.exchange(bigrams, c - 1)               # settles where no single move is better
+    m = np.eye(c)[of]
+    best = class_lm._likelihood(m.T @ bigrams @ m)
+    for w in range(k - 1):
+        for to in range(c - 1):
+            m = np.eye(c)[np.where(np.arange(k) == w, to, of)]
+            assert class_lm._likelihood(m.T @ bigrams @ m) <= best + 1e-6
+
+
 def test_containment_and_licenses(spark, docs):
     items = spark.createDataFrame([(1, PASSAGE), (2, "one two"), (3, None), (4, PASSAGE), (5, prose(99, 30))],
                                   "item_id long, text string")
