@@ -19,7 +19,8 @@ from indicatormart.operators import joins as J
 from indicatormart.operators.aggregates import exact_sum
 from indicatormart.operators.grain import first_by, month_spine
 from indicatormart.operators.setops import union_all, union_distinct
-from indicatormart.plans.staging import BEDS_INTL_TAG, HEALTH_EXP_TAG, OVERCROWDING_TAG, PHYSICIANS_TAG
+from indicatormart.plans.staging import (BEDS_INTL_TAG, DIAGNOS_CODE, HEALTH_EXP_TAG, KON_ALDER_CODE, NET_COST_CODE,
+                                         OVERCROWDING_TAG, PERSONNEL_CODE, PHYSICIANS_TAG)
 from indicatormart.sources.sinks import export_region_geojson
 
 # Metric types of the capacity fact and the registry rows of sources without tags.
@@ -123,6 +124,16 @@ def _registry_rows(df: DataFrame, granularity, system=None, code=None, name=None
         (granularity if not isinstance(granularity, str) else F.lit(granularity)).alias("default_granularity"))
 
 
+def _registry_names(df: DataFrame, granularity: str, code, unit: str | None = "unit") -> DataFrame:
+    """:func:`_registry_rows` of a source whose code is a function of its indicator name (``code`` maps the column).
+
+    Rows are reduced to their distinct names first, so the code's regular
+    expressions run once a name and task group, not once a row.
+    """
+    names = df.select("source_system", "indicator_name", *([unit] if unit else [])).distinct()
+    return _registry_rows(names, granularity, code=code(F.col("indicator_name")), unit=unit)
+
+
 def _constant_row(df: DataFrame, system: str, code: str, name: str, unit: str | None) -> DataFrame:
     """One registry row when ``df`` has any row (LIMIT 1 stops the scan early)."""
     return df.limit(1).select(
@@ -138,14 +149,14 @@ def indicator_union(stg: dict[str, DataFrame]) -> DataFrame:
         # MONTH rows register as MONTH, YEAR rows as YEAR: one scan for both branches
         _registry_rows(de, F.col("period_granularity")),
         _registry_rows(stg["stg_overcrowding"], "MONTH", unit=None),
-        _registry_rows(stg["stg_tid_konalder"], "MONTH", unit=None),
-        _registry_rows(stg["stg_tid_diagnos"], "MONTH"),
+        _registry_names(stg["stg_tid_konalder"], "MONTH", KON_ALDER_CODE, unit=None),
+        _registry_names(stg["stg_tid_diagnos"], "MONTH", DIAGNOS_CODE),
         _registry_rows(stg["stg_beds_region"], "YEAR", system=F.lit(BEDS_REGION_SYSTEM), code="indicator_code",
                        unit=None),
         _registry_rows(stg["stg_beds_intl"], "YEAR"),
-        _registry_rows(stg["stg_medical_personnel"], "YEAR", unit=None),
+        _registry_names(stg["stg_medical_personnel"], "YEAR", PERSONNEL_CODE, unit=None),
         _constant_row(stg["stg_population"], *POPULATION_TAG, None),
-        _registry_rows(stg["stg_net_cost"], "YEAR"),
+        _registry_names(stg["stg_net_cost"], "YEAR", NET_COST_CODE),
         _registry_rows(stg["stg_kolada"], "YEAR", unit=None),
         _constant_row(stg["stg_physicians_per1000"], *PHYSICIANS_TAG, "Per 1000 inhabitants"),
         _constant_row(stg["stg_health_exp_gdp_intl"], *HEALTH_EXP_TAG, "% of GDP"),

@@ -52,6 +52,12 @@ SYS_NATIONAL = "SCB_NATIONAL"
 SYS_DIAGNOS = "STAT_DIAGNOS"
 SYS_KON_ALDER = "STAT_KON_ALDER"
 
+# How the multi-indicator sources without codes of their own make one from the indicator's name.
+PERSONNEL_CODE = T.slug
+NET_COST_CODE = T.slug
+DIAGNOS_CODE = T.letter_s_runs
+KON_ALDER_CODE = T.snake
+
 # Rows that name an aggregate rather than a region, and the national region name.
 ALL_REGIONS_PREFIX = "Alla regioner"
 NATIONAL_AREA = "Riket"
@@ -242,7 +248,7 @@ def stg_medical_personnel(raw: DataFrame) -> DataFrame:
         T.clean_area_name("area_raw").alias("region_name"),
         T.normalize_gender("gender_raw", short_codes=False, trim=False).alias("gender"),
         F.col("profession_group").alias("indicator_name"),
-        T.slug("profession_group").alias("source_indicator_code"),
+        PERSONNEL_CODE("profession_group").alias("source_indicator_code"),
         "value",
     )
     # region_name is never NULL here (the raw area is), so only year and value are tested:
@@ -273,7 +279,7 @@ def stg_net_cost(raw: DataFrame) -> DataFrame:
         NULL_DATE().alias("period_month"),
         F.lit("YEAR").alias("period_granularity"),
         F.lit(SYS_NET_COST).alias("source_system"),
-        T.slug("indicator_name").alias("source_indicator_code"),
+        NET_COST_CODE("indicator_name").alias("source_indicator_code"),
         "indicator_name",
         T.normalize_gender("gender_raw", trim=False).alias("gender"),
         T.blank_to_null("age_raw").alias("age_group"),
@@ -355,7 +361,7 @@ def stg_tid_diagnos(raw: DataFrame) -> DataFrame:
         P.month_date("year", F.month("period_date")).alias("period_month"),
         F.lit("MONTH").alias("period_granularity"),
         F.lit(SYS_DIAGNOS).alias("source_system"),
-        T.letter_s_runs("indicator_name").alias("source_indicator_code"),
+        DIAGNOS_CODE("indicator_name").alias("source_indicator_code"),
         "indicator_name", "diagnosgrupp", "value",
         F.lit("ALL").alias("gender"),
         NULL_STR().alias("age_group"),
@@ -384,6 +390,6 @@ def stg_tid_konalder(raw: DataFrame) -> DataFrame:
         "month_name", "period_date",
         F.lit(SYS_KON_ALDER).alias("source_system"),
         F.col("metric_name").alias("indicator_name"),
-        T.snake("metric_name").alias("source_indicator_code"),
+        KON_ALDER_CODE("metric_name").alias("source_indicator_code"),
         "region_name", "gender", "age_group", "value",
     )

@@ -146,3 +146,19 @@ def test_build_publishes_every_model(spark, wh, tmp_path):
     assert pruned.count() == 3
     assert "PartitionFilters: [isnotnull(year" in pruned._jdf.queryExecution().executedPlan().toString()
     assert spark.sql("SELECT count(*) AS n FROM mart_resources_yearly").first().n > 0
+
+
+def test_registry_makes_codes_of_distinct_names(wh):
+    """The regular expressions that make codes from names stand above a reduction to distinct names."""
+    from indicatormart.functions.text import SLUG_RE
+    from indicatormart.plans import reference as R
+    union = R.indicator_union(wh.staging())
+    lines = union._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    made = [i for i, line in enumerate(lines) if SLUG_RE in line]
+    assert len(made) == 2
+    for line in (lines[i].lstrip(" :+-") for i in made):      # Aggregate [what it groups by], [what it gives]
+        by, gives = line.split("], [", 1)
+        assert line.startswith("Aggregate [") and SLUG_RE not in by and SLUG_RE in gives
+    for name in ("stg_tid_konalder", "stg_tid_diagnos", "stg_medical_personnel", "stg_net_cost"):
+        staged = wh.model(name).select("source_system", "source_indicator_code", "indicator_name").distinct()
+        assert staged.count() and staged.subtract(union.select(*staged.columns)).count() == 0
